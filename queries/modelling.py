@@ -1,0 +1,173 @@
+"""Dimensions, facts, surrogate keys, slowly changing dimensions, source unification."""
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from queries.registry import query
+from tidelake.plans import dimensional as D
+from tidelake.session import materialise
+
+DATE_KEY = "year({0}) * 10000 + month({0}) * 100 + day({0})"
+
+
+def as_long(df):
+    """Date parts are 64-bit in the oracle."""
+    return df.select(*[F.col(c).cast("long").alias(c) if d == "int" else F.col(c) for c, d in df.dtypes])
+
+
+@query("surrogate_keys", """
+SELECT row_number() OVER (ORDER BY o_orderkey) AS order_sk, o_orderkey, o_custkey FROM orders""")
+def surrogate_keys(t):
+    return D.surrogate_keys(t.orders.select("o_orderkey", "o_custkey"), "o_orderkey", "order_sk")
+
+
+@query("surrogate_keys_text", "SELECT row_number() OVER (ORDER BY c_name) AS customer_sk, c_name FROM customer")
+def surrogate_keys_text(t):
+    return D.surrogate_keys(t.customer.select("c_name"), "c_name", "customer_sk")
+
+
+@query("dim_product", """
+SELECT row_number() OVER (ORDER BY p_partkey) AS product_key, p_partkey AS sku_code, p_name AS product_name,
+  p_type AS category_l1, p_brand AS brand, p_retailprice AS unit_cost FROM part""")
+def dim_product(t):
+    return D.dim_product(t.part, {"sku_code": "p_partkey", "product_name": "p_name", "category_l1": "p_type",
+                                  "brand": "p_brand", "unit_cost": "p_retailprice"})
+
+
+@query("dim_location", """
+SELECT row_number() OVER (ORDER BY s_suppkey) AS location_key, s_suppkey AS location_id, s_name AS location_name, n_name AS country, r_name AS region
+FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""")
+def dim_location(t):
+    return D.dim_location(t.supplier, t.nation, t.region)
+
+
+@query("dim_customer", """
+SELECT row_number() OVER (ORDER BY c_custkey) AS customer_key, c_custkey AS customer_id, c_name AS customer_name,
+  c_mktsegment AS segment, n_name AS country FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey""")
+def dim_customer(t):
+    return D.dim_customer(t.customer, t.nation)
+
+
+KEYS_SQL = """
+WITH p AS (SELECT p_partkey, row_number() OVER (ORDER BY p_partkey) AS product_key FROM part WHERE p_size <= 45),
+s AS (SELECT s_suppkey, row_number() OVER (ORDER BY s_suppkey) AS location_key FROM supplier),
+c AS (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) AS customer_key FROM customer)
+"""
+
+
+def _dimensions(t):
+    product = D.dim_product(t.part.filter("p_size <= 45"), {"sku_code": "p_partkey", "brand": "p_brand"})
+    return product, D.dim_location(t.supplier, t.nation, t.region), D.dim_customer(t.customer, t.nation)
+
+
+@query("fact_sales", KEYS_SQL + f"""
+SELECT l_orderkey AS order_id, l_linenumber AS line_number, coalesce(product_key, -1) AS product_key, coalesce(location_key, -1) AS location_key,
+  coalesce(customer_key, -1) AS customer_key, {DATE_KEY.format('o_orderdate')} AS date_key, {DATE_KEY.format('l_shipdate')} AS ship_date_key,
+  l_quantity AS quantity, l_extendedprice AS gross_amount, round(l_extendedprice * l_discount, 4) AS discount_amount,
+  round(l_extendedprice * (1 - l_discount), 4) AS revenue
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey LEFT JOIN p ON l_partkey = p_partkey LEFT JOIN s ON l_suppkey = s_suppkey
+LEFT JOIN c ON o_custkey = c_custkey""")
+def fact_sales(t):
+    out = D.fact_sales(t.lineitem, t.orders, *_dimensions(t))
+    out = out.withColumns({c: F.round(c, 4) for c in ("discount_amount", "revenue")})
+    return out.withColumns({c: F.col(c).cast("long") for c in ("date_key", "ship_date_key")})
+
+
+def _snapshot(t):
+    """Stock per part and supplier from the order lines: everything bought, a fifth of it reserved."""
+    quantity = F.sum("l_quantity").cast("long")
+    stock = t.lineitem.groupBy("l_partkey", "l_suppkey").agg(quantity.alias("quantity_on_hand"), F.max("l_shipdate").alias("last"))
+    stock = stock.join(t.part.select("p_partkey", "p_retailprice"), F.col("l_partkey") == F.col("p_partkey"))
+    return stock.select(F.col("l_partkey").alias("sku_code"), F.col("l_suppkey").alias("location_id"),
+                        F.to_date("last").alias("snapshot_date"), "quantity_on_hand",
+                        F.floor(F.col("quantity_on_hand") / 5).alias("quantity_reserved"), F.col("p_retailprice").alias("unit_cost"))
+
+
+@query("fact_inventory", KEYS_SQL + f""", st AS (SELECT l_partkey, l_suppkey, CAST(sum(l_quantity) AS BIGINT) AS q, CAST(max(l_shipdate) AS DATE) AS d,
+  CAST(any_value(p_retailprice) AS DECIMAL(10,2)) AS cost FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2)
+SELECT coalesce(product_key, -1) AS product_key, coalesce(location_key, -1) AS location_key, {DATE_KEY.format('d')} AS date_key,
+  q AS quantity_on_hand, q // 5 AS quantity_reserved, q - q // 5 AS quantity_available, cost AS unit_cost,
+  CAST(q * cost AS DECIMAL(15,2)) AS total_value FROM st LEFT JOIN p ON l_partkey = p_partkey LEFT JOIN s ON l_suppkey = s_suppkey""")
+def fact_inventory(t):
+    product, location, _ = _dimensions(t)
+    out = D.fact_inventory(_snapshot(t), product, location)
+    return out.withColumn("date_key", F.col("date_key").cast("long"))
+
+
+@query("fact_orders", f"""
+WITH l AS (SELECT l_orderkey, count(*) AS n, sum(l_quantity) AS q, min(l_shipdate) AS a, max(l_shipdate) AS b, count(*) FILTER (l_linestatus <> 'F') AS open_lines
+  FROM lineitem GROUP BY 1)
+SELECT o_orderkey AS order_id, o_custkey AS customer_id, {DATE_KEY.format('o_orderdate')} AS date_key, coalesce(n, 0) AS line_count, q AS quantity,
+  date_diff('day', CAST(o_orderdate AS DATE), CAST(a AS DATE)) AS lead_days, date_diff('day', CAST(o_orderdate AS DATE), CAST(b AS DATE)) AS completion_days,
+  coalesce(open_lines = 0, false) AS is_fulfilled FROM orders LEFT JOIN l ON o_orderkey = l_orderkey""")
+def fact_orders(t):
+    return as_long(D.fact_orders(t.orders, t.lineitem))
+
+
+# -- slowly changing dimensions ----------------------------------------------------------------------------
+
+SNAP_SQL = """
+WITH snap AS (SELECT l_partkey AS sku, CAST(l_shipdate AS DATE) AS day, CASE WHEN avg(l_discount) > 0.06 THEN 'promo' WHEN avg(l_discount) > 0.03 THEN 'normal'
+  ELSE 'full' END AS price_band, CASE WHEN max(l_quantity) > 40 THEN 'bulk' ELSE 'unit' END AS pack FROM lineitem GROUP BY 1, 2),
+steps AS (SELECT *, lag(price_band || '|' || pack) OVER (PARTITION BY sku ORDER BY day) AS before FROM snap),
+starts AS (SELECT * FROM steps WHERE before IS NULL OR before <> price_band || '|' || pack),
+hist AS (SELECT sku, price_band, pack, day AS effective_from, lead(day) OVER (PARTITION BY sku ORDER BY day) AS effective_to FROM starts)
+"""
+
+
+def _snapshots(t):
+    """Daily state of each part, derived from its order lines."""
+    discount, top = F.round(F.avg("l_discount"), 9), F.max("l_quantity")
+    band = F.when(discount > 0.06, "promo").when(discount > 0.03, "normal").otherwise("full")
+    return t.lineitem.groupBy(F.col("l_partkey").alias("sku"), F.to_date("l_shipdate").alias("day")).agg(
+        band.alias("price_band"), F.when(top > 40, "bulk").otherwise("unit").alias("pack"))
+
+
+SNAP_SQL = SNAP_SQL.replace("avg(l_discount)", "round(avg(l_discount), 9)")
+
+
+@query("scd2_history", SNAP_SQL + "SELECT *, effective_to IS NULL AS is_current FROM hist")
+def scd2_history(t):
+    return D.scd2_history(_snapshots(t), "sku", ["price_band", "pack"], "day")
+
+
+@query("scd2_apply", SNAP_SQL + """, snap2 AS (SELECT p_partkey AS sku, 'promo' AS price_band, CASE WHEN p_size > 25 THEN 'bulk' ELSE 'unit' END AS pack FROM part),
+j AS (SELECT h.*, s.price_band AS nb, s.pack AS np FROM hist h LEFT JOIN snap2 s ON h.sku = s.sku AND h.effective_to IS NULL)
+SELECT sku, price_band, pack, effective_from, CASE WHEN nb IS NOT NULL AND (nb <> price_band OR np <> pack) THEN DATE '2002-01-01' ELSE effective_to END AS effective_to,
+  effective_to IS NULL AND NOT (nb IS NOT NULL AND (nb <> price_band OR np <> pack)) AS is_current FROM j
+UNION ALL SELECT sku, nb, np, DATE '2002-01-01', NULL, true FROM j WHERE effective_to IS NULL AND nb IS NOT NULL AND (nb <> price_band OR np <> pack)
+UNION ALL SELECT sku, price_band, pack, DATE '2002-01-01', NULL, true FROM snap2 WHERE sku NOT IN (SELECT sku FROM hist)""")
+def scd2_apply(t):
+    dimension = D.scd2_history(_snapshots(t), "sku", ["price_band", "pack"], "day")
+    today = t.part.select(F.col("p_partkey").alias("sku"), F.lit("promo").alias("price_band"),
+                          F.when(F.col("p_size") > 25, "bulk").otherwise("unit").alias("pack"))
+    return D.scd2_apply(dimension, today, "sku", ["price_band", "pack"], F.lit(dt.date(2002, 1, 1)))
+
+
+@query("scd2_late_changes", SNAP_SQL + "SELECT *, effective_to IS NULL AS is_current FROM hist")
+def scd2_late_changes(t):
+    """History of the first years, then everything later arriving late, must equal the history of all rows."""
+    snaps = _snapshots(t)
+    border = F.lit(dt.date(1999, 1, 1))
+    early = materialise(D.scd2_history(snaps.filter(F.col("day") < border), "sku", ["price_band", "pack"], "day"), "scd2")
+    return D.scd2_rebuild(early, snaps.filter(F.col("day") >= border), "sku", ["price_band", "pack"], "day")
+
+
+@query("scd2_lookup", SNAP_SQL + """
+SELECT l_orderkey, l_linenumber, l_partkey, price_band, pack FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+LEFT JOIN hist ON l_partkey = sku AND CAST(o_orderdate AS DATE) >= effective_from AND CAST(o_orderdate AS DATE) < coalesce(effective_to, DATE '9999-12-31')""")
+def scd2_lookup(t):
+    dimension = D.scd2_history(_snapshots(t), "sku", ["price_band", "pack"], "day").withColumnRenamed("sku", "l_partkey")
+    fact = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        "l_orderkey", "l_linenumber", "l_partkey", F.to_date("o_orderdate").alias("day"))
+    return D.scd2_lookup(fact, dimension, "l_partkey", "day", ["price_band", "pack"]).drop("day")
+
+
+@query("unify_sources", """
+SELECT 'store' AS source, o_orderkey AS sale_id, o_totalprice AS amount, o_orderdate AS sold_at, NULL::VARCHAR AS channel FROM orders
+UNION ALL SELECT 'web', event_id, value, ts, event_type FROM events""")
+def unify_sources(t):
+    return D.unify_sources({
+        "store": (t.orders, {"sale_id": "o_orderkey", "amount": "o_totalprice", "sold_at": "o_orderdate"}),
+        "web": (t.events, {"sale_id": "event_id", "amount": "value", "sold_at": "ts", "channel": "event_type"})})

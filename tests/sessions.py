@@ -5,7 +5,7 @@ from tidelake.session import configure
 
 def local_session() -> SparkSession:
     spark = (SparkSession.builder.master("local[8]").appName("tidelake-tests")
-             .config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "8")
+             .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.sql.shuffle.partitions", "8")
              .config("spark.driver.memory", "8g")
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")

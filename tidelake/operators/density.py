@@ -37,11 +37,10 @@ def density_noise(df: DataFrame, id_column: str, dimensions: Sequence[str], eps:
     sparse = points.join(dense, cells, "left_anti")
 
     def around(frame: DataFrame) -> DataFrame:
-        out = frame
-        for i in range(d):
-            out = out.withColumn(f"n{i}", F.explode(F.transform(
-                F.sequence(F.lit(-reach), F.lit(reach)), lambda s, i=i: F.col(f"c{i}") + s)))
-        return out
+        steps = F.sequence(F.lit(-reach), F.lit(reach))
+        for i, c in enumerate(cells):
+            frame = frame.withColumn("__step", F.explode(steps)).withColumn(f"n{i}", F.col(c) + F.col("__step"))
+        return frame.drop("__step")
 
     def close() -> Column:
         squares = [(F.col(n) - F.col(f"o_{n}")) * (F.col(n) - F.col(f"o_{n}")) for n in names]

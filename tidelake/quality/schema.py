@@ -227,15 +227,24 @@ class SchemaRegistry:
 
 
 def corrupt_records(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "json",
-                    **options: Any) -> tuple[DataFrame, DataFrame]:
-    """Readable rows, and unreadable ones with their raw text."""
+                    **options: str) -> tuple[DataFrame, DataFrame]:
+    """Readable rows, and unreadable lines with the file they stand in.
+
+    Lines are read as text and parsed with a corrupt-record column, so both sides may be queried freely.
+    """
     full = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
-    raw = (spark.read.schema(full).options(mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt_record", **options)
-           .format(fmt).load(path))
-    good = raw.filter("_corrupt_record IS NULL").select(*schema.names)
-    bad = raw.filter("_corrupt_record IS NOT NULL").select(
-        "_corrupt_record", F.col("_metadata.file_name").alias("file_name"))
-    return good, bad
+    settings = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record", **options}
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("file_name"))
+    if fmt == "json":
+        parsed = F.from_json("value", full, settings)
+    elif fmt == "csv":
+        parsed = F.from_csv(F.col("value"), full.toDDL(), settings)
+    else:
+        raise ValueError(f"no line parser for {fmt}")
+    rows = lines.select("file_name", "value", parsed.alias("r"))
+    corrupt = F.col("r").isNull() | F.col("r._corrupt_record").isNotNull()
+    return (rows.filter(~corrupt).select(*[F.col(f"r.{n}").alias(n) for n in schema.names]),
+            rows.filter(corrupt).select(F.col("value").alias("_corrupt_record"), "file_name"))
 
 
 def unreadable_files(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
