@@ -298,39 +298,41 @@ class Cleaner:
     def report(self) -> DataFrame:
         """One row per step: what it did, to which columns, and how many rows or values it changed.
 
-        Counts are plain aggregates on the frame before and after each counted step. Accumulator metrics would
-        be cheaper, but count twice when a lost executor makes a stage run again.
+        Every frame before and after a counted step is measured once, by a plain aggregate. Accumulator metrics
+        would be cheaper, but count twice when a lost executor makes a stage run again.
         """
-        frames, df = [], self.source
-        for position, (name, detail, fn) in enumerate(self.steps):
-            after = fn(df)
-            if name == "nulls_filled":
-                touched = [c for c in detail.split(",") if c in df.columns]
-                before_after = [(_null_cells(df, touched), _null_cells(after, touched))]
-                frames.append(_effect(position, name, detail, *before_after[0]))
-            elif name in ("duplicates_removed", "outliers_removed", "rows_filtered", "null_rows_dropped"):
-                frames.append(_effect(position, name, detail, _rows(df), _rows(after)))
+        frames = [self.source]
+        for _, _, fn in self.steps:
+            frames.append(fn(frames[-1]))
+        fills = {i: [c for c in detail.split(",") if c in frames[i].columns]
+                 for i, (name, detail, _) in enumerate(self.steps) if name == "nulls_filled"}
+        counted = {i for i, (name, _, _) in enumerate(self.steps) if name in _ROW_STEPS}
+        parts = []
+        for i in sorted({j for s in counted | set(fills) for j in (s, s + 1)}):
+            cells = sorted({c for s in (i, i - 1) for c in fills.get(s, [])})
+            wanted = [("", F.count(F.lit(1))), *[(c, F.count(F.when(F.col(c).isNull(), 1))) for c in cells]]
+            parts.append(frames[i].agg(F.map_from_arrays(F.array(*[F.lit(f"{i}|{c}") for c, _ in wanted]),
+                                                         F.array(*[n for _, n in wanted])).alias("m")))
+        # One map entry per step and filled column: a handful, whatever the table size.
+        found = (reduce(DataFrame.unionByName, parts).select(F.explode("m").alias("k", "n")) if parts else
+                 self.source.sparkSession.createDataFrame([], "k string, n bigint"))
+        one = found.agg(F.map_from_entries(F.collect_list(F.struct("k", "n"))).alias("m"))
+        m = F.col("m")
+        rows = []
+        for i, (name, detail, _) in enumerate(self.steps):
+            if i in fills:
+                gaps = [m[f"{i}|{c}"] - m[f"{i + 1}|{c}"] for c in fills[i]]
+                affected = text.horizontal_sum(gaps) if gaps else F.lit(0)
+            elif i in counted:
+                affected = m[f"{i}|"] - m[f"{i + 1}|"]
             else:
-                touched = len([c for c in detail.split(",") if c])
-                frames.append(_rows(df).select(F.lit(position).alias("step"), F.lit(name).alias("action"),
-                                               F.lit(detail).alias("columns"),
-                                               F.lit(touched).cast("long").alias("affected")))
-            df = after
-        return reduce(DataFrame.unionByName, frames)
+                affected = F.lit(len([c for c in detail.split(",") if c]))
+            rows.append(F.struct(F.lit(i).alias("step"), F.lit(name).alias("action"), F.lit(detail).alias("columns"),
+                                 affected.cast("long").alias("affected")))
+        return one.select(F.inline(F.array(*rows)))
 
 
-def _rows(df: DataFrame) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("n"))
-
-
-def _null_cells(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    cells = text.horizontal_sum([F.col(c).isNull().cast("long") for c in columns]) if columns else F.lit(0).cast("long")
-    return df.agg(F.coalesce(F.sum(cells), F.lit(0).cast("long")).alias("n"))
-
-
-def _effect(position: int, name: str, detail: str, before: DataFrame, after: DataFrame) -> DataFrame:
-    return before.select(F.lit(position).alias("step"), F.lit(name).alias("action"), F.lit(detail).alias("columns"),
-                         (F.col("n") - after.scalar()).alias("affected"))
+_ROW_STEPS = ("duplicates_removed", "outliers_removed", "rows_filtered", "null_rows_dropped")
 
 
 def quick_clean(df: DataFrame, strings: Sequence[str] = (), fills: Mapping[str, Any] | None = None,

@@ -1,13 +1,17 @@
 """Ordered windows whose partitions may be arbitrarily large.
 
-A plain ``Window.partitionBy(key).orderBy(ts)`` puts a whole key into one task. Here every key is cut into
-*blocks* along the order column, the window runs inside (key, block), and what has to cross a block border
-(a running total, the last value seen) is computed from one row per (key, block) and joined back. A key that
-holds a third of the table is thus spread over as many tasks as it has blocks, and a table without keys
-(surrogate keys, cumulative shares) needs no single-partition window.
-
-Block borders are literals taken from one approximate-quantile aggregate, so a recomputed task puts each row
-into the same block. The borders need not be exact: they only balance the work.
+A plain ``Window.partitionBy(key).orderBy(ts)`` puts a whole key into one task. Here the keys are counted first.
+Where no key is large, the plain window is used as it is. A key with more than ``hot_rows`` rows is cut into *blocks*
+along the order column, the window runs inside (key, block), and what has to cross a block border (a running total,
+the last value seen) is computed from one row per hot key and block and joined back. A key that holds a third of the
+table is thus spread over as many tasks as it has blocks, and a table without keys (surrogate keys, cumulative
+shares) needs no single-partition window.
+
+At most ``MAX_HOT`` keys are split, the largest ones: any other key then holds less than 1 / MAX_HOT of the table.
+That bounds what is broadcast to MAX_HOT times the number of blocks, whatever the table size.
+
+Block borders are literals taken from one approximate-quantile aggregate, so a recomputed task puts each row into the
+same block. The borders need not be exact: they only balance the work.
 """
 
 from __future__ import annotations
@@ -24,6 +28,8 @@ from tidelake.session import parallelism
 
 BLOCK = "__block"
 MAX_CUTS = 128
+MAX_HOT = 1000
+HOT_ROWS = 1_000_000
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
@@ -94,21 +100,41 @@ class _Part:
     carry: Callable[[Column, Window], Column]
     after: bool
     merge: Callable[[Column, Column], Column]
+    alone: Callable[[Column], Column] = lambda c: c
+
+
+def _hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> list[int]:
+    """Hashes of the largest keys; a colliding key is split needlessly, which changes no result."""
+    counts = df.groupBy(F.xxhash64(*keys).alias("h")).agg(F.count(F.lit(1)).alias("n"))
+    top = counts.filter(F.col("n") > hot_rows).orderBy(F.desc("n"), "h").limit(MAX_HOT).collect()
+    return [r["h"] for r in top]
 
 
 class SplitWindow:
     """Collects ordered computations over the same keys and order, then adds them all in one pass.
 
-    ``order`` sorts ascending with NULLs first; ``tiebreak`` columns make the order total. All computations use
-    the same block cut, one window per direction and one join.
+    ``order`` sorts ascending with NULLs first; ``tiebreak`` columns make the order total. All computations use the
+    same block cut, one window per direction and one join.
     """
 
     def __init__(self, df: DataFrame, keys: Sequence[str], order: Column | str, tiebreak: Sequence[str] = (),
-                 blocks: int | None = None):
+                 blocks: int | None = None, hot_rows: int | None = None, hot: Sequence[int] | None = None):
+        """``hot`` takes over the ``hot`` of an earlier window on the same keys whose rows included these."""
         self.order = F.col(order) if isinstance(order, str) else order
         self.keys = list(keys)
         self.tiebreak = [F.col(c) for c in tiebreak]
-        self.df = df.withColumn(BLOCK, block_column(df, self.order, blocks))
+        if hot_rows is None:
+            hot_rows = int(df.sparkSession.conf.get("tidelake.window.hotRows", str(HOT_ROWS)))
+        self.split, is_hot, self.hot = True, F.lit(True), hot
+        if self.keys:
+            if self.hot is None:
+                self.hot = _hot_keys(df, self.keys, hot_rows)
+            self.split, is_hot = bool(self.hot), F.xxhash64(*self.keys).isin(list(self.hot))
+        if self.split:
+            block = block_column(df.filter(is_hot), self.order, blocks)
+            df = df.withColumn(BLOCK, F.when(is_hot, block).otherwise(F.lit(-2)))
+        self.df = df
+        self.groups = [*self.keys, BLOCK] if self.split else self.keys
         self.parts: list[_Part] = []
 
     @property
@@ -124,7 +150,7 @@ class SplitWindow:
         return F.struct(self.order.alias("o"), *[c.alias(f"t{i}") for i, c in enumerate(self.tiebreak)])
 
     def _local(self, reverse: bool = False):
-        return Window.partitionBy(*self.keys, BLOCK).orderBy(*(self._reverse if reverse else self._sort))
+        return Window.partitionBy(*self.groups).orderBy(*(self._reverse if reverse else self._sort))
 
     def total(self, name: str, value: Column) -> "SplitWindow":
         """Running sum up to and including the row."""
@@ -136,7 +162,7 @@ class SplitWindow:
 
     def rank(self, name: str) -> "SplitWindow":
         """Standard rank on ``order`` alone: ties share a rank, gaps follow."""
-        window = Window.partitionBy(*self.keys, BLOCK).orderBy(self.order.asc_nulls_first())
+        window = Window.partitionBy(*self.groups).orderBy(self.order.asc_nulls_first())
         return self._sum(name, F.lit(1).cast("long"), F.rank().over(window).cast("long"))
 
     def _sum(self, name: str, value: Column, local: Column) -> "SplitWindow":
@@ -172,19 +198,25 @@ class SplitWindow:
         local = F.lag(boxed).over(self._local(after))
         edge = (F.min_by if after else F.max_by)(boxed, self._stamp)
         self.parts.append(_Part(name, local, edge, lambda e, w: F.last(e, True).over(w), after,
-                                lambda a, b: F.coalesce(a, b)["v"]))
+                                lambda a, b: F.coalesce(a, b)["v"], lambda a: a["v"]))
         return self
 
     def result(self) -> DataFrame:
-        on = [*self.keys, BLOCK]
-        edges = self.df.groupBy(*on).agg(*[p.edge.alias(f"__e_{i}") for i, p in enumerate(self.parts)])
+        added = {p.name for p in self.parts}
+        rows = self.df.select("*", *[p.local.alias(f"__l_{i}") for i, p in enumerate(self.parts)])
+        if self.split:
+            rows = null_safe_join(rows, F.broadcast(self._carried()), self.groups, "left")
+        keep = [F.col(c) for c in self.df.columns if c != BLOCK and c not in added]
+        carry = [F.col(f"__c_{i}") if self.split else None for i in range(len(self.parts))]
+        return rows.select(*keep, *[(p.merge(F.col(f"__l_{i}"), carry[i]) if self.split else p.alone(F.col(f"__l_{i}")))
+                                    .alias(p.name) for i, p in enumerate(self.parts)])
+
+    def _carried(self) -> DataFrame:
+        """What enters each block of a hot key from the blocks before (or after) it; at most MAX_HOT keys."""
+        hot = self.df.filter(F.col(BLOCK) > -2)
+        edges = hot.groupBy(*self.groups).agg(*[p.edge.alias(f"__e_{i}") for i, p in enumerate(self.parts)])
         across = Window.partitionBy(*self.keys) if self.keys else Window.partitionBy(F.lit(0))
         before = across.orderBy(F.col(BLOCK).asc()).rowsBetween(Window.unboundedPreceding, -1)
         after = across.orderBy(F.col(BLOCK).desc()).rowsBetween(Window.unboundedPreceding, -1)
-        carried = edges.select(*on, *[p.carry(F.col(f"__e_{i}"), after if p.after else before).alias(f"__c_{i}")
-                                      for i, p in enumerate(self.parts)])
-        rows = self.df.select("*", *[p.local.alias(f"__l_{i}") for i, p in enumerate(self.parts)])
-        joined = null_safe_join(rows, carried, on, "left")
-        keep = [F.col(c) for c in self.df.columns if c != BLOCK and c not in {p.name for p in self.parts}]
-        return joined.select(*keep, *[p.merge(F.col(f"__l_{i}"), F.col(f"__c_{i}")).alias(p.name)
-                                      for i, p in enumerate(self.parts)])
+        return edges.select(*self.groups, *[p.carry(F.col(f"__e_{i}"), after if p.after else before).alias(f"__c_{i}")
+                                            for i, p in enumerate(self.parts)])

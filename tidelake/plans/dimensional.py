@@ -39,9 +39,9 @@ def scd2_history(changes: DataFrame, key: str, attributes: Sequence[str], date:
     """
     hashed = changes.select(key, *attributes, F.col(date).alias("effective_from")).withColumn(
         "__hash", row_hash(attributes))
-    stepped = SplitWindow(hashed, [key], "effective_from", ["__hash"]).previous("__before", F.col("__hash")).result()
-    starts = stepped.filter(F.col("__before").isNull() | (F.col("__before") != F.col("__hash")))
-    closed = SplitWindow(starts.drop("__before"), [key], "effective_from", ["__hash"]).following(
+    steps = SplitWindow(hashed, [key], "effective_from", ["__hash"]).previous("__before", F.col("__hash"))
+    starts = steps.result().filter(F.col("__before").isNull() | (F.col("__before") != F.col("__hash")))
+    closed = SplitWindow(starts.drop("__before"), [key], "effective_from", ["__hash"], hot=steps.hot).following(
         "effective_to", F.col("effective_from")).result()
     return closed.select(key, *attributes, "effective_from", "effective_to",
                          F.col("effective_to").isNull().alias("is_current"))
@@ -82,12 +82,30 @@ def scd2_rebuild(dimension: DataFrame, late: DataFrame, key: str, attributes: Se
     return kept.unionByName(scd2_history(known.unionByName(late.select(*known.columns)), key, attributes, date))
 
 
-def scd2_lookup(fact: DataFrame, dimension: DataFrame, key: str, date: str, attributes: Sequence[str]) -> DataFrame:
-    """Attributes valid at the fact's date: equality on the key, interval test within it."""
-    versions = dimension.select(F.col(key).alias("__k"), *attributes, "effective_from",
-                                F.coalesce("effective_to", F.lit(OPEN_END)).alias("__to"))
-    hit = ((F.col(key) == F.col("__k")) & (F.col(date) >= F.col("effective_from")) & (F.col(date) < F.col("__to")))
-    return fact.join(versions, hit, "left").select(*fact.columns, *attributes)
+def scd2_lookup(fact: DataFrame, dimension: DataFrame, key: str, date: str, attributes: Sequence[str],
+                max_versions: int = 64) -> DataFrame:
+    """Attributes valid at the fact's date.
+
+    With few versions per key this is an equality join with an interval test inside. Where a key has more than
+    ``max_versions``, facts and versions are merged into one ordered stream per key and every fact takes the last
+    version seen, so the work stays linear and a hot key is split over tasks.
+    """
+    most = dimension.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("m")).first()["m"] or 0
+    end = F.coalesce("effective_to", F.lit(OPEN_END))
+    if most <= max_versions:
+        versions = dimension.select(F.col(key).alias("__k"), *attributes, "effective_from", end.alias("__to"))
+        hit = (F.col(key) == F.col("__k")) & (F.col(date) >= F.col("effective_from")) & (F.col(date) < F.col("__to"))
+        return fact.join(versions, hit, "left").select(*fact.columns, *attributes)
+    version = F.struct(*attributes, end.alias("__to"))
+    starts = dimension.select(F.col(key), F.col("effective_from").alias("__at"), F.lit(0).alias("__kind"),
+                              version.alias("__version"))
+    facts = fact.select(F.col(key), F.col(date).alias("__at"), F.lit(1).alias("__kind"),
+                        F.struct(*fact.columns).alias("__fact"))
+    stream = starts.unionByName(facts, allowMissingColumns=True).withColumn(
+        "__version", F.when(F.col(key).isNotNull(), F.col("__version")))
+    seen = SplitWindow(stream, [key], "__at", ["__kind"]).last_seen("__valid", F.col("__version")).result()
+    valid = F.when(F.col("__at") < F.col("__valid.__to"), F.col("__valid"))
+    return seen.filter("__kind = 1").select("__fact.*", *[valid[a].alias(a) for a in attributes])
 
 
 # -- dimensions --------------------------------------------------------------------------------------------

@@ -1,8 +1,8 @@
 """Three-tier anomaly scan: validation checks, outlier statistics, volatility against history.
 
 Checks are collected first. One aggregate gives the basic statistics of every numeric column, exact quantiles are
-batched over all columns that need them, the bounds become literals, and one more aggregate counts everything that
-lies outside. Findings are a DataFrame with one row per anomaly.
+batched over all columns that need them, the bounds become literals, and one more aggregate counts everything, the
+checks of all tiers included. Findings are a DataFrame with one row per anomaly.
 """
 
 from __future__ import annotations
@@ -117,92 +117,96 @@ class AnomalyScan:
     # -- running -------------------------------------------------------------------------------------------
 
     def findings(self, df: DataFrame, history: DataFrame | None = None) -> DataFrame:
-        """One row per anomaly over all three tiers."""
-        parts = [self._tier_one(df), self._tier_two(df), self._tier_three(df, history)]
+        """One row per anomaly over all three tiers; every count comes from one aggregate over ``df``."""
+        exprs: dict[str, Column] = {"n": F.count(F.lit(1))}
+        rows = [*self._tier_one(df, exprs), *self._tier_two(df, exprs), *self._tier_three(df, history, exprs)]
+        parts = []
+        if rows:
+            one = df.agg(*[e.alias(name) for name, e in exprs.items()])
+            past = self._history_columns(df, history)
+            if past:  # one struct-valued scalar: history is read once, and never joined
+                sums = history.agg(F.struct(*[F.sum(c).alias(c) for c in past]).alias("h"))
+                one = one.withColumn("h", sums.scalar())
+            parts.append(_explode(one, rows))
         parts += [self._rolling(df, *r) for r in self.rolling]
-        found = [p for p in parts if p is not None]
-        if not found:
+        if not parts:
             return df.sparkSession.createDataFrame([], FINDING_SCHEMA)
-        return reduce(DataFrame.unionByName, found)
+        return reduce(DataFrame.unionByName, parts)
 
-    def _tier_one(self, df: DataFrame) -> DataFrame | None:
-        n = F.count(F.lit(1))
-        exprs, rows = [n.alias("n")], []
+    def _history_columns(self, df: DataFrame, history: DataFrame | None) -> list[str]:
+        if history is None:
+            return []
+        return sorted({c for _, c, _, _ in self.shifts if c in df.columns and c in history.columns})
 
-        def counted(mask: Column, worst: Column | None = None) -> tuple[Column, Column | None]:
+    def _tier_one(self, df: DataFrame, exprs: dict[str, Column]) -> list[Column]:
+        rows = []
+
+        def counted(mask: Column) -> Column:
             name = f"c{len(exprs)}"
-            exprs.append(F.count(F.when(mask, F.lit(1))).alias(name))
-            if worst is None:
-                return F.col(name), None
-            exprs.append(worst.alias(f"w{name}"))
-            return F.col(name), F.col(f"w{name}")
+            exprs[name] = F.count(F.when(mask, F.lit(1)))
+            return F.col(name)
 
         for c in self.required:
             if c not in df.columns:
                 rows.append(_finding(f"validation_{c}_missing", 1, "validation", F.lit("critical"), c, F.col("n"),
                                      always=True))
                 continue
-            count, _ = counted(F.col(c).isNull())
+            count = counted(F.col(c).isNull())
             share = F.coalesce(F.try_divide(count, F.col("n")), F.lit(0.0))
             severity = (F.when(share > NULL_SHARE["critical"], "critical").when(share > NULL_SHARE["high"], "high")
                         .otherwise("medium"))
             rows.append(_finding(f"validation_{c}_nulls", 1, "validation", severity, c, count, value=count))
         for c in [p for p in self.positive if p in df.columns]:
-            count, lowest = counted(F.col(c) < 0, F.min(c))
-            rows.append(_finding(f"validation_{c}_negative", 1, "validation", F.lit("high"), c, count, value=lowest))
+            count = counted(F.col(c) < 0)
+            exprs[f"low_{c}"] = F.min(c)
+            rows.append(_finding(f"validation_{c}_negative", 1, "validation", F.lit("high"), c, count,
+                                 value=F.col(f"low_{c}")))
         for c, as_of in [d for d in self.dates if d[0] in df.columns]:
-            count, _ = counted(F.to_date(c) > F.lit(as_of))
-            rows.append(_finding(f"validation_{c}_future", 1, "validation", F.lit("medium"), c, count))
+            rows.append(_finding(f"validation_{c}_future", 1, "validation", F.lit("medium"), c,
+                                 counted(F.to_date(c) > F.lit(as_of))))
         for name, valid in self.rules:
-            count, _ = counted(~(F.expr(valid) if isinstance(valid, str) else valid))
-            rows.append(_finding(f"validation_{name}", 1, "validation", F.lit("medium"), name, count))
-        return _explode(df.agg(*exprs), rows) if rows else None
+            broken = ~(F.expr(valid) if isinstance(valid, str) else valid)
+            rows.append(_finding(f"validation_{name}", 1, "validation", F.lit("medium"), name, counted(broken)))
+        return rows
 
-    def _tier_two(self, df: DataFrame) -> DataFrame | None:
+    def _tier_two(self, df: DataFrame, exprs: dict[str, Column]) -> list[Column]:
         checks = [c for c in self.outliers if c.column in df.columns]
         if not checks:
-            return None
-        bounds = outlier_bounds(df, checks, self.min_samples)
-        exprs, rows = [F.count(F.lit(1)).alias("n")], []
-        for i, check in enumerate(checks):
-            if bounds[i] is None:
+            return []
+        rows = []
+        for i, (check, bound) in enumerate(zip(checks, outlier_bounds(df, checks, self.min_samples))):
+            if bound is None:
                 continue
-            low, high, centre, spread = bounds[i]
+            low, high, centre, spread = bound
             x = F.col(check.column)
             outside = (x < low) | (x > high)
-            exprs.append(F.count(F.when(outside, F.lit(1))).alias(f"c{i}"))
+            exprs[f"outside_{i}"] = F.count(F.when(outside, F.lit(1)))
             score = None
             if spread:
-                exprs.append(F.max(F.when(outside, F.abs(x - centre) / spread)).alias(f"s{i}"))
-                score = F.col(f"s{i}")
+                exprs[f"score_{i}"] = F.max(F.when(outside, F.abs(x - centre) / spread))
+                score = F.col(f"score_{i}")
             rows.append(_finding(f"outlier_{check.method}_{check.column}", 2, "outlier", F.lit(check.severity),
-                                 check.column, F.col(f"c{i}"), low=low, high=high, score=score))
-        return _explode(df.agg(*exprs), rows) if rows else None
-
-    def _tier_three(self, df: DataFrame, history: DataFrame | None) -> DataFrame | None:
-        shifts = [s for s in self.shifts if history is not None and s[1] in df.columns and s[1] in history.columns]
-        if not shifts and not self.volumes:
-            return None
-        columns = sorted({s[1] for s in shifts})
-        one = df.agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(f"now_{c}") for c in columns])
-        if columns:  # one struct-valued scalar: history is read once, and never joined
-            past = history.agg(F.struct(*[F.sum(c).alias(c) for c in columns]).alias("h")).scalar()
-            one = one.withColumn("h", past)
-        rows = []
-        for kind, c, threshold, severity in shifts:
+                                 check.column, F.col(f"outside_{i}"), low=low, high=high, score=score))
+        return rows
+
+    def _tier_three(self, df: DataFrame, history: DataFrame | None, exprs: dict[str, Column]) -> list[Column]:
+        rows, n = [], F.col("n")
+        past = self._history_columns(df, history)
+        for c in past:
+            exprs[f"now_{c}"] = F.sum(c)
+        for kind, c, threshold, severity in [s for s in self.shifts if s[1] in past]:
             now, was = F.col(f"now_{c}"), F.nullif(F.col(f"h.{c}"), F.lit(0.0))
             change = (now - was) / was * 100.0
             hit = change > threshold if kind == "spike" else -change > 100.0 - threshold
             score = change if kind == "spike" else -change
-            rows.append(_finding(f"volatility_{kind}_{c}", 3, "volatility", F.lit(severity), c, F.col("n"),
-                                 value=now, score=score, when=hit))
+            rows.append(_finding(f"volatility_{kind}_{c}", 3, "volatility", F.lit(severity), c, n, value=now,
+                                 score=score, when=hit))
         for low, high, severity in self.volumes:
-            n = F.col("n")
             rows.append(_finding("volatility_volume_low", 3, "missing", F.lit(severity), "_record_count", low - n,
                                  value=n, low=low, high=high, when=n < low))
             rows.append(_finding("volatility_volume_high", 3, "volatility", F.lit(severity), "_record_count", n - high,
                                  value=n, low=low, high=high, when=n > high))
-        return _explode(one, rows)
+        return rows
 
     @staticmethod
     def _rolling(df: DataFrame, column: str, date_column: str, window_size: int, n_std: float,
@@ -230,9 +234,8 @@ def outlier_bounds(df: DataFrame, checks: Sequence[OutlierCheck],
     centres = {c.column: quantiles[c.column][0.5] for c in checks
                if c.method == "mad" and quantiles[c.column][0.5] is not None}
     spreads = {}
-    if centres:  # |x - median| has at most as many distinct values as x
-        away = {c: F.abs(columns[c] - F.lit(m)) for c, m in centres.items()}
-        spreads = exact_quantiles(df, away, {c: [0.5] for c in away}, stats)
+    if centres:
+        spreads = exact_quantiles(df, *_distances(columns, centres, stats))
     out: list[tuple[float, float, float | None, float | None] | None] = []
     for check in checks:
         s, q = stats[check.column], quantiles.get(check.column, {})
@@ -253,6 +256,14 @@ def outlier_bounds(df: DataFrame, checks: Sequence[OutlierCheck],
     return out
 
 
+def _distances(columns: Mapping[str, Column], centres: Mapping[str, float], stats: Mapping[str, dict]) -> tuple:
+    """|x - centre| per column, the median wanted of each, and limits known without another pass."""
+    away = {c: F.abs(columns[c] - F.lit(m)) for c, m in centres.items()}
+    limits = {c: {"n": stats[c]["n"], "min": 0.0,
+                  "max": max(abs(stats[c]["min"] - m), abs(stats[c]["max"] - m))} for c, m in centres.items()}
+    return away, {c: [0.5] for c in away}, limits
+
+
 def flag_rows(df: DataFrame, check: OutlierCheck, min_samples: int = 0) -> DataFrame:
     """Rows outside the bounds of one check; the bounds are literals that reach the scan."""
     bound = outlier_bounds(df, [check], min_samples)[0]
@@ -407,8 +418,7 @@ def column_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     stats = column_stats(df, cols)
     q = exact_quantiles(df, cols, {c: [0.25, 0.5, 0.75] for c in columns}, stats)
     medians = {c: q[c][0.5] for c in columns if q[c][0.5] is not None}
-    mads = exact_quantiles(df, {c: F.abs(F.col(c) - F.lit(m)) for c, m in medians.items()},
-                           {c: [0.5] for c in medians}, stats) if medians else {}
+    mads = exact_quantiles(df, *_distances(cols, medians, stats)) if medians else {}
     rows = []
     for c in columns:
         s = stats[c]

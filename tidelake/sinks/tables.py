@@ -39,18 +39,20 @@ def check_partitions(df: DataFrame, keys: Sequence[str], max_partitions: int = M
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite",
-                codec: str = "snappy", max_partitions: int = MAX_PARTITIONS, max_records_per_file: int = 0,
+                codec: str = "snappy", max_partitions: int | None = MAX_PARTITIONS, max_records_per_file: int = 0,
                 dynamic: bool = False) -> None:
     """Write Parquet, Hive-partitioned by ``partition_by``.
 
     Rows are rebalanced over the partition columns, so that each table partition gets few files, while AQE
     splits a partition that is too large for one task; a plain hash repartition would send a hot one to a
-    single writer. ``dynamic`` overwrites only the partitions present in ``df``.
+    single writer. ``dynamic`` overwrites only the partitions present in ``df``. The partition limit costs one pass
+    over the partition columns; ``max_partitions=None`` skips it where the caller has proven the bound.
     """
     if mode not in WRITE_MODES:
         raise ValueError(f"unknown write mode {mode}")
     if partition_by:
-        check_partitions(df, partition_by, max_partitions)
+        if max_partitions is not None:
+            check_partitions(df, partition_by, max_partitions)
         df = df.hint("rebalance", *partition_by)
     writer = df.write.mode(mode).option("compression", codec)
     if max_records_per_file:
@@ -77,17 +79,17 @@ def layer_path(root: str, layer: str, table: str) -> str:
 
 def bronze_append(df: DataFrame, root: str, table: str, day: dt.date) -> str:
     """Append to Bronze, partitioned by ``extract_date`` (added when absent)."""
-    if "extract_date" not in df.columns:
-        df = df.withColumn("extract_date", F.lit(day))
-    path = layer_path(root, "bronze", table)
-    append_partitions(df, path, ["extract_date"])
+    path, limit = layer_path(root, "bronze", table), MAX_PARTITIONS
+    if "extract_date" not in df.columns:  # one day is one partition
+        df, limit = df.withColumn("extract_date", F.lit(day)), None
+    append_partitions(df, path, ["extract_date"], max_partitions=limit)
     return path
 
 
 def bronze_replace_day(df: DataFrame, root: str, table: str, day: dt.date) -> str:
     """Replace one ``extract_date`` and leave the other days alone; running it again changes nothing."""
     path = layer_path(root, "bronze", table)
-    write_table(df.withColumn("extract_date", F.lit(day)), path, ["extract_date"], dynamic=True)
+    write_table(df.withColumn("extract_date", F.lit(day)), path, ["extract_date"], dynamic=True, max_partitions=None)
     return path
 
 
@@ -203,9 +205,9 @@ def merge_into_table(path: str, new: DataFrame, on: Sequence[str], partition_by:
     else:
         affected = null_safe_join(existing, touched, partition_by, "left_semi")
     merged = merge_upsert(affected, new, on, null_safe)
-    write_table(merged, staged, partition_by)
+    write_table(merged, staged, partition_by, max_partitions=None)
     result = spark.read.schema(existing.schema).parquet(staged)
-    write_table(result, path, partition_by, dynamic=True)
+    write_table(result, path, partition_by, dynamic=True, max_partitions=None)
     left = {tuple(r) for r in result.select(*partition_by).distinct().collect()}
     fs, _ = filesystem(spark, path)
     for gone in {tuple(v) for v in values} - left:  # partitions that a moved key has emptied
