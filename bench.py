@@ -10,7 +10,6 @@ import json
 import os
 import time
 
-from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from queries import all_queries
@@ -19,7 +18,7 @@ from tidelake.operators.cleaning import Cleaner
 from tidelake.quality import rules as R
 from tidelake.quality.anomalies import AnomalyScan
 from tidelake.quality.rules import RuleSet
-from tidelake.session import configure
+from tidelake.session import build_session
 
 
 def filter_select(t: Tables):
@@ -75,11 +74,11 @@ def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     started = time.time()
-    spark = (SparkSession.builder.master(f"local[{cpus}]").appName("tidelake-bench")
-             .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
-             .config("spark.sql.shuffle.partitions", cpus).config("spark.driver.memory", "8g").getOrCreate())
+    spark = build_session("tidelake-bench", f"local[{cpus}]", {
+        "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.sql.shuffle.partitions": cpus,
+        "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
-    t = Tables(configure(spark), folder)
+    t = Tables(spark, folder)
     t.lineitem.count()
     startup = time.time() - started
     registered = all_queries()[0]

@@ -1,12 +1,11 @@
 from pyspark.sql import SparkSession
 
-from tidelake.session import configure
+from tidelake.session import build_session
 
 
 def local_session() -> SparkSession:
-    spark = (SparkSession.builder.master("local[8]").appName("tidelake-tests")
-             .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.sql.shuffle.partitions", "8")
-             .config("spark.driver.memory", "8g")
-             .getOrCreate())
+    spark = build_session("tidelake-tests", "local[8]", {
+        "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.sql.shuffle.partitions": "8",
+        "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
-    return configure(spark)
+    return spark

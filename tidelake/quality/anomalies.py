@@ -8,6 +8,7 @@ checks of all tiers included. Findings are a DataFrame with one row per anomaly.
 from __future__ import annotations
 
 import datetime as dt
+import json
 from dataclasses import dataclass, field
 from functools import reduce
 from statistics import NormalDist
@@ -138,38 +139,38 @@ class AnomalyScan:
             return []
         return sorted({c for _, c, _, _ in self.shifts if c in df.columns and c in history.columns})
 
-    def _tier_one(self, df: DataFrame, exprs: dict[str, Column]) -> list[Column]:
+    def _tier_one(self, df: DataFrame, exprs: dict[str, Column]) -> list[_Finding]:
         rows = []
 
         def counted(mask: Column) -> Column:
             name = f"c{len(exprs)}"
-            exprs[name] = F.count(F.when(mask, F.lit(1)))
+            exprs[name] = F.count_if(mask)
             return F.col(name)
 
         for c in self.required:
             if c not in df.columns:
-                rows.append(_finding(f"validation_{c}_missing", 1, "validation", F.lit("critical"), c, F.col("n"),
+                rows.append(_Finding(f"validation_{c}_missing", 1, "validation", F.lit("critical"), c, F.col("n"),
                                      always=True))
                 continue
             count = counted(F.col(c).isNull())
             share = F.coalesce(F.try_divide(count, F.col("n")), F.lit(0.0))
             severity = (F.when(share > NULL_SHARE["critical"], "critical").when(share > NULL_SHARE["high"], "high")
                         .otherwise("medium"))
-            rows.append(_finding(f"validation_{c}_nulls", 1, "validation", severity, c, count, value=count))
+            rows.append(_Finding(f"validation_{c}_nulls", 1, "validation", severity, c, count, value=count))
         for c in [p for p in self.positive if p in df.columns]:
             count = counted(F.col(c) < 0)
             exprs[f"low_{c}"] = F.min(c)
-            rows.append(_finding(f"validation_{c}_negative", 1, "validation", F.lit("high"), c, count,
+            rows.append(_Finding(f"validation_{c}_negative", 1, "validation", F.lit("high"), c, count,
                                  value=F.col(f"low_{c}")))
         for c, as_of in [d for d in self.dates if d[0] in df.columns]:
-            rows.append(_finding(f"validation_{c}_future", 1, "validation", F.lit("medium"), c,
+            rows.append(_Finding(f"validation_{c}_future", 1, "validation", F.lit("medium"), c,
                                  counted(F.to_date(c) > F.lit(as_of))))
         for name, valid in self.rules:
             broken = ~(F.expr(valid) if isinstance(valid, str) else valid)
-            rows.append(_finding(f"validation_{name}", 1, "validation", F.lit("medium"), name, counted(broken)))
+            rows.append(_Finding(f"validation_{name}", 1, "validation", F.lit("medium"), name, counted(broken)))
         return rows
 
-    def _tier_two(self, df: DataFrame, exprs: dict[str, Column]) -> list[Column]:
+    def _tier_two(self, df: DataFrame, exprs: dict[str, Column]) -> list[_Finding]:
         checks = [c for c in self.outliers if c.column in df.columns]
         if not checks:
             return []
@@ -180,16 +181,16 @@ class AnomalyScan:
             low, high, centre, spread = bound
             x = F.col(check.column)
             outside = (x < low) | (x > high)
-            exprs[f"outside_{i}"] = F.count(F.when(outside, F.lit(1)))
+            exprs[f"outside_{i}"] = F.count_if(outside)
             score = None
             if spread:
                 exprs[f"score_{i}"] = F.max(F.when(outside, F.abs(x - centre) / spread))
                 score = F.col(f"score_{i}")
-            rows.append(_finding(f"outlier_{check.method}_{check.column}", 2, "outlier", F.lit(check.severity),
+            rows.append(_Finding(f"outlier_{check.method}_{check.column}", 2, "outlier", F.lit(check.severity),
                                  check.column, F.col(f"outside_{i}"), low=low, high=high, score=score))
         return rows
 
-    def _tier_three(self, df: DataFrame, history: DataFrame | None, exprs: dict[str, Column]) -> list[Column]:
+    def _tier_three(self, df: DataFrame, history: DataFrame | None, exprs: dict[str, Column]) -> list[_Finding]:
         rows, n = [], F.col("n")
         past = self._history_columns(df, history)
         for c in past:
@@ -199,12 +200,12 @@ class AnomalyScan:
             change = (now - was) / was * 100.0
             hit = change > threshold if kind == "spike" else -change > 100.0 - threshold
             score = change if kind == "spike" else -change
-            rows.append(_finding(f"volatility_{kind}_{c}", 3, "volatility", F.lit(severity), c, n, value=now,
+            rows.append(_Finding(f"volatility_{kind}_{c}", 3, "volatility", F.lit(severity), c, n, value=now,
                                  score=score, when=hit))
         for low, high, severity in self.volumes:
-            rows.append(_finding("volatility_volume_low", 3, "missing", F.lit(severity), "_record_count", low - n,
+            rows.append(_Finding("volatility_volume_low", 3, "missing", F.lit(severity), "_record_count", low - n,
                                  value=n, low=low, high=high, when=n < low))
-            rows.append(_finding("volatility_volume_high", 3, "volatility", F.lit(severity), "_record_count", n - high,
+            rows.append(_Finding("volatility_volume_high", 3, "volatility", F.lit(severity), "_record_count", n - high,
                                  value=n, low=low, high=high, when=n > high))
         return rows
 
@@ -216,7 +217,7 @@ class AnomalyScan:
         one = flagged.agg(F.count(F.when(F.col("is_deviation"), F.lit(1))).alias("c"),
                           F.max(F.when(F.col("is_deviation"), F.abs(F.col("total") - F.col("rolling_mean")) /
                                        F.nullif(F.col("rolling_std"), F.lit(0.0)))).alias("s"))
-        return _explode(one, [_finding(f"volatility_rolling_{column}", 3, "volatility", F.lit(severity), column,
+        return _explode(one, [_Finding(f"volatility_rolling_{column}", 3, "volatility", F.lit(severity), column,
                                        F.col("c"), score=F.col("s"))])
 
 
@@ -272,23 +273,44 @@ def flag_rows(df: DataFrame, check: OutlierCheck, min_samples: int = 0) -> DataF
     return df.filter((F.col(check.column) < bound[0]) | (F.col(check.column) > bound[1]))
 
 
-def _finding(anomaly_id: str, tier: int, kind: str, severity: Column, column: str, affected: Column,
-             value: Column | None = None, low: float | None = None, high: float | None = None,
-             score: Column | None = None, when: Column | None = None, always: bool = False) -> Column:
-    def number(x: Any) -> Column:
-        return (x if isinstance(x, Column) else F.lit(x)).cast("double")
-
-    hit = F.lit(True) if always else F.coalesce(when if when is not None else affected > 0, F.lit(False))
-    return F.when(hit, F.struct(
-        F.lit(anomaly_id).alias("anomaly_id"), F.lit(tier).alias("tier"), F.lit(kind).alias("anomaly_type"),
-        severity.alias("severity"), F.lit(column).alias("column_name"),
-        affected.cast("long").alias("affected_records"), number(value).alias("value"),
-        number(low).alias("lower_bound"), number(high).alias("upper_bound"),
-        number(score).alias("deviation_score")))
-
+@dataclass
+class _Finding:
+    """A check's outcome: fixed texts and bounds, and the columns of the aggregated row it is read from."""
 
-def _explode(one: DataFrame, rows: Sequence[Column]) -> DataFrame:
-    return one.select(F.explode(F.array_compact(F.array(*rows))).alias("f")).select("f.*")
+    anomaly_id: str
+    tier: int
+    kind: str
+    severity: Column
+    column: str
+    affected: Column
+    value: Column | None = None
+    low: float | None = None
+    high: float | None = None
+    score: Column | None = None
+    when: Column | None = None
+    always: bool = False
+
+
+def _explode(one: DataFrame, found: Sequence[_Finding]) -> DataFrame:
+    """One row per check that hit; what is fixed comes from literal arrays indexed by position."""
+    none = F.lit(None).cast("double")
+    cells = []
+    for f in found:
+        hit = F.lit(True) if f.always else (f.when if f.when is not None else f.affected > 0)
+        cells.append(F.struct(hit.alias("hit"), f.affected.cast("long").alias("affected"), f.severity.alias("severity"),
+                              (none if f.value is None else f.value.cast("double")).alias("value"),
+                              (none if f.score is None else f.score.cast("double")).alias("score")))
+    rows = one.select(F.posexplode(F.array(*cells)).alias("pos", "c")).filter("c.hit")
+
+    def fixed(values: Sequence[Any], dtype: str) -> Column:
+        return F.get(F.from_json(F.lit(json.dumps(list(values))), f"array<{dtype}>"), F.col("pos"))
+
+    return rows.select(
+        fixed([f.anomaly_id for f in found], "string").alias("anomaly_id"), fixed([f.tier for f in found], "int").alias("tier"),
+        fixed([f.kind for f in found], "string").alias("anomaly_type"), F.col("c.severity").alias("severity"),
+        fixed([f.column for f in found], "string").alias("column_name"), F.col("c.affected").alias("affected_records"),
+        F.col("c.value").alias("value"), fixed([f.low for f in found], "double").alias("lower_bound"),
+        fixed([f.high for f in found], "double").alias("upper_bound"), F.col("c.score").alias("deviation_score"))
 
 
 # -- reports -----------------------------------------------------------------------------------------------

@@ -111,7 +111,7 @@ def fresh(column: str, as_of: dt.datetime, hours: float = FRESHNESS_HOURS, sever
 
 
 def invalid_mask(rule: Rule, df: DataFrame) -> Column:
-    """True for rows that break a row rule, never NULL.
+    """True for rows that break a row rule; false or NULL for rows that keep it.
 
     NULLs break NOT_NULL and PATTERN and are accepted by RANGE and ALLOWED_VALUES.
     """
@@ -125,16 +125,13 @@ def invalid_mask(rule: Rule, df: DataFrame) -> Column:
         return c.isNull()
     if rule.kind is Kind.RANGE:
         low, high = rule.params.get("min"), rule.params.get("max")
-        outside = F.lit(False)
-        if low is not None:
-            outside = outside | (c < F.lit(low))
-        if high is not None:
-            outside = outside | (c > F.lit(high))
-        return F.coalesce(outside, F.lit(False))
+        if low is not None and high is not None:
+            return ~c.between(low, high)
+        return c < low if low is not None else c > high if high is not None else F.lit(False)
     if rule.kind is Kind.PATTERN:
         return ~F.coalesce(c.cast("string").rlike(rule.params["pattern"]), F.lit(False))
     if rule.kind is Kind.ALLOWED_VALUES:
-        return F.coalesce(~c.isin(rule.params["values"]), F.lit(False))
+        return ~c.isin(rule.params["values"])
     raise ValueError(f"{rule.kind} is not a row rule")
 
 
@@ -186,68 +183,84 @@ class RuleSet:
 
     def results(self, df: DataFrame) -> DataFrame:
         """One row per rule. A rule that cannot be analysed fails with its error; the others still run."""
-        order, frames, shared, broken = {}, [], [], []
-        for position, rule in enumerate(self.rules):
-            order[rule.name] = position
+        shared, single, broken = [], [], []
+        masks, suspects = self._resolve(df)
+        for rule in self.rules:
             try:
+                if rule.name in suspects:
+                    df.select(masks[rule.name])  # raises, and says why
                 if rule.kind is Kind.UNIQUE:
-                    frames.append(self._unique(rule, df))
+                    single.append((rule, self._unique(rule, df)))
                 elif rule.kind is Kind.REFERENTIAL:
-                    frames.append(self._referential(rule, df))
+                    single.append((rule, self._referential(rule, df)))
                 else:
-                    shared.append((rule, *self._aggregates(rule, df)))
+                    shared.append((rule, *self._aggregates(rule, df, masks.get(rule.name))))
             except (PySparkException, ValueError, KeyError) as error:
                 broken.append((rule, str(error).splitlines()[0]))
-        if shared or broken:
-            frames.insert(0, self._shared(df, shared, broken))
+        frames = [self._shared(df, shared, broken)] if shared or broken else []
+        frames += [_rows([rule], one.select("n", F.lit(0).alias("pos"), "i", F.lit(None).cast("boolean").alias("p")))
+                   for rule, one in single]
         if not frames:
             return df.sparkSession.createDataFrame([], RESULT_SCHEMA)
         return reduce(DataFrame.unionByName, frames)
 
+    def _resolve(self, df: DataFrame) -> tuple[dict[str, Column], set[str]]:
+        """Masks of the row rules, and the names to look at one by one: none when all can be analysed together."""
+        masks = {}
+        for rule in self.rules:
+            if rule.kind in ROW_KINDS:
+                try:
+                    masks[rule.name] = invalid_mask(rule, df)
+                except (PySparkException, ValueError, KeyError):
+                    continue
+        try:
+            df.select(*masks.values())
+            return masks, set()
+        except PySparkException:
+            return masks, set(masks)
+
     @staticmethod
-    def _aggregates(rule: Rule, df: DataFrame) -> tuple[Column, Column | None, Column | None]:
-        """(invalid rows, pass test, message) as aggregate expressions."""
+    def _aggregates(rule: Rule, df: DataFrame, mask: Column | None) -> tuple[Column, Column | None]:
+        """(invalid rows, pass test where it is not simply "none invalid") as aggregate expressions."""
         n = F.count(F.lit(1))
         if rule.kind is Kind.COMPLETENESS:
             filled = reduce(lambda a, b: a + b, [F.count(F.col(c)) for c in df.columns])
             ratio = F.coalesce(F.try_divide(filled, n * len(df.columns)), F.lit(0.0))
-            return n - F.floor(ratio * n), ratio >= rule.params["threshold"], None
+            return n - F.floor(ratio * n), ratio >= rule.params["threshold"]
         if rule.kind is Kind.FRESHNESS:
+            df.select(rule.columns[0])
             limit = rule.params["as_of"] - dt.timedelta(hours=rule.params["hours"])
             newest = F.max(F.col(rule.columns[0]).cast("timestamp_ntz"))
             stale = F.coalesce(newest < F.lit(str(limit)).cast("timestamp_ntz"), F.lit(True))
-            df.select(rule.columns[0])
-            return F.when(stale, n).otherwise(0), ~stale, None
-        mask = invalid_mask(rule, df)
-        df.select(mask)  # analysis errors surface here, rule by rule
-        return F.count(F.when(mask, F.lit(1))), None, None
-
-    def _shared(self, df: DataFrame, rules: Sequence[tuple], broken: Sequence[tuple]) -> DataFrame:
-        exprs = [F.count(F.lit(1)).alias("n")]
-        for i, (_, invalid, test, _) in enumerate(rules):
+            return F.when(stale, n).otherwise(0), ~stale
+        return F.count_if(mask if mask is not None else invalid_mask(rule, df)), None
+
+    @staticmethod
+    def _shared(df: DataFrame, rules: Sequence[tuple], broken: Sequence[tuple]) -> DataFrame:
+        exprs, unknown = [F.count(F.lit(1)).alias("n")], "CAST(NULL AS BOOLEAN)"
+        for i, (_, invalid, test) in enumerate(rules):
             exprs.append(invalid.cast("long").alias(f"i{i}"))
             if test is not None:
                 exprs.append(test.alias(f"p{i}"))
         one = df.agg(*exprs)
-        rows = [_row(rule, F.col("n"), F.col(f"i{i}"), F.col(f"p{i}") if test is not None else None)
-                for i, (rule, _, test, _) in enumerate(rules)]
-        rows += [_row(rule, F.col("n"), F.col("n"), F.lit(False), message) for rule, message in broken]
-        return one.select(F.inline(F.array(*rows)))
+        cells = [f"struct(i{i} AS i, {unknown if test is None else f'p{i}'} AS p)" for i, (_, _, test) in enumerate(rules)]
+        cells += ["struct(n AS i, false AS p)" for _ in broken]
+        flat = one.select("n", F.expr(f"posexplode(array({', '.join(cells)}))").alias("pos", "c")).select("n", "pos", "c.i", "c.p")
+        return _rows([r[0] for r in rules] + [b[0] for b in broken], flat, {len(rules) + k: m for k, (_, m) in enumerate(broken)})
 
     @staticmethod
     def _unique(rule: Rule, df: DataFrame) -> DataFrame:
         counts = df.groupBy(*rule.columns).agg(F.count(F.lit(1)).alias("c"))
         zero = F.lit(0).cast("long")
-        one = counts.agg(F.coalesce(F.sum("c"), zero).alias("n"), F.coalesce(F.sum(F.col("c") - 1), zero).alias("i"))
-        return one.select(F.inline(F.array(_row(rule, F.col("n"), F.col("i")))))
+        return counts.agg(F.coalesce(F.sum("c"), zero).alias("n"), F.coalesce(F.sum(F.col("c") - 1), zero).alias("i"))
 
     def _referential(self, rule: Rule, df: DataFrame) -> DataFrame:
         name = rule.params["reference"]
         if name not in self.references:
             raise ValueError(f"unknown reference {name}")
         reference, column = self.references[name]
-        one = orphan_counts(df, rule.columns[0], reference, column)
-        return one.select(F.inline(F.array(_row(rule, F.col("total"), F.col("orphans")))))
+        return orphan_counts(df, rule.columns[0], reference, column).select(
+            F.col("total").alias("n"), F.col("orphans").alias("i"))
 
     def samples(self, df: DataFrame, size: int = SAMPLE_SIZE) -> DataFrame:
         """Lowest distinct offending values of the single-column row rules: ``rule_name, sample_invalid``."""
@@ -270,16 +283,22 @@ class RuleSet:
         return quarantine_split(df, self.masks(df))
 
 
-def _row(rule: Rule, n: Column, invalid: Column, passed: Column | None = None, message: str | None = None) -> Column:
-    share = F.coalesce(F.try_divide(invalid * 100.0, n), F.lit(100.0 if message else 0.0))
-    text = F.lit(message) if message else F.concat(invalid.cast("string"), F.lit(f" of "), n.cast("string"),
-                                                   F.lit(" rows invalid"))
-    return F.struct(
-        F.lit(rule.name).alias("rule_name"), F.lit(rule.kind.value).alias("rule_type"),
-        F.lit(rule.label).alias("column_name"), F.lit(rule.severity.value).alias("severity"),
-        (passed if passed is not None else invalid == 0).alias("passed"), n.alias("total_records"),
-        (n - invalid).alias("valid_records"), invalid.alias("invalid_records"),
-        share.alias("invalid_pct"), text.alias("message"))
+def _rows(rules: Sequence[Rule], flat: DataFrame, messages: Mapping[int, str] | None = None) -> DataFrame:
+    """Result rows from ``(n, pos, i, p)``: the rule texts are constant arrays indexed by position."""
+    messages = messages or {}
+
+    def text(values: Sequence[str | None]) -> Column:
+        return F.get(F.from_json(F.lit(json.dumps(list(values))), "array<string>"), F.col("pos"))
+
+    n, invalid = F.col("n"), F.col("i")
+    error = text([messages.get(k) for k in range(len(rules))])
+    share = F.coalesce(F.try_divide(invalid * 100.0, n), F.when(error.isNull(), 0.0).otherwise(100.0))
+    return flat.select(
+        text([r.name for r in rules]).alias("rule_name"), text([r.kind.value for r in rules]).alias("rule_type"),
+        text([r.label for r in rules]).alias("column_name"), text([r.severity.value for r in rules]).alias("severity"),
+        F.coalesce(F.col("p"), invalid == 0).alias("passed"), n.alias("total_records"),
+        (n - invalid).alias("valid_records"), invalid.alias("invalid_records"), share.alias("invalid_pct"),
+        F.coalesce(error, F.format_string("%d of %d rows invalid", invalid, n)).alias("message"))
 
 
 # -- reports -----------------------------------------------------------------------------------------------
