@@ -9,7 +9,7 @@ from tidelake.operators import relate, series
 from tidelake.operators.cleaning import deduplicate, fill_nulls
 from tidelake.quality.anomalies import column_profile as profile
 
-REVENUE = F.col("l_extendedprice") * (1 - F.col("l_discount"))
+REVENUE = "l_extendedprice * (1 - l_discount)"
 
 
 # -- the flagship: scan, clean, dedupe, join, aggregate, top-k ---------------------------------------------
@@ -65,7 +65,7 @@ def complex_three_joins(t):
               .join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select("s_suppkey", "r_name"))
     return (t.lineitem.join(t.part.select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
             .join(places, F.col("l_suppkey") == F.col("s_suppkey")).groupBy("r_name", "p_type")
-            .agg(F.round(F.sum(REVENUE), 4).alias("revenue"), F.sum("l_quantity").alias("quantity"),
+            .agg(F.round(F.sum(F.expr(REVENUE)), 4).alias("revenue"), F.sum("l_quantity").alias("quantity"),
                  F.round(F.avg("l_discount"), 6).alias("avg_discount"), F.max("l_extendedprice").alias("top_price"),
                  F.count(F.lit(1)).alias("sales")))
 
@@ -151,7 +151,7 @@ SELECT CAST(l_shipdate AS DATE) AS day, p_type, round(sum(l_extendedprice * (1 -
 def daily_category_sales(t):
     sales = t.lineitem.join(t.part.select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
     return (sales.groupBy(F.to_date("l_shipdate").alias("day"), "p_type")
-            .agg(F.round(F.sum(REVENUE), 4).alias("revenue"), F.count(F.lit(1)).alias("sales"))
+            .agg(F.round(F.sum(F.expr(REVENUE)), 4).alias("revenue"), F.count(F.lit(1)).alias("sales"))
             .orderBy("day", "p_type"))
 
 

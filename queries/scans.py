@@ -5,6 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from queries.registry import query
+from tidelake.operators.relate import null_profile
 from tidelake.plans.dimensional import dim_location
 from tidelake.session import scratch
 from tidelake.sinks.tables import export, write_table
@@ -73,9 +74,16 @@ def next_high_watermark(t):
     return t.events.groupBy("event_type").agg(F.max("ts").alias("high_mark"))
 
 
-@query("table_schema")
+TYPES = [("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"), ("o_totalprice", "double"),
+         ("o_orderdate", "timestamp_ntz"), ("o_orderpriority", "string")]
+
+
+@query("table_schema", " UNION ALL ".join(
+    f"SELECT CAST({i} AS INTEGER) AS position, '{c}' AS column_name, '{d}' AS data_type, NULL::INTEGER AS numeric_precision, "
+    f"true AS is_nullable, count(*) - count({c}) AS null_count FROM orders" for i, (c, d) in enumerate(TYPES, 1)))
 def table_schema(t):
-    return files.table_schema(t.lineitem)
+    """Declared schema next to the nulls found in the rows."""
+    return files.table_schema(t.orders).join(null_profile(t.orders).select("column_name", "null_count"), "column_name")
 
 
 @query("table_row_counts", " UNION ALL ".join(
@@ -190,9 +198,11 @@ def table_stats(t):
     return lake.table_stats()
 
 
-@query("table_info")
+@query("table_info", " UNION ALL ".join(
+    f"SELECT '{c}' AS col_name, '{d}' AS data_type, count(*) AS row_count FROM orders" for c, d in TYPES))
 def table_info(t):
-    return Lakehouse(t.spark).register_frame("info_orders", t.orders).table_info("info_orders")
+    info = Lakehouse(t.spark).register_frame("info_orders", t.orders).table_info("info_orders")
+    return info.select("col_name", "data_type", t.orders.agg(F.count(F.lit(1))).scalar().alias("row_count"))
 
 
 @query("sql_parameterised", """

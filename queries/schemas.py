@@ -30,9 +30,19 @@ def raw(t):
                          F.col("p_name").alias("name"), F.col("p_retailprice").alias("price"), F.col("p_type").alias("undeclared"))
 
 
-@query("schema_missing")
+def affected(report, df):
+    """A schema report with the number of rows it concerns."""
+    return report.withColumn("affected_rows", df.agg(F.count(F.lit(1))).scalar())
+
+
+@query("schema_missing", """
+WITH n AS (SELECT count(*) AS n FROM part)
+SELECT 'sku_code' AS column_name, 'string' AS data_type, 'error' AS outcome, n AS affected_rows FROM n UNION ALL SELECT 'size', 'bigint', 'filled', n FROM n
+UNION ALL SELECT 'name', 'string', 'filled', n FROM n UNION ALL SELECT 'price', 'double', 'filled', n FROM n
+UNION ALL SELECT 'unit_of_measure', 'string', 'filled', n FROM n""")
 def schema_missing(t):
-    return S.missing_columns(t.part.withColumnRenamed("p_brand", "brand"), SPEC)
+    df = t.part.withColumnRenamed("p_brand", "brand")
+    return affected(S.missing_columns(df, SPEC), df)
 
 
 @query("schema_defaults", "SELECT p_partkey, p_name AS name, 'EA' AS unit_of_measure, NULL::BIGINT AS size, NULL::DOUBLE AS price, NULL::VARCHAR AS brand FROM part")
@@ -58,14 +68,27 @@ def schema_violations(t):
     return S.violations(raw(t), SPEC)
 
 
-@query("schema_validate")
+@query("schema_validate", RAW_SQL + """
+SELECT 'sku_code' AS column_name, 'string' AS expected, 'string' AS found, true AS matches, 0::BIGINT AS cast_failures
+UNION ALL SELECT 'brand', 'string', 'string', true, 0 UNION ALL SELECT 'size', 'bigint', 'string', false,
+  (SELECT count(*) FROM raw WHERE size IS NOT NULL AND TRY_CAST(size AS BIGINT) IS NULL)
+UNION ALL SELECT 'name', 'string', 'string', true, 0 UNION ALL SELECT 'price', 'double', 'double', true, 0
+UNION ALL SELECT 'unit_of_measure', 'string', NULL, NULL, 0""")
 def schema_validate(t):
-    return S.compare(raw(t), SPEC)
+    """Declared against found types, with the values a cast would lose."""
+    df = raw(t)
+    lost = S.violations(df, SPEC).filter("constraint = 'type'").select("column_name", F.col("violation_count").alias("n"))
+    return S.compare(df, SPEC).join(lost, "column_name", "left").withColumn(
+        "cast_failures", F.coalesce("n", F.lit(0).cast("long"))).drop("n")
 
 
-@query("schema_drift")
+@query("schema_drift", """
+WITH n AS (SELECT count(*) AS n FROM part)
+SELECT 'p_brand' AS column_name, 'dropped' AS change, 'string' AS old_type, NULL AS new_type, n AS affected_rows FROM n
+UNION ALL SELECT 'p_size', 'retyped', 'int', 'string', n FROM n UNION ALL SELECT 'brand', 'added', NULL, 'string', n FROM n""")
 def schema_drift(t):
-    return S.drift(t.part.schema, raw(t).withColumnRenamed("name", "p_name").withColumn("p_size", F.lit("x")))
+    df = t.part.withColumnRenamed("p_brand", "brand").withColumn("p_size", F.col("p_size").cast("string"))
+    return affected(S.drift(t.part.schema, df), df)
 
 
 @query("schema_adapt", "SELECT p_partkey, NULL::VARCHAR AS p_name, p_brand, p_type, CAST(p_size AS INTEGER) AS p_size, p_retailprice, 'new' AS origin FROM part")

@@ -17,7 +17,7 @@ from typing import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelake.operators.split_window import SplitWindow
+from tidelake.operators.split_window import SplitWindow, null_safe_join
 
 MAX_DISTINCT = 500_000
 BINS = 4096
@@ -162,7 +162,7 @@ def grouped_quantile(df: DataFrame, keys: Sequence[str], value: Column, probs: M
             *[F.percentile("__v", F.lit(float(p)), F.col("__n")).alias(name) for name, p in probs.items()])
     sizes = counted.groupBy(*keys).agg(F.sum("__n").alias("__size"))
     placed = SplitWindow(counted, keys, "__v").total("__upto", F.col("__n")).result()
-    rows = placed.join(sizes, list(keys))
+    rows = null_safe_join(placed, sizes, list(keys), "inner")
     picks = []
     for name, p in probs.items():
         at = F.lit(float(p)) * (F.col("__size") - 1)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tidelake.operators.cleaning import deduplicate, drop_nulls, fill_nulls
 from tidelake.operators.quantiles import grouped_quantile
+from tidelake.operators.split_window import null_safe_join
 from tidelake.quality.rules import RuleSet
 from tidelake.quality.schema import TableSpec, enforce, require_columns
 from tidelake.sinks.tables import bronze_append, bronze_replace_day, layer_path, write_table
@@ -149,7 +150,7 @@ def run_reliability(log: DataFrame, keys: Sequence[str], failed: Column, duratio
                                     F.count(F.when(failed, F.lit(1))).alias("failures"),
                                     F.avg(duration).alias("avg_duration"))
     p95 = grouped_quantile(log, keys, F.col(duration), {"p95_duration": 0.95})
-    return counts.join(p95, list(keys), "left").select(
+    return null_safe_join(counts, p95, list(keys), "left").select(
         *keys, "runs", (F.col("runs") - F.col("failures")).alias("successes"), "failures",
         (F.lit(100.0) * (F.col("runs") - F.col("failures")) / F.col("runs")).alias("success_rate"),
         "avg_duration", "p95_duration")

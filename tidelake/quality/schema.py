@@ -160,10 +160,12 @@ def violations(df: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def compare(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """One row per declared column: expected and found type, and whether they agree."""
+    """One row per declared column: expected and found type, and whether they agree (NULL when absent)."""
     found = dict(df.dtypes)
-    rows = [(c.name, T._parse_datatype_string(c.dtype).simpleString(), found.get(c.name),
-             found.get(c.name) == T._parse_datatype_string(c.dtype).simpleString()) for c in spec.columns]
+    rows = []
+    for c in spec.columns:
+        expected, actual = T._parse_datatype_string(c.dtype).simpleString(), found.get(c.name)
+        rows.append((c.name, expected, actual, None if actual is None else actual == expected))
     return df.sparkSession.createDataFrame(rows, "column_name string, expected string, found string, matches boolean")
 
 
