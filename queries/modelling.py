@@ -127,6 +127,11 @@ def _snapshots(t):
 SNAP_SQL = SNAP_SQL.replace("avg(l_discount)", "round(avg(l_discount), 9)")
 
 
+def _stored_dimension(t):
+    """The dimension as a table, as later steps would find it."""
+    return materialise(D.scd2_history(_snapshots(t), "sku", ["price_band", "pack"], "day"), "dim-product")
+
+
 @query("scd2_history", SNAP_SQL + "SELECT *, effective_to IS NULL AS is_current FROM hist")
 def scd2_history(t):
     return D.scd2_history(_snapshots(t), "sku", ["price_band", "pack"], "day")
@@ -139,7 +144,7 @@ SELECT sku, price_band, pack, effective_from, CASE WHEN nb IS NOT NULL AND (nb <
 UNION ALL SELECT sku, nb, np, DATE '2002-01-01', NULL, true FROM j WHERE effective_to IS NULL AND nb IS NOT NULL AND (nb <> price_band OR np <> pack)
 UNION ALL SELECT sku, price_band, pack, DATE '2002-01-01', NULL, true FROM snap2 WHERE sku NOT IN (SELECT sku FROM hist)""")
 def scd2_apply(t):
-    dimension = D.scd2_history(_snapshots(t), "sku", ["price_band", "pack"], "day")
+    dimension = _stored_dimension(t)
     today = t.part.select(F.col("p_partkey").alias("sku"), F.lit("promo").alias("price_band"),
                           F.when(F.col("p_size") > 25, "bulk").otherwise("unit").alias("pack"))
     return D.scd2_apply(dimension, today, "sku", ["price_band", "pack"], F.lit(dt.date(2002, 1, 1)))
@@ -158,7 +163,7 @@ def scd2_late_changes(t):
 SELECT l_orderkey, l_linenumber, l_partkey, price_band, pack FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 LEFT JOIN hist ON l_partkey = sku AND CAST(o_orderdate AS DATE) >= effective_from AND CAST(o_orderdate AS DATE) < coalesce(effective_to, DATE '9999-12-31')""")
 def scd2_lookup(t):
-    dimension = D.scd2_history(_snapshots(t), "sku", ["price_band", "pack"], "day").withColumnRenamed("sku", "l_partkey")
+    dimension = _stored_dimension(t).withColumnRenamed("sku", "l_partkey")
     fact = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         "l_orderkey", "l_linenumber", "l_partkey", F.to_date("o_orderdate").alias("day"))
     return D.scd2_lookup(fact, dimension, "l_partkey", "day", ["price_band", "pack"]).drop("day")

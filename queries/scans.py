@@ -52,14 +52,16 @@ def scan_by_suffix(t):
     return parts[0].union(parts[1]).union(parts[2]).union(parts[3])
 
 
-@query("latest_landed_file", "SELECT count(*) AS row_count FROM orders WHERE o_orderstatus = 'P'")
+@query("latest_landed_file", "SELECT 'P' AS delivery, count(*) AS row_count FROM orders WHERE o_orderstatus = 'P'")
 def latest_landed_file(t):
-    """Three drops, one file each; the newest complete one is found by listing and then read."""
+    """Three deliveries land one after the other; the newest complete file tells which of them to read."""
     folder = scratch(t.spark, "drop")
     for status in ("F", "O", "P"):
-        t.orders.filter(F.col("o_orderstatus") == status).coalesce(1).write.mode("append").parquet(folder)
+        t.orders.filter(F.col("o_orderstatus") == status).write.parquet(f"{folder}/{status}")
     newest = files.latest_landed_file(t.spark, folder, "*.parquet").first()["path"]
-    return files.scan_parquet(t.spark, newest).agg(F.count(F.lit(1)).alias("row_count"))
+    delivery = newest.rsplit("/", 2)[-2]
+    return files.scan_parquet(t.spark, f"{folder}/{delivery}").agg(
+        F.lit(delivery).alias("delivery"), F.count(F.lit(1)).alias("row_count"))
 
 
 @query("incremental_scan", """

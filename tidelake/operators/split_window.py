@@ -8,7 +8,7 @@ table is thus spread over as many tasks as it has blocks, and a table without ke
 shares) needs no single-partition window.
 
 At most ``MAX_HOT`` keys are split, the largest ones: any other key then holds less than 1 / MAX_HOT of the table.
-That bounds what is broadcast to MAX_HOT times the number of blocks, whatever the table size.
+Keys times blocks is held below about ``MAX_CARRIED``, which bounds what is broadcast whatever the table size.
 
 Block borders are literals taken from one approximate-quantile aggregate, so a recomputed task puts each row into the
 same block. The borders need not be exact: they only balance the work.
@@ -29,6 +29,7 @@ from tidelake.session import parallelism
 BLOCK = "__block"
 MAX_CUTS = 128
 MAX_HOT = 1000
+MAX_CARRIED = 200_000
 HOT_ROWS = 1_000_000
 
 
@@ -131,7 +132,9 @@ class SplitWindow:
                 self.hot = _hot_keys(df, self.keys, hot_rows)
             self.split, is_hot = bool(self.hot), F.xxhash64(*self.keys).isin(list(self.hot))
         if self.split:
-            block = block_column(df.filter(is_hot), self.order, blocks)
+            wanted = blocks or max(8, parallelism(df.sparkSession))
+            wanted = min(wanted, max(8, MAX_CARRIED // max(1, len(self.hot or []))))
+            block = block_column(df.filter(is_hot), self.order, wanted)
             df = df.withColumn(BLOCK, F.when(is_hot, block).otherwise(F.lit(-2)))
         self.df = df
         self.groups = [*self.keys, BLOCK] if self.split else self.keys

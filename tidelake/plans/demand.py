@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelake.operators.series import cumulative_share
+from tidelake.session import materialise
 
 # Cuts of the demand patterns, ABC/XYZ classes, and normal quantiles of service levels.
 ADI_CUT = 1.32
@@ -51,7 +52,7 @@ def as_series(grid: DataFrame, keys: Sequence[str], demand: str, output: str = "
 
 def ses(series: Column, alpha: float = 0.3) -> Column:
     """Simple exponential smoothing, started at the first value."""
-    return F.aggregate(F.slice(series, 2, 1_000_000), F.element_at(series, 1),
+    return F.aggregate(F.slice(series, F.lit(2), F.size(series)), F.element_at(series, 1),
                        lambda level, x: alpha * x + (1 - alpha) * level)
 
 
@@ -109,7 +110,7 @@ def holt_winters(series: Column, alpha: float = 0.2, beta: float = 0.05, gamma:
         queue = F.concat(F.slice(st["s"], 2, season - 1), F.array(term))
         return F.struct(level.alias("l"), trend.alias("b"), queue.alias("s"))
 
-    rest = F.slice(series, season + 1, 1_000_000)
+    rest = F.slice(series, F.lit(season + 1), F.size(series))
     forecast = F.aggregate(rest, start, step, lambda st: st["l"] + st["b"] + F.element_at(st["s"], 1))
     return F.when(F.size(series) >= 2 * season, forecast)
 
@@ -169,7 +170,7 @@ def forecast_interval(series: DataFrame, keys: Sequence[str], horizon: int = 30,
         e = x - s["l"]
         return F.struct((s["l"] + alpha * e).alias("l"), (s["sq"] + e * e).alias("sq"), (s["n"] + 1).alias("n"))
 
-    fitted = series.select(*keys, F.aggregate(F.slice("series", 2, 1_000_000), start, step).alias("s"))
+    fitted = series.select(*keys, F.aggregate(F.slice("series", F.lit(2), F.size("series")), start, step).alias("s"))
     sigma = F.sqrt(F.col("s.sq") / F.nullif(F.col("s.n"), F.lit(0)))
     days = fitted.select(*keys, F.col("s.l").alias("forecast"), sigma.alias("sigma"),
                          F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("step"))
@@ -191,12 +192,15 @@ def lag_features(grid: DataFrame, keys: Sequence[str], demand: str, lags: Sequen
 
 def tree_forecast(features: DataFrame, keys: Sequence[str], split: Column, kind: str = "random_forest",
                   seed: int = 7) -> DataFrame:
-    """One global tree model over all series, trained before ``split`` and scored on the rest."""
+    """One global tree model over all series, trained before ``split`` and scored on the rest.
+
+    Training passes over the features once per tree level, so they are written to the shared folder first.
+    """
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 
     inputs = [c for c in features.columns if c not in (*keys, "day", "label")]
-    rows = VectorAssembler(inputCols=inputs, outputCol="features").transform(features)
+    rows = VectorAssembler(inputCols=inputs, outputCol="features").transform(materialise(features, "features"))
     if kind == "random_forest":
         model = RandomForestRegressor(numTrees=20, maxDepth=5, seed=seed)
     elif kind == "gbt":
