@@ -146,3 +146,29 @@ def test_landed_file_with_missing_column(spark, tmp_path):
     spark.range(3).coalesce(1).write.parquet(str(tmp_path / "in"))
     out = flows.landed_file_checks(spark, str(tmp_path / "in"), "*.parquet", ["id", "absent"], (1, 2)).first()
     assert (out["row_count"], out["row_count_ok"], out["columns_ok"], out["accepted"]) == (3, False, False, False)
+
+
+def test_unreadable_files_are_listed(spark, tmp_path):
+    from tidelake.quality.schema import unreadable_files
+    spark.range(5).coalesce(1).write.parquet(str(tmp_path / "in"))
+    (tmp_path / "in" / "zz-broken.parquet").write_bytes(b"not parquet at all")
+    assert [r["file_name"] for r in unreadable_files(spark, str(tmp_path / "in")).collect()] == ["zz-broken.parquet"]
+
+
+def test_run_log_grows(spark, tmp_path):
+    flow = flows.SilverTransform("t", fill={"v": 0}, dedupe_on=["k"])
+    df = spark.createDataFrame([(1, None), (1, 2), (2, 3)], "k int, v int")
+    for _ in range(2):
+        path = flows.append_run_log(flow.run(df, str(tmp_path)), str(tmp_path))
+    log = spark.read.parquet(path)
+    assert log.count() == 2 and {(r["records_in"], r["records_out"], r["records_filtered"]) for r in log.collect()} == {(3, 2, 1)}
+
+
+def test_manifest_and_expiry(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.createDataFrame([(1, dt.date(2024, 1, 1)), (2, dt.date(2024, 1, 20))], "k int, day date")
+    tables.write_table(df, path, ["day"])
+    listed = tables.file_manifest(spark, path).collect()
+    assert len(listed) == 2 and all(len(r["md5"]) == 32 and r["size_bytes"] > 0 for r in listed)
+    assert tables.drop_expired_partitions(spark, path, "day", dt.date(2024, 1, 25), 10) == ["day=2024-01-01"]
+    assert spark.read.parquet(path).count() == 1

@@ -110,6 +110,13 @@ def run_metadata(source: DataFrame, target: DataFrame, source_name: str, target_
                              F.col("records_in") - F.col("records_out") - F.col("records_rejected"))
 
 
+def append_run_log(rows: DataFrame, root: str) -> str:
+    """Add run metadata rows to the run log, partitioned by layer; the log feeds :func:`run_reliability`."""
+    path = layer_path(root, "silver", "_run_log")
+    write_table(rows.withColumn("logged_at", F.current_timestamp()), path, ["layer"], mode="append", max_partitions=None)
+    return path
+
+
 def run_configured(spark: SparkSession, config: Mapping[str, Any] | str, root: str) -> DataFrame:
     """Run a flow described by a mapping or JSON text and return the written table.
 
