@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import os
 import uuid
 from typing import Mapping
 
@@ -48,10 +48,20 @@ def build_session(app: str = "tidelake", master: str | None = None, conf: Mappin
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a local one is made only where it is unset."""
+    """The shared folder named by ``spark.checkpoint.dir``.
+
+    Where it is unset, a folder below the home directory of Hadoop's default file system is taken, which all machines
+    of a cluster share. A default file system that is local serves a local master only.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="tidelake-")
+        fs = spark._jvm.org.apache.hadoop.fs.FileSystem.get(spark._jsc.hadoopConfiguration())
+        if fs.getScheme() != "file":
+            root = f"{fs.getHomeDirectory().toString()}/tidelake-scratch"
+        elif spark.sparkContext.master.startswith("local") and "cluster" not in spark.sparkContext.master:
+            root = f"/tmp/tidelake-scratch-{os.getuid()}"
+        else:
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
 
