@@ -7,7 +7,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelake.llm import quality_rules
+from tidelake.llm import line_dedup, quality_rules
 from tidelake.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,3 +37,22 @@ def op8_quality_rules(table):
     return docs.select("doc_id", verdict("text").alias("v")).select(
         "doc_id", *[f"v.{c}" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                                        "kept", "score")])
+
+
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+@query(f"""
+WITH lines AS (
+    SELECT doc_id, r, i, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                                         '{UPPER}', '{LOWER}') AS k
+    FROM (SELECT doc_id, r, unnest(ls) AS line, unnest(range(len(ls))) AS i
+          FROM (SELECT doc_id, row_number() OVER () AS r, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents))),
+held AS (SELECT k, min(doc_id) AS keeper FROM lines WHERE length(k) >= 10 GROUP BY k HAVING count(DISTINCT doc_id) >= 2)
+SELECT l.doc_id, count(*) AS n_lines, count(*) FILTER (keeper <> l.doc_id) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (keeper IS NULL OR keeper = l.doc_id), '')) AS kept_sha256
+FROM lines l LEFT JOIN held h ON l.k = h.k GROUP BY r, l.doc_id""")
+def op3_line_dedup(table):
+    """Every document without the lines that an earlier one holds."""
+    return line_dedup.dedup_lines(table("documents")).select(
+        "row.doc_id", "lines.n_lines", "lines.n_dropped", F.sha2("lines.kept", 256).alias("kept_sha256"))
