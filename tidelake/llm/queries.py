@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from typing import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelake.llm import line_dedup, quality_rules
-from tidelake.session import configure
+from tidelake.llm import line_dedup, packing, quality_rules, token_cache
+from tidelake.session import configure, scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -56,3 +57,17 @@ def op3_line_dedup(table):
     """Every document without the lines that an earlier one holds."""
     return line_dedup.dedup_lines(table("documents")).select(
         "row.doc_id", "lines.n_lines", "lines.n_dropped", F.sha2("lines.kept", 256).alias("kept_sha256"))
+
+
+@query()
+def op9_harmonic_packing(table):
+    """Every document in sequences of at most 1024 tokens."""
+    return packing.pack(table("documents"), packing.byte_bpe(public_tokenizers.path("byte_bpe_50k.json")))
+
+
+@query()
+def op10_token_counts(table):
+    """Tokens of every document. The cache starts empty here, so that every run does the whole work."""
+    docs, model = table("documents"), public_tokenizers.path("piece_bpe_32k.model")
+    return token_cache.count_tokens(docs, token_cache.counter_of(model), token_cache.file_version(model),
+                                    scratch(docs.sparkSession, "token-cache"))
