@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelake.llm import line_dedup, packing, quality_rules, token_cache
+from tidelake.llm import line_dedup, mixing, packing, quality_rules, token_cache
 from tidelake.session import configure, scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +71,10 @@ def op10_token_counts(table):
     docs, model = table("documents"), public_tokenizers.path("piece_bpe_32k.model")
     return token_cache.count_tokens(docs, token_cache.counter_of(model), token_cache.file_version(model),
                                     scratch(docs.sparkSession, "token-cache"))
+
+
+@query()
+def op1_mix(table):
+    """All documents mixed to 150 percent of their words, sources weighing 3, 1, 2 in turn."""
+    return mixing.mix(table("documents")).select(
+        "row.doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
