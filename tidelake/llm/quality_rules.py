@@ -28,7 +28,7 @@ BITS = 16
 #: The trusted counts are drawn towards the raw ones as if this many more n-grams had been seen.
 PRIOR = 4 << BITS
 MAX_TRUSTED = 50_000
-DEVIATIONS = 4.0
+DEVIATIONS = 3.0
 HELD_OUT = 5
 MIN_WORDS = 50
 MAX_REPEATED = 0.5
@@ -141,8 +141,10 @@ def calibrate(docs: DataFrame, trusted: DataFrame, ratios: np.ndarray, id_column
     """The lowest score that passes, from the held-out trusted documents that pass the base rules."""
     score = verdict(ratios, docs.sparkSession, -np.inf)
     held = (docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
-            .join(F.broadcast(trusted.filter("held")), "doc_id").select(score("text").alias("v")).filter("v.kept"))
-    mean, spread = held.agg(F.avg("v.score"), F.stddev_samp("v.score")).first()
+            .join(F.broadcast(trusted.filter("held")), "doc_id").select(score("text").alias("v")))
+    # A filter on the verdict would move below the join and judge every document.
+    kept = F.when(F.col("v.kept"), F.col("v.score"))
+    mean, spread = held.agg(F.avg(kept), F.stddev_samp(kept)).first()
     return -np.inf if spread is None else round(mean - DEVIATIONS * spread, 6)
 
 

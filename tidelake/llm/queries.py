@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelake.llm import line_dedup, mixing, packing, quality_rules, token_cache
+from tidelake.llm import line_dedup, mixing, packing, quality_rules, token_cache, warc
 from tidelake.session import configure, scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +78,19 @@ def op1_mix(table):
     """All documents mixed to 150 percent of their words, sources weighing 3, 1, 2 in turn."""
     return mixing.mix(table("documents")).select(
         "row.doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
+
+
+@query("""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS payload_digest FROM p),
+g AS (SELECT payload_digest AS k, max(page_id) AS top FROM d WHERE payload_bytes >= 1000 GROUP BY 1)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN top <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN top <> page_id THEN top END AS refers_to
+FROM d LEFT JOIN g ON k = payload_digest""")
+def op4_warc(table):
+    """All pages written as WARC files and read back."""
+    pages = table("pages")
+    path = scratch(pages.sparkSession, "warc")
+    warc.write(pages, path)
+    return warc.read(pages.sparkSession, path).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
