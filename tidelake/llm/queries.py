@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelake.llm import line_dedup, mixing, packing, quality_rules, token_cache, warc
+from tidelake.llm import line_dedup, mixing, packing, quality_rules, token_cache, topk, warc
 from tidelake.session import configure, scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +94,16 @@ def op4_warc(table):
     warc.write(pages, path)
     return warc.read(pages.sparkSession, path).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("""
+WITH v AS (SELECT vec_id, [floor(1024 * x::DOUBLE) for x in embedding] AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+             AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0)
+SELECT query_id, rank::INT AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 10""")
+def op5_top_k(table):
+    """The ten nearest vectors, by inner product, of every hundredth one."""
+    return topk.top_k(table("embeddings"), F.col("vec_id") % 100 == 0)
