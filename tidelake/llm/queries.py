@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelake.llm import line_dedup, mixing, packing, quality_rules, token_cache, topk, warc
+from tidelake.llm import line_dedup, mixing, packing, quality_rules, secrets, token_cache, topk, warc
 from tidelake.session import configure, scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,3 +107,33 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 def op5_top_k(table):
     """The ten nearest vectors, by inner product, of every hundredth one."""
     return topk.top_k(table("embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def _secrets_sql() -> str:
+    """Gaps and matches by the same expressions, positions added up per match."""
+    kinds = " UNION ALL ".join(
+        f"""SELECT r, {i} AS number, '{x.kind}' AS kind, string_split_regex(text, '{p}') AS gaps,
+        regexp_extract_all(text, '{p}', 0) AS found, regexp_extract_all(text, '{p}', {x.group}) AS val, {x.least} AS least FROM d"""
+        for i, x in enumerate(secrets.RULES) for p in [x.pattern.replace("'", "''")])
+    return f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS text FROM documents),
+m AS (SELECT *, unnest(generate_series(1, len(found))) AS i FROM ({kinds})),
+s AS (SELECT r, number, kind, list_sum([length(x) for x in gaps[1:i]]) + coalesce(list_sum([length(x) for x in found[1:i - 1]]), 0)
+             AS s, length(found[i]) AS n FROM m WHERE length(val[i]) >= least),
+t AS (SELECT *, kind || ':' || s::BIGINT || ':' || (s + n)::BIGINT AS span FROM s)
+SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+       count(*) FILTER (kind = 'hex') AS n_hex,
+       sha256(coalesce(string_agg(span, ',' ORDER BY s, number) FILTER (number < 3), '')) AS base_sha256,
+       coalesce(string_agg(span, ',' ORDER BY s, number), '') AS spans
+FROM d LEFT JOIN t USING (r) GROUP BY r, doc_id"""
+
+
+@query(_secrets_sql())
+def op6_secret_scan(table):
+    """Places of secrets in every document."""
+    found = secrets.scan(table("documents"))
+    count = lambda kind: F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+    text = lambda spans: F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+    base = F.filter("spans", lambda x: x["number"] < len(secrets.BASE))
+    return found.select(F.col("id").alias("doc_id"), *[count(r.kind) for r in secrets.BASE],
+                        F.sha2(text(base), 256).alias("base_sha256"), text(F.col("spans")).alias("spans"))
