@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelake.llm import line_dedup, mixing, packing, quality_rules, secrets, token_cache, topk, warc
+from tidelake.llm import line_dedup, mixing, near_dup, packing, quality_rules, secrets, token_cache, topk, warc
 from tidelake.session import configure, scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -137,3 +137,9 @@ def op6_secret_scan(table):
     base = F.filter("spans", lambda x: x["number"] < len(secrets.BASE))
     return found.select(F.col("id").alias("doc_id"), *[count(r.kind) for r in secrets.BASE],
                         F.sha2(text(base), 256).alias("base_sha256"), text(F.col("spans")).alias("spans"))
+
+
+@query()
+def op2_near_duplicates(table):
+    """Every document with the class of near copies that it belongs to."""
+    return near_dup.near_duplicates(table("documents"))
