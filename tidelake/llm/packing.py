@@ -14,7 +14,7 @@ each, other columns are not looked at.
 
 from __future__ import annotations
 
-import re
+import base64
 import zlib
 from collections import defaultdict
 from functools import lru_cache
@@ -29,31 +29,36 @@ from pyspark.sql import functions as F
 CAPACITY = 1024
 SHORTEST = 32
 BATCH_ROWS = 64
-CACHED_WORDS = 200_000
 PIECES = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, "
           "offset bigint")
-# A single space or line feed between other characters always begins a new word for byte-level BPE.
-_CUTS = re.compile(r"(?<=\S)(?=[ \n]\S)")
 
 
 @lru_cache(maxsize=4)
-def _loaded(path: str):
+def _loaded(path: str, ranks: str, pattern: str):
+    import tiktoken
     from tokenizers import Tokenizer
-    return Tokenizer.from_file(path), {}
+    library = Tokenizer.from_file(path)
+    special = {t.content: i for i, t in library.get_added_tokens_decoder().items()}
+    with open(ranks, "rb") as lines:
+        known = {base64.b64decode(word): int(i) for word, i in map(bytes.split, lines)}
+    return library, tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=known, special_tokens=special)
 
 
-def byte_bpe(path: str, end_id: int = 0) -> Callable[[str], np.ndarray]:
-    """``text -> ids, end_id`` by the library's own tokenizer; a worker does not encode words again that it has met."""
+def byte_bpe(path: str, ranks: str, pattern: str, end_id: int = 0) -> Callable[[str], np.ndarray]:
+    """``text -> ids, end_id`` as the tokenizers file at ``path`` gives them, special strings in texts included.
+
+    Texts are encoded from the same vocabulary as ranks, which takes a quarter of the time; the first text that a
+    worker meets is encoded by both, and a difference is an error.
+    """
+    checked = []
+
     def encode(text: str) -> np.ndarray:
-        tokenizer, known = _loaded(path)
-        words = _CUTS.split(text) if text else []
-        fresh = list({w for w in words if w not in known})
-        if len(known) + len(fresh) > CACHED_WORDS:
-            known.clear()
-            fresh = list(set(words))
-        for word, got in zip(fresh, tokenizer.encode_batch_fast(fresh, add_special_tokens=False) if fresh else ()):
-            known[word] = got.ids
-        ids = [i for word in words for i in known[word]]
+        library, fast = _loaded(path, ranks, pattern)
+        ids = fast.encode(text, allowed_special="all")
+        if not checked and text:
+            if ids != library.encode(text, add_special_tokens=False).ids:
+                raise ValueError(f"{ranks} does not encode as {path} does")
+            checked.append(True)
         ids.append(end_id)
         return np.array(ids, dtype="<u4")
 

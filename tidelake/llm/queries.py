@@ -59,10 +59,15 @@ def op3_line_dedup(table):
         "row.doc_id", "lines.n_lines", "lines.n_dropped", F.sha2("lines.kept", 256).alias("kept_sha256"))
 
 
+def byte_bpe_50k():
+    path = public_tokenizers.path
+    return packing.byte_bpe(path("byte_bpe_50k.json"), path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 @query()
 def op9_harmonic_packing(table):
     """Every document in sequences of at most 1024 tokens."""
-    return packing.pack(table("documents"), packing.byte_bpe(public_tokenizers.path("byte_bpe_50k.json")))
+    return packing.pack(table("documents"), byte_bpe_50k())
 
 
 @query()
