@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelake.llm import line_dedup, mixing, near_dup, packing, quality_rules, secrets, token_cache, topk, warc
+from tidelake.llm import line_dedup, mixing, near_dup, packing, quality_rules, secrets, token_cache, topk, toxicity, warc
 from tidelake.session import configure, scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -148,3 +148,12 @@ def op6_secret_scan(table):
 def op2_near_duplicates(table):
     """Every document with the class of near copies that it belongs to."""
     return near_dup.near_duplicates(table("documents"))
+
+
+@query()
+def op7_toxicity(table):
+    """A toxicity score of every document, learned from the labels that are not held out."""
+    docs = table("documents")
+    score = toxicity.scorer(toxicity.fit(docs, table("labels")), docs.sparkSession)
+    return docs.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), score("text").alias("score")).withColumn(
+        "predicted", (F.col("score") >= 0.5).cast("int"))
