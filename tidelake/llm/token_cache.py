@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelake.llm.common import as_text_array
+from tidelake.session import materialise
 
 CACHE = "digest binary, n_tokens bigint, tokenizer string"
 BATCH = 256
@@ -83,7 +84,8 @@ def count_tokens(docs: DataFrame, counter: Callable[[list[str]], list[int]], ver
     misses = one_each.join(read_cache(spark, cache, version), "digest", "left_anti")
     (misses.select("digest", count("text").alias("n_tokens"), F.lit(version).alias("tokenizer"))
      .write.mode("append").partitionBy("tokenizer").parquet(cache))
-    counts = read_cache(spark, cache, version).groupBy("digest").agg(F.min("n_tokens").alias("n_tokens"))
+    # As a table of its own, so that a digest which many rows share can be split in the join.
+    counts = materialise(read_cache(spark, cache, version).groupBy("digest").agg(F.min("n_tokens").alias("n_tokens")), "counts")
     ids = docs.select(F.col(id_column).alias("doc_id"), F.octet_length(content).cast("bigint").alias("n_bytes"),
                       digest.alias("digest"))
     return ids.join(counts, "digest").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
