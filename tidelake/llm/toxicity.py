@@ -86,7 +86,7 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
         return np.bincount(b[1], weights=w[b[0]], minlength=b[2]) + w[bias]
 
     def gradient(b, by_text):
-        g = np.bincount(b[0], weights=by_text[b[1]], minlength=len(w))
+        g = np.bincount(b[0], weights=by_text[b[1]], minlength=len(w)).astype(np.float64)
         g[bias] += by_text.sum()
         return g
 
@@ -160,6 +160,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE,
     counts = (texts.select("text", "positive").mapInArrow(count, "bucket bigint, unlabelled bigint, positive bigint")
               .groupBy("bucket").agg(F.sum("unlabelled").alias("unlabelled"), F.sum("positive").alias("positive"))
               .filter((F.col("positive") >= MIN_POSITIVE) | (F.col("bucket") == -1)).toPandas())
+    if not len(counts):
+        return None
     wanted = select(counts)
     shared = docs.sparkSession.sparkContext.broadcast(wanted)
 
