@@ -7,14 +7,16 @@ labels of both. It never exceeds the Jaccard similarity, and equals it where not
 1. Texts of equal words are one node; from here on copies cost nothing.
 2. A sketch takes the labels with the ``LENGTH`` smallest hashes under one of ``SKETCHES`` hash functions and keeps them in
    the order of the text. Nodes that agree in such a tuple share a bucket: at similarity s this happens with about
-   ``s ** LENGTH`` per sketch, so of pairs at 0.8 all but 1 in 10 000 meet in some bucket, of pairs at 0.3 two in a
-   hundred. Short texts also get tuples of two.
-3. First round: every bucket has a leader, its smallest node; a node is aligned with the leader it shares most buckets
-   with. One pair per node, however large a bucket is. Links found are joined to components.
-4. Second round: of a bucket that still holds several components, every node outside the largest is aligned with all
+   ``s ** LENGTH`` per sketch, so of pairs at 0.8 all but 2 in 10 000 meet in some bucket, of pairs at 0.3 three in a
+   thousand. Short texts also get tuples of three.
+3. First round: every bucket has a leader, the member that most nodes share buckets with, so in a group of copies the one
+   nearest to what they were copied from; a node is aligned with the leader it shares most buckets with. One pair per node, however large a bucket is. Links found are joined to components.
+4. Further rounds: in a bucket that still holds several components, nodes outside the largest meet a member of that one,
+   drawn by a hash that changes with bucket and round, ``PICKS`` per node and round, while this finds new links.
+5. Last round: of the buckets that then hold several components, every node outside the largest is aligned with all
    nodes of other components in it whose length allows the similarity. Pairs inside a component are never made, so
-   a large group of near copies costs its stragglers only, and no link between components is lost.
-5. Alignment: labels common to both, in the order of one text, give a sequence of places in the other; the longest
+   a large group of near copies costs its last stragglers only, and no link between components is lost.
+6. Alignment: labels common to both, in the order of one text, give a sequence of places in the other; the longest
    increasing run of it is the alignment. Places further apart than the band, which is as wide as the threshold
    allows, cannot be part of a good one and are left out.
 
@@ -29,6 +31,7 @@ from __future__ import annotations
 from bisect import bisect_left
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,10 +41,14 @@ from tidelake.session import materialise
 
 WORDS = 5
 THRESHOLD = 0.8
-SKETCHES = 32
-LENGTH = 6
-#: Texts of fewer shingles also get tuples of ``SHORT_LENGTH``, as small sets share few tuples of six.
-SHORT, SHORT_LENGTH = 32, 2
+SKETCHES = 48
+LENGTH = 8
+#: Texts of fewer shingles also get some tuples of ``SHORT_LENGTH``, as small sets share few long ones.
+SHORT, SHORT_LENGTH, SHORT_SKETCHES = 32, 3, 16
+#: After the first round, nodes are aligned with ``PICKS`` members of other components a round, ``ROUNDS`` times at most.
+PICKS, ROUNDS = 3, 8
+#: Texts that a cell of a verification gets of each side.
+CELL_NODES = 1500
 SKETCH = "node bigint, n int, keys array<bigint>"
 
 _SEEDS = np.random.default_rng(77001).integers(1, 2**63, (SKETCHES, 2), dtype=np.uint64) | np.uint64(1)
@@ -72,12 +79,12 @@ def labels_of(texts: Texts) -> tuple[list[np.ndarray], np.ndarray]:
     return out, mix(whole)
 
 
-def _tuples(labels: np.ndarray, length: int) -> np.ndarray:
+def _tuples(labels: np.ndarray, length: int, sketches: int) -> np.ndarray:
     """A hash per sketch of its ``length`` smallest labels in the order of the text."""
-    n, keys = len(labels), np.zeros(SKETCHES, dtype=np.uint64)
+    n, keys = len(labels), np.zeros(sketches, dtype=np.uint64)
     step = max(1, (1 << 20) // n)
-    for at in range(0, SKETCHES, step):
-        seeds = _SEEDS[at : at + step]
+    for at in range(0, sketches, step):
+        seeds = _SEEDS[at : min(at + step, sketches)]
         values = labels[None] * seeds[:, :1] + seeds[:, 1:]
         values ^= values >> np.uint64(29)
         least = (np.argpartition(values, length - 1, axis=1)[:, :length] if n > length
@@ -85,7 +92,7 @@ def _tuples(labels: np.ndarray, length: int) -> np.ndarray:
         key = np.arange(at, at + len(seeds), dtype=np.uint64) + np.uint64(1000 * length)
         for column in labels[np.sort(least, axis=1)].T:
             key = mix(key * np.uint64(0x9E3779B97F4A7C15) + column)
-        keys[at : at + step] = key
+        keys[at : at + len(seeds)] = key
     return keys
 
 
@@ -95,9 +102,9 @@ def sketch(column: pa.Array) -> pa.Array:
     for _, texts in slices(column):
         labels, whole = labels_of(texts)
         for one in labels:
-            got = _tuples(one, LENGTH) if len(one) > 1 else np.zeros(0, dtype=np.uint64)
+            got = _tuples(one, LENGTH, SKETCHES) if len(one) > 1 else np.zeros(0, dtype=np.uint64)
             if 1 < len(one) < SHORT:
-                got = np.concatenate([got, _tuples(one, SHORT_LENGTH)])
+                got = np.concatenate([got, _tuples(one, SHORT_LENGTH, SHORT_SKETCHES)])
             sizes.append(len(one))
             keys.append(got.view(np.int64))
         nodes.append(whole.view(np.int64))
@@ -112,28 +119,51 @@ def node_of(column: pa.Array) -> pa.Array:
     return pa.array(np.concatenate(parts) if parts else np.zeros(0, dtype=np.int64))
 
 
-def aligned(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> float:
-    """Similarity of two label sequences by their alignment inside the band; 0 where the lengths rule it out."""
-    if min(len(a), len(b)) < threshold * max(len(a), len(b)) or not len(a):
+def placed(labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Labels in order of value, and the place of each in the text."""
+    order = np.argsort(labels, kind="stable")
+    return labels[order], order
+
+
+def alignment(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], threshold: float = THRESHOLD) -> float:
+    """Similarity of two texts by the alignment of their ``placed`` labels inside the band; 0 where it is out of reach."""
+    (x, at), (y, to) = a, b
+    n = len(x) + len(y)
+    if not len(x) or not len(y) or min(len(x), len(y)) < threshold * max(len(x), len(y)):
+        return 0.0
+    found = np.minimum(np.searchsorted(y, x), len(y) - 1)
+    both = y[found] == x
+    if np.count_nonzero(both) < threshold * (n - np.count_nonzero(both)):
         return 0.0
-    _, at, to = np.intersect1d(a, b, assume_unique=True, return_indices=True)
-    band = int(np.ceil((1 - threshold) * (len(a) + len(b))))
-    near = np.abs(at - to) <= band
+    at, to = at[both], to[found[both]]
+    near = np.abs(at - to) <= int(np.ceil((1 - threshold) * n))
     to = to[near][np.argsort(at[near])]
-    if len(to) and not (np.diff(to) > 0).all():
+    long = len(to)
+    if long and not (np.diff(to) > 0).all():
         ends: list[int] = []
-        for x in to.tolist():
-            i = bisect_left(ends, x)
-            ends[i : i + 1] = [x]
+        for place in to.tolist():
+            i = bisect_left(ends, place)
+            ends[i : i + 1] = [place]
         long = len(ends)
-    else:
-        long = len(to)
-    return long / (len(a) + len(b) - long)
+    return long / (n - long)
+
+
+def aligned(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> float:
+    return alignment(placed(a), placed(b), threshold)
 
 
 def _verify(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """The pairs ``(a, b)`` of nodes that are similar; ``texts`` has one text per node."""
-    @F.arrow_udf("double")
+    """The pairs ``(a, b)`` of nodes that are similar; ``texts`` has one text per node.
+
+    Where pairs are few for each node, each pair meets its two texts. Where they are many, nodes are dealt into ``g``
+    parts and each of the ``g * g`` cells gets the texts of two parts, so a text moves 2 g times, not once a pair.
+    Both ways give the same.
+    """
+    pairs = materialise(pairs, "pairs")
+    many = pairs.count()
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().count()
+    g = max(1, -(-nodes // CELL_NODES))
+
     def similarity(left: pa.Array, right: pa.Array) -> pa.Array:
         out = []
         for at in range(0, len(left), 64):
@@ -141,9 +171,21 @@ def _verify(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
             out += [aligned(p, q, threshold) for p, q in zip(x, y)]
         return pa.array(out, pa.float64())
 
-    a, b = (texts.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab")
-    scored = pairs.join(a, "a").join(b, "b").select("a", "b", similarity("text_a", "text_b").alias("s"))
-    return scored.filter(F.col("s") >= threshold).select("a", "b")
+    def cell(rows: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+        labels = dict(zip(rows["node"], map(placed, labels_of_all(pa.array(rows["text"], pa.string())))))
+        hit = [alignment(labels[x], labels[y], threshold) >= threshold for x, y in zip(asked["a"], asked["b"])]
+        return asked.loc[hit, ["a", "b"]]
+
+    if many <= 2 * nodes * g:
+        a, b = (texts.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab")
+        scored = pairs.join(a, "a").join(b, "b").select("a", "b", F.arrow_udf(similarity, "double")("text_a", "text_b").alias("s"))
+        return scored.filter(F.col("s") >= threshold).select("a", "b")
+    part = lambda c: F.pmod(F.xxhash64(c), F.lit(g))
+    others = F.sequence(F.lit(0).cast("bigint"), F.lit(g - 1).cast("bigint"))
+    cells = F.array_distinct(F.concat(F.transform(others, lambda o: part("node") * g + o), F.transform(others, lambda o: o * g + part("node"))))
+    held = texts.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node").withColumn("cell", F.explode(cells))
+    asked = pairs.withColumn("cell", part("a") * g + part("b"))
+    return held.groupBy("cell").cogroup(asked.groupBy("cell")).applyInPandas(cell, "a bigint, b bigint")
 
 
 def labels_of_all(column: pa.Array) -> list[np.ndarray]:
@@ -179,41 +221,71 @@ def node_classes(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFra
     sketched = materialise(docs.select("doc_id", F.arrow_udf(sketch, SKETCH)("text").alias("s")).select("doc_id", "s.*"), "sketches")
     members = sketched.select("doc_id", "node")
     shared = sketched.select("node", "n", F.explode("keys").alias("key"))
-    leaders = shared.groupBy("key").agg(F.min("node").alias("leader"), F.max("node").alias("last")).filter("leader < last")
-    buckets = materialise(shared.join(leaders.drop("last"), "key").distinct(), "buckets")
-
-    # First round: the leader that a node shares most buckets with.
-    best = (buckets.filter("node <> leader").groupBy("node", "leader").agg(F.count(F.lit(1)).alias("n"))
+    several = shared.groupBy("key").agg(F.min("node").alias("one"), F.max("node").alias("other")).filter("one < other").select("key")
+    buckets = materialise(shared.join(several, "key").distinct(), "buckets")
+
+    # First round: the most central member of a bucket leads it, which is the one that most nodes share buckets with.
+    sizes = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
+    central = materialise(buckets.join(sizes, "key").groupBy("node").agg(F.sum("size").alias("met")), "central")
+    leaders = buckets.join(central, "node").groupBy("key").agg(F.max(F.struct("met", "node")).alias("lead")).select(
+        "key", F.col("lead.node").alias("leader"))
+    best = (buckets.join(leaders, "key").filter("node <> leader").groupBy("node", "leader").agg(F.count(F.lit(1)).alias("n"))
             .groupBy("node").agg(F.max(F.struct("n", "leader")).alias("best")))
     pairs = materialise(best.select(F.col("node").alias("a"), F.col("best.leader").alias("b")), "pairs")
     needed = buckets.select("node").distinct()
     texts = materialise(
         docs.select(F.arrow_udf(node_of, "bigint")("text").alias("node"), "text").join(needed, "node").groupBy("node").agg(F.first("text").alias("text")),
         "node-texts")
-    first = materialise(components(_verify(pairs, texts, threshold)), "roots")
-
-    # Second round: what is left between components of one bucket.
-    placed = materialise(buckets.select("key", "node", "n").join(first, "node", "left")
-                         .withColumn("root", F.coalesce("root", "node")), "placed")
-    per_root = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("size"))
-    mixed = (per_root.groupBy("key").agg(F.max(F.struct("size", "root")).alias("top"), F.count(F.lit(1)).alias("roots"))
-             .filter("roots > 1").select("key", F.col("top.root").alias("top")))
-    inside = placed.join(mixed, "key")
+    roots = materialise(components(_verify(pairs, texts, threshold)), "roots")
+
+    # Further rounds: stragglers meet members of the largest component of their buckets.
+    for turn in range(ROUNDS):
+        inside = _mixed(buckets, roots)
+        drawn = (inside.filter("root = top").groupBy("key").agg(
+            F.min(F.struct(F.xxhash64("node", "key", F.lit(turn)).alias("h"), "node", F.col("n").alias("size"))).alias("drawn")))
+        likely = F.least("n", "drawn.size") >= threshold * F.greatest("n", "drawn.size")
+        asked = (inside.filter("root <> top").join(drawn, "key").filter(likely)
+                 .select(F.col("node").alias("a"), F.col("drawn.node").alias("b")))
+        picks = asked.groupBy("a").agg(*[F.min(F.struct(F.xxhash64("a", "b", F.lit(turn * PICKS + i)).alias("h"), "b")).alias(f"p{i}")
+                                         for i in range(PICKS)])
+        picks = materialise(picks.select("a", F.explode(F.array_distinct(F.array(*[f"p{i}.b" for i in range(PICKS)]))).alias("b")), "picks")
+        found = materialise(_verify(picks, texts, threshold), "links-found")
+        new, tried = found.count(), picks.count()
+        if new:
+            roots = _joined(roots, found)
+        if new * 50 <= tried:
+            break
+
+    # Last round: whatever is left between components of one bucket.
+    inside = _mixed(buckets, roots)
     few = inside.filter("root <> top").select("key", *[F.col(c).alias(f"{c}_a") for c in ("node", "root", "n")])
     allowed = F.least("n", "n_a") >= threshold * F.greatest("n", "n_a")
     once = (F.col("root") == F.col("top")) | (F.col("node_a") < F.col("node"))
     left = (few.join(inside, "key").filter(allowed & once & (F.col("root_a") != F.col("root")))
             .select(F.least("node_a", "node").alias("a"), F.greatest("node_a", "node").alias("b")).distinct())
-    asked = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = materialise(_verify(left.join(asked, ["a", "b"], "left_anti"), texts, threshold), "more-links")
-    r = first.select(F.col("node").alias("x"), F.col("root").alias("r"))
-    ends = more
+    return members, _joined(roots, materialise(_verify(left, texts, threshold), "links-found"))
+
+
+def _mixed(buckets: DataFrame, roots: DataFrame) -> DataFrame:
+    """``key, node, n, root, top`` of the buckets that hold several components; ``top`` is the largest one's root."""
+    placed = materialise(buckets.select("key", "node", "n").join(roots, "node", "left")
+                         .withColumn("root", F.coalesce("root", "node")), "placed")
+    per_root = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("size"))
+    mixed = (per_root.groupBy("key").agg(F.max(F.struct("size", "root")).alias("top"), F.count(F.lit(1)).alias("roots"))
+             .filter("roots > 1").select("key", F.col("top.root").alias("top")))
+    return materialise(placed.join(mixed, "key"), "mixed")
+
+
+def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``roots`` after further ``links`` between nodes."""
+    r = roots.select(F.col("node").alias("x"), F.col("root").alias("r"))
+    ends = links
     for end in ("a", "b"):
         ends = ends.join(r, F.col(end) == F.col("x"), "left").withColumn(end, F.coalesce("r", end)).drop("x", "r")
     second = components(ends).select(F.col("node").alias("root"), F.col("root").alias("next"))
-    joined = first.join(second, "root", "left").select("node", F.coalesce("next", "root").alias("root"))
-    alone = second.join(first, second["root"] == first["node"], "left_anti").select(F.col("root").alias("node"), F.col("next").alias("root"))
-    return members, materialise(joined.unionByName(alone), "node-roots")
+    joined = roots.join(second, "root", "left").select("node", F.coalesce("next", "root").alias("root"))
+    alone = second.join(roots, second["root"] == roots["node"], "left_anti").select(F.col("root").alias("node"), F.col("next").alias("root"))
+    return materialise(joined.unionByName(alone), "roots")
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
