@@ -11,7 +11,7 @@ ORDERED = ["fill_forward", "fill_backward", "fill_interpolate", "product_rank",
 
 @pytest.mark.parametrize("name", ORDERED)
 def test_same_result_when_keys_are_split(spark, folder, name):
-    spark.conf.set("tidelake.window.hotRows", "4")
+    spark.conf.set("tidelake.window.hotRows", "40")
     try:
         assert compare(name, QUERIES[name](spark, folder), connect(folder), ORACLES[name]) == ""
     finally:

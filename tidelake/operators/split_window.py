@@ -1,17 +1,13 @@
 """Ordered windows whose partitions may be arbitrarily large.
 
-A plain ``Window.partitionBy(key).orderBy(ts)`` puts a whole key into one task. Here the keys are counted first.
-Where no key is large, the plain window is used as it is. A key with more than ``hot_rows`` rows is cut into *blocks*
-along the order column, the window runs inside (key, block), and what has to cross a block border (a running total,
-the last value seen) is computed from one row per hot key and block and joined back. A key that holds a third of the
-table is thus spread over as many tasks as it has blocks, and a table without keys (surrogate keys, cumulative
-shares) needs no single-partition window.
-
-At most ``MAX_HOT`` keys are split, the largest ones: any other key then holds less than 1 / MAX_HOT of the table.
-Keys times blocks is held below about ``MAX_CARRIED``, which bounds what is broadcast whatever the table size.
-
-Block borders are literals taken from one approximate-quantile aggregate, so a recomputed task puts each row into the
-same block. The borders need not be exact: they only balance the work.
+A plain ``Window.partitionBy(key).orderBy(ts)`` puts a whole key into one task. Here the keys are counted first. Rows of
+keys with at most ``hot_rows`` rows take the plain window. Rows of larger keys are cut into *blocks* of about
+``hot_rows`` rows by a range partitioning over keys, order and tie-break together, so equal order values, NULLs and
+texts that begin alike are cut as well; only rows that agree in all of these stay together. The cut rows are written once
+to the shared folder, which fixes their blocks whatever is computed again. The window then runs inside (key, block), and
+what has to cross a block border (a running total, the last value seen) is one row per hot key and block, joined back.
+There is no limit on hot keys or blocks, and nothing is collected or broadcast by hand. Without keys the table itself is
+the hot key. Running sums of floating-point values add block totals, so last digits may differ from a plain window.
 """
 
 from __future__ import annotations
@@ -22,14 +18,10 @@ from typing import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tidelake.session import parallelism
+from tidelake.session import materialise
 
 BLOCK = "__block"
-MAX_CUTS = 128
-MAX_HOT = 1000
-MAX_CARRIED = 200_000
 HOT_ROWS = 1_000_000
 
 
@@ -40,106 +32,57 @@ def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: st
     return left.join(renamed, condition, how).drop(*[f"__r_{c}" for c in on])
 
 
-def _number(df: DataFrame, order: Column) -> Column:
-    """A numeric image of the order column that grows with it."""
-    dtype = df.select(order.alias("o")).schema["o"].dataType
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(order.cast("timestamp"))
-    if isinstance(dtype, T.DateType):
-        return F.unix_date(order)
-    if isinstance(dtype, T.StringType):
-        ends = df.agg(F.min(order).alias("lo"), F.max(order).alias("hi")).first()
-        lo, hi = (ends["lo"] or ""), (ends["hi"] or "")
-        shared = 0
-        while shared < min(len(lo), len(hi)) and lo[shared] == hi[shared]:
-            shared += 1
-        skip = 2 * len(lo[:shared].encode())
-        # 7 bytes after the shared prefix, as a number: byte order is Spark's string order.
-        return F.conv(F.rpad(F.substring(F.hex(order), skip + 1, 14), 14, "0"), 16, 10).cast("long")
-    return order.cast("double")
-
-
-def _cuts(df: DataFrame, number: Column, count: int) -> list[float]:
-    probs = [i / count for i in range(1, count)]
-    found = df.agg(F.percentile_approx(number, probs, 10000).alias("c")).first()["c"]
-    return sorted(set(found or []))
-
-
-def _search(number: Column, cuts: list[float], first: int = 0) -> Column:
-    """How many cuts lie below the value, as a balanced CASE tree (log2 comparisons, inside codegen)."""
-    if not cuts:
-        return F.lit(first)
-    mid = len(cuts) // 2
-    return F.when(number <= F.lit(cuts[mid]), _search(number, cuts[:mid], first)).otherwise(
-        _search(number, cuts[mid + 1 :], first + mid + 1)
-    )
-
-
-def block_column(df: DataFrame, order: Column, blocks: int | None = None) -> Column:
-    """Block number of each row: non-decreasing in ``order``, equal for equal values, NULLs first."""
-    wanted = blocks or max(8, parallelism(df.sparkSession))
-    number = _number(df, order)
-    cuts = _cuts(df, number, min(wanted, MAX_CUTS))
-    coarse = _search(number, cuts)
-    fine = -(-wanted // MAX_CUTS)
-    if fine == 1 or len(cuts) < 2:
-        block = coarse
-    else:  # cut each inner block further into equal widths
-        lows, highs = F.array(*[F.lit(c) for c in cuts]), F.array(*[F.lit(c) for c in cuts[1:]])
-        inner = (coarse >= 1) & (coarse < len(cuts))
-        low, high = F.get(lows, coarse - 1), F.get(highs, coarse - 1)
-        step = F.ceil((number - low) * fine / (high - low)) - 1
-        block = coarse * fine + F.when(inner, F.least(F.greatest(step, F.lit(0)), F.lit(fine - 1))).otherwise(0)
-    return F.when(number.isNull(), F.lit(-1)).otherwise(block).cast("int")
-
-
 @dataclass
 class _Part:
     name: str
-    local: Column
-    edge: Column
-    carry: Callable[[Column, Window], Column]
+    local: Callable[[Sequence[str]], Column]
+    edge: Column | None
+    carry: Callable[[Column, Window], Column] | None
     after: bool
     merge: Callable[[Column, Column], Column]
     alone: Callable[[Column], Column] = lambda c: c
-
-
-def _hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> list[int]:
-    """Hashes of the largest keys; a colliding key is split needlessly, which changes no result."""
-    counts = df.groupBy(F.xxhash64(*keys).alias("h")).agg(F.count(F.lit(1)).alias("n"))
-    top = counts.filter(F.col("n") > hot_rows).orderBy(F.desc("n"), "h").limit(MAX_HOT).collect()
-    return [r["h"] for r in top]
+    carried: Callable | None = None
 
 
 class SplitWindow:
     """Collects ordered computations over the same keys and order, then adds them all in one pass.
 
     ``order`` sorts ascending with NULLs first; ``tiebreak`` columns make the order total. All computations use the
-    same block cut, one window per direction and one join.
+    same block cut and one window per direction.
     """
 
     def __init__(self, df: DataFrame, keys: Sequence[str], order: Column | str, tiebreak: Sequence[str] = (),
-                 blocks: int | None = None, hot_rows: int | None = None, hot: Sequence[int] | None = None):
+                 hot_rows: int | None = None, hot: tuple[DataFrame | None, int] | None = None):
         """``hot`` takes over the ``hot`` of an earlier window on the same keys whose rows included these."""
         self.order = F.col(order) if isinstance(order, str) else order
         self.keys = list(keys)
         self.tiebreak = [F.col(c) for c in tiebreak]
         if hot_rows is None:
             hot_rows = int(df.sparkSession.conf.get("tidelake.window.hotRows", str(HOT_ROWS)))
-        self.split, is_hot, self.hot = True, F.lit(True), hot
-        if self.keys:
-            if self.hot is None:
-                self.hot = _hot_keys(df, self.keys, hot_rows)
-            self.split, is_hot = bool(self.hot), F.xxhash64(*self.keys).isin(list(self.hot))
-        if self.split:
-            wanted = blocks or max(8, parallelism(df.sparkSession))
-            wanted = min(wanted, max(8, MAX_CARRIED // max(1, len(self.hot or []))))
-            block = block_column(df.filter(is_hot), self.order, wanted)
-            df = df.withColumn(BLOCK, F.when(is_hot, block).otherwise(F.lit(-2)))
+        self.hot = hot or self._count(df, hot_rows)
+        large, blocks = self.hot
+        self.cold = self.cut = None
+        if not blocks:
+            self.cold = df
+        else:
+            rows = df
+            if self.keys:
+                self.cold = null_safe_join(df, large, self.keys, "left_anti")
+                rows = null_safe_join(df, large, self.keys, "left_semi")
+            by = [*[F.col(k).asc_nulls_first() for k in self.keys], *self._sort]
+            placed = rows.repartitionByRange(blocks, *by).withColumn(BLOCK, F.spark_partition_id())
+            self.cut = materialise(placed, "blocks")
         self.df = df
-        self.groups = [*self.keys, BLOCK] if self.split else self.keys
         self.parts: list[_Part] = []
 
+    def _count(self, df: DataFrame, hot_rows: int) -> tuple[DataFrame | None, int]:
+        """The keys with more than ``hot_rows`` rows, and how many blocks their rows make (0: none is)."""
+        if not self.keys:
+            return None, max(1, -(-df.count() // hot_rows))
+        counts = df.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > hot_rows)
+        total = counts.agg(F.sum("__n")).first()[0] or 0
+        return counts.drop("__n"), -(-total // hot_rows)
+
     @property
     def _sort(self) -> list[Column]:
         return [self.order.asc_nulls_first(), *[c.asc_nulls_first() for c in self.tiebreak]]
@@ -152,37 +95,56 @@ class SplitWindow:
     def _stamp(self) -> Column:
         return F.struct(self.order.alias("o"), *[c.alias(f"t{i}") for i, c in enumerate(self.tiebreak)])
 
-    def _local(self, reverse: bool = False):
-        return Window.partitionBy(*self.groups).orderBy(*(self._reverse if reverse else self._sort))
+    def _local(self, groups: Sequence[str], reverse: bool = False):
+        return Window.partitionBy(*groups).orderBy(*(self._reverse if reverse else self._sort))
 
     def total(self, name: str, value: Column) -> "SplitWindow":
         """Running sum up to and including the row."""
-        return self._sum(name, value, F.sum(value).over(self._local().rowsBetween(Window.unboundedPreceding, 0)))
+        return self._sum(name, value, lambda groups: F.sum(value).over(self._local(groups).rowsBetween(Window.unboundedPreceding, 0)))
 
     def position(self, name: str) -> "SplitWindow":
         """1, 2, 3 … in order; needs a total order to be repeatable."""
-        return self._sum(name, F.lit(1).cast("long"), F.row_number().over(self._local()).cast("long"))
+        return self._sum(name, F.lit(1).cast("long"), lambda groups: F.row_number().over(self._local(groups)).cast("long"))
 
     def rank(self, name: str) -> "SplitWindow":
-        """Standard rank on ``order`` alone: ties share a rank, gaps follow."""
-        window = Window.partitionBy(*self.groups).orderBy(self.order.asc_nulls_first())
-        return self._sum(name, F.lit(1).cast("long"), F.rank().over(window).cast("long"))
+        """Standard rank on ``order`` alone: ties share a rank, also across blocks, and gaps follow."""
+        def local(groups):
+            return F.rank().over(Window.partitionBy(*groups).orderBy(self.order.asc_nulls_first())).cast("long")
+
+        def carry(rows, across):
+            """Rows before the block, and the last order value before it with its rank."""
+            before = F.coalesce(F.sum("__n").over(across.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+            same = Window.partitionBy(*self.keys, "__last")
+            edges = rows.groupBy(*self.keys, BLOCK).agg(F.count(F.lit(1)).alias("__n"), F.max(F.col(f"__l_{at}")).alias("__top"),
+                                                        F.max_by(F.struct(self.order.alias("o")), self._stamp).alias("__last"))
+            return (edges.withColumn("__before", before).withColumn("__rank", F.min(F.col("__before") + F.col("__top")).over(same))
+                    .select(*self.keys, BLOCK, F.struct(
+                        "__before", F.lag("__last").over(across).alias("last"), F.lag("__rank").over(across).alias("rank"))
+                        .alias(f"__c_{at}")))
+
+        def merge(own, c):
+            tied = c["last"].isNotNull() & self.order.eqNullSafe(c["last"]["o"])
+            return F.when(tied, c["rank"]).otherwise(own + c["__before"])
+
+        at = len(self.parts)
+        self.parts.append(_Part(name, local, None, None, False, merge, carried=carry))
+        return self
 
-    def _sum(self, name: str, value: Column, local: Column) -> "SplitWindow":
+    def _sum(self, name: str, value: Column, local: Callable) -> "SplitWindow":
         self.parts.append(_Part(name, local, F.sum(value), lambda e, w: F.sum(e).over(w), False,
                                 lambda a, b: F.when(a.isNull(), b).when(b.isNull(), a).otherwise(a + b)))
         return self
 
     def last_seen(self, name: str, value: Column) -> "SplitWindow":
         """Last non-null value at or before the row."""
-        local = F.last(value, True).over(self._local().rowsBetween(Window.unboundedPreceding, 0))
+        local = lambda groups: F.last(value, True).over(self._local(groups).rowsBetween(Window.unboundedPreceding, 0))
         edge = F.max_by(value, F.when(value.isNotNull(), self._stamp))
         self.parts.append(_Part(name, local, edge, lambda e, w: F.last(e, True).over(w), False, F.coalesce))
         return self
 
     def next_seen(self, name: str, value: Column) -> "SplitWindow":
         """First non-null value at or after the row."""
-        local = F.last(value, True).over(self._local(True).rowsBetween(Window.unboundedPreceding, 0))
+        local = lambda groups: F.last(value, True).over(self._local(groups, True).rowsBetween(Window.unboundedPreceding, 0))
         edge = F.min_by(value, F.when(value.isNotNull(), self._stamp))
         self.parts.append(_Part(name, local, edge, lambda e, w: F.last(e, True).over(w), True, F.coalesce))
         return self
@@ -198,28 +160,41 @@ class SplitWindow:
     def _beside(self, name: str, value: Column, after: bool) -> "SplitWindow":
         # Boxed in a struct, so that a NULL value differs from "no such row".
         boxed = F.struct(value.alias("v"))
-        local = F.lag(boxed).over(self._local(after))
+        local = lambda groups: F.lag(boxed).over(self._local(groups, after))
         edge = (F.min_by if after else F.max_by)(boxed, self._stamp)
         self.parts.append(_Part(name, local, edge, lambda e, w: F.last(e, True).over(w), after,
                                 lambda a, b: F.coalesce(a, b)["v"], lambda a: a["v"]))
         return self
 
     def result(self) -> DataFrame:
-        added = {p.name for p in self.parts}
-        rows = self.df.select("*", *[p.local.alias(f"__l_{i}") for i, p in enumerate(self.parts)])
-        if self.split:
-            rows = null_safe_join(rows, F.broadcast(self._carried()), self.groups, "left")
-        keep = [F.col(c) for c in self.df.columns if c != BLOCK and c not in added]
-        carry = [F.col(f"__c_{i}") if self.split else None for i in range(len(self.parts))]
-        return rows.select(*keep, *[(p.merge(F.col(f"__l_{i}"), carry[i]) if self.split else p.alone(F.col(f"__l_{i}")))
-                                    .alias(p.name) for i, p in enumerate(self.parts)])
-
-    def _carried(self) -> DataFrame:
-        """What enters each block of a hot key from the blocks before (or after) it; at most MAX_HOT keys."""
-        hot = self.df.filter(F.col(BLOCK) > -2)
-        edges = hot.groupBy(*self.groups).agg(*[p.edge.alias(f"__e_{i}") for i, p in enumerate(self.parts)])
+        out = [rows for rows in (self._plain(), self._split()) if rows is not None]
+        return reduce(DataFrame.unionByName, out)
+
+    def _kept(self) -> list[Column]:
+        return [F.col(c) for c in self.df.columns if c not in {p.name for p in self.parts}]
+
+    def _plain(self) -> DataFrame | None:
+        if self.cold is None:
+            return None
+        rows = self.cold.select("*", *[p.local(self.keys).alias(f"__l_{i}") for i, p in enumerate(self.parts)])
+        return rows.select(*self._kept(), *[p.alone(F.col(f"__l_{i}")).alias(p.name) for i, p in enumerate(self.parts)])
+
+    def _split(self) -> DataFrame | None:
+        if self.cut is None:
+            return None
+        groups = [*self.keys, BLOCK]
+        rows = self.cut.select("*", *[p.local(groups).alias(f"__l_{i}") for i, p in enumerate(self.parts)])
         across = Window.partitionBy(*self.keys) if self.keys else Window.partitionBy(F.lit(0))
-        before = across.orderBy(F.col(BLOCK).asc()).rowsBetween(Window.unboundedPreceding, -1)
-        after = across.orderBy(F.col(BLOCK).desc()).rowsBetween(Window.unboundedPreceding, -1)
-        return edges.select(*self.groups, *[p.carry(F.col(f"__e_{i}"), after if p.after else before).alias(f"__c_{i}")
+        before, after = across.orderBy(F.col(BLOCK).asc()), across.orderBy(F.col(BLOCK).desc())
+        plain = [(i, p) for i, p in enumerate(self.parts) if p.carried is None]
+        carried = []
+        if plain:  # one row per hot key and block: what enters it from the blocks before (or after) it
+            edges = self.cut.groupBy(*groups).agg(*[p.edge.alias(f"__e_{i}") for i, p in plain])
+            carried.append(edges.select(*groups, *[
+                p.carry(F.col(f"__e_{i}"), (after if p.after else before).rowsBetween(Window.unboundedPreceding, -1))
+                .alias(f"__c_{i}") for i, p in plain]))
+        carried += [p.carried(rows, before) for p in self.parts if p.carried is not None]
+        for one in carried:
+            rows = null_safe_join(rows, one, groups, "left")
+        return rows.select(*self._kept(), *[p.merge(F.col(f"__l_{i}"), F.col(f"__c_{i}")).alias(p.name)
                                             for i, p in enumerate(self.parts)])
