@@ -155,3 +155,10 @@ def test_grubbs_critical_values(spark, n, want):
 def test_no_python_worker_needed_without_verdict(spark):
     df = spark.range(5).select(F.lit("k").alias("k"), F.col("id").cast("double").alias("x"))
     assert "Python" not in grubbs(df, ["k"], "x")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rules_of_one_name_are_told_apart(spark):
+    df = spark.range(100).withColumnRenamed("id", "q")
+    rules = R.RuleSet("t", [R.in_range("q", 0, 10), R.in_range("q", 0, 50)])
+    assert {r["rule_name"]: r["invalid_records"] for r in rules.results(df).collect()} == {"q_range": 89, "q_range_2": 49}
+    assert rules.split(df)[1].count() == 89

@@ -117,11 +117,89 @@ def test_scd2_history_and_lookup_ways_agree(spark):
         ("x", 1, False), ("y", 2, False), ("x", 3, True)]
     facts = spark.createDataFrame([(i, k, dt.date(2023, 12, 30) + dt.timedelta(days=3 * i)) for i in range(30) for k in ("a", "b", "c", None)],
                                   "id int, k string, day date")
-    joined = D.scd2_lookup(facts, dim, "k", "day", ["v"])
-    merged = D.scd2_lookup(facts, dim, "k", "day", ["v"], max_versions=0)
+    joined = facts.join(dim.withColumnRenamed("k", "k2"), (F.col("k") == F.col("k2")) & (F.col("day") >= F.col("effective_from"))
+                        & (F.col("day") < F.coalesce("effective_to", F.lit(dt.date(9999, 1, 1)))), "left").select("id", "k", "day", "v")
+    merged = D.scd2_lookup(facts, dim, "k", "day", ["v"])
     assert rows(joined) == rows(merged.select(*joined.columns)) and joined.count() == 120
 
 
+def test_null_and_separators_are_changes(spark):
+    changes = spark.createDataFrame([("a", None, "z", dt.date(2024, 1, 1)), ("a", "", "z", dt.date(2024, 1, 2)), ("a", "x|y", "z", dt.date(2024, 1, 3)),
+                                     ("a", "x", "y|z", dt.date(2024, 1, 4))], "k string, v string, w string, d date")
+    assert D.scd2_history(changes, "k", ["v", "w"], "d").count() == 4
+
+
+def test_overlapping_versions_have_one_answer(spark):
+    dim = spark.createDataFrame([("a", "old", dt.date(2024, 1, 1), None), ("a", "new", dt.date(2024, 1, 5), dt.date(2024, 1, 8))],
+                                "k string, v string, effective_from date, effective_to date")
+    facts = spark.createDataFrame([("a", dt.date(2024, 1, d)) for d in (2, 6, 9)], "k string, day date")
+    assert [r["v"] for r in D.scd2_lookup(facts, dim, "k", "day", ["v"]).orderBy("day").collect()] == ["old", "new", None]
+
+
+@pytest.mark.parametrize("moved,to", [("a:b", "c"), (None, "c"), ("x y/z", "ü=%"), ("007", "7")])
+def test_merge_moves_keys_between_any_partitions(spark, tmp_path, moved, to):
+    path = str(tmp_path / "t")
+    old = spark.createDataFrame([(1, moved), (2, "stays")], "k int, p string")
+    tables.merge_into_table(path, old, ["k"], ["p"])
+    counts = tables.merge_into_table(path, spark.createDataFrame([(1, to)], old.schema), ["k"], ["p"])
+    assert rows(spark.read.schema(old.schema).parquet(path)) == [(1, to), (2, "stays")]
+    assert counts == {"unchanged": 1, "updated": 1, "inserted": 0}
+
+
+def test_merge_recovers_from_a_broken_swap(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    old, new = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"), spark.createDataFrame([(2, "B")], "k int, v string")
+    tables.merge_into_table(path, old, ["k"])
+    swap = tables._swap
+
+    def half(spark, path):
+        (tmp_path / "t").rename(tmp_path / "t.old")
+        raise OSError("lost")
+
+    monkeypatch.setattr(tables, "_swap", half)
+    with pytest.raises(OSError):
+        tables.merge_into_table(path, new, ["k"])
+    monkeypatch.setattr(tables, "_swap", swap)
+    tables.merge_into_table(path, new, ["k"])
+    assert rows(spark.read.parquet(path)) == [(1, "a"), (2, "B")] and sorted(p.name for p in tmp_path.iterdir()) == ["t"]
+
+
+def test_emptied_days_are_empty(spark, tmp_path):
+    root, day = str(tmp_path), dt.date(2024, 1, 1)
+    path = tables.bronze_replace_day(spark.range(3), root, "t", day)
+    tables.bronze_replace_day(spark.range(2), root, "t", dt.date(2024, 1, 2))
+    tables.bronze_replace_day(spark.range(0), root, "t", day)
+    assert spark.read.parquet(path).count() == 2
+    days = str(tmp_path / "days")
+    frame = spark.createDataFrame([(1, dt.date(2024, 1, d)) for d in (1, 2, 3)], "v int, day date")
+    tables.write_table(frame, days, ["day"])
+    tables.overwrite_dates(frame.filter("day <> DATE'2024-01-02'"), days, "day", F.col("day") >= F.lit(dt.date(2024, 1, 2)))
+    assert sorted(r["day"].day for r in spark.read.parquet(days).collect()) == [1, 3]
+
+
+def test_statistics_of_an_append(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.write_with_stats(spark.range(10).withColumn("p", F.lit("a b")), path, ["p"])
+    stats = tables.write_with_stats(spark.range(3).withColumn("p", F.lit("a b")), path, ["p"], mode="append").first()
+    assert stats["records_written"] == 3 and stats["files_written"] >= 1
+
+
+def test_files_of_one_name_are_told_apart(spark, tmp_path):
+    from tidelake.plans import flows
+    spark.range(1).withColumn("v", F.lit(1)).coalesce(1).write.parquet(str(tmp_path / "a"))
+    spark.range(2).coalesce(1).write.parquet(str(tmp_path / "b"))
+    for name in "ab":
+        next((tmp_path / name).glob("part*.parquet")).rename(tmp_path / name / "x.parquet")
+    out = flows.landed_file_checks(spark, str(tmp_path), "x.parquet", ["id", "v"], (0, 10)).orderBy("row_count").collect()
+    assert [(r["row_count"], r["columns_ok"], r["accepted"]) for r in out] == [(1, True, True), (2, False, False)]
+
+
+def test_fuzzy_keeps_rows_without_a_name(spark):
+    from tidelake.operators.cleaning import deduplicate_fuzzy
+    df = spark.createDataFrame([(1, None), (2, "abc"), (3, None), (4, "abd")], "id int, name string")
+    assert [r["id"] for r in deduplicate_fuzzy(df, "id", "name").orderBy("id").collect()] == [1, 2, 3]
+
+
 def test_scd2_apply_twice_changes_nothing(spark):
     dim = D.scd2_history(history(spark), "k", ["v"], "d")
     snap = spark.createDataFrame([("a", "n"), ("c", "m")], "k string, v string")

@@ -165,7 +165,7 @@ def deduplicate_fuzzy(df: DataFrame, id_column: str, name: str) -> DataFrame:
 
     No pairs are formed. Every name lists its texts with one character left out. Names that leave out the same
     position and agree in the rest differ by one replacement; a name that equals another's shortened text
-    differs by one insertion. Both are minima over groups no larger than length times alphabet, because equal
+    differs by one insertion. Rows without a name are all kept. Both are minima over groups no larger than length times alphabet, because equal
     names were merged before, so copies of one name cannot make a group large.
     """
     norm = text.standardize(F.col(name), remove_special=True)
@@ -185,7 +185,8 @@ def deduplicate_fuzzy(df: DataFrame, id_column: str, name: str) -> DataFrame:
     earlier = F.least("__replaced", F.when(is_whole, F.col("__short")).otherwise(F.col("__whole")))
     dropped = seen.filter(earlier < F.col("__id")).select("__id").distinct()
     kept = names.join(dropped, "__id", "left_anti").select(F.col("__id").alias(id_column))
-    return df.join(kept, id_column, "left_semi")
+    return df.filter(F.col(name).isNotNull()).join(kept, id_column, "left_semi").select(*df.columns).unionByName(
+        df.filter(F.col(name).isNull()))
 
 
 # -- outliers ----------------------------------------------------------------------------------------------

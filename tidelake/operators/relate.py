@@ -13,7 +13,6 @@ from typing import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelake.functions.text import row_hash
 
 
 def distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -53,26 +52,17 @@ def missing_expected(previous: DataFrame, current: DataFrame, keys: Sequence[str
 
 def conformed_mismatch(left: DataFrame, right: DataFrame, key: str, attributes: Sequence[str]) -> DataFrame:
     """Keys whose attributes disagree between two tables that share a dimension, or exist on one side only."""
-    a = left.select(key, row_hash(attributes).alias("left_hash"), F.lit(True).alias("in_left"))
-    b = right.select(key, row_hash(attributes).alias("right_hash"), F.lit(True).alias("in_right"))
+    a = left.select(key, F.struct(*attributes).alias("left_values"), F.lit(True).alias("in_left"))
+    b = right.select(key, F.struct(*attributes).alias("right_values"), F.lit(True).alias("in_right"))
     status = (F.when(F.col("in_right").isNull(), "left_only").when(F.col("in_left").isNull(), "right_only")
-              .when(F.col("left_hash") != F.col("right_hash"), "different"))
+              .when(~F.col("left_values").eqNullSafe(F.col("right_values")), "different"))
     return (a.join(b, key, "full_outer").select(key, status.alias("status")).filter("status IS NOT NULL"))
 
 
 def enrich(df: DataFrame, reference: DataFrame, on: str, attributes: Sequence[str]) -> DataFrame:
-    """Left join reference attributes; the reference is reduced to one row per key, so no rows multiply."""
-    unique = reference.select(on, *attributes).dropDuplicates([on])
-    return df.join(unique, on, "left")
-
-
-def star_join(fact: DataFrame, dimensions: Mapping[str, tuple[DataFrame, str]], default: int = -1) -> DataFrame:
-    """Replace natural keys by dimension keys: ``{natural key: (dimension, surrogate)}``, unmatched → ``default``."""
-    out = fact
-    for natural, (dimension, surrogate) in dimensions.items():
-        out = out.join(dimension.select(natural, surrogate), natural, "left")
-        out = out.withColumn(surrogate, F.coalesce(F.col(surrogate), F.lit(default).cast("long")))
-    return out
+    """Left join reference attributes; of several reference rows of a key the smallest is taken, so no rows multiply."""
+    unique = reference.groupBy(on).agg(F.min(F.struct(*attributes)).alias("__found"))
+    return df.join(unique, on, "left").select(*df.columns, *[F.col(f"__found.{a}").alias(a) for a in attributes])
 
 
 def union_all(*frames: DataFrame) -> DataFrame:

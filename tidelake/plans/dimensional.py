@@ -9,7 +9,6 @@ from typing import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelake.functions.text import row_hash
 from tidelake.functions.values import date_key
 from tidelake.operators.split_window import SplitWindow
 
@@ -24,24 +23,18 @@ def surrogate_keys(df: DataFrame, natural: str, output: str, start: int = 1) ->
     return numbered.select((F.col("__n") + (start - 1)).alias(output), *df.columns)
 
 
-def hashed_keys(df: DataFrame, natural: Sequence[str], output: str) -> DataFrame:
-    """64-bit hash keys: no shuffle at all, stable across runs."""
-    return df.withColumn(output, F.xxhash64(*natural))
-
-
 # -- SCD type 2 --------------------------------------------------------------------------------------------
 
 def scd2_history(changes: DataFrame, key: str, attributes: Sequence[str], date: str) -> DataFrame:
     """Versions with ``effective_from``, ``effective_to`` (exclusive) and ``is_current`` from dated snapshots.
 
-    A version starts where the attribute hash differs from the row before. Both steps are ordered per key through
+    A version starts where the attributes differ from the row before, NULL being a value of its own. Both steps are ordered per key through
     split windows, so a key with a very long history is spread over tasks.
     """
-    hashed = changes.select(key, *attributes, F.col(date).alias("effective_from")).withColumn(
-        "__hash", row_hash(attributes))
-    steps = SplitWindow(hashed, [key], "effective_from", ["__hash"]).previous("__before", F.col("__hash"))
-    starts = steps.result().filter(F.col("__before").isNull() | (F.col("__before") != F.col("__hash")))
-    closed = SplitWindow(starts.drop("__before"), [key], "effective_from", ["__hash"], hot=steps.hot).following(
+    dated = changes.select(key, *attributes, F.col(date).alias("effective_from")).withColumn("__now", F.struct(*attributes))
+    steps = SplitWindow(dated, [key], "effective_from", list(attributes)).previous("__before", F.struct(F.col("__now").alias("was")))
+    starts = steps.result().filter(F.col("__before").isNull() | ~F.col("__before.was").eqNullSafe(F.col("__now")))
+    closed = SplitWindow(starts.drop("__before", "__now"), [key], "effective_from", list(attributes), hot=steps.hot).following(
         "effective_to", F.col("effective_from")).result()
     return closed.select(key, *attributes, "effective_from", "effective_to",
                          F.col("effective_to").isNull().alias("is_current"))
@@ -56,11 +49,10 @@ def scd2_apply(dimension: DataFrame, snapshot: DataFrame, key: str, attributes:
     columns = [key, *attributes, "effective_from", "effective_to", "is_current"]
     current = dimension.filter("is_current").select(*columns)
     past = dimension.filter(~F.col("is_current")).select(*columns)
-    new = snapshot.select(key, F.struct(*attributes).alias("__new"), row_hash(attributes).alias("__new_hash"))
-    both = current.withColumn("__old_hash", row_hash(attributes)).join(new, key, "full_outer")
-    is_new = F.col("__old_hash").isNull()
-    changed = F.col("__old_hash").isNotNull() & F.col("__new_hash").isNotNull() & (
-        F.col("__old_hash") != F.col("__new_hash"))
+    new = snapshot.select(key, F.struct(*attributes).alias("__new"))
+    both = current.withColumn("__old", F.struct(*attributes)).join(new, key, "full_outer")
+    is_new = F.col("__old").isNull()
+    changed = ~is_new & F.col("__new").isNotNull() & ~F.col("__old").eqNullSafe(F.col("__new"))
     old_row = F.when(~is_new, F.struct(
         F.col(key).alias(key), *[F.col(a).alias(a) for a in attributes], F.col("effective_from").alias("effective_from"),
         F.when(changed, as_of).otherwise(F.col("effective_to")).alias("effective_to"),
@@ -82,28 +74,22 @@ def scd2_rebuild(dimension: DataFrame, late: DataFrame, key: str, attributes: Se
     return kept.unionByName(scd2_history(known.unionByName(late.select(*known.columns)), key, attributes, date))
 
 
-def scd2_lookup(fact: DataFrame, dimension: DataFrame, key: str, date: str, attributes: Sequence[str],
-                max_versions: int = 64) -> DataFrame:
-    """Attributes valid at the fact's date.
+def scd2_lookup(fact: DataFrame, dimension: DataFrame, key: str, date: str, attributes: Sequence[str]) -> DataFrame:
+    """Attributes valid at the fact's date: those of the last version that began by then, unless it has ended.
 
-    With few versions per key this is an equality join with an interval test inside. Where a key has more than
-    ``max_versions``, facts and versions are merged into one ordered stream per key and every fact takes the last
-    version seen, so the work stays linear and a hot key is split over tasks.
+    Facts and versions are merged into one ordered stream per key, so the work stays linear however many versions a
+    key has, and a hot key is split over tasks. Where versions overlap, the one that began last counts; of those that
+    began together, the one with the largest end.
     """
-    most = dimension.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("m")).first()["m"] or 0
-    end = F.coalesce("effective_to", F.lit(OPEN_END))
-    if most <= max_versions:
-        versions = dimension.select(F.col(key).alias("__k"), *attributes, "effective_from", end.alias("__to"))
-        hit = (F.col(key) == F.col("__k")) & (F.col(date) >= F.col("effective_from")) & (F.col(date) < F.col("__to"))
-        return fact.join(versions, hit, "left").select(*fact.columns, *attributes)
+    end = F.coalesce(F.col("effective_to").cast("date"), F.lit(OPEN_END))
     version = F.struct(*attributes, end.alias("__to"))
-    starts = dimension.select(F.col(key), F.col("effective_from").alias("__at"), F.lit(0).alias("__kind"),
+    starts = dimension.select(F.col(key), F.col("effective_from").alias("__at"), F.lit(0).alias("__kind"), end.alias("__end"),
                               version.alias("__version"))
     facts = fact.select(F.col(key), F.col(date).alias("__at"), F.lit(1).alias("__kind"),
                         F.struct(*fact.columns).alias("__fact"))
     stream = starts.unionByName(facts, allowMissingColumns=True).withColumn(
         "__version", F.when(F.col(key).isNotNull(), F.col("__version")))
-    seen = SplitWindow(stream, [key], "__at", ["__kind"]).last_seen("__valid", F.col("__version")).result()
+    seen = SplitWindow(stream, [key], "__at", ["__kind", "__end"]).last_seen("__valid", F.col("__version")).result()
     valid = F.when(F.col("__at") < F.col("__valid.__to"), F.col("__valid"))
     return seen.filter("__kind = 1").select("__fact.*", *[valid[a].alias(a) for a in attributes])
 

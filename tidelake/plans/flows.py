@@ -18,7 +18,7 @@ from tidelake.operators.split_window import null_safe_join
 from tidelake.quality.rules import RuleSet
 from tidelake.quality.schema import TableSpec, enforce, require_columns
 from tidelake.sinks.tables import bronze_append, bronze_replace_day, layer_path, write_table
-from tidelake.sources.files import file_listing, high_watermark, incremental, with_lineage, with_row_hash
+from tidelake.sources.files import file_listing, incremental, with_lineage, with_row_hash
 
 
 @dataclass
@@ -140,10 +140,6 @@ def run_configured(spark: SparkSession, config: Mapping[str, Any] | str, root: s
     return spark.read.parquet(layer_path(root, "silver", cfg["name"]))
 
 
-def next_watermark(df: DataFrame, column: str) -> Any:
-    return high_watermark(df, column)
-
-
 # -- run log -----------------------------------------------------------------------------------------------
 
 # Borders of the freshness classes in hours.
@@ -187,19 +183,25 @@ def stale_fallback(df: DataFrame, date_column: str, wanted: dt.date) -> DataFram
 
 def landed_file_checks(spark: SparkSession, folder: str, pattern: str, required: Sequence[str],
                        rows: tuple[int, int], fmt: str = "parquet") -> DataFrame:
-    """Per landed file: non-empty, row count in range, required columns filled at least once."""
-    listed = file_listing(spark, folder, pattern).select(
-        F.element_at(F.split("path", "/"), -1).alias("file_name"), "size_bytes")
+    """Per landed file, told apart by its path: non-empty, row count in range, required columns filled at least once.
+
+    A column that other files have counts as missing from a file that lacks it.
+    """
+    def plain(path: Column) -> Column:  # one or three slashes after the scheme
+        return F.regexp_replace(path, "^([a-z0-9]+):/+", "$1:/")
+
+    listed = file_listing(spark, folder, pattern).select(plain(F.col("path")).alias("path"), "size_bytes")
     data = (spark.read.format(fmt).option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
-            .load(folder))
+            .option("mergeSchema", "true").load(folder))
     present = [c for c in required if c in data.columns]
     missing = len(required) - len(present)
-    counted = data.groupBy(F.col("_metadata.file_name").alias("file_name")).agg(
+    where = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    counted = data.groupBy(plain(where).alias("path")).agg(
         F.count(F.lit(1)).alias("row_count"), *[F.count(c).alias(f"__n_{c}") for c in present])
     empty = reduce(lambda a, b: a + b, [(F.coalesce(F.col(f"__n_{c}"), F.lit(0)) == 0).cast("int") for c in present],
                    F.lit(missing))
     n = F.coalesce(F.col("row_count"), F.lit(0).cast("long"))
-    return listed.join(counted, "file_name", "left").select(
-        "file_name", n.alias("row_count"), (F.col("size_bytes") > 0).alias("has_content"),
+    return listed.join(counted, "path", "left").select(
+        "path", F.element_at(F.split("path", "/"), -1).alias("file_name"), n.alias("row_count"), (F.col("size_bytes") > 0).alias("has_content"),
         n.between(*rows).alias("row_count_ok"), (empty == 0).alias("columns_ok"),
         ((F.col("size_bytes") > 0) & n.between(*rows) & (empty == 0)).alias("accepted"))

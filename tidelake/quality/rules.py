@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from enum import Enum
 from functools import reduce
 from typing import Any, Callable, Mapping, Sequence
@@ -179,13 +179,26 @@ class RuleSet:
         out.add(*[custom(n, s) for n, s in config.get("sql", {}).items()])
         return out
 
+    def named(self) -> list[Rule]:
+        """The rules, those that repeat a name told apart by a number: ``q_range``, ``q_range_2``."""
+        taken, out = {r.name for r in self.rules}, []
+        seen: set[str] = set()
+        for rule in self.rules:
+            name, n = rule.name, 1
+            while name in seen or (n > 1 and name in taken):
+                n += 1
+                name = f"{rule.name}_{n}"
+            seen.add(name)
+            out.append(replace(rule, name=name))
+        return out
+
     # -- evaluation ----------------------------------------------------------------------------------------
 
     def results(self, df: DataFrame) -> DataFrame:
         """One row per rule. A rule that cannot be analysed fails with its error; the others still run."""
         shared, single, broken = [], [], []
         masks, suspects = self._resolve(df)
-        for rule in self.rules:
+        for rule in self.named():
             try:
                 if rule.name in suspects:
                     df.select(masks[rule.name])  # raises, and says why
@@ -207,7 +220,7 @@ class RuleSet:
     def _resolve(self, df: DataFrame) -> tuple[dict[str, Column], set[str]]:
         """Masks of the row rules, and the names to look at one by one: none when all can be analysed together."""
         masks = {}
-        for rule in self.rules:
+        for rule in self.named():
             if rule.kind in ROW_KINDS:
                 try:
                     masks[rule.name] = invalid_mask(rule, df)
@@ -266,7 +279,7 @@ class RuleSet:
         """Lowest distinct offending values of the single-column row rules: ``rule_name, sample_invalid``."""
         from tidelake.operators.relate import sample_values
         parts = []
-        for rule in self.rules:
+        for rule in self.named():
             if rule.kind in (Kind.RANGE, Kind.PATTERN, Kind.ALLOWED_VALUES):
                 bad = sample_values(df, rule.columns[0], invalid_mask(rule, df), size)
                 parts.append(bad.select(F.lit(rule.name).alias("rule_name"),
@@ -276,7 +289,7 @@ class RuleSet:
         return reduce(DataFrame.unionByName, parts)
 
     def masks(self, df: DataFrame) -> dict[str, Column]:
-        return {r.name: invalid_mask(r, df) for r in self.rules if r.kind in ROW_KINDS}
+        return {r.name: invalid_mask(r, df) for r in self.named() if r.kind in ROW_KINDS}
 
     def split(self, df: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Good rows, and quarantined rows with the names of the row rules they break."""

@@ -8,14 +8,17 @@ from typing import Any, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidelake.operators.split_window import null_safe_join
-from tidelake.session import scratch
+from tidelake.session import materialise, scratch
 from tidelake.sources.files import file_listing, filesystem, path_exists
 
 # Writer presets.
 MAX_PARTITIONS = 10_000
 ROW_GROUP_ROWS = 100_000
+# Partition values up to this number become literals of a scan; beyond it a join finds the partitions.
+MAX_LITERALS = 10_000
 LAYER_CODEC = {"bronze": "snappy", "silver": "snappy", "gold": "zstd"}
 WRITE_MODES = ("overwrite", "append", "error", "errorifexists", "ignore")
 
@@ -87,9 +90,15 @@ def bronze_append(df: DataFrame, root: str, table: str, day: dt.date) -> str:
 
 
 def bronze_replace_day(df: DataFrame, root: str, table: str, day: dt.date) -> str:
-    """Replace one ``extract_date`` and leave the other days alone; running it again changes nothing."""
+    """Replace one ``extract_date`` and leave the other days alone; running it again changes nothing.
+
+    A day that is delivered empty is emptied.
+    """
     path = layer_path(root, "bronze", table)
-    write_table(df.withColumn("extract_date", F.lit(day)), path, ["extract_date"], dynamic=True, max_partitions=None)
+    rows = df.withColumn("extract_date", F.lit(day))
+    write_table(rows, path, ["extract_date"], dynamic=True, max_partitions=None)
+    if rows.isEmpty():
+        _drop_partitions(df.sparkSession, path, ["extract_date"], [(day.isoformat(),)])
     return path
 
 
@@ -112,8 +121,26 @@ def with_ymd(df: DataFrame, column: str) -> DataFrame:
 
 
 def overwrite_dates(df: DataFrame, path: str, date_column: str, dates: Column) -> None:
-    """Rewrite only the table partitions of the affected dates."""
+    """Rewrite only the table partitions of the affected dates; those that get no rows are emptied."""
+    spark = df.sparkSession
+    name = F.col(date_column).cast("string")
+    before = set()
+    if path_exists(spark, path):
+        before = {r[0] for r in spark.read.parquet(path).select(date_column).distinct().filter(dates).select(name).collect()}
     write_table(df.filter(dates), path, [date_column], dynamic=True)
+    left = {r[0] for r in df.filter(dates).select(name).distinct().collect()} if before else set()
+    _drop_partitions(spark, path, [date_column], [(d,) for d in before - left])
+
+
+def _drop_partitions(spark: SparkSession, path: str, columns: Sequence[str], values: Sequence[Sequence[str | None]]) -> None:
+    """Delete partition folders by the text of their values, named as Spark names them."""
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    fs, _ = filesystem(spark, path)
+    for one in values:
+        parts = [f"{escape(c)}={'__HIVE_DEFAULT_PARTITION__' if v is None or v == '' else escape(v)}" for c, v in zip(columns, one)]
+        target = spark._jvm.org.apache.hadoop.fs.Path(path, "/".join(parts))
+        if fs.exists(target):
+            fs.delete(target, True)
 
 
 def retention_keep(df: DataFrame, date_column: str, as_of: dt.date, days: int) -> DataFrame:
@@ -172,53 +199,71 @@ def require_unique(df: DataFrame, on: Sequence[str]) -> None:
 
 
 def merge_into_table(path: str, new: DataFrame, on: Sequence[str], partition_by: Sequence[str] = (),
-                     null_safe: bool = False) -> None:
-    """Upsert ``new`` into the table at ``path``; only partitions that hold an affected key are rewritten.
-
-    The result is written to the shared scratch folder first and moved over by a second write, because a table
-    cannot be overwritten while it is read. A failure before the second write leaves the table as it was; after
-    it, running the merge again gives the same result. On plain Parquet the final swap is not atomic for readers.
+                     null_safe: bool = False) -> dict[str, int]:
+    """Upsert ``new`` into the table at ``path`` and return the counts ``unchanged, updated, inserted``.
+
+    Without partitions a complete new version is written beside the table and takes its place by two renames; a merge
+    that broke off between them is put right by the next one. With partitions only those that hold an affected key are
+    rewritten, from a staged copy in the shared folder, which is deleted at the end; a merge that broke off gives
+    the same result when it is run again. Partition columns keep the types of ``new``. On plain Parquet the swap is
+    not atomic for readers.
     """
     spark = new.sparkSession
     require_unique(new, on)
+    _recover(spark, path)
     if not path_exists(spark, path):
         write_table(new, path, partition_by)
-        return
+        return {"unchanged": 0, "updated": 0, "inserted": new.count()}
     existing = spark.read.parquet(path)
-    staged = scratch(spark, "merge")
+    typed = {f.name: f for f in new.schema if f.name in partition_by}
+    existing = spark.read.schema(T.StructType([typed.get(f.name, f) for f in existing.schema])).parquet(path)
+    counts = merge_counts(existing, new, on, null_safe).first().asDict()
     if not partition_by:
-        write_table(merge_upsert(existing, new, on, null_safe), staged)
-        write_table(spark.read.schema(existing.schema).parquet(staged), path)
-        return
+        write_table(merge_upsert(existing, new, on, null_safe), f"{path}.next")
+        _swap(spark, path)
+        return counts
     touched = _match(existing, new, on, "left_semi", null_safe).select(*partition_by).distinct().union(
         new.select(*partition_by).distinct()).distinct()
-    # Partition values, at most MAX_PARTITIONS of them: as literals they prune the table scan.
-    values = touched.limit(MAX_PARTITIONS + 1).collect()
-    if len(values) > MAX_PARTITIONS:
-        raise PartitionLimitExceeded(f"a merge may touch at most {MAX_PARTITIONS} partitions")
-    if len(partition_by) == 1:
-        plain = [v[0] for v in values if v[0] is not None]
-        inside = F.col(partition_by[0]).isin(plain)
-        if len(plain) < len(values):
-            inside = inside | F.col(partition_by[0]).isNull()
-        affected = existing.filter(inside)
-    else:
-        affected = null_safe_join(existing, touched, partition_by, "left_semi")
-    merged = merge_upsert(affected, new, on, null_safe)
-    write_table(merged, staged, partition_by, max_partitions=None)
+    staged, marks = scratch(spark, "merge"), scratch(spark, "merge-partitions")
+    touched.write.parquet(marks)
+    touched = spark.read.schema(touched.schema).parquet(marks)
+    affected = existing
+    for column in partition_by:  # literals prune the scan, column by column
+        values = [r[0] for r in touched.select(column).distinct().limit(MAX_LITERALS + 1).collect()]
+        if len(values) <= MAX_LITERALS:
+            inside = F.col(column).isin([v for v in values if v is not None])
+            affected = affected.filter(inside | F.col(column).isNull() if None in values else inside)
+    affected = null_safe_join(affected, touched, partition_by, "left_semi")
+    write_table(merge_upsert(affected, new, on, null_safe), staged, partition_by, max_partitions=None)
     result = spark.read.schema(existing.schema).parquet(staged)
     write_table(result, path, partition_by, dynamic=True, max_partitions=None)
-    left = {tuple(r) for r in result.select(*partition_by).distinct().collect()}
-    fs, _ = filesystem(spark, path)
-    for gone in {tuple(v) for v in values} - left:  # partitions that a moved key has emptied
-        folder = "/".join(f"{k}={_partition_text(v)}" for k, v in zip(partition_by, gone))
-        target = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{folder}")
-        if fs.exists(target):
-            fs.delete(target, True)
+    emptied = null_safe_join(touched, result.select(*partition_by).distinct(), partition_by, "left_anti")
+    _drop_partitions(spark, path, partition_by, emptied.select(*[F.col(c).cast("string") for c in partition_by]).collect())
+    fs, _ = filesystem(spark, staged)
+    for done in (staged, marks):
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(done), True)
+    return counts
 
 
-def _partition_text(value: Any) -> str:
-    return "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
+def _recover(spark: SparkSession, path: str) -> None:
+    """Undo a swap that broke off: the old version returns if the new one did not arrive."""
+    fs, root = filesystem(spark, path)
+    old, new = root.suffix(".old"), root.suffix(".next")
+    if fs.exists(old):
+        if fs.exists(root):
+            fs.delete(old, True)
+        else:
+            fs.rename(old, root)
+    if fs.exists(new):
+        fs.delete(new, True)
+
+
+def _swap(spark: SparkSession, path: str) -> None:
+    fs, root = filesystem(spark, path)
+    old, new = root.suffix(".old"), root.suffix(".next")
+    if not (fs.rename(root, old) and fs.rename(new, root)):
+        raise OSError(f"{path} could not be replaced")
+    fs.delete(old, True)
 
 
 # -- quarantine, statistics, manifest, export --------------------------------------------------------------
@@ -238,13 +283,21 @@ def file_manifest(spark: SparkSession, path: str, pattern: str = "*.parquet") ->
 
 
 def write_with_stats(df: DataFrame, path: str, partition_by: Sequence[str] = (), **options: Any) -> DataFrame:
-    """Write, then report records, partitions, files, bytes, seconds and status from what is on storage."""
+    """Write, then report records, files, bytes, seconds and status of what this write added, from what is on storage."""
+    spark = df.sparkSession
+    before = spark.createDataFrame([], "path string")
+    if path_exists(spark, path) and options.get("mode") == "append":
+        before = materialise(file_listing(spark, path, "*.parquet").select("path"), "files-before")
     started = time.monotonic()
     write_table(df, path, partition_by, **options)
     seconds = round(time.monotonic() - started, 3)
-    spark = df.sparkSession
-    written = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("records_written"))
-    files = file_listing(spark, path, "*.parquet").agg(F.count(F.lit(1)).alias("files_written"),
+    rows = spark.read.parquet(path).select(F.col("_metadata.file_path").alias("path"))
+    plain = lambda c: F.regexp_replace(c, "^([a-z0-9]+):/+", "$1:/")
+    known = before.select(plain("path").alias("path"))
+    rows = rows.groupBy("path").agg(F.count(F.lit(1)).alias("n")).select(
+        plain(F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B")))).alias("path"), "n")
+    written = rows.join(known, "path", "left_anti").agg(F.coalesce(F.sum("n"), F.lit(0).cast("long")).alias("records_written"))
+    files = file_listing(spark, path, "*.parquet").withColumn("path", plain("path")).join(known, "path", "left_anti").agg(F.count(F.lit(1)).alias("files_written"),
                                                        F.coalesce(F.sum("size_bytes"), F.lit(0).cast("long"))
                                                        .alias("bytes_written"))
     return written.select(F.lit(path).alias("target_path"), "records_written",
