@@ -19,6 +19,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
+    # Rows that reach a Python worker at once: whole texts may be long.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 # Settings that must be there when the session starts.
