@@ -1,7 +1,7 @@
 """Text batches as numpy arrays, and the small helpers that several operators share.
 
-A batch of texts reaches Python as one Arrow buffer. Words and n-grams are found and hashed on that buffer, a couple of
-megabytes at a time, so that no Python object is made per word.
+A batch of texts reaches Python as one Arrow buffer. Words and n-grams are found and hashed on that buffer, some
+hundred kilobytes at a time, so that no Python object is made per word.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from typing import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 19
 # Space, tab, line feed, vertical tab, form feed, carriage return.
 SPACES = b" \t\n\v\f\r"
 
