@@ -29,7 +29,7 @@ from tidelake.llm.common import Texts, slices, windows
 
 BITS = 19
 GRAM = 5
-MAX_FEATURES, LEAST_Z = 4096, 4.0
+MAX_FEATURES, LEAST_Z = 4096, 5.0
 REPLICAS = 8
 MAX_POSITIVE, MAX_UNLABELLED = 2048, 16384
 MIN_POSITIVE = 3
