@@ -62,8 +62,11 @@ class SplitWindow:
         self.hot = hot or self._count(df, hot_rows)
         large, blocks = self.hot
         self.cold = self.cut = None
+        self.whole = self.keys
         if not blocks:
             self.cold = df
+        elif not self.keys and blocks == 1:  # no more rows than one block holds: all are one group
+            self.cold, self.whole = df.withColumn(BLOCK, F.pmod(F.hash(self.order), F.lit(1))), [BLOCK]
         else:
             rows = df
             if self.keys:
@@ -176,7 +179,7 @@ class SplitWindow:
     def _plain(self) -> DataFrame | None:
         if self.cold is None:
             return None
-        rows = self.cold.select("*", *[p.local(self.keys).alias(f"__l_{i}") for i, p in enumerate(self.parts)])
+        rows = self.cold.select("*", *[p.local(self.whole).alias(f"__l_{i}") for i, p in enumerate(self.parts)])
         return rows.select(*self._kept(), *[p.alone(F.col(f"__l_{i}")).alias(p.name) for i, p in enumerate(self.parts)])
 
     def _split(self) -> DataFrame | None:
