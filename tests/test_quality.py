@@ -162,3 +162,9 @@ def test_rules_of_one_name_are_told_apart(spark):
     rules = R.RuleSet("t", [R.in_range("q", 0, 10), R.in_range("q", 0, 50)])
     assert {r["rule_name"]: r["invalid_records"] for r in rules.results(df).collect()} == {"q_range": 89, "q_range_2": 49}
     assert rules.split(df)[1].count() == 89
+
+
+@pytest.mark.parametrize("n,want", [(3, 1.1543), (4, 1.4812), (5, 1.7150), (6, 1.8871), (50, 3.128), (100, 3.384)])
+def test_grubbs_values_are_exact_for_few_rows(n, want):
+    t = anomalies._student_quantile(n - 2, 0.05 / n)
+    assert (n - 1) / n**0.5 * (t * t / (n - 2 + t * t)) ** 0.5 == pytest.approx(want, abs=6e-4)

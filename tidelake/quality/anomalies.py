@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import math
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import lru_cache, reduce
 from statistics import NormalDist
 from typing import Any, Mapping, Sequence
 
@@ -404,15 +405,39 @@ def context_threshold(df: DataFrame, day: str, column: str, calendar: Mapping[st
     return scored.filter(z > F.col("threshold"))
 
 
+@lru_cache(maxsize=4096)
+def _student_quantile(df: int, outside: float) -> float:
+    """The t that ``|T|`` exceeds with probability ``outside``: exact sums for few degrees, an expansion for many."""
+    if df > 200:
+        z = NormalDist().inv_cdf(1 - outside / 2)
+        return (z + (z**3 + z) / (4 * df) + (5 * z**5 + 16 * z**3 + 3 * z) / (96 * df**2)
+                + (3 * z**7 + 19 * z**5 + 17 * z**3 - 15 * z) / (384 * df**3))
+
+    def inside(t: float) -> float:
+        angle = math.atan(t / math.sqrt(df))
+        cos, odd = math.cos(angle), df % 2
+        term, total = (cos, 0.0) if odd else (1.0, 0.0)
+        for k in range(2 + odd, df + 1, 2):
+            total += term
+            term *= cos * cos * (k - 1) / k
+        return 2 / math.pi * (angle + math.sin(angle) * total) if odd else math.sin(angle) * total
+
+    low, high = 0.0, 1.0
+    while inside(high) < 1 - outside:
+        high *= 2
+    for _ in range(100):
+        low, high = ((low + high) / 2, high) if inside((low + high) / 2) < 1 - outside else (low, (low + high) / 2)
+    return high
+
+
 @F.pandas_udf(T.DoubleType())
 def _grubbs_critical(n: pd.Series) -> pd.Series:
-    """Critical value at level 0.05; Student's t from the normal quantile by its expansion in 1 / df."""
+    """Critical value at level 0.05, from the quantile of Student's t."""
     def one(size: float) -> float | None:
         if size != size or size < 3:
             return None
-        df, z = size - 2, NormalDist().inv_cdf(1 - 0.05 / (2 * size))
-        t = (z + (z**3 + z) / (4 * df) + (5 * z**5 + 16 * z**3 + 3 * z) / (96 * df**2)
-             + (3 * z**7 + 19 * z**5 + 17 * z**3 - 15 * z) / (384 * df**3))
+        df = size - 2
+        t = _student_quantile(int(df), 0.05 / size)
         return (size - 1) / size**0.5 * (t * t / (df + t * t)) ** 0.5
     return n.map(one).astype("float64")
 
