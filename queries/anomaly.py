@@ -115,12 +115,23 @@ def anom_flagged_rows(t):
 WITH s AS (SELECT event_type, count(*) AS n, avg(value) AS m, stddev_samp(value) AS sd FROM events WHERE ts < TIMESTAMP '2024-01-02' GROUP BY 1)
 SELECT event_id, event_type, value FROM events JOIN s USING (event_type) WHERE ts < TIMESTAMP '2024-01-02' AND n >= 30 AND abs(value - m) > 2 * sd""")
 def anom_min_samples(t):
-    """No flags for groups below 30 samples; statistics are one row per group."""
+    """No flags for groups below 30 samples. The SQL is of the first day only; ``anom_min_samples_hourly`` has all days."""
     day = t.events.filter(F.col("ts") < F.lit("2024-01-02").cast("timestamp_ntz"))
-    stats = day.groupBy("event_type").agg(F.count("value").alias("n"), F.avg("value").alias("m"), F.stddev_samp("value").alias("sd"))
-    usable = stats.filter(F.col("n") >= anomalies.MIN_SAMPLES)
-    return (day.join(usable, "event_type").filter(F.abs(F.col("value") - F.col("m")) > 2 * F.col("sd"))
-            .select("event_id", "event_type", "value"))
+    return _grouped(day, ["event_type"]).select("event_id", "event_type", "value")
+
+
+@query("anom_min_samples_hourly", """
+WITH e AS (SELECT *, date_trunc('hour', ts) AS hour FROM events),
+s AS (SELECT event_type, hour, count(value) AS n, avg(value) AS m, stddev_samp(value) AS sd FROM e GROUP BY 1, 2)
+SELECT event_id, event_type, hour, value FROM e JOIN s USING (event_type, hour) WHERE n >= 30 AND abs(value - m) > 2 * sd""")
+def anom_min_samples_hourly(t):
+    """All events by type and hour; many of these groups are below 30 samples and flag nothing."""
+    events = t.events.withColumn("hour", F.date_trunc("hour", "ts").cast("timestamp_ntz"))
+    return _grouped(events, ["event_type", "hour"]).select("event_id", "event_type", "hour", "value")
+
+
+def _grouped(events, keys):
+    return AnomalyScan(min_samples=anomalies.MIN_SAMPLES).zscore("value", 2.0).grouped_outliers(events, keys)
 
 
 # -- tier 3 ------------------------------------------------------------------------------------------------

@@ -3,6 +3,8 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from queries import all_queries
+from tests.oracle import compare, connect
 from tidelake.quality import anomalies, rules as R
 from tidelake.quality import schema as S
 from tidelake.quality.anomalies import AnomalyScan, OutlierCheck, flag_rows, grubbs
@@ -168,3 +170,19 @@ def test_rules_of_one_name_are_told_apart(spark):
 def test_grubbs_values_are_exact_for_few_rows(n, want):
     t = anomalies._student_quantile(n - 2, 0.05 / n)
     assert (n - 1) / n**0.5 * (t * t / (n - 2 + t * t)) ** 0.5 == pytest.approx(want, abs=6e-4)
+
+
+def test_grouped_outliers_need_enough_samples(spark):
+    rows = [("big", float(i % 5)) for i in range(39)] + [("big", 90.0)] + [("small", float(i % 5)) for i in range(28)] + [("small", 90.0)]
+    scan = AnomalyScan(min_samples=30).zscore("x", 2.0)
+    assert [tuple(r) for r in scan.grouped_outliers(spark.createDataFrame(rows, "k string, x double"), ["k"]).collect()] == [("big", 90.0)]
+    with pytest.raises(ValueError):
+        AnomalyScan().iqr("x").grouped_outliers(spark.createDataFrame(rows, "k string, x double"), ["k"])
+
+
+def test_min_samples_flags_every_day(spark):
+    """At the largest scale, where hours of 30 events exist beside smaller ones."""
+    name, folder = "anom_min_samples_hourly", "/root/testdata/sf0.1"
+    out = all_queries()[0][name](spark, folder)
+    assert compare(name, out, connect(folder), all_queries()[1][name]) == ""
+    assert len({r["hour"].date() for r in out.collect()}) == 30

@@ -135,6 +135,23 @@ class AnomalyScan:
             return df.sparkSession.createDataFrame([], FINDING_SCHEMA)
         return reduce(DataFrame.unionByName, parts)
 
+    def grouped_outliers(self, df: DataFrame, keys: Sequence[str]) -> DataFrame:
+        """Rows outside a z-score check within their group of ``keys``; groups below ``min_samples`` values flag nothing.
+
+        Statistics are one row per group. As in SQL, a NULL key is in no group.
+        """
+        if not self.outliers or any(c.method != "zscore" for c in self.outliers):
+            raise ValueError("grouped outliers need z-score checks, and no others")
+        exprs, enough, outside = [], [], []
+        for i, c in enumerate(self.outliers):
+            n, mean, std = (F.col(f"__{k}_{i}") for k in ("n", "mean", "std"))
+            exprs += [F.count(c.column).alias(f"__n_{i}"), F.avg(c.column).alias(f"__mean_{i}"),
+                      F.stddev_samp(c.column).alias(f"__std_{i}")]
+            enough.append(n >= self.min_samples)
+            outside.append((n >= self.min_samples) & (F.abs(F.col(c.column) - mean) > c.low * std))
+        usable = df.groupBy(*keys).agg(*exprs).filter(reduce(lambda a, b: a | b, enough))
+        return df.join(usable, list(keys)).filter(reduce(lambda a, b: a | b, outside)).select(*df.columns)
+
     def _history_columns(self, df: DataFrame, history: DataFrame | None) -> list[str]:
         if history is None:
             return []
