@@ -58,6 +58,21 @@ def test_mix(docs, nothing):
     assert mixing.mix(nothing).count() == 0
 
 
+@pytest.mark.parametrize("large", ["one document", "a repeated id", "no id"])
+def test_mix_passes_over_what_is_too_large(spark, large):
+    """60,000 words at the cut, with half of the target used up: the 50,000 words of short documents still fit."""
+    near = {"one document": (0.04, 0.06), "a repeated id": (0.24, 0.27)}.get(large)
+    u = F.pmod(F.xxhash64(F.col("id"), F.lit("mix")), F.lit(1 << 40)) / float(1 << 40)
+    odd = spark.range(10_000, 100_000).filter(u.between(*near)).first()["id"] if near else None
+    long = [(odd, "w " * 60_000)] if large == "one document" else [(odd, "w " * 50)] * 1200
+    docs = spark.createDataFrame([(i, "w " * 50) for i in range(1000)] + long, "doc_id long, text string").withColumn("source", F.lit("a"))
+    rows = mixing.mix(docs, total=0.5).collect()
+    taken = sum(r["copies"] * r["size"] for r in rows)
+    assert len(rows) == docs.count() and abs(rows[0]["target"] - 0.25 * 110_000 * 2) < 1
+    assert abs(taken - rows[0]["target"]) <= 5_000
+    assert len({r["copies"] for r in rows if r["row"]["doc_id"] == odd}) == 1
+
+
 def test_near_duplicates(docs, nothing):
     out = near_dup.near_duplicates(docs).collect()
     assert len(out) == len(rows())
