@@ -303,3 +303,9 @@ def test_pipeline_stages(docs, nothing, spark, folder):
 def test_pipeline(spark, folder):
     out = corpus_pipeline.run(spark, folder).collect()
     assert out and max(r.offset + r.length for r in out) <= 1024
+
+
+def test_quality_trusts_every_good_label(spark):
+    labels = spark.range(60_000).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
+    trusted = quality_rules.trusted_ids(labels)
+    assert trusted.count() == 60_000 and trusted.filter("held").count() > 11_000

@@ -6,9 +6,10 @@ n-grams of ``log p_trusted - log p_raw``. Every fifth trusted document is left o
 whose score is at most ``DEVIATIONS`` standard deviations below the mean of those held-out ones, so the threshold
 follows the noise that a small trusted set brings.
 
-Both counts cover every document in one pass: each task adds up its buckets and sends at most ``2 ** BITS`` rows. The
-trusted set may be bounded (``max_trusted`` ids, taken in the order of a hash), so the set of ids can be broadcast and
-no text is shuffled. The model is one array of ``2 ** BITS`` numbers, whatever the corpus.
+Both counts cover every document in one pass: each task adds up its buckets and sends at most ``2 ** BITS`` rows. All
+ids marked good are trusted, joined to the texts as Spark chooses (texts are shuffled where the ids are too many to be
+broadcast), and the threshold covers every held-out one; for it, scores and not texts meet the ids. The model is one
+array of ``2 ** BITS`` numbers, whatever the corpus.
 
 NULL and empty texts have no words: all counts 0, score 0, base failed. Documents with a NULL id are counted and scored
 but never trusted. Repeated rows count each. With fewer than two held-out trusted documents there is no threshold and
@@ -27,7 +28,6 @@ from tidelake.llm.common import SPACES, Texts, mix, slices, sums, windows
 BITS = 16
 #: The trusted counts are drawn towards the raw ones as if this many more n-grams had been seen.
 PRIOR = 4 << BITS
-MAX_TRUSTED = 50_000
 DEVIATIONS = 3.0
 HELD_OUT = 5
 MIN_WORDS = 50
@@ -50,16 +50,14 @@ def _grams(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
     return first, words, (hashes >> np.uint64(64 - BITS)).astype(np.int64), np.concatenate([text, text[1:][same]])
 
 
-def trusted_ids(labels: DataFrame, id_column: str = "doc_id", quality: str = "quality",
-                max_trusted: int = MAX_TRUSTED) -> DataFrame:
-    """Ids marked good, at most ``max_trusted``, in the order of a hash of the id; ``held`` marks every fifth."""
+def trusted_ids(labels: DataFrame, id_column: str = "doc_id", quality: str = "quality") -> DataFrame:
+    """All ids marked good; ``held`` marks every fifth by a hash of the id."""
     return (labels.filter((F.col(quality) == 1) & F.col(id_column).isNotNull()).select(F.col(id_column).alias("doc_id"))
-            .distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_trusted)
-            .withColumn("held", F.pmod(F.xxhash64("doc_id"), F.lit(HELD_OUT)) == 0))
+            .distinct().withColumn("held", F.pmod(F.xxhash64("doc_id"), F.lit(HELD_OUT)) == 0))
 
 
 def fit(docs: DataFrame, trusted: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> np.ndarray:
-    """Log ratio per bucket from all documents of ``docs``; ``trusted`` is the bounded set of ids."""
+    """Log ratio per bucket from all documents of ``docs``; ``trusted`` has the trusted ids."""
     def count(batches):
         raw, good = np.zeros(1 << BITS, dtype=np.int64), np.zeros(1 << BITS, dtype=np.int64)
         for batch in batches:
@@ -73,7 +71,7 @@ def fit(docs: DataFrame, trusted: DataFrame, id_column: str = "doc_id", text_col
                                          names=["bucket", "raw", "good"])
 
     marked = (docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
-              .join(F.broadcast(trusted), "doc_id", "left")
+              .join(trusted, "doc_id", "left")
               .select("text", F.coalesce(~F.col("held"), F.lit(False)).alias("good")))
     counts = (marked.mapInArrow(count, "bucket bigint, raw bigint, good bigint").groupBy("bucket")
               .agg(F.sum("raw").alias("raw"), F.sum("good").alias("good")).toPandas())
@@ -140,17 +138,17 @@ def calibrate(docs: DataFrame, trusted: DataFrame, ratios: np.ndarray, id_column
               text_column: str = "text") -> float:
     """The lowest score that passes, from the held-out trusted documents that pass the base rules."""
     score = verdict(ratios, docs.sparkSession, -np.inf)
-    held = (docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
-            .join(F.broadcast(trusted.filter("held")), "doc_id").select(score("text").alias("v")))
-    # A filter on the verdict would move below the join and judge every document.
-    kept = F.when(F.col("v.kept"), F.col("v.score"))
+    # Every document is judged before the join, so that no text is shuffled for it.
+    held = (docs.select(F.col(id_column).alias("doc_id"), score(text_column).alias("v"))
+            .select("doc_id", "v.kept", "v.score").join(trusted.filter("held"), "doc_id"))
+    kept = F.when(F.col("kept"), F.col("score"))
     mean, spread = held.agg(F.avg(kept), F.stddev_samp(kept)).first()
     return -np.inf if spread is None else round(mean - DEVIATIONS * spread, 6)
 
 
-def judge(docs: DataFrame, labels: DataFrame, max_trusted: int = MAX_TRUSTED):
+def judge(docs: DataFrame, labels: DataFrame):
     """Fit on ``docs`` and ``labels``; returns the function that judges a text column."""
-    trusted = trusted_ids(labels, max_trusted=max_trusted).persist()
+    trusted = trusted_ids(labels).persist()
     ratios = fit(docs, trusted)
     threshold = calibrate(docs, trusted, ratios)
     trusted.unpersist()
