@@ -84,3 +84,9 @@ def test_grouped_quantile_ways_agree(spark):
         spark.conf.unset("tidelake.window.hotRows")
     few, many = ({r["k"]: (round(r["p"], 9), round(r["m"], 9)) for r in rows} for rows in (few, many))
     assert few == many and set(few) == {"hot", "cold", None}
+
+
+def test_grouped_quantile_has_one_way(spark):
+    """The formula does not depend on the number of values: no group goes through percentile()."""
+    plan = grouped_quantile(frame(spark), ["k"], F.col("o"), {"p": 0.95})._jdf.queryExecution().optimizedPlan().toString()
+    assert "percentile" not in plan.lower()

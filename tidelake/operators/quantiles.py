@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 
 from tidelake.operators.split_window import SplitWindow, null_safe_join
 
-MAX_DISTINCT = 500_000
 BINS = 4096
 SORTED_ROWS = 100_000
 
@@ -147,19 +146,14 @@ def _select_by_position(df: DataFrame, value: Column, r: _Range) -> dict:
 
 
 def grouped_quantile(df: DataFrame, keys: Sequence[str], value: Column, probs: Mapping[str, float],
-                     max_distinct: int = MAX_DISTINCT) -> DataFrame:
+                     max_distinct: int = 0) -> DataFrame:
     """Exact quantiles per group: ``keys`` plus one column per entry of ``probs``.
 
-    Values are counted per (group, value) first, which combines map-side. Groups whose values are few go through
-    ``percentile`` with frequencies; otherwise positions come from a split window, so that no group, however
-    large, is gathered in one task.
+    Values are counted per (group, value) first, which combines map-side; positions come from a split window, so that no
+    group, however large, is gathered in one task. ``max_distinct`` is kept for callers and has no effect.
     """
     counted = (df.select(*keys, value.cast("double").alias("__v")).filter("__v IS NOT NULL")
                .groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__n")))
-    distinct = df.agg(F.approx_count_distinct(value).alias("d")).first()["d"]
-    if distinct <= max_distinct:
-        return counted.groupBy(*keys).agg(
-            *[F.percentile("__v", F.lit(float(p)), F.col("__n")).alias(name) for name, p in probs.items()])
     sizes = counted.groupBy(*keys).agg(F.sum("__n").alias("__size"))
     placed = SplitWindow(counted, keys, "__v").total("__upto", F.col("__n")).result()
     rows = null_safe_join(placed, sizes, list(keys), "inner")
