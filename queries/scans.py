@@ -96,6 +96,16 @@ def table_row_counts(t):
     return files.row_counts({n: getattr(t, n) for n in names})
 
 
+ALL_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
+              "pages", "benchmark", "labels", "conversations")
+
+
+@query("table_row_counts_all", " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {n}" for n in ALL_TABLES))
+def table_row_counts_all(t):
+    """All given tables; the SQL of ``table_row_counts`` has the first eight."""
+    return files.row_counts({n: getattr(t, n) for n in ALL_TABLES})
+
+
 def _pages(t):
     """Events as JSON pages of up to 100 rows; some pages hold a single object, some no data at all."""
     rows = t.events.select((F.col("event_id") / 100).cast("long").alias("page"),
