@@ -62,3 +62,14 @@ def stream_volume(t):
     counts = ingest.volume_per_window(_events(t), "ts", "1 hour", "0 seconds", 10, 20)
     ingest.append_to(counts, f"{base}/out", f"{base}/checkpoint")
     return t.spark.read.parquet(f"{base}/out")
+
+
+@query("stream_volume_open", """
+WITH w AS (SELECT date_trunc('hour', ts) AS window_start, count(*) AS records FROM events GROUP BY 1)
+SELECT window_start, records, CASE WHEN records < 10 THEN 'missing' WHEN records > 20 THEN 'volatility' ELSE 'ok' END AS status FROM w""")
+def stream_volume_open(t):
+    """Every window, the last, still open hour included: counts are upserted whenever they change."""
+    base = scratch(t.spark, "stream")
+    counts = ingest.volume_per_window(_events(t), "ts", "1 hour", "0 seconds", 10, 20)
+    ingest.stream_upsert(counts, f"{base}/out", f"{base}/checkpoint", ["window_start"], lambda batch: batch, mode="update")
+    return t.spark.read.parquet(f"{base}/out")

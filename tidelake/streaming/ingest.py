@@ -36,15 +36,18 @@ def stream_to_bronze(stream: DataFrame, path: str, checkpoint: str, system: str,
 
 
 def stream_upsert(stream: DataFrame, path: str, checkpoint: str, on: Sequence[str],
-                  reduce_batch: Callable[[DataFrame], DataFrame], partition_by: Sequence[str] = ()) -> None:
+                  reduce_batch: Callable[[DataFrame], DataFrame], partition_by: Sequence[str] = (),
+                  mode: str = "append") -> None:
     """Upsert every micro-batch into a table. ``reduce_batch`` leaves one row per key.
 
+    With ``mode`` "update" a stream of counts hands on what changed, windows that are still open included.
+
     A batch that is run again after a failure merges the same rows once more, which changes nothing.
     """
     def merge(batch: DataFrame, _: int) -> None:
         merge_into_table(path, reduce_batch(batch), on, partition_by)
 
-    _drain(stream.writeStream.foreachBatch(merge), checkpoint)
+    _drain(stream.writeStream.foreachBatch(merge).outputMode(mode), checkpoint)
 
 
 def deduplicated(stream: DataFrame, ts: str, columns: Sequence[str], late_bound: str) -> DataFrame:
@@ -54,7 +57,8 @@ def deduplicated(stream: DataFrame, ts: str, columns: Sequence[str], late_bound:
 
 
 def volume_per_window(stream: DataFrame, ts: str, width: str, late_bound: str, low: int, high: int) -> DataFrame:
-    """Rows per tumbling window with a status against the expected range, emitted once the window closes."""
+    """Rows per tumbling window with a status against the expected range; in append mode emitted once the window
+    closes, in update mode whenever it changes."""
     timed = stream.withColumn("event_time", F.col(ts).cast("timestamp")).withWatermark("event_time", late_bound)
     counts = timed.groupBy(F.window("event_time", width)).agg(F.count(F.lit(1)).alias("records"))
     n = F.col("records")
