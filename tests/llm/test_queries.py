@@ -1,14 +1,19 @@
 """The registered queries against their SQL, or against plain Python where SQL cannot say it."""
 
 import collections
+import math
 import re
+import statistics
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tests.oracle import compare, connect
+from tidelake.llm import quality_rules
 from tidelake.llm.queries import ORACLES, QUERIES
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -136,3 +141,31 @@ def test_quality_verdict_follows_the_labels(spark):
               if r.doc_id in labels and not r.base_failed]
     good = [k for k, y in judged if y == 1]
     assert sum(good) > 0.99 * len(good) and sum(k for k, y in judged if y == 0) < 0.2 * (len(judged) - len(good))
+
+
+def test_quality_verdict_equals_plain_ratio(spark, folder, docs):
+    """Score, threshold and kept again, document by document; only the hashing of n-grams is shared."""
+    labels = spark.read.parquet(f"{folder}/labels.parquet").filter("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct()
+    held = {r.doc_id: r.held for r in labels.select("doc_id", F.expr("pmod(xxhash64(doc_id), 5) = 0").alias("held")).collect()}
+    grams = {}
+    for i, d in docs.items():
+        grams[i] = [int(b) for _, texts in quality_rules.slices(pa.array([d.text])) for b in quality_rules._grams(texts)[2]]
+    raw, good = collections.Counter(), collections.Counter()
+    for i, buckets in grams.items():
+        raw.update(buckets)
+        if held.get(i) is False:
+            good.update(buckets)
+    n, prior = sum(raw.values()) + 65_536, 4 * 65_536
+
+    def ratio(b):
+        expected = (raw[b] + 1) / n
+        return math.log((good[b] + prior * expected) / ((sum(good.values()) + prior) * expected))
+
+    of = {b: ratio(b) for b in raw}
+    score = {i: sum(of[b] for b in buckets) / max(len(buckets), 1) for i, buckets in grams.items()}
+    rows = {r.doc_id: r for r in QUERIES["op8_quality_rules"](spark, folder).collect()}
+    trusted = [score[i] for i in docs if held.get(i) and not rows[i].base_failed]
+    threshold = round(statistics.mean(trusted) - 3 * statistics.stdev(trusted), 6)
+    for i, r in rows.items():
+        assert r.score == pytest.approx(score[i], abs=1e-9)
+        assert r.kept == (not r.base_failed and score[i] >= threshold) or abs(score[i] - threshold) < 1e-6
