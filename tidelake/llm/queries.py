@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelake.llm import line_dedup, mixing, near_dup, packing, quality_rules, secrets, token_cache, topk, toxicity, warc
+from tidelake.llm import (bpe, collocations, line_dedup, mixing, near_dup, packing, quality_rules, secrets, token_cache, topk, toxicity,
+                          warc, whitening)
 from tidelake.session import configure, scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -157,3 +158,55 @@ def op7_toxicity(table):
     score = toxicity.scorer(toxicity.fit(docs, table("labels")), docs.sparkSession)
     return docs.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), score("text").alias("score")).withColumn(
         "predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+@query()
+def op11_whitening(table):
+    """All embeddings projected on the four leading components of their distinct vectors' covariance."""
+    return whitening.whiten(table("embeddings")).withColumnRenamed("id", "vec_id")
+
+
+@query(f"""
+WITH pieces AS (
+    SELECT lang, d, unnest(ps) AS piece, unnest(range(len(ps))) AS p
+    FROM (SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS d,
+                 string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\x0A-\x0D]') AS ps FROM documents)),
+words AS (
+    SELECT lang, d, p, unnest(ws) AS w1, unnest(range(len(ws))) AS i
+    FROM (SELECT lang, d, p, [w for w in string_split_regex(piece, '[\x20\x09]+') if w <> ''] AS ws FROM pieces)),
+runs AS (
+    SELECT lang, w1, lead(w1) OVER o AS w2, lead(w1, 2) OVER o AS w3 FROM words WINDOW o AS (PARTITION BY d, p ORDER BY i)),
+f AS (
+    SELECT lang, 1 AS m, w1 AS phrase, w1, NULL AS w2, NULL AS w3, count(*) AS f FROM runs GROUP BY ALL
+    UNION ALL SELECT lang, 2, w1 || ' ' || w2, w1, w2, NULL, count(*) FROM runs WHERE w2 IS NOT NULL GROUP BY ALL
+    UNION ALL SELECT lang, 3, w1 || ' ' || w2 || ' ' || w3, w1, w2, w3, count(*) FROM runs WHERE w3 IS NOT NULL GROUP BY ALL),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE m = 1 GROUP BY lang),
+c AS (SELECT * FROM f WHERE m > 1 AND f >= 10),
+cuts AS (
+    SELECT c.lang, c.m, c.phrase, c.f AS a, k, x.f AS l, y.f AS r,
+           (1000000::HUGEINT * c.f * c.f // (x.f::HUGEINT * y.f))::BIGINT AS score
+    FROM (SELECT *, unnest(range(1, m)) AS k FROM c) c
+    JOIN f x ON x.lang = c.lang AND x.phrase = CASE WHEN k = 1 THEN c.w1 ELSE c.w1 || ' ' || c.w2 END AND x.m = k
+    JOIN f y ON y.lang = c.lang AND y.m = c.m - k
+             AND y.phrase = CASE WHEN c.m = 2 THEN c.w2 WHEN k = 2 THEN c.w3 ELSE c.w2 || ' ' || c.w3 END),
+low AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+around AS (
+    SELECT lang, phrase, max(f) AS longer
+    FROM (SELECT lang, w1 || ' ' || w2 AS phrase, f FROM c WHERE m = 3 UNION ALL SELECT lang, w2 || ' ' || w3, f FROM c WHERE m = 3)
+    GROUP BY ALL)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM low LEFT JOIN around USING (lang, phrase) JOIN n USING (lang)
+WHERE m = 3 OR longer IS NULL OR 100 * longer < 50 * a
+QUALIFY rank <= 2000""")
+def op12_collocations(table):
+    """The 2000 best phrases of two and three words of every language."""
+    return collocations.collocations(table("documents"))
+
+
+@query()
+def op13_bpe(table):
+    """Every document encoded and decoded again."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    ids = table("documents").select("doc_id", bpe.encoder(path)("text").alias("ids"))
+    return ids.select("doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+                      F.sha2(bpe.decoder(path)("ids"), 256).alias("decoded_sha256"))
