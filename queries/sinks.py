@@ -42,6 +42,37 @@ def merge_into_table(t):
     return t.spark.read.parquet(path)
 
 
+LEVELS_SQL = """
+WITH existing AS (SELECT *, year(o_orderdate) AS y, o_orderpriority AS p FROM orders WHERE o_orderkey % 3 <> 0),
+incoming AS (SELECT o_orderkey, o_orderstatus, o_totalprice + 1 AS o_totalprice, {year} AS y, o_orderpriority AS p FROM orders WHERE {chosen})
+SELECT o_orderkey, o_orderstatus, o_totalprice, y::INTEGER AS y, p FROM existing WHERE o_orderkey NOT IN (SELECT o_orderkey FROM incoming)
+UNION ALL SELECT o_orderkey, o_orderstatus, o_totalprice, y::INTEGER, p FROM incoming"""
+
+
+def _two_levels(t, year, chosen):
+    """Two thirds of the orders stored by year and priority, then a delivery merged into them."""
+    columns = ["o_orderkey", "o_orderstatus", "o_totalprice"]
+    path = scratch(t.spark, "merge-levels")
+    stored = t.orders.filter("o_orderkey % 3 <> 0").select(*columns, F.year("o_orderdate").alias("y"), F.col("o_orderpriority").alias("p"))
+    tables.write_table(stored, path, ["y", "p"])
+    new = t.orders.filter(chosen).select("o_orderkey", "o_orderstatus", (F.col("o_totalprice") + 1).alias("o_totalprice"),
+                                         year.cast("int").alias("y"), F.col("o_orderpriority").alias("p"))
+    tables.merge_into_table(path, new, ["o_orderkey"], ["y", "p"])
+    return t.spark.read.schema(new.schema).parquet(path)
+
+
+@query("merge_two_level", LEVELS_SQL.format(year="year(o_orderdate)", chosen="o_orderdate >= TIMESTAMP '1999-07-01'"))
+def merge_two_level(t):
+    """A delivery of updated and new orders into a table of two partition levels."""
+    return _two_levels(t, F.year("o_orderdate"), "o_orderdate >= TIMESTAMP_NTZ '1999-07-01'")
+
+
+@query("merge_moved_keys", LEVELS_SQL.format(year="2050", chosen="o_orderstatus = 'P' OR year(o_orderdate) = 1996"))
+def merge_moved_keys(t):
+    """Merged orders leave their partitions for those of another year; the year 1996 is emptied."""
+    return _two_levels(t, F.lit(2050), "o_orderstatus = 'P' OR year(o_orderdate) = 1996")
+
+
 @query("merge_counts", MERGE_CTE + """
 SELECT (SELECT count(*) FROM existing WHERE o_orderkey NOT IN (SELECT o_orderkey FROM incoming)) AS unchanged,
        (SELECT count(*) FROM incoming WHERE o_orderkey IN (SELECT o_orderkey FROM existing)) AS updated,
@@ -148,6 +179,19 @@ def reprocess_dates(t):
     return t.spark.read.parquet(path)
 
 
+@query("reprocess_in_place", """
+SELECT event_id, CASE WHEN CAST(ts AS DATE) >= DATE '2024-01-20' THEN value + 100 ELSE value END AS value,
+       CAST(ts AS DATE) AS day FROM events WHERE CAST(ts AS DATE) <> DATE '2024-01-22'""")
+def reprocess_in_place(t):
+    """Days rewritten from the table itself; all rows of one of them are rejected, which empties it."""
+    path = scratch(t.spark, "silver")
+    tables.write_table(t.events.select("event_id", "value", F.to_date("ts").alias("day")), path, ["day"])
+    stored = t.spark.read.parquet(path)
+    fixed = stored.filter(F.col("day") != F.lit(dt.date(2024, 1, 22))).withColumn("value", F.col("value") + 100)
+    tables.overwrite_dates(fixed, path, "day", F.col("day") >= F.lit(dt.date(2024, 1, 20)))
+    return t.spark.read.parquet(path)
+
+
 QUARANTINE_SQL = """
 SELECT c_custkey, concat_ws(',', CASE WHEN c_acctbal < 0 THEN 'balance_positive' END,
   CASE WHEN c_mktsegment = 'MACHINERY' THEN 'segment_allowed' END)

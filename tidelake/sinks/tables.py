@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 import time
+import uuid
 from typing import Any, Mapping, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -96,8 +99,10 @@ def bronze_replace_day(df: DataFrame, root: str, table: str, day: dt.date) -> st
     """
     path = layer_path(root, "bronze", table)
     rows = df.withColumn("extract_date", F.lit(day))
+    # Asked before the write: the rows may come from the very files that it replaces.
+    empty = rows.isEmpty()
     write_table(rows, path, ["extract_date"], dynamic=True, max_partitions=None)
-    if rows.isEmpty():
+    if empty:
         _drop_partitions(df.sparkSession, path, ["extract_date"], [(day.isoformat(),)])
     return path
 
@@ -121,14 +126,21 @@ def with_ymd(df: DataFrame, column: str) -> DataFrame:
 
 
 def overwrite_dates(df: DataFrame, path: str, date_column: str, dates: Column) -> None:
-    """Rewrite only the table partitions of the affected dates; those that get no rows are emptied."""
+    """Rewrite only the table partitions of the affected dates; those that get no rows are emptied.
+
+    ``df`` may be read from the table itself: its dates are looked up before the write, and Spark replaces partitions only
+    when all of their new rows are written.
+    """
     spark = df.sparkSession
     name = F.col(date_column).cast("string")
+    rows = df.filter(dates)
+    left = {r[0] for r in rows.select(name).distinct().limit(MAX_PARTITIONS + 1).collect()}
+    if len(left) > MAX_PARTITIONS:
+        raise PartitionLimitExceeded(f"more than {MAX_PARTITIONS} partitions over {[date_column]}")
     before = set()
     if path_exists(spark, path):
         before = {r[0] for r in spark.read.parquet(path).select(date_column).distinct().filter(dates).select(name).collect()}
-    write_table(df.filter(dates), path, [date_column], dynamic=True)
-    left = {r[0] for r in df.filter(dates).select(name).distinct().collect()} if before else set()
+    write_table(rows, path, [date_column], dynamic=True, max_partitions=None)
     _drop_partitions(spark, path, [date_column], [(d,) for d in before - left])
 
 
@@ -198,55 +210,123 @@ def require_unique(df: DataFrame, on: Sequence[str]) -> None:
         raise ValueError(f"keys {list(on)} repeat in the rows to merge")
 
 
+def _within_key_range(existing: DataFrame, new: DataFrame, on: Sequence[str], null_safe: bool) -> DataFrame:
+    """Existing rows whose keys lie between the smallest and the largest new key; the bounds reach the scan as literals."""
+    bounded = [c for c in on if isinstance(new.schema[c].dataType, (T.IntegralType, T.StringType, T.DateType))]
+    if not bounded:
+        return existing
+    ends = new.agg(*[f(c).alias(f"{n}_{i}") for i, c in enumerate(bounded) for n, f in (("low", F.min), ("high", F.max))]).first()
+    for i, c in enumerate(bounded):
+        inside = F.col(c).between(ends[f"low_{i}"], ends[f"high_{i}"]) if ends[f"low_{i}"] is not None else F.lit(False)
+        existing = existing.filter(inside | F.col(c).isNull() if null_safe else inside)
+    return existing
+
+
+def key_matches(existing: DataFrame, new: DataFrame, on: Sequence[str], null_safe: bool = False) -> DataFrame:
+    """Where stored rows with a key of ``new`` lie: ``on``, ``file`` and their number ``olds``.
+
+    Only key columns are read, within the range of the new keys. ``new`` is broadcast where its size allows, so the
+    stored keys are not shuffled, and only matches are grouped.
+    """
+    keys = _within_key_range(existing, new, on, null_safe).select(*on, F.col("_metadata.file_path").alias("file"))
+    return _match(keys, new, on, "left_semi", null_safe).groupBy(*on, "file").agg(F.count(F.lit(1)).alias("olds"))
+
+
 def merge_into_table(path: str, new: DataFrame, on: Sequence[str], partition_by: Sequence[str] = (),
                      null_safe: bool = False) -> dict[str, int]:
     """Upsert ``new`` into the table at ``path`` and return the counts ``unchanged, updated, inserted``.
 
-    Without partitions a complete new version is written beside the table and takes its place by two renames; a merge
-    that broke off between them is put right by the next one. With partitions only those that hold an affected key are
-    rewritten, from a staged copy in the shared folder, which is deleted at the end; a merge that broke off gives
-    the same result when it is run again. Partition columns keep the types of ``new``. On plain Parquet the swap is
-    not atomic for readers.
+    Only files that hold an affected key are rewritten. Their other rows and the new ones are written to a folder inside
+    the table that readers do not see; then a list of files to bring in and to delete is written, which decides the
+    merge, and carried out. A merge that broke off before that list has changed nothing; one that broke off behind
+    it is finished by the next merge. Matches are counted where they are found, all rows in the files' footers. Partition columns keep
+    the types of ``new``. On plain Parquet the exchange of files is not atomic for readers; one merge may run at a time.
     """
     spark = new.sparkSession
+    new = materialise(new, "merge-rows")  # computed once, and of a known size
     require_unique(new, on)
     _recover(spark, path)
+    incoming = new.count()
     if not path_exists(spark, path):
         write_table(new, path, partition_by)
-        return {"unchanged": 0, "updated": 0, "inserted": new.count()}
+        return {"unchanged": 0, "updated": 0, "inserted": incoming}
     existing = spark.read.parquet(path)
     typed = {f.name: f for f in new.schema if f.name in partition_by}
-    existing = spark.read.schema(T.StructType([typed.get(f.name, f) for f in existing.schema])).parquet(path)
-    counts = merge_counts(existing, new, on, null_safe).first().asDict()
-    if not partition_by:
-        write_table(merge_upsert(existing, new, on, null_safe), f"{path}.next")
-        _swap(spark, path)
+    schema = T.StructType([typed.get(f.name, f) for f in existing.schema])
+    existing = spark.read.schema(schema).parquet(path)
+    matches = materialise(key_matches(existing, new, on, null_safe), "merge-matches")
+    replaced = matches.agg(F.coalesce(F.sum("olds"), F.lit(0))).first()[0]
+    updated = matches.select(*on).distinct().count()
+    counts = {"unchanged": existing.count() - replaced, "updated": updated, "inserted": incoming - updated}
+    if not incoming:
         return counts
-    touched = _match(existing, new, on, "left_semi", null_safe).select(*partition_by).distinct().union(
-        new.select(*partition_by).distinct()).distinct()
-    staged, marks = scratch(spark, "merge"), scratch(spark, "merge-partitions")
-    touched.write.parquet(marks)
-    touched = spark.read.schema(touched.schema).parquet(marks)
-    affected = existing
-    for column in partition_by:  # literals prune the scan, column by column
-        values = [r[0] for r in touched.select(column).distinct().limit(MAX_LITERALS + 1).collect()]
-        if len(values) <= MAX_LITERALS:
-            inside = F.col(column).isin([v for v in values if v is not None])
-            affected = affected.filter(inside | F.col(column).isNull() if None in values else inside)
-    affected = null_safe_join(affected, touched, partition_by, "left_semi")
-    write_table(merge_upsert(affected, new, on, null_safe), staged, partition_by, max_partitions=None)
-    result = spark.read.schema(existing.schema).parquet(staged)
-    write_table(result, path, partition_by, dynamic=True, max_partitions=None)
-    emptied = null_safe_join(touched, result.select(*partition_by).distinct(), partition_by, "left_anti")
-    _drop_partitions(spark, path, partition_by, emptied.select(*[F.col(c).cast("string") for c in partition_by]).collect())
-    fs, _ = filesystem(spark, staged)
-    for done in (staged, marks):
-        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(done), True)
+
+    hit = matches.select("file").distinct()
+    files = [unquote(r["file"]) for r in hit.limit(MAX_LITERALS + 1).collect()]
+    if len(files) <= MAX_LITERALS:
+        reader = spark.read.schema(schema).option("basePath", path)
+        affected = reader.parquet(*files) if files else spark.createDataFrame([], schema)
+    else:
+        marked = existing.select("*", F.col("_metadata.file_path").alias("__file"))
+        affected = marked.join(hit.withColumnRenamed("file", "__file"), "__file", "left_semi").select(*existing.columns)
+        files = [unquote(r["file"]) for r in hit.toLocalIterator()]
+    staged = f"{path.rstrip('/')}/{_STAGED}{uuid.uuid4().hex}"
+    write_table(merge_upsert(affected, new, on, null_safe), f"{staged}/data", partition_by, max_partitions=None)
+    _decide(spark, staged, files)
+    _swap(spark, path)
     return counts
 
 
+#: Folders with this prefix lie inside a table and hold the files of an unfinished merge.
+_STAGED = "_merge-"
+
+
+def _decide(spark: SparkSession, staged: str, remove: Sequence[str]) -> None:
+    """Write down which staged files come into the table and which files go; from here on the merge counts."""
+    fs, root = filesystem(spark, staged)
+    data = root.suffix("/data")
+    base, found, add = fs.makeQualified(data).toUri().getPath(), fs.listFiles(data, True), []
+    while found.hasNext():
+        name = found.next().getPath()
+        if not name.getName().startswith(("_", ".")):
+            add.append(name.toUri().getPath()[len(base) + 1 :])
+    out = fs.create(root.suffix("/decided.part"))
+    out.writeBytes(json.dumps({"add": add, "remove": list(remove)}))
+    out.close()
+    fs.rename(root.suffix("/decided.part"), root.suffix("/decided"))
+
+
+def _swap(spark: SparkSession, path: str) -> None:
+    """Carry out every decided merge of a table; doing it again after a break changes nothing."""
+    fs, root = filesystem(spark, path)
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    for status in fs.listStatus(root):
+        staged = status.getPath()
+        if not staged.getName().startswith(_STAGED):
+            continue
+        if fs.exists(staged.suffix("/decided")):
+            stream = fs.open(staged.suffix("/decided"))
+            plan = json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+            stream.close()
+            for name in plan["add"]:
+                source, target = at(staged.suffix("/data"), name), at(root, name)
+                if fs.exists(source):
+                    fs.mkdirs(target.getParent())
+                    if not fs.rename(source, target):
+                        raise OSError(f"{name} could not be brought into {path}")
+            for name in plan["remove"]:
+                gone = at(name)
+                fs.delete(gone, False)
+                folder = gone.getParent()
+                while folder.depth() > root.depth() and fs.exists(folder) and not fs.listStatus(folder):
+                    fs.delete(folder, True)
+                    folder = folder.getParent()
+        fs.delete(staged, True)
+
+
 def _recover(spark: SparkSession, path: str) -> None:
-    """Undo a swap that broke off: the old version returns if the new one did not arrive."""
+    """Finish a merge that broke off behind its decision, drop one that broke off before. A whole table that was being
+    exchanged by an older version returns."""
     fs, root = filesystem(spark, path)
     old, new = root.suffix(".old"), root.suffix(".next")
     if fs.exists(old):
@@ -256,14 +336,8 @@ def _recover(spark: SparkSession, path: str) -> None:
             fs.rename(old, root)
     if fs.exists(new):
         fs.delete(new, True)
-
-
-def _swap(spark: SparkSession, path: str) -> None:
-    fs, root = filesystem(spark, path)
-    old, new = root.suffix(".old"), root.suffix(".next")
-    if not (fs.rename(root, old) and fs.rename(new, root)):
-        raise OSError(f"{path} could not be replaced")
-    fs.delete(old, True)
+    if fs.exists(root):
+        _swap(spark, path)
 
 
 # -- quarantine, statistics, manifest, export --------------------------------------------------------------
