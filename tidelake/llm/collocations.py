@@ -1,14 +1,16 @@
 """Phrase collocations by prefix-free parsing.
 
-Texts are lower-cased (A-Z), cut into pieces at ``BREAKS`` and into words. Each piece is parsed into chunks: a chunk ends with
-the next *trigger*, a pair of neighbouring words whose hash is 0 modulo ``TRIGGER``, and the next chunk begins with that same
-pair. So where to cut is decided by content, equal passages give equal chunks wherever they stand, and two chunks
-overlap by two words: every phrase of up to three words lies wholly in the chunk that *owns* its first word, which is all but
-the last two words of a chunk that another one follows.
+Texts are lower-cased (A-Z), cut into pieces at ``BREAKS`` and into words. A text is parsed into chunks: a chunk ends with the
+next *trigger*, a pair of neighbouring words of one piece whose hash is 0 modulo ``TRIGGER``, and the next chunk begins with that
+same pair. So where to cut is decided by content, equal passages give equal chunks wherever they stand, and two
+chunks overlap by two words: every phrase of up to three words lies wholly in the chunk that *owns* its first word, which is
+all but the last two words of a chunk that another one follows. Words of a chunk have a blank between them, or a line feed
+where a piece ends.
 
 1. Parse: every task writes ``(lang, chunk, owned)`` rows; counting equal ones is the dictionary with its parse frequencies.
 2. Phrases are counted inside each distinct chunk, from owned first words only, times the frequency. The phrase of no words is
-   counted too: it stands once at every word, so its count is the number of words. Tasks add up before the shuffle.
+   counted too: it stands once at every word, so its count is the number of words. Tasks add up blocks of chunks and
+   shuffle them packed: one row holds all phrases of a block that share hash bucket, language and count, as lines.
 3. Phrases of at least ``LEAST`` are kept; every part of one is one too, so nothing that a score needs is lost.
 4. Candidates (two and three words) ask for the counts of the parts of their cuts. Parts that hold more than
    1/``HOT`` of all words (so at most ``2 * HOT`` of them) are broadcast; of the rest none has many candidates.
@@ -21,6 +23,8 @@ An empty table gives no phrases.
 
 from __future__ import annotations
 
+from typing import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -28,7 +32,7 @@ from pyspark.sql import functions as F
 
 from tidelake.llm.bpe import ragged
 from tidelake.llm.common import Texts, mix, slices
-from tidelake.session import materialise
+from tidelake.session import materialise, parallelism
 
 BREAKS = b".,;:!?\n\v\f\r"
 BLANKS = b" \t"
@@ -39,7 +43,9 @@ SHARE = 50
 FIRST = 2000
 HOT = 4096
 #: Bytes of chunks whose phrases are added up at once.
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 20
+#: Hash buckets of phrases for each partition of a shuffle.
+BUCKETS = 4
 
 _IS_BREAK, _IS_BLANK = np.zeros(256, dtype=bool), np.zeros(256, dtype=bool)
 _IS_BREAK[list(BREAKS)] = True
@@ -66,15 +72,18 @@ def words_of(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
     return data, starts, ends, piece
 
 
-def word_codes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A hash of every word."""
+def byte_codes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of every byte range; an empty one has hash 0."""
     lengths = ends - starts
-    if not len(starts):
-        return np.zeros(0, dtype=np.uint64)
-    powers = np.cumprod(np.full(int(lengths.max()), _STEP, dtype=np.uint64))
-    at = np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    terms = _CODES[data[ragged(starts, lengths)]] * powers[at]
-    return mix(np.add.reduceat(terms, np.cumsum(lengths) - lengths) + lengths.astype(np.uint64))
+    out = np.zeros(len(starts), dtype=np.uint64)
+    some = np.flatnonzero(lengths)
+    if len(some):
+        starts, lengths = starts[some], lengths[some]
+        first = np.cumsum(lengths) - lengths
+        powers = np.cumprod(np.full(int(lengths.max()), _STEP, dtype=np.uint64))
+        terms = _CODES[data[ragged(starts, lengths)]] * powers[ragged(np.zeros(len(some), dtype=np.int64), lengths)]
+        out[some] = mix(np.add.reduceat(terms, first) + lengths.astype(np.uint64))
+    return out
 
 
 def _strings(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
@@ -91,23 +100,21 @@ def parse(texts: Texts, trigger: int = TRIGGER) -> tuple[np.ndarray, pa.Array, n
     n = len(starts)
     if not n:
         return np.zeros(0, dtype=np.int64), pa.array([], pa.large_string()), np.zeros(0, dtype=np.int64)
-    code = word_codes(data, starts, ends)
+    code = byte_codes(data, starts, ends)
+    text = np.searchsorted(texts.offsets, starts, side="right") - 1
     with_next = np.append(piece[:-1] == piece[1:], False)
     pair = mix(code * _STEP + np.append(code[1:], np.uint64(0)))
-    head = np.concatenate([[True], ~with_next[:-1]])
-    cut = head | (with_next & (pair % np.uint64(trigger) == 0))
-    first = np.flatnonzero(cut)
+    head = np.concatenate([[True], text[1:] != text[:-1]])
+    first = np.flatnonzero(head | (with_next & (pair % np.uint64(trigger) == 0)))
     behind = np.append(first[1:], n)
-    owned = behind - first
-    # A chunk that another one of its piece follows goes on over the two words that the other begins with.
-    followed = np.append(~head[first[1:]], False)
-    last = behind + np.where(followed, 2, 0)
-    # Words with a blank behind each, one after the other; a chunk is then one range of bytes.
+    # A chunk that another one of its text follows goes on over the two words that the other begins with.
+    last = behind + np.append(np.where(head[first[1:]], 0, 2), 0)
+    # Words with what is between them behind each, one after the other; a chunk is then one range of bytes.
     lengths = ends - starts + 1
     at = np.cumsum(lengths) - lengths
     spaced = data[np.minimum(ragged(starts, lengths), len(data) - 1)]
-    spaced[at + lengths - 1] = ord(" ")
-    return np.searchsorted(texts.offsets, starts[first], side="right") - 1, _strings(spaced, at[first], at[last - 1] + lengths[last - 1] - 1), owned
+    spaced[at + lengths - 1] = np.where(with_next, ord(" "), ord("\n"))
+    return text[first], _strings(spaced, at[first], at[last - 1] + lengths[last - 1] - 1), behind - first
 
 
 def dictionary(docs: DataFrame, trigger: int = TRIGGER) -> DataFrame:
@@ -123,46 +130,68 @@ def dictionary(docs: DataFrame, trigger: int = TRIGGER) -> DataFrame:
     return parsed.groupBy("lang", "chunk", "owned").agg(F.count(F.lit(1)).alias("frequency"))
 
 
-def phrases_of(chunks: pa.Array, owned: np.ndarray, longest: int = LONGEST) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    """Phrases of 1 to ``longest`` words with an owned first word: the phrase, its number of words, its chunk."""
-    out: list[tuple] = []
+def phrases_of(chunks: pa.Array, owned: np.ndarray, longest: int = LONGEST) -> Iterator[tuple[pa.Array, np.ndarray]]:
+    """For 1 to ``longest`` words: all phrases with an owned first word, and the chunk of each."""
     for row, texts in slices(chunks, 1 << 40):
         data = texts.data
-        blank = data == ord(" ")
-        begins = np.zeros(len(data) + 1, dtype=bool)
-        begins[texts.offsets[:-1]] = True
-        starts = np.flatnonzero(begins[:-1] | np.concatenate([[False], blank[:-1]]))
-        ends = np.flatnonzero(blank | begins[1:] | (np.arange(len(data)) == len(data) - 1))
-        ends = np.where(blank[ends], ends, ends + 1)
+        starts_text = np.zeros(len(data) + 1, dtype=bool)
+        starts_text[texts.offsets] = True
+        gap = (data == ord(" ")) | (data == ord("\n"))
+        starts = np.flatnonzero(starts_text[:-1] | np.concatenate([[False], gap[:-1]])[: len(data)])
+        over = np.append(starts[1:], len(data))
+        # A word ends before the gap that follows it, or where its text does.
+        ends = np.where(starts_text[over], over, over - 1)
         chunk = np.searchsorted(texts.offsets, starts, side="right") - 1
+        piece = np.cumsum(data == ord("\n"))[starts] + chunk
         first = np.searchsorted(chunk, np.arange(texts.n))
         within = np.arange(len(starts)) - first[chunk] < owned[row + chunk]
         for words in range(1, longest + 1):
-            i = np.flatnonzero(within[: len(starts) - words + 1])
-            i = i[chunk[i] == chunk[i + words - 1]]
-            out.append((_strings(data, starts[i], ends[i + words - 1]), np.full(len(i), words), row + chunk[i]))
-    if not out:
-        return pa.array([], pa.large_string()), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-    return pa.concat_arrays([o[0] for o in out]), np.concatenate([o[1] for o in out]), np.concatenate([o[2] for o in out])
+            i = np.flatnonzero(within[: max(0, len(starts) - words + 1)])
+            i = i[(piece[i] == piece[i + words - 1]) & (chunk[i] == chunk[i + words - 1])]
+            yield _strings(data, starts[i], ends[i + words - 1]), row + chunk[i]
+
+
+def pack(code: np.ndarray, phrase: pa.Array, f: np.ndarray, buckets: int) -> tuple[np.ndarray, ...]:
+    """Rows ``(bucket, code, f, phrases)``: phrases that share the first three as lines of one text."""
+    offsets = np.frombuffer(phrase.buffers()[1], dtype=np.int64)[phrase.offset : phrase.offset + len(phrase) + 1]
+    data = np.frombuffer(phrase.buffers()[2], dtype=np.uint8) if offsets[-1] else np.zeros(0, dtype=np.uint8)
+    starts, ends = offsets[:-1], offsets[1:]
+    bucket = (byte_codes(data, starts, ends) % np.uint64(buckets)).astype(np.int64)
+    different, kind = np.unique(f, return_inverse=True)
+    key = (bucket * (int(code.max()) + 1) + code) * len(different) + kind
+    order = np.argsort(key, kind="stable")
+    key, starts, lengths = key[order], starts[order], (ends - starts)[order] + 1
+    at = np.cumsum(lengths) - lengths
+    lines = np.append(data, np.uint8(0))[ragged(starts, lengths)]
+    lines[at + lengths - 1] = ord("\n")
+    run = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    over = np.append(run[1:], len(key)) - 1
+    chosen = order[run]
+    return bucket[chosen], code[chosen], f[chosen], _strings(lines, at[run], at[over] + lengths[over] - 1)
+
 
+def counts(chunks: DataFrame, longest: int = LONGEST, least: int = LEAST) -> DataFrame:
+    """``lang, words, phrase, f`` of phrases that stand at least ``least`` times in the parsed texts; the empty phrase, of no
+    words, counts all words."""
+    buckets = BUCKETS * parallelism(chunks.sparkSession)
 
-def counts(chunks: DataFrame, longest: int = LONGEST) -> DataFrame:
-    """``lang, words, phrase, f``: how often each phrase stands in the parsed texts; the empty phrase counts all words."""
     def run(batches):
         def flush(held):
             block = pa.Table.from_batches(held)
             lang, chunk, owned, frequency = (block.column(c).combine_chunks() for c in ("lang", "chunk", "owned", "frequency"))
             own, times = owned.to_numpy(), frequency.to_numpy()
-            phrase, words, at = phrases_of(chunk, own, longest)
             langs = lang.dictionary_encode()
-            code = langs.indices.to_numpy()
-            found = pa.table({"lang": pa.array(np.concatenate([code[at], code])),
-                              "words": pa.array(np.concatenate([words, np.zeros(len(own), dtype=np.int64)]).astype(np.int32)),
-                              "phrase": pa.concat_arrays([phrase, pa.array([""] * len(own), pa.large_string())]),
-                              "f": pa.array(np.concatenate([times[at], times * own]))})
-            added = found.group_by(["lang", "words", "phrase"]).aggregate([("f", "sum")])
-            yield from pa.table({"lang": langs.dictionary.take(added["lang"]).cast(pa.string()), "words": added["words"],
-                                 "phrase": added["phrase"].cast(pa.string()), "f": added["f_sum"]}).to_batches(max_chunksize=65536)
+            of = langs.indices.to_numpy().astype(np.int64)
+            every = pa.array([""] * len(own), pa.large_string()), np.arange(len(own))
+            for n, (phrase, at) in enumerate([every, *phrases_of(chunk, own, longest)]):
+                if not len(phrase):
+                    continue
+                found = pa.table({"code": of[at], "phrase": phrase, "f": times[at] * own[at] if n == 0 else times[at]})
+                added = found.group_by(["code", "phrase"]).aggregate([("f", "sum")])
+                code, phrase, f = (added.column(c).combine_chunks() for c in ("code", "phrase", "f_sum"))
+                bucket, code, f, lines = pack(code.to_numpy(), phrase, f.to_numpy(), buckets)
+                yield pa.RecordBatch.from_arrays([pa.array(bucket.astype(np.int32)), langs.dictionary.take(pa.array(code)).cast(pa.string()),
+                                                  pa.array(f), lines.cast(pa.string())], names=["bucket", "lang", "f", "phrases"])
 
         held, size = [], 0
         for batch in batches:
@@ -174,15 +203,19 @@ def counts(chunks: DataFrame, longest: int = LONGEST) -> DataFrame:
         if held:
             yield from flush(held)
 
-    found = chunks.mapInArrow(run, "lang string, words int, phrase string, f bigint")
-    return found.groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f"))
+    packed = chunks.mapInArrow(run, "bucket int, lang string, f bigint, phrases string").repartition("bucket")
+    # A phrase is in one bucket only, so this grouping needs no further exchange.
+    added = (packed.select("bucket", "lang", "f", F.explode(F.split("phrases", "\n")).alias("phrase"))
+             .groupBy("bucket", "lang", "phrase").agg(F.sum("f").alias("f")))
+    words = F.when(F.col("phrase") == "", 0).otherwise(F.length("phrase") - F.length(F.replace("phrase", F.lit(" "), F.lit(""))) + 1)
+    return added.filter((F.col("f") >= least) | (F.col("phrase") == "")).select("lang", words.alias("words"), "phrase", "f")
 
 
 def collocations(docs: DataFrame, lang_column: str = "lang", text_column: str = "text", least: int = LEAST, share: int = SHARE,
                  first: int = FIRST, trigger: int = TRIGGER) -> DataFrame:
     """``lang, rank, phrase, a, l, r, n, score``: the best phrases of every language."""
     texts = docs.select(F.coalesce(lang_column, F.lit("und")).alias("lang"), F.col(text_column).alias("text"))
-    frequent = materialise(counts(dictionary(texts, trigger)).filter((F.col("f") >= least) | (F.col("words") == 0)), "phrases")
+    frequent = materialise(counts(dictionary(texts, trigger), least=least), "phrases")
     total = frequent.filter("words = 0").select("lang", F.col("f").alias("n"))
     word = lambda i: F.split("phrase", " ")[i]
     candidates = frequent.filter("words > 1").select(
