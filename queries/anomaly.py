@@ -8,7 +8,7 @@ from queries.cleaning import GAPS_SQL, gaps
 from queries.registry import query
 from queries.series import DAILY_SQL, daily
 from tidelake.operators.density import density_noise as noise_points
-from tidelake.quality import anomalies
+from tidelake.quality import anomalies, rules
 from tidelake.quality.anomalies import AnomalyScan, OutlierCheck, flag_rows
 
 # Events with injected outliers, and the last ten days as "current" against the days before.
@@ -219,6 +219,41 @@ def quick_anomaly(t):
     return anomalies.quick_scan(spiked(t), ["event_id"], ["value"]).select(*SHOWN)
 
 
+SAMPLES_SQL = SPIKED_SQL + f""", e AS (SELECT event_id, ts, user_id, event_type, CASE WHEN event_id % 501 = 0 THEN -value ELSE value END AS value FROM spiked),
+i AS (SELECT quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3 FROM e),
+b(check_id, lo, hi, q1, q3, text) AS (
+  SELECT 'outlier_iqr_value', q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1), q1, q3, 'iqr' FROM i
+  UNION ALL SELECT 'outlier_iqr_value_2', q1 - 3 * (q3 - q1), q3 + 3 * (q3 - q1), q1, q3, 'iqr' FROM i
+  UNION ALL SELECT 'outlier_zscore_value', avg(value) - 3 * stddev_samp(value), avg(value) + 3 * stddev_samp(value), NULL, NULL, 'zscore' FROM e
+  UNION ALL SELECT 'validation_value_negative', 0, NULL, NULL, NULL, NULL),
+hit AS (SELECT check_id, value, event_id, greatest(lo - value, value - hi) AS far, round(q1, 4) AS q1, round(q3, 4) AS q3, round(q3 - q1, 4) AS iqr FROM e, b WHERE value < lo OR value > hi),
+s AS (SELECT *, row_number() OVER (PARTITION BY check_id ORDER BY far DESC, CAST(value AS VARCHAR)) AS nth FROM hit)
+SELECT check_id AS anomaly_id, any_value(q1) AS q1, any_value(q3) AS q3, any_value(iqr) AS iqr, count(*) AS affected_records,
+  string_agg(printf('%.2f', value), '|' ORDER BY nth) FILTER (nth <= 10) AS sample_values, least(count(*), 10) AS sample_records
+FROM s GROUP BY 1"""
+
+
+@query("anom_samples", SAMPLES_SQL)
+def anom_samples(t):
+    """Findings with the most extreme values and what each bound was made of; a method that repeats has ids of its own."""
+    events = spiked(t).withColumn("value", F.when(F.col("event_id") % 501 == 0, -F.col("value")).otherwise(F.col("value")))
+    scan = AnomalyScan("events").non_negative("value").iqr("value").iqr("value", 3.0, "high").zscore("value")
+    out = scan.detailed(events, detected_at=dt.datetime(2024, 2, 1))
+    two = F.transform("sample_values", lambda v: F.format_string("%.2f", v.cast("double")))
+    return out.select("anomaly_id", *[F.round(F.col("details")[k], 4).alias(k) for k in ("q1", "q3", "iqr")], "affected_records",
+                      F.array_join(two, "|").alias("sample_values"), F.size("sample_records").cast("long").alias("sample_records"))
+
+
+@query("tier_actions", FULL_SQL + """
+, p(tier, act) AS (VALUES (1, 'block'), (2, 'flag'), (3, 'alert'))
+SELECT p.tier::INTEGER AS tier, count(found.tier) AS findings, coalesce(sum(affected_records), 0)::BIGINT AS affected_records,
+  CASE WHEN count(found.tier) > 0 THEN any_value(act) ELSE 'pass' END AS action
+FROM p LEFT JOIN found ON p.tier = found.tier GROUP BY p.tier""")
+def tier_actions(t):
+    """Blocked, flagged or alerted, by the tier of the findings."""
+    return rules.tier_actions(_full(t))
+
+
 # -- documented checks -------------------------------------------------------------------------------------
 
 @query("grubbs", """
@@ -290,3 +325,49 @@ SELECT event_id, cur.user_id, value, lo AS seen_min, hi AS seen_max FROM cur JOI
 def historical_range(t):
     now, was = halves(t)
     return anomalies.historical_range(now, was, "user_id", "value").select("event_id", "user_id", "value", "seen_min", "seen_max")
+
+
+# Published two-sided critical values of Grubbs' test at level 0.05, by group size from 3.
+GRUBBS_PUBLISHED = [1.1543, 1.4812, 1.7150, 1.8871, 2.0200, 2.1266, 2.2150, 2.2900, 2.3547, 2.4116, 2.4620, 2.5073, 2.5483, 2.5857, 2.6200,
+                    2.6516, 2.6809, 2.7082]
+
+
+@query("grubbs_small_groups", SPIKED_SQL + f""", k AS (SELECT unnest({GRUBBS_PUBLISHED}) AS critical, unnest(range(3, 21)) AS size),
+s AS (SELECT user_id, event_type, count(value) AS n, avg(value) AS m, stddev_samp(value) AS sd, min(value) AS lo, max(value) AS hi FROM spiked GROUP BY 1, 2)
+SELECT user_id, event_type, n, greatest(hi - m, m - lo) / sd > critical AS is_outlier FROM s JOIN k ON n = size WHERE sd > 0
+  AND abs(greatest(hi - m, m - lo) / sd - critical) > 0.0001""")
+def grubbs_small_groups(t):
+    """Verdicts for groups of 3 to 20 values against published critical values (but for values that those round away)."""
+    out = anomalies.grubbs(spiked(t), ["user_id", "event_type"], "value", critical=True).filter("n BETWEEN 3 AND 20 AND std > 0")
+    return out.filter(F.abs(F.col("g") - F.round("critical", 4)) > 0.0001).select("user_id", "event_type", "n", "is_outlier")
+
+
+@query("velocity_check", SPLIT_SQL + """, a AS (SELECT event_id, user_id, ts, value, 0 AS now FROM hist UNION ALL SELECT event_id, user_id, ts, value * 3, 1 FROM cur),
+w AS (SELECT *, lag(ts) OVER o AS t0, lag(value) OVER o AS v0 FROM a WINDOW o AS (PARTITION BY user_id ORDER BY ts, now, event_id)),
+r AS (SELECT *, (value - v0) / nullif((epoch_us(ts) - epoch_us(t0)) / 3.6e9, 0) AS rate FROM w WHERE t0 IS NOT NULL),
+p AS (SELECT user_id, min(rate) AS lo, max(rate) AS hi FROM r WHERE now = 0 GROUP BY 1)
+SELECT event_id, r.user_id, round(rate, 4) AS rate, round(lo, 4) AS min_rate, round(hi, 4) AS max_rate FROM r JOIN p ON r.user_id = p.user_id
+WHERE now = 1 AND (rate < lo OR rate > hi)""")
+def velocity_check(t):
+    """Readings that rise or fall faster than their user's ever did; the first of each user follows the last of the days before."""
+    now, was = halves(t)
+    out = anomalies.velocity_check(now.withColumn("value", F.col("value") * 3), was, "user_id", "ts", "value", ["event_id"])
+    return out.select("event_id", "user_id", *[F.round(c, 4).alias(c) for c in ("rate", "min_rate", "max_rate")])
+
+
+POLISH = "".join(f""", p{i} AS (SELECT * REPLACE (r - coalesce(median(r) FILTER (usual) OVER (PARTITION BY flag, {g}), 0) AS r) FROM p{i - 1})"""
+                 for i, g in enumerate(["weekday", "week"] * 3, 1))
+
+
+@query("context_season", f"""
+WITH d AS (SELECT l_returnflag AS flag, CAST(l_shipdate AS DATE) AS day, sum(l_quantity) AS total FROM lineitem GROUP BY 1, 2),
+p0 AS (SELECT *, dayofweek(day) AS weekday, weekofyear(day) AS week, NOT (month(day) = 12 AND day(day) = 24) AS usual, CAST(total AS DOUBLE) AS r FROM d){POLISH},
+q AS (SELECT * REPLACE (r - median(r) FILTER (usual) OVER (PARTITION BY flag) AS r) FROM p6),
+s AS (SELECT *, median(abs(r)) FILTER (usual) OVER (PARTITION BY flag) / 0.6745 AS spread FROM q)
+SELECT flag, day, total, round(total - r, 4) AS expected, round(r / spread, 4) AS score, NOT usual AS is_event FROM s WHERE abs(r / spread) > 2.5""")
+def context_season(t):
+    """Days away from what their weekday and week of the year lead to expect; Christmas Eves shape nothing but are judged."""
+    daily_lines = t.lineitem.groupBy(F.col("l_returnflag").alias("flag"), F.to_date("l_shipdate").alias("day")).agg(F.sum("l_quantity").alias("total"))
+    eves = [dt.date(y, 12, 24) for y in range(1995, 2003)]
+    out = anomalies.context_season(daily_lines, ["flag"], "total", eves, 2.5)
+    return out.withColumns({c: F.round(c, 4) for c in ("expected", "score")})

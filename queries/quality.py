@@ -59,6 +59,22 @@ def rule_samples(t):
     return RuleSet("lines", [R.allowed("flag", ["A", "R"]), R.in_range("quantity", None, 40)]).samples(gaps(t))
 
 
+@query("rule_results_with_samples", GAPS_SQL + """, n AS (SELECT count(*) AS n FROM gaps),
+r(rule_name, i, samples) AS (
+  SELECT 'flag_allowed', count(*) FILTER (flag NOT IN ('A', 'R')), (SELECT string_agg(flag, '|' ORDER BY flag) FROM (SELECT DISTINCT flag FROM gaps WHERE flag NOT IN ('A', 'R'))) FROM gaps
+  UNION ALL SELECT 'quantity_range', count(*) FILTER (quantity > 40), (SELECT string_agg(CAST(quantity AS VARCHAR), '|' ORDER BY quantity) FROM
+    (SELECT DISTINCT quantity FROM gaps WHERE quantity > 40 ORDER BY quantity LIMIT 3)) FROM gaps
+  UNION ALL SELECT 'l_orderkey_range', count(*) FILTER (l_orderkey < 5 OR l_orderkey > 900), (SELECT string_agg(CAST(l_orderkey AS VARCHAR), '|' ORDER BY l_orderkey) FROM
+    (SELECT DISTINCT l_orderkey FROM gaps WHERE l_orderkey < 5 OR l_orderkey > 900 ORDER BY l_orderkey LIMIT 3)) FROM gaps
+  UNION ALL SELECT 'quantity_not_null', count(*) - count(quantity), '' FROM gaps)
+SELECT rule_name, n AS total_records, i AS invalid_records, coalesce(samples, '') AS sample_invalid FROM r, n""")
+def rule_results_with_samples(t):
+    """Four rules with their lowest offending values; one scan counts, one finds the samples of all rules."""
+    rules = RuleSet("lines", [R.allowed("flag", ["A", "R"]), R.in_range("quantity", None, 40), R.in_range("l_orderkey", 5, 900), R.not_null("quantity")])
+    out = rules.results_with_samples(gaps(t), 3)
+    return out.select("rule_name", "total_records", "invalid_records", F.array_join("sample_invalid", "|").alias("sample_invalid"))
+
+
 @query("rule_referential", _rule("l_partkey_in_parts", "referential",
                                  "count(*) FILTER (l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size <= 45))", "lineitem"))
 def rule_referential(t):
@@ -145,6 +161,16 @@ def quick_validate(t):
         "rule_name", "passed", "invalid_records")
 
 
+@query("quality_gate", ALL_SQL + """
+SELECT CASE WHEN count(*) FILTER (i > 0 AND severity IN ('critical', 'error')) > 0 THEN 'quarantine' WHEN count(*) FILTER (i > 0) > 0 THEN 'warn' ELSE 'pass' END AS decision,
+  count(*) FILTER (i > 0) AS failed_rules FROM r, n""")
+def quality_gate(t):
+    """The decision of a gate that does not raise, and what it rests on."""
+    results = _all_rules(t).results(gaps(t))
+    decision = R.gate(results, fail_on_critical=False)
+    return R.report(results).select(F.lit(decision).alias("decision"), "failed_rules")
+
+
 @query("component_quality_score", ALL_SQL + """, v AS (SELECT rule_name, (n - i) / n AS s FROM r, n)
 SELECT round(avg(s) FILTER (rule_name = 'quantity_not_null'), 6) AS completeness,
   round(avg(s) FILTER (rule_name IN ('quantity_range', 'flag_pattern', 'flag_allowed')), 6) AS validity,

@@ -9,19 +9,18 @@ from __future__ import annotations
 
 import datetime as dt
 import json
-import math
 from dataclasses import dataclass, field
-from functools import lru_cache, reduce
-from statistics import NormalDist
-from typing import Any, Mapping, Sequence
+from functools import reduce
+from typing import Any, Mapping, NamedTuple, Sequence
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from tidelake.functions.distributions import bound, student_quantile
 from tidelake.operators.quantiles import column_stats, exact_quantiles
 from tidelake.operators.series import daily_totals, rolling_deviation
+from tidelake.operators.split_window import SplitWindow
+from tidelake.session import materialise
 
 # Default thresholds, severities and penalty weights.
 IQR_MULTIPLIER = 1.5
@@ -34,10 +33,13 @@ DROP_PCT = 50.0
 NULL_SHARE = {"critical": 0.1, "high": 0.01}
 PENALTY = {"low": 1, "medium": 5, "high": 15, "critical": 50}
 MIN_SAMPLES = 30
+SAMPLES = 10
 
 FINDING_SCHEMA = ("anomaly_id string, tier int, anomaly_type string, severity string, column_name string, "
                   "affected_records bigint, value double, lower_bound double, upper_bound double, "
                   "deviation_score double")
+DETAIL_SCHEMA = FINDING_SCHEMA + (", description string, detected_at timestamp_ntz, details map<string,double>, "
+                                  "sample_values array<string>, sample_records array<string>")
 
 
 @dataclass
@@ -120,20 +122,53 @@ class AnomalyScan:
 
     def findings(self, df: DataFrame, history: DataFrame | None = None) -> DataFrame:
         """One row per anomaly over all three tiers; every count comes from one aggregate over ``df``."""
+        one, rows, rolling = self._evaluate(df, history)
+        parts = [_explode(one, rows)] if rows else []
+        parts += [_explode(frame, [finding]) for frame, finding in rolling]
+        if not parts:
+            return df.sparkSession.createDataFrame([], FINDING_SCHEMA)
+        return reduce(DataFrame.unionByName, parts).drop("pos")
+
+    def detailed(self, df: DataFrame, history: DataFrame | None = None, detected_at: dt.datetime | None = None,
+                 samples: int = SAMPLES) -> DataFrame:
+        """Findings with a description, the time, what a bound was made of (q1, q3, iqr, mean ...), and the ``samples`` most
+        extreme offending values and rows (as JSON).
+
+        One more scan serves the samples of all checks: violations are stacked as (check, row), and each task keeps the
+        first ones of a check before anything is shuffled.
+        """
+        one, rows, rolling = self._evaluate(df, history)
+        parts = []
+        if rows:
+            parts.append(_explode(one, rows, True).join(_samples(df, rows, samples), "pos", "left"))
+        for frame, finding in rolling:
+            none = F.lit(None).cast("array<string>")
+            parts.append(_explode(frame, [finding], True).withColumns({"sample_values": none, "sample_records": none}))
+        if not parts:
+            return df.sparkSession.createDataFrame([], DETAIL_SCHEMA)
+        empty, at = F.array().cast("array<string>"), detected_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        out = reduce(DataFrame.unionByName, parts).withColumns({
+            "detected_at": F.lit(str(at)).cast("timestamp_ntz"), **{c: F.coalesce(c, empty) for c in ("sample_values", "sample_records")}})
+        return out.select(*[f.rsplit(" ", 1)[0].strip() for f in DETAIL_SCHEMA.split(", ")])
+
+    def _evaluate(self, df: DataFrame, history: DataFrame | None) -> tuple[DataFrame | None, list[_Finding], list[tuple[DataFrame, _Finding]]]:
+        """The aggregated row with the findings that are read from it, and a row for each rolling check; ids are distinct."""
         exprs: dict[str, Column] = {"n": F.count(F.lit(1))}
         rows = [*self._tier_one(df, exprs), *self._tier_two(df, exprs), *self._tier_three(df, history, exprs)]
-        parts = []
+        rolling = [self._rolling(df, *r) for r in self.rolling]
+        taken: dict[str, int] = {}
+        for finding in [*rows, *[f for _, f in rolling]]:
+            # Checks that repeat on a column are told apart by a number.
+            taken[finding.anomaly_id] = count = taken.get(finding.anomaly_id, 0) + 1
+            finding.anomaly_id += f"_{count}" if count > 1 else ""
+        one = None
         if rows:
             one = df.agg(*[e.alias(name) for name, e in exprs.items()])
             past = self._history_columns(df, history)
             if past:  # one struct-valued scalar: history is read once, and never joined
                 sums = history.agg(F.struct(*[F.sum(c).alias(c) for c in past]).alias("h"))
                 one = one.withColumn("h", sums.scalar())
-            parts.append(_explode(one, rows))
-        parts += [self._rolling(df, *r) for r in self.rolling]
-        if not parts:
-            return df.sparkSession.createDataFrame([], FINDING_SCHEMA)
-        return reduce(DataFrame.unionByName, parts)
+        return one, rows, rolling
 
     def grouped_outliers(self, df: DataFrame, keys: Sequence[str]) -> DataFrame:
         """Rows outside a z-score check within their group of ``keys``; groups below ``min_samples`` values flag nothing.
@@ -159,6 +194,7 @@ class AnomalyScan:
 
     def _tier_one(self, df: DataFrame, exprs: dict[str, Column]) -> list[_Finding]:
         rows = []
+        # The ids here and below are fixed values that others look findings up by.
 
         def counted(mask: Column) -> Column:
             name = f"c{len(exprs)}"
@@ -168,24 +204,31 @@ class AnomalyScan:
         for c in self.required:
             if c not in df.columns:
                 rows.append(_Finding(f"validation_{c}_missing", 1, "validation", F.lit("critical"), c, F.col("n"),
-                                     always=True))
+                                     always=True, text=F.lit(f"required column '{c}' is absent")))
                 continue
             count = counted(F.col(c).isNull())
             share = F.coalesce(F.try_divide(count, F.col("n")), F.lit(0.0))
             severity = (F.when(share > NULL_SHARE["critical"], "critical").when(share > NULL_SHARE["high"], "high")
                         .otherwise("medium"))
-            rows.append(_Finding(f"validation_{c}_nulls", 1, "validation", severity, c, count, value=count))
+            rows.append(_Finding(f"validation_{c}_nulls", 1, "validation", severity, c, count, value=count, mask=F.col(c).isNull(),
+                                 text=F.format_string(f"'{_plain(c)}' is NULL in %d rows (%.2f%%)", count, share * 100)))
         for c in [p for p in self.positive if p in df.columns]:
             count = counted(F.col(c) < 0)
             exprs[f"low_{c}"] = F.min(c)
             rows.append(_Finding(f"validation_{c}_negative", 1, "validation", F.lit("high"), c, count,
-                                 value=F.col(f"low_{c}")))
+                                 value=F.col(f"low_{c}"), mask=F.col(c) < 0, shown=F.col(c), extreme=-F.col(c).cast("double"),
+                                 text=F.format_string(f"'{_plain(c)}' is negative in %d rows", count)))
         for c, as_of in [d for d in self.dates if d[0] in df.columns]:
-            rows.append(_Finding(f"validation_{c}_future", 1, "validation", F.lit("medium"), c,
-                                 counted(F.to_date(c) > F.lit(as_of))))
+            late = F.to_date(c) > F.lit(as_of)
+            count = counted(late)
+            rows.append(_Finding(f"validation_{c}_future", 1, "validation", F.lit("medium"), c, count, mask=late, shown=F.col(c),
+                                 extreme=F.unix_date(F.to_date(c)).cast("double"),
+                                 text=F.format_string(f"'{_plain(c)}' lies after {as_of} in %d rows", count)))
         for name, valid in self.rules:
             broken = ~(F.expr(valid) if isinstance(valid, str) else valid)
-            rows.append(_Finding(f"validation_{name}", 1, "validation", F.lit("medium"), name, counted(broken)))
+            count = counted(broken)
+            rows.append(_Finding(f"validation_{name}", 1, "validation", F.lit("medium"), name, count, mask=broken,
+                                 text=F.format_string(f"rule '{_plain(name)}' is broken by %d rows", count)))
         return rows
 
     def _tier_two(self, df: DataFrame, exprs: dict[str, Column]) -> list[_Finding]:
@@ -193,10 +236,10 @@ class AnomalyScan:
         if not checks:
             return []
         rows = []
-        for i, (check, bound) in enumerate(zip(checks, outlier_bounds(df, checks, self.min_samples))):
-            if bound is None:
+        for i, (check, limits) in enumerate(zip(checks, outlier_bounds(df, checks, self.min_samples))):
+            if limits is None:
                 continue
-            low, high, centre, spread = bound
+            low, high, centre, spread, details = limits
             x = F.col(check.column)
             outside = (x < low) | (x > high)
             exprs[f"outside_{i}"] = F.count_if(outside)
@@ -205,7 +248,10 @@ class AnomalyScan:
                 exprs[f"score_{i}"] = F.max(F.when(outside, F.abs(x - centre) / spread))
                 score = F.col(f"score_{i}")
             rows.append(_Finding(f"outlier_{check.method}_{check.column}", 2, "outlier", F.lit(check.severity),
-                                 check.column, F.col(f"outside_{i}"), low=low, high=high, score=score))
+                                 check.column, F.col(f"outside_{i}"), low=low, high=high, score=score, mask=outside, shown=x,
+                                 extreme=F.greatest(low - x, x - high).cast("double"), details=details,
+                                 text=F.format_string(f"'{_plain(check.column)}' lies outside [%.2f, %.2f] in %d rows ({check.method})",
+                                                      F.lit(low).cast("double"), F.lit(high).cast("double"), F.col(f"outside_{i}"))))
         return rows
 
     def _tier_three(self, df: DataFrame, history: DataFrame | None, exprs: dict[str, Column]) -> list[_Finding]:
@@ -219,29 +265,47 @@ class AnomalyScan:
             hit = change > threshold if kind == "spike" else -change > 100.0 - threshold
             score = change if kind == "spike" else -change
             rows.append(_Finding(f"volatility_{kind}_{c}", 3, "volatility", F.lit(severity), c, n, value=now,
-                                 score=score, when=hit))
+                                 score=score, when=hit, details={"threshold_pct": threshold},
+                                 text=F.format_string(f"'{_plain(c)}' changed by %.1f%% against history ({kind})", change)))
         for low, high, severity in self.volumes:
+            text = F.format_string(f"%d rows, expected {low} to {high}", n)
             rows.append(_Finding("volatility_volume_low", 3, "missing", F.lit(severity), "_record_count", low - n,
-                                 value=n, low=low, high=high, when=n < low))
+                                 value=n, low=low, high=high, when=n < low, text=text))
             rows.append(_Finding("volatility_volume_high", 3, "volatility", F.lit(severity), "_record_count", n - high,
-                                 value=n, low=low, high=high, when=n > high))
+                                 value=n, low=low, high=high, when=n > high, text=text))
         return rows
 
     @staticmethod
     def _rolling(df: DataFrame, column: str, date_column: str, window_size: int, n_std: float,
-                 severity: str) -> DataFrame:
+                 severity: str) -> tuple[DataFrame, _Finding]:
         daily = daily_totals(df, [], date_column, column).withColumn("series", F.lit(column))
         flagged = rolling_deviation(daily, ["series"], "total", window_size, n_std)
         one = flagged.agg(F.count(F.when(F.col("is_deviation"), F.lit(1))).alias("c"),
                           F.max(F.when(F.col("is_deviation"), F.abs(F.col("total") - F.col("rolling_mean")) /
                                        F.nullif(F.col("rolling_std"), F.lit(0.0)))).alias("s"))
-        return _explode(one, [_Finding(f"volatility_rolling_{column}", 3, "volatility", F.lit(severity), column,
-                                       F.col("c"), score=F.col("s"))])
+        return one, _Finding(f"volatility_rolling_{column}", 3, "volatility", F.lit(severity), column, F.col("c"), score=F.col("s"),
+                             text=F.format_string(f"daily '{_plain(column)}' left its {window_size}-day band on %d days", F.col("c")),
+                             details={"window": window_size, "deviations": n_std})
+
+
+def _plain(text: str) -> str:
+    """Text inside a format."""
+    return text.replace("%", "%%")
+
+
+class Bound(NamedTuple):
+    """What a check accepts, the centre and unit of its score, and what they were made of."""
+
+    low: float
+    high: float
+    centre: float | None
+    spread: float | None
+    details: dict[str, float]
 
 
 def outlier_bounds(df: DataFrame, checks: Sequence[OutlierCheck],
-                   min_samples: int = 0) -> list[tuple[float, float, float | None, float | None] | None]:
-    """(low, high, centre, spread) per check, None where it does not apply; at most four jobs for any number."""
+                   min_samples: int = 0) -> list[Bound | None]:
+    """The bound of each check, None where it does not apply; at most four jobs for any number."""
     columns = {c.column: F.col(c.column) for c in checks}
     stats = column_stats(df, columns)
     wanted: dict[str, set[float]] = {}
@@ -255,23 +319,24 @@ def outlier_bounds(df: DataFrame, checks: Sequence[OutlierCheck],
     spreads = {}
     if centres:
         spreads = exact_quantiles(df, *_distances(columns, centres, stats))
-    out: list[tuple[float, float, float | None, float | None] | None] = []
+    out: list[Bound | None] = []
     for check in checks:
         s, q = stats[check.column], quantiles.get(check.column, {})
-        bound = None
+        limits = None
         if s["n"] and s["n"] >= min_samples:
             if check.method == "iqr":
-                reach = check.low * (q[0.75] - q[0.25])
-                bound = (q[0.25] - reach, q[0.75] + reach, None, None)
+                iqr = q[0.75] - q[0.25]
+                limits = Bound(q[0.25] - check.low * iqr, q[0.75] + check.low * iqr, None, None, {"q1": q[0.25], "q3": q[0.75], "iqr": iqr})
             elif check.method == "zscore" and s["std"]:
-                bound = (s["mean"] - check.low * s["std"], s["mean"] + check.low * s["std"], s["mean"], s["std"])
+                reach = check.low * s["std"]
+                limits = Bound(s["mean"] - reach, s["mean"] + reach, s["mean"], s["std"], {"mean": s["mean"], "std": s["std"]})
             elif check.method == "mad" and spreads[check.column][0.5]:
-                unit = spreads[check.column][0.5] / MAD_SCALE
-                centre = centres[check.column]
-                bound = (centre - check.low * unit, centre + check.low * unit, centre, unit)
+                mad, centre = spreads[check.column][0.5], centres[check.column]
+                unit = mad / MAD_SCALE
+                limits = Bound(centre - check.low * unit, centre + check.low * unit, centre, unit, {"median": centre, "mad": mad})
             elif check.method == "percentile":
-                bound = (q[check.low], q[check.high], None, None)
-        out.append(bound)
+                limits = Bound(q[check.low], q[check.high], None, None, {"lower": check.low, "upper": check.high})
+        out.append(limits)
     return out
 
 
@@ -285,10 +350,10 @@ def _distances(columns: Mapping[str, Column], centres: Mapping[str, float], stat
 
 def flag_rows(df: DataFrame, check: OutlierCheck, min_samples: int = 0) -> DataFrame:
     """Rows outside the bounds of one check; the bounds are literals that reach the scan."""
-    bound = outlier_bounds(df, [check], min_samples)[0]
-    if bound is None:
+    limits = outlier_bounds(df, [check], min_samples)[0]
+    if limits is None:
         return df.filter(F.lit(False))
-    return df.filter((F.col(check.column) < bound[0]) | (F.col(check.column) > bound[1]))
+    return df.filter((F.col(check.column) < limits[0]) | (F.col(check.column) > limits[1]))
 
 
 @dataclass
@@ -307,9 +372,30 @@ class _Finding:
     score: Column | None = None
     when: Column | None = None
     always: bool = False
-
-
-def _explode(one: DataFrame, found: Sequence[_Finding]) -> DataFrame:
+    text: Column | None = None
+    details: Mapping[str, float] = field(default_factory=dict)
+    mask: Column | None = None
+    shown: Column | None = None
+    extreme: Column | None = None
+
+
+def _samples(df: DataFrame, found: Sequence[_Finding], size: int) -> DataFrame:
+    """``pos, sample_values, sample_records``: the most extreme rows of each check, ties by value and then by a hash of the row."""
+    no_number, no_text = F.lit(None).cast("double"), F.lit(None).cast("string")
+    cells = [F.when(f.mask, F.struct(F.lit(pos).alias("pos"), (no_number if f.extreme is None else f.extreme).alias("extreme"),
+                                     (no_text if f.shown is None else f.shown.cast("string")).alias("shown")))
+             for pos, f in enumerate(found) if f.mask is not None]
+    if not cells:
+        return df.sparkSession.createDataFrame([], "pos int, sample_values array<string>, sample_records array<string>")
+    broken = df.select(F.struct(*[df[f"`{c}`"] for c in df.columns]).alias("row"), F.inline(F.array_compact(F.array(*cells))))
+    order = Window.partitionBy("pos").orderBy(F.desc("extreme"), "shown", F.xxhash64("row"))
+    first = broken.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= size)
+    kept = first.groupBy("pos").agg(F.sort_array(F.collect_list(F.struct("nth", "shown", F.to_json("row").alias("record")))).alias("s"))
+    return kept.select("pos", F.filter(F.transform("s", lambda x: x["shown"]), F.isnotnull).alias("sample_values"),
+                       F.transform("s", lambda x: x["record"]).alias("sample_records"))
+
+
+def _explode(one: DataFrame, found: Sequence[_Finding], detail: bool = False) -> DataFrame:
     """One row per check that hit; what is fixed comes from literal arrays indexed by position."""
     none = F.lit(None).cast("double")
     cells = []
@@ -317,7 +403,8 @@ def _explode(one: DataFrame, found: Sequence[_Finding]) -> DataFrame:
         hit = F.lit(True) if f.always else (f.when if f.when is not None else f.affected > 0)
         cells.append(F.struct(hit.alias("hit"), f.affected.cast("long").alias("affected"), f.severity.alias("severity"),
                               (none if f.value is None else f.value.cast("double")).alias("value"),
-                              (none if f.score is None else f.score.cast("double")).alias("score")))
+                              (none if f.score is None else f.score.cast("double")).alias("score"),
+                              *([f.text.alias("description")] if detail else [])))
     rows = one.select(F.posexplode(F.array(*cells)).alias("pos", "c")).filter("c.hit")
 
     def fixed(values: Sequence[Any], dtype: str) -> Column:
@@ -328,7 +415,8 @@ def _explode(one: DataFrame, found: Sequence[_Finding]) -> DataFrame:
         fixed([f.kind for f in found], "string").alias("anomaly_type"), F.col("c.severity").alias("severity"),
         fixed([f.column for f in found], "string").alias("column_name"), F.col("c.affected").alias("affected_records"),
         F.col("c.value").alias("value"), fixed([f.low for f in found], "double").alias("lower_bound"),
-        fixed([f.high for f in found], "double").alias("upper_bound"), F.col("c.score").alias("deviation_score"))
+        fixed([f.high for f in found], "double").alias("upper_bound"), F.col("c.score").alias("deviation_score"), "pos",
+        *([F.col("c.description").alias("description"), fixed([f.details for f in found], "map<string,double>").alias("details")] if detail else []))
 
 
 # -- reports -----------------------------------------------------------------------------------------------
@@ -405,6 +493,51 @@ def historical_range(current: DataFrame, history: DataFrame, key: str, column: s
     return current.join(seen, key).filter((F.col(column) < F.col("seen_min")) | (F.col(column) > F.col("seen_max")))
 
 
+def velocity_check(current: DataFrame, history: DataFrame, key: str, ts: str, value: str, tiebreak: Sequence[str] = ()) -> DataFrame:
+    """Current readings whose change per hour since the key's previous reading lies outside the range of its past rates.
+
+    The previous reading may lie in ``history``: both tables form one stream per key, ordered through a split window, so a
+    key with very many readings is spread over tasks. Readings without a predecessor or at its very moment have no
+    rate; keys without a past rate pass.
+    """
+    columns = [key, ts, value, *tiebreak]
+    stream = history.select(*columns, F.lit(0).alias("__now")).unionByName(current.select(*columns, F.lit(1).alias("__now")))
+    stream = stream.filter(F.col(key).isNotNull() & F.col(value).isNotNull())
+    seen = SplitWindow(stream, [key], ts, ["__now", *tiebreak]).previous("__before", F.struct(F.col(ts).alias("at"), F.col(value).alias("was"))).result()
+    micros = lambda c: F.unix_micros(c.cast("timestamp"))
+    hours = (micros(F.col(ts)) - micros(F.col("__before.at"))) / 3.6e9
+    rates = seen.withColumn("rate", (F.col(value) - F.col("__before.was")) / F.nullif(hours, F.lit(0.0))).filter("rate IS NOT NULL")
+    rates = materialise(rates.drop("__before"), "rates")
+    past = rates.filter("__now = 0").groupBy(key).agg(F.min("rate").alias("min_rate"), F.max("rate").alias("max_rate"))
+    return rates.filter("__now = 1").drop("__now").join(past, key).filter((F.col("rate") < F.col("min_rate")) | (F.col("rate") > F.col("max_rate")))
+
+
+def context_season(daily: DataFrame, keys: Sequence[str], value: str, events: Sequence[dt.date] = (), threshold: float = MAD_THRESHOLD,
+                   rounds: int = 3) -> DataFrame:
+    """Days beyond ``threshold`` modified z-scores of what weekday and week of the year lead to expect.
+
+    Median polish: medians of the weekdays, then of the weeks, are taken out of what is left, ``rounds`` times; the median absolute
+    residual of a series is its spread. ``events`` (holidays, campaigns) shape neither medians nor spread, but are
+    judged. One row per series and day in, so a window never holds more than the days of one series.
+    """
+    day = F.col("day")
+    usual = ~day.isin(list(events)) if events else F.lit(True)
+    rest = daily.select(*keys, "day", value, F.dayofweek(day).alias("__weekday"), F.weekofyear(day).alias("__week"), usual.alias("__usual"),
+                        F.col(value).cast("double").alias("residual"))
+
+    def median(column: str, *groups: str) -> Column:
+        return F.coalesce(F.median(F.when(F.col("__usual"), F.col(column))).over(Window.partitionBy(*keys, *groups)), F.lit(0.0))
+
+    for _ in range(rounds):
+        for group in ("__weekday", "__week"):
+            rest = rest.withColumn("residual", F.col("residual") - median("residual", group))
+    spread = rest.withColumn("residual", F.col("residual") - median("residual")).withColumn("__size", F.abs("residual")).withColumn(
+        "spread", median("__size") / MAD_SCALE)
+    score = F.col("residual") / F.nullif(F.col("spread"), F.lit(0.0))
+    out = spread.select(*keys, "day", value, (F.col(value) - F.col("residual")).alias("expected"), score.alias("score"), (~F.col("__usual")).alias("is_event"))
+    return out.filter(F.abs("score") > threshold)
+
+
 def context_threshold(df: DataFrame, day: str, column: str, calendar: Mapping[str, float] | None = None,
                       base: float = 2.0, weekend: float = 3.0) -> DataFrame:
     """Flag values beyond a day-dependent number of deviations of their weekday.
@@ -422,41 +555,11 @@ def context_threshold(df: DataFrame, day: str, column: str, calendar: Mapping[st
     return scored.filter(z > F.col("threshold"))
 
 
-@lru_cache(maxsize=4096)
-def _student_quantile(df: int, outside: float) -> float:
-    """The t that ``|T|`` exceeds with probability ``outside``: exact sums for few degrees, an expansion for many."""
-    if df > 200:
-        z = NormalDist().inv_cdf(1 - outside / 2)
-        return (z + (z**3 + z) / (4 * df) + (5 * z**5 + 16 * z**3 + 3 * z) / (96 * df**2)
-                + (3 * z**7 + 19 * z**5 + 17 * z**3 - 15 * z) / (384 * df**3))
-
-    def inside(t: float) -> float:
-        angle = math.atan(t / math.sqrt(df))
-        cos, odd = math.cos(angle), df % 2
-        term, total = (cos, 0.0) if odd else (1.0, 0.0)
-        for k in range(2 + odd, df + 1, 2):
-            total += term
-            term *= cos * cos * (k - 1) / k
-        return 2 / math.pi * (angle + math.sin(angle) * total) if odd else math.sin(angle) * total
-
-    low, high = 0.0, 1.0
-    while inside(high) < 1 - outside:
-        high *= 2
-    for _ in range(100):
-        low, high = ((low + high) / 2, high) if inside((low + high) / 2) < 1 - outside else (low, (low + high) / 2)
-    return high
-
-
-@F.pandas_udf(T.DoubleType())
-def _grubbs_critical(n: pd.Series) -> pd.Series:
-    """Critical value at level 0.05, from the quantile of Student's t."""
-    def one(size: float) -> float | None:
-        if size != size or size < 3:
-            return None
-        df = size - 2
-        t = _student_quantile(int(df), 0.05 / size)
-        return (size - 1) / size**0.5 * (t * t / (df + t * t)) ** 0.5
-    return n.map(one).astype("float64")
+def grubbs_critical(n: Column, level: float = 0.05) -> Column:
+    """Two-sided critical value of Grubbs' test for groups of ``n`` values, from the quantile of Student's t; NULL below three."""
+    size = n.cast("double")
+    value = bound(student_quantile(n - 2, F.lit(level) / n), lambda t: (size - 1) / F.sqrt(size) * F.sqrt(t * t / (size - 2 + t * t)))
+    return F.when(n >= 3, value)
 
 
 def grubbs(df: DataFrame, keys: Sequence[str], column: str, critical: bool = False) -> DataFrame:
@@ -472,7 +575,7 @@ def grubbs(df: DataFrame, keys: Sequence[str], column: str, critical: bool = Fal
     out = stats.withColumn("g", far / F.nullif(F.col("std"), F.lit(0.0)))
     if not critical:
         return out
-    return out.withColumn("critical", _grubbs_critical(F.col("n").cast("double"))).withColumn(
+    return out.withColumn("critical", grubbs_critical(F.col("n"))).withColumn(
         "is_outlier", F.coalesce(F.col("g") > F.col("critical"), F.lit(False)))
 
 

@@ -15,7 +15,7 @@ from functools import reduce
 from typing import Any, Callable, Mapping, Sequence
 
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -276,17 +276,37 @@ class RuleSet:
             F.col("total").alias("n"), F.col("orphans").alias("i"))
 
     def samples(self, df: DataFrame, size: int = SAMPLE_SIZE) -> DataFrame:
-        """Lowest distinct offending values of the single-column row rules: ``rule_name, sample_invalid``."""
-        from tidelake.operators.relate import sample_values
-        parts = []
-        for rule in self.named():
-            if rule.kind in (Kind.RANGE, Kind.PATTERN, Kind.ALLOWED_VALUES):
-                bad = sample_values(df, rule.columns[0], invalid_mask(rule, df), size)
-                parts.append(bad.select(F.lit(rule.name).alias("rule_name"),
-                                        F.col(rule.columns[0]).cast("string").alias("sample_invalid")))
-        if not parts:
-            return df.sparkSession.createDataFrame([], "rule_name string, sample_invalid string")
-        return reduce(DataFrame.unionByName, parts)
+        """Lowest distinct offending values of the single-column row rules: ``rule_name, sample_invalid``.
+
+        One scan for all rules: violations are stacked as (rule, value), equal ones melt together before the shuffle, and
+        each task hands on ``size`` values per rule. Values are ordered as their column orders them.
+        """
+        ranked, text = self._offending(df, size), F.col("shown")
+        return ranked.select("rule_name", text.alias("sample_invalid"))
+
+    def _offending(self, df: DataFrame, size: int) -> DataFrame:
+        """``rule_name, nth, shown``: the lowest distinct offending values, NULL left out."""
+        rules = [r for r in self.named() if r.kind in (Kind.RANGE, Kind.PATTERN, Kind.ALLOWED_VALUES)]
+        if not rules:
+            return df.sparkSession.createDataFrame([], "rule_name string, nth int, shown string")
+        columns = sorted({r.columns[0] for r in rules})
+        # One field per column keeps the type, and so the order, of each value.
+        none = {c: F.lit(None).cast(df.schema[c].dataType) for c in columns}
+        cells = [F.when(invalid_mask(r, df) & F.col(r.columns[0]).isNotNull(), F.struct(
+            F.lit(r.name).alias("rule_name"), *[(F.col(c) if c == r.columns[0] else none[c]).alias(f"v{i}") for i, c in enumerate(columns)]))
+            for r in rules]
+        stacked = df.select(F.inline(F.array_compact(F.array(*cells)))).distinct()
+        places = [f"v{i}" for i in range(len(columns))]
+        order = Window.partitionBy("rule_name").orderBy(*places)
+        first = stacked.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= size)
+        return first.select("rule_name", "nth", F.coalesce(*[F.col(p).cast("string") for p in places]).alias("shown"))
+
+    def results_with_samples(self, df: DataFrame, size: int = SAMPLE_SIZE) -> DataFrame:
+        """The results, with ``sample_invalid``: up to ``size`` offending values of each rule, lowest first."""
+        found = self._offending(df, size).groupBy("rule_name").agg(F.sort_array(F.collect_list(F.struct("nth", "shown"))).alias("s"))
+        shown = found.select("rule_name", F.transform("s", lambda x: x["shown"]).alias("sample_invalid"))
+        return self.results(df).join(shown, "rule_name", "left").withColumn(
+            "sample_invalid", F.coalesce("sample_invalid", F.array().cast("array<string>")))
 
     def masks(self, df: DataFrame) -> dict[str, Column]:
         return {r.name: invalid_mask(r, df) for r in self.named() if r.kind in ROW_KINDS}
@@ -381,6 +401,32 @@ def gate(results: DataFrame, fail_on_critical: bool = True) -> str:
     return "warn" if row["failed_rules"] else "pass"
 
 
+# What a failed check does in each tier, in rising order of consequence.
+TIER_POLICY = {1: "block", 2: "flag", 3: "alert"}
+ACTIONS = ("pass", "alert", "flag", "block")
+
+
+def tier_actions(findings: DataFrame, policy: Mapping[int, str] = TIER_POLICY) -> DataFrame:
+    """What each tier's findings lead to: one row per tier of ``policy`` with its findings, affected records and action."""
+    unknown = set(policy.values()) - set(ACTIONS)
+    if unknown:
+        raise ValueError(f"unknown actions {sorted(unknown)}")
+    tiers = findings.sparkSession.createDataFrame([(t, a) for t, a in sorted(policy.items())], "tier int, on_finding string")
+    per_tier = findings.groupBy("tier").agg(F.count(F.lit(1)).alias("findings"), F.sum("affected_records").alias("affected_records"))
+    zero = F.lit(0).cast("long")
+    out = tiers.join(per_tier, "tier", "left").withColumns({c: F.coalesce(c, zero) for c in ("findings", "affected_records")})
+    return out.select("tier", "findings", "affected_records", F.when(F.col("findings") > 0, F.col("on_finding")).otherwise("pass").alias("action"))
+
+
+def gate_tiers(findings: DataFrame, policy: Mapping[int, str] = TIER_POLICY) -> str:
+    """The gravest action of all tiers; ``block`` raises. Only one row per tier reaches the driver."""
+    rows = tier_actions(findings, policy).collect()
+    worst = max((r["action"] for r in rows), key=ACTIONS.index, default="pass")
+    if worst == "block":
+        raise QualityGateError("; ".join(f"tier {r['tier']}: {r['findings']} findings" for r in rows if r["action"] == "block"))
+    return worst
+
+
 def rules_to_json(rules: RuleSet) -> str:
     return json.dumps([{"name": r.name, "kind": r.kind.value, "columns": list(r.columns),
                         "severity": r.severity.value, "params": dict(r.params)} for r in rules.rules], default=str)
