@@ -10,7 +10,8 @@ where a piece ends.
 1. Parse: every task writes ``(lang, chunk, owned)`` rows; counting equal ones is the dictionary with its parse frequencies.
 2. Phrases are counted inside each distinct chunk, from owned first words only, times the frequency. The phrase of no words is
    counted too: it stands once at every word, so its count is the number of words. Tasks add up blocks of chunks and
-   shuffle them packed: one row holds all phrases of a block that share hash bucket, language and count, as lines.
+   shuffle them packed: one row holds the phrases of a block that share hash bucket and language, compressed. A bucket is added
+   up by itself; there are as many as the text has times ``BUCKET_BYTES``.
 3. Phrases of at least ``LEAST`` are kept; every part of one is one too, so nothing that a score needs is lost.
 4. Candidates (two and three words) ask for the counts of the parts of their cuts. Parts that hold more than
    1/``HOT`` of all words (so at most ``2 * HOT`` of them) are broadcast; of the rest none has many candidates.
@@ -27,6 +28,8 @@ from typing import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,8 +47,12 @@ FIRST = 2000
 HOT = 4096
 #: Bytes of chunks whose phrases are added up at once.
 BLOCK_BYTES = 1 << 20
-#: Hash buckets of phrases for each partition of a shuffle.
-BUCKETS = 4
+#: Bytes of text for each hash bucket of phrases: a bucket's phrases are added up at once.
+BUCKET_BYTES = 4 << 20
+#: Phrases of a packed row at most.
+LINES = 4096
+#: Groups of tasks whose best phrases meet before those of a language do.
+GROUPS = 64
 
 _IS_BREAK, _IS_BLANK = np.zeros(256, dtype=bool), np.zeros(256, dtype=bool)
 _IS_BREAK[list(BREAKS)] = True
@@ -151,30 +158,41 @@ def phrases_of(chunks: pa.Array, owned: np.ndarray, longest: int = LONGEST) -> I
             yield _strings(data, starts[i], ends[i + words - 1]), row + chunk[i]
 
 
-def pack(code: np.ndarray, phrase: pa.Array, f: np.ndarray, buckets: int) -> tuple[np.ndarray, ...]:
-    """Rows ``(bucket, code, f, phrases)``: phrases that share the first three as lines of one text."""
+def pack(code: np.ndarray, phrase: pa.Array, f: np.ndarray, buckets: int) -> Iterator[tuple[int, int, int, bytes]]:
+    """Rows ``(bucket, code, n, blob)``: up to ``LINES`` phrases that share bucket and code, compressed behind their counts."""
     offsets = np.frombuffer(phrase.buffers()[1], dtype=np.int64)[phrase.offset : phrase.offset + len(phrase) + 1]
     data = np.frombuffer(phrase.buffers()[2], dtype=np.uint8) if offsets[-1] else np.zeros(0, dtype=np.uint8)
     starts, ends = offsets[:-1], offsets[1:]
-    bucket = (byte_codes(data, starts, ends) % np.uint64(buckets)).astype(np.int64)
-    different, kind = np.unique(f, return_inverse=True)
-    key = (bucket * (int(code.max()) + 1) + code) * len(different) + kind
+    key = (byte_codes(data, starts, ends) % np.uint64(buckets)).astype(np.int64) + code * buckets
     order = np.argsort(key, kind="stable")
-    key, starts, lengths = key[order], starts[order], (ends - starts)[order] + 1
+    key, starts, lengths, f = key[order], starts[order], (ends - starts)[order] + 1, f[order].astype("<i8")
     at = np.cumsum(lengths) - lengths
     lines = np.append(data, np.uint8(0))[ragged(starts, lengths)]
     lines[at + lengths - 1] = ord("\n")
+    press = zstandard.ZstdCompressor()
     run = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-    over = np.append(run[1:], len(key)) - 1
-    chosen = order[run]
-    return bucket[chosen], code[chosen], f[chosen], _strings(lines, at[run], at[over] + lengths[over] - 1)
-
-
-def counts(chunks: DataFrame, longest: int = LONGEST, least: int = LEAST) -> DataFrame:
+    for first, over in zip(run.tolist(), [*run[1:].tolist(), len(key)]):
+        for i in range(first, over, LINES):
+            j = min(over, i + LINES)
+            text = lines[at[i] : at[j - 1] + lengths[j - 1]].tobytes()
+            yield int(key[first]) % buckets, int(key[first]) // buckets, j - i, press.compress(f[i:j].tobytes() + text)
+
+
+def unpack(n: np.ndarray, blobs: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+    """The phrases and counts of packed rows, one after the other."""
+    press = zstandard.ZstdDecompressor()
+    raw = [press.decompress(b) for b in blobs]
+    f = np.concatenate([np.frombuffer(r, dtype="<i8", count=k) for r, k in zip(raw, n)])
+    data = np.frombuffer(b"".join(r[8 * k :] for r, k in zip(raw, n)), dtype=np.uint8)
+    breaks = np.flatnonzero(data == ord("\n"))
+    # Line feeds go; what is left are the phrases end to end.
+    offsets = np.append(0, breaks - np.arange(len(breaks)))
+    return pa.Array.from_buffers(pa.large_string(), len(breaks), [None, pa.py_buffer(offsets), pa.py_buffer(data[data != ord("\n")])]), f
+
+
+def counts(chunks: DataFrame, buckets: int, longest: int = LONGEST, least: int = LEAST) -> DataFrame:
     """``lang, words, phrase, f`` of phrases that stand at least ``least`` times in the parsed texts; the empty phrase, of no
-    words, counts all words."""
-    buckets = BUCKETS * parallelism(chunks.sparkSession)
-
+    words, counts all words. ``buckets`` is how many parts phrases are dealt into, each added up by itself."""
     def run(batches):
         def flush(held):
             block = pa.Table.from_batches(held)
@@ -183,15 +201,17 @@ def counts(chunks: DataFrame, longest: int = LONGEST, least: int = LEAST) -> Dat
             langs = lang.dictionary_encode()
             of = langs.indices.to_numpy().astype(np.int64)
             every = pa.array([""] * len(own), pa.large_string()), np.arange(len(own))
+            codes, phrases, times_of = [], [], []
             for n, (phrase, at) in enumerate([every, *phrases_of(chunk, own, longest)]):
-                if not len(phrase):
-                    continue
                 found = pa.table({"code": of[at], "phrase": phrase, "f": times[at] * own[at] if n == 0 else times[at]})
                 added = found.group_by(["code", "phrase"]).aggregate([("f", "sum")])
-                code, phrase, f = (added.column(c).combine_chunks() for c in ("code", "phrase", "f_sum"))
-                bucket, code, f, lines = pack(code.to_numpy(), phrase, f.to_numpy(), buckets)
-                yield pa.RecordBatch.from_arrays([pa.array(bucket.astype(np.int32)), langs.dictionary.take(pa.array(code)).cast(pa.string()),
-                                                  pa.array(f), lines.cast(pa.string())], names=["bucket", "lang", "f", "phrases"])
+                codes.append(added["code"].to_numpy())
+                phrases.append(added["phrase"].combine_chunks())
+                times_of.append(added["f_sum"].to_numpy())
+            rows = list(pack(np.concatenate(codes), pa.concat_arrays(phrases), np.concatenate(times_of), buckets))
+            bucket, code, n, blob = zip(*rows)
+            yield pa.RecordBatch.from_arrays([pa.array(bucket, pa.int32()), langs.dictionary.take(pa.array(code)).cast(pa.string()),
+                                              pa.array(n, pa.int32()), pa.array(blob, pa.binary())], names=["bucket", "lang", "n", "blob"])
 
         held, size = [], 0
         for batch in batches:
@@ -203,19 +223,27 @@ def counts(chunks: DataFrame, longest: int = LONGEST, least: int = LEAST) -> Dat
         if held:
             yield from flush(held)
 
-    packed = chunks.mapInArrow(run, "bucket int, lang string, f bigint, phrases string").repartition("bucket")
-    # A phrase is in one bucket only, so this grouping needs no further exchange.
-    added = (packed.select("bucket", "lang", "f", F.explode(F.split("phrases", "\n")).alias("phrase"))
-             .groupBy("bucket", "lang", "phrase").agg(F.sum("f").alias("f")))
-    words = F.when(F.col("phrase") == "", 0).otherwise(F.length("phrase") - F.length(F.replace("phrase", F.lit(" "), F.lit(""))) + 1)
-    return added.filter((F.col("f") >= least) | (F.col("phrase") == "")).select("lang", words.alias("words"), "phrase", "f")
+    def add(part: pa.Table) -> pa.Table:
+        n, langs = part["n"].to_numpy(), part["lang"].combine_chunks().dictionary_encode()
+        phrase, f = unpack(n, part["blob"].to_pylist())
+        found = pa.table({"code": np.repeat(langs.indices.to_numpy(), n), "phrase": phrase, "f": f})
+        added = found.group_by(["code", "phrase"]).aggregate([("f", "sum")])
+        kept = added.filter(pc.or_(pc.greater_equal(added["f_sum"], least), pc.equal(added["phrase"], "")))
+        words = pc.if_else(pc.equal(kept["phrase"], ""), 0, pc.add(pc.count_substring(kept["phrase"], " "), 1))
+        return pa.table({"lang": langs.dictionary.take(kept["code"].combine_chunks()).cast(pa.string()), "words": words.cast(pa.int32()),
+                         "phrase": kept["phrase"].cast(pa.string()), "f": kept["f_sum"]})
+
+    packed = chunks.mapInArrow(run, "bucket int, lang string, n int, blob binary")
+    return packed.groupBy("bucket").applyInArrow(add, "lang string, words int, phrase string, f bigint")
 
 
 def collocations(docs: DataFrame, lang_column: str = "lang", text_column: str = "text", least: int = LEAST, share: int = SHARE,
                  first: int = FIRST, trigger: int = TRIGGER) -> DataFrame:
     """``lang, rank, phrase, a, l, r, n, score``: the best phrases of every language."""
     texts = docs.select(F.coalesce(lang_column, F.lit("und")).alias("lang"), F.col(text_column).alias("text"))
-    frequent = materialise(counts(dictionary(texts, trigger), least=least), "phrases")
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(parallelism(docs.sparkSession), -(-size // BUCKET_BYTES))
+    frequent = materialise(counts(dictionary(texts, trigger), buckets, least=least), "phrases")
     total = frequent.filter("words = 0").select("lang", F.col("f").alias("n"))
     word = lambda i: F.split("phrase", " ")[i]
     candidates = frequent.filter("words > 1").select(
@@ -249,6 +277,9 @@ def collocations(docs: DataFrame, lang_column: str = "lang", text_column: str =
               .groupBy("lang", "phrase").agg(F.max("a").alias("longer")))
     kept = scored.join(around, ["lang", "phrase"], "left").filter(
         (F.col("words") == LONGEST) | F.col("longer").isNull() | (100 * F.col("longer") < share * F.col("a")))
-    order = Window.partitionBy("lang").orderBy(F.desc("cut.score"), F.desc("a"), "phrase")
-    best = kept.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= first)
+    # The best of a group of tasks, then those of the language: no task meets more than GROUPS times ``first`` rows of either.
+    by = [F.desc("cut.score"), F.desc("a"), "phrase"]
+    grouped = kept.withColumn("group", F.spark_partition_id() % GROUPS)
+    some = grouped.withColumn("nth", F.row_number().over(Window.partitionBy("lang", "group").orderBy(*by))).filter(F.col("nth") <= first)
+    best = some.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*by))).filter(F.col("rank") <= first)
     return best.join(total, "lang").select("lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "cut.l", "cut.r", "n", "cut.score")
