@@ -7,9 +7,11 @@ whose score is at most ``DEVIATIONS`` standard deviations below the mean of thos
 follows the noise that a small trusted set brings.
 
 Both counts cover every document in one pass: each task adds up its buckets and sends at most ``2 ** BITS`` rows. All
-ids marked good are trusted, joined to the texts as Spark chooses (texts are shuffled where the ids are too many to be
-broadcast), and the threshold covers every held-out one; for it, scores and not texts meet the ids. The model is one
-array of ``2 ** BITS`` numbers, whatever the corpus.
+ids marked good are trusted. No text is shuffled for that: ids of documents, with file and row they were read from, meet
+the trusted ids; the places found are written in parts of at most about ``PART_ROWS``, and a task that reads texts looks up the
+places of its own files only. Documents that were not read from files are written once first. The threshold covers
+every held-out document; for it, scores and not texts meet the ids. The model is one array of ``2 ** BITS`` numbers,
+whatever the corpus.
 
 NULL and empty texts have no words: all counts 0, score 0, base failed. Documents with a NULL id are counted and scored
 but never trusted. Repeated rows count each. With fewer than two held-out trusted documents there is no threshold and
@@ -20,16 +22,22 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelake.llm.common import SPACES, Texts, mix, slices, sums, windows
+from tidelake.session import materialise, scratch
 
 BITS = 16
 #: The trusted counts are drawn towards the raw ones as if this many more n-grams had been seen.
 PRIOR = 4 << BITS
 DEVIATIONS = 3.0
 HELD_OUT = 5
+#: Trusted rows in a part of the table of their places.
+PART_ROWS = 1 << 20
 MIN_WORDS = 50
 MAX_REPEATED = 0.5
 SYMBOLS = b"#*$%&|<>"
@@ -56,12 +64,64 @@ def trusted_ids(labels: DataFrame, id_column: str = "doc_id", quality: str = "qu
             .distinct().withColumn("held", F.pmod(F.xxhash64("doc_id"), F.lit(HELD_OUT)) == 0))
 
 
+def _with_places(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """``doc_id, text`` with the ``file`` (a hash of its path) and ``place`` each row is read from."""
+    columns = [F.col(id_column).alias("doc_id"), F.col(text_column).alias("text")]
+    place = [F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place")]
+    try:
+        return docs.select(*columns, *place)
+    except AnalysisException:  # not read from files
+        return materialise(docs.select(*columns), "documents").select("doc_id", "text", *place)
+
+
+class Places:
+    """Rows of files by number, written in parts that tasks look up: ``file`` is a hash of the path."""
+
+    def __init__(self, rows: DataFrame):
+        """``rows`` has ``file`` and ``place``."""
+        rows = materialise(rows, "places-found")
+        self.parts = max(1, -(-rows.count() // PART_ROWS))
+        self.path = scratch(rows.sparkSession, "places")
+        (rows.withColumn("part", F.pmod("file", F.lit(self.parts))).repartition("part").write.partitionBy("part").parquet(self.path))
+        self.part, self.held = None, {}
+
+    def mark(self, file: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Which of the rows are in the table."""
+        out = np.zeros(len(file), dtype=bool)
+        for one in np.unique(file):
+            here = file == one
+            known = self._of(int(one))
+            if len(known):
+                at = np.minimum(np.searchsorted(known, place[here]), len(known) - 1)
+                out[here] = known[at] == place[here]
+        return out
+
+    def _of(self, file: int) -> np.ndarray:
+        """The places of a file; the part read last is kept."""
+        if self.part != file % self.parts:
+            self.part, self.held = file % self.parts, {}
+            fs, root = pafs.FileSystem.from_uri(self.path)
+            folder = f"{root}/part={self.part}"
+            if fs.get_file_info(folder).type != pafs.FileType.NotFound:
+                rows = pq.read_table(folder, columns=["file", "place"], filesystem=fs, partitioning=None)
+                files, places = rows["file"].to_numpy(), rows["place"].to_numpy()
+                order = np.lexsort((places, files))
+                files, places = files[order], places[order]
+                names, first = np.unique(files, return_index=True)
+                self.held = dict(zip(names.tolist(), np.split(places, first[1:])))
+        return self.held.get(file, np.zeros(0, dtype=np.int64))
+
+
 def fit(docs: DataFrame, trusted: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> np.ndarray:
     """Log ratio per bucket from all documents of ``docs``; ``trusted`` has the trusted ids."""
+    rows = _with_places(docs, id_column, text_column)
+    good = rows.select("doc_id", "file", "place").join(trusted.filter("NOT held").select("doc_id"), "doc_id")
+    places = Places(good.select("file", "place"))
+
     def count(batches):
         raw, good = np.zeros(1 << BITS, dtype=np.int64), np.zeros(1 << BITS, dtype=np.int64)
         for batch in batches:
-            is_good = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
+            is_good = places.mark(batch.column(1).to_numpy(), batch.column(2).to_numpy())
             for row, texts in slices(batch.column(0)):
                 _, _, bucket, text = _grams(texts)
                 raw += np.bincount(bucket, minlength=1 << BITS)
@@ -70,11 +130,8 @@ def fit(docs: DataFrame, trusted: DataFrame, id_column: str = "doc_id", text_col
         yield pa.RecordBatch.from_arrays([pa.array(hit), pa.array(raw[hit]), pa.array(good[hit])],
                                          names=["bucket", "raw", "good"])
 
-    marked = (docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
-              .join(trusted, "doc_id", "left")
-              .select("text", F.coalesce(~F.col("held"), F.lit(False)).alias("good")))
-    counts = (marked.mapInArrow(count, "bucket bigint, raw bigint, good bigint").groupBy("bucket")
-              .agg(F.sum("raw").alias("raw"), F.sum("good").alias("good")).toPandas())
+    counts = (rows.select("text", "file", "place").mapInArrow(count, "bucket bigint, raw bigint, good bigint")
+              .groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("good").alias("good")).toPandas())
     raw, good = np.ones(1 << BITS), np.zeros(1 << BITS)
     raw[counts["bucket"]] += counts["raw"]
     good[counts["bucket"]] += counts["good"]
