@@ -27,7 +27,7 @@ def bronze_extract(t):
 
 def _silver(rules=None):
     return SilverTransform("lines", required=["l_orderkey", "quantity"], drop_null=["l_shipdate"], fill={"quantity": 0.0, "flag": "NONE"},
-                           step=lambda d: d.withColumn("amount", F.round(F.col("quantity") * F.col("l_extendedprice"), 4)),
+                           derive={"amount": "round(quantity * l_extendedprice, 4)"},
                            dedupe_on=["l_orderkey", "l_linenumber"], dedupe_order=["l_shipdate"], rules=rules)
 
 

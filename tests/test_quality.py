@@ -187,3 +187,65 @@ def test_min_samples_flags_every_day(spark):
     out = all_queries()[0][name](spark, folder)
     assert compare(name, out, connect(folder), all_queries()[1][name]) == ""
     assert len({r["hour"].date() for r in out.collect()}) == 30
+
+
+def test_findings_with_samples(spark):
+    df = spark.createDataFrame([(i, float(i % 9)) for i in range(200)] + [(900, 500.0), (901, -70.0), (902, None), (903, 500.0)], "id int, x double")
+    scan = AnomalyScan().require("x", "gone").non_negative("x").iqr("x").iqr("x", 20.0, "high").rule("small", F.col("id") < 901).volume(1, 2)
+    got = {r["anomaly_id"]: r for r in scan.detailed(df, detected_at=dt.datetime(2024, 5, 1), samples=2).collect()}
+    plain = {r["anomaly_id"]: r.asDict() for r in scan.findings(df).collect()}
+    assert {k: {c: r[c] for c in plain[k]} for k, r in got.items()} == plain and {r["detected_at"] for r in got.values()} == {dt.datetime(2024, 5, 1)}
+    assert list(got["outlier_iqr_x"]["sample_values"]) == ["500.0", "500.0"] and '"id":900' in "".join(got["outlier_iqr_x"]["sample_records"])
+    assert got["outlier_iqr_x"]["affected_records"] == 3 and got["outlier_iqr_x"]["details"] == {"q1": 2.0, "q3": 6.0, "iqr": 4.0}
+    assert got["outlier_iqr_x_2"]["severity"] == "high" and got["outlier_iqr_x_2"]["affected_records"] == 2
+    assert list(got["validation_x_negative"]["sample_values"]) == ["-70.0"] and "1 rows" in got["validation_x_negative"]["description"]
+    assert len(got["validation_small"]["sample_records"]) == 2 and list(got["validation_x_nulls"]["sample_records"]) == ['{"id":902}']
+    assert list(got["volatility_volume_high"]["sample_records"]) == [] and "absent" in got["validation_gone_missing"]["description"]
+    assert AnomalyScan().iqr("x").detailed(df.limit(0)).collect() == [] and AnomalyScan().detailed(df).collect() == []
+
+
+def test_samples_need_no_scan_per_check(spark, folder):
+    from queries.registry import Tables
+    events = Tables(spark, folder).events
+    scan = AnomalyScan().non_negative("value").iqr("value").zscore("value").percentile("value").mad("value")
+    text = scan.detailed(events, detected_at=dt.datetime(2024, 5, 1))._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FileScan") == 2 and text.count("WindowGroupLimit") == 2
+    rules = R.RuleSet("x", [R.in_range("value", 0, 5, name=str(i)) for i in range(10)])
+    assert rules.samples(events)._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+
+
+def test_rule_samples_keep_the_order_of_their_type(spark):
+    df = spark.createDataFrame([(i, str(i)) for i in (9, 10, 100, 2, 10)] + [(None, None)], "n int, s string")
+    got = R.RuleSet("t", [R.in_range("n", 0, 1), R.in_range("s", "0", "0"), R.not_null("n")]).results_with_samples(df, 2)
+    assert {r["rule_name"]: list(r["sample_invalid"]) for r in got.collect()} == {"n_range": ["2", "9"], "s_range": ["10", "100"], "n_not_null": []}
+
+
+def test_tier_gate(spark):
+    df = spark.createDataFrame([(float(i % 9),) for i in range(50)] + [(99.0,)], "x double")
+    flagged = AnomalyScan().iqr("x").findings(df)
+    assert R.gate_tiers(flagged) == "flag" and R.gate_tiers(flagged, {2: "alert"}) == "alert" and R.gate_tiers(flagged.limit(0)) == "pass"
+    with pytest.raises(QualityGateError):
+        R.gate_tiers(AnomalyScan().require("gone").iqr("x").findings(df))
+    with pytest.raises(ValueError):
+        R.tier_actions(flagged, {1: "explode"})
+
+
+def test_velocity_crosses_the_border(spark):
+    at = lambda h: dt.datetime(2024, 1, 1) + dt.timedelta(hours=h)
+    schema = "k string, ts timestamp_ntz, v double"
+    history = spark.createDataFrame([("a", at(0), 1.0), ("a", at(2), 3.0), ("a", at(3), 2.0), ("one", at(0), 0.0), (None, at(0), 0.0)], schema)
+    current = spark.createDataFrame([("a", at(4), 2.5), ("a", at(5), 9.0), ("a", at(5), 9.5), ("a", at(6), 9.4), ("one", at(1), 100.0), ("new", at(1), 1.0),
+                                     (None, at(1), 9.0)], schema)
+    got = anomalies.velocity_check(current, history, "k", "ts", "v", ["v"])
+    assert [(r["k"], r["v"], r["rate"], r["min_rate"], r["max_rate"]) for r in got.collect()] == [("a", 9.0, 6.5, -1.0, 1.0)]
+
+
+def test_season_ignores_masked_days(spark):
+    start = dt.date(2023, 1, 2)
+    days = [(start + dt.timedelta(days=i), 100.0 + 10 * (i % 7) + 3 * ((i // 7) % 4) + (i * 37 % 5) * 0.1) for i in range(364)]
+    odd, event = days[100][0], days[200][0]
+    rows = [("s", d, v + (80 if d in (odd, event) else 0)) for d, v in days]
+    df = spark.createDataFrame(rows, "k string, day date, v double")
+    out = anomalies.context_season(df, ["k"], "v", [event], 6.0).collect()
+    assert {(r["day"], r["is_event"]) for r in out} == {(odd, False), (event, True)} and all(abs(r["expected"] + 80 - r["v"]) < 3 for r in out)
+    assert anomalies.context_season(df.limit(0), ["k"], "v").count() == 0

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tidelake.plans import dimensional as D
 from tidelake.plans import flows
+from tidelake.session import materialise
 from tidelake.sinks import tables
 from tidelake.sources import files
 from tidelake.sources.catalog import Lakehouse, query_lakehouse
@@ -250,3 +251,87 @@ def test_manifest_and_expiry(spark, tmp_path):
     assert len(listed) == 2 and all(len(r["md5"]) == 32 and r["size_bytes"] > 0 for r in listed)
     assert tables.drop_expired_partitions(spark, path, "day", dt.date(2024, 1, 25), 10) == ["day=2024-01-01"]
     assert spark.read.parquet(path).count() == 1
+
+
+def files_of(path):
+    return {str(p.relative_to(path)): p.stat().st_mtime_ns for p in path.rglob("*.parquet")}
+
+
+def test_small_merge_rewrites_its_files_only(spark, tmp_path):
+    path = tmp_path / "t"
+    spark.range(10_000).selectExpr("id AS k", "id % 4 AS p", "'old' AS v").repartitionByRange(8, "k").write.parquet(str(path))
+    before = files_of(path)
+    new = spark.createDataFrame([(5, 1, "new"), (6, 2, "new"), (10_001, 1, "new")], "k long, p long, v string")
+    assert tables.merge_into_table(str(path), new, ["k"]) == {"unchanged": 9_998, "updated": 2, "inserted": 1}
+    after = files_of(path)
+    assert len(before) == 8 and len(set(before.items()) & set(after.items())) == 7
+    out = spark.read.parquet(str(path))
+    assert out.count() == 10_001 and {r["k"] for r in out.filter("v = 'new'").collect()} == {5, 6, 10_001}
+    stored, known = spark.read.parquet(str(path)), materialise(new, "merge-rows")  # rows of a known size, as in a merge
+    text = tables.key_matches(stored, known, ["k"])._jdf.queryExecution().executedPlan().toString()
+    scan = next(x for x in text.split("+-") if "FileScan" in x)
+    assert "GreaterThanOrEqual(k,5)" in scan and "ReadSchema: struct<k:bigint>" in scan
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+
+
+@pytest.mark.parametrize("broken", ["before the decision", "halfway"])
+def test_merge_is_finished_or_undone(spark, tmp_path, monkeypatch, broken):
+    path = str(tmp_path / "t")
+    old = spark.createDataFrame([(i, f"p{i % 3}", "old") for i in range(30)], "k int, p string, v string")
+    new = spark.createDataFrame([(1, "p9", "new"), (40, "p0", "new")], old.schema)
+    tables.merge_into_table(path, old, ["k"], ["p"])
+
+    def lost(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as m:
+        if broken == "halfway":
+            decide = tables._decide
+
+            def then_lost(spark, staged, files):
+                decide(spark, staged, files)
+                data = next(tmp_path.glob("t/_merge-*/data/p=*/*.parquet"))  # one file has arrived, the rest has not
+                target = tmp_path / "t" / data.parent.name
+                target.mkdir(exist_ok=True)
+                data.rename(target / data.name)
+                m.setattr(tables, "_swap", lost)
+
+            m.setattr(tables, "_decide", then_lost)
+        else:
+            m.setattr(tables, "_decide", lost)
+        with pytest.raises(OSError):
+            tables.merge_into_table(path, new, ["k"], ["p"])
+    if broken == "before the decision":
+        assert spark.read.parquet(path).filter("v = 'new'").count() == 0
+    third = spark.createDataFrame([(2, "p2", "third")], old.schema)
+    tables.merge_into_table(path, third, ["k"], ["p"])
+    values = {r["k"]: r["v"] for r in spark.read.parquet(path).collect()}
+    assert values.pop(2) == "third" and not list(tmp_path.glob("t/_merge-*"))
+    if broken == "halfway":
+        assert values.pop(1) == "new" and values.pop(40) == "new"
+    assert set(values.values()) == {"old"} and spark.read.parquet(path).count() == len(values) + (3 if broken == "halfway" else 1)
+
+
+def test_merge_of_nothing_and_many_files(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    old = spark.range(100).selectExpr("id AS k", "id % 10 AS p")
+    tables.write_table(old, path, ["p"])
+    before = files_of(tmp_path / "t")
+    assert tables.merge_into_table(path, old.limit(0), ["k"], ["p"]) == {"unchanged": 100, "updated": 0, "inserted": 0}
+    assert files_of(tmp_path / "t") == before
+    monkeypatch.setattr(tables, "MAX_LITERALS", 2)  # more files than are named one by one
+    assert tables.merge_into_table(path, spark.range(90, 110).selectExpr("id AS k", "7 AS p"), ["k"], ["p"]) == {"unchanged": 90, "updated": 10, "inserted": 10}
+    out = spark.read.parquet(path)
+    assert out.count() == 110 and out.filter("k >= 90").select("p").distinct().count() == 1
+
+
+def test_days_rewritten_from_the_table_itself(spark, tmp_path):
+    path = str(tmp_path / "t")
+    day = lambda n: dt.date(2024, 1, n)
+    tables.write_table(spark.createDataFrame([(i, day(i)) for i in (1, 2, 3)], "v int, day date"), path, ["day"])
+    stored = spark.read.parquet(path)
+    tables.overwrite_dates(stored.filter("v <> 2").withColumn("v", F.col("v") + 10), path, "day", F.col("day") >= F.lit(day(2)))
+    assert rows(spark.read.parquet(path)) == [(1, day(1)), (13, day(3))]
+    bronze = tables.bronze_replace_day(spark.range(3), str(tmp_path), "b", day(1))
+    tables.bronze_replace_day(spark.read.parquet(bronze).drop("extract_date").filter("id > 5"), str(tmp_path), "b", day(1))
+    assert spark.read.schema("id long, extract_date date").parquet(bronze).count() == 0

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelake.functions import text, values
+from tidelake.operators import ledger
 from tidelake.operators.quantiles import column_stats, exact_quantiles
 from tidelake.operators.split_window import SplitWindow
 
@@ -134,6 +135,18 @@ def drop_nulls(df: DataFrame, columns: Sequence[str] | None = None, threshold: f
     return df.dropna(subset=list(columns) if columns else None)
 
 
+def without_nulls(df: DataFrame, columns: Sequence[str], threshold: float | None = None) -> Column:
+    """What :func:`drop_nulls` keeps, as a condition; NaN counts as NULL, as it does there."""
+    def is_filled(c: str) -> Column:
+        column = F.col(f"`{c}`")
+        return column.isNotNull() & ~F.isnan(column) if df.schema[c].dataType.typeName() in ("float", "double") else column.isNotNull()
+
+    if threshold is None:
+        return reduce(lambda a, b: a & b, [is_filled(c) for c in columns], F.lit(True))
+    allowed = int(len(columns) * threshold)
+    return reduce(lambda a, b: a + b, [is_filled(c).cast("int") for c in columns], F.lit(0)) >= len(columns) - allowed
+
+
 # -- deduplication -----------------------------------------------------------------------------------------
 
 def deduplicate(df: DataFrame, keys: Sequence[str], keep: str = "first",
@@ -143,10 +156,7 @@ def deduplicate(df: DataFrame, keys: Sequence[str], keep: str = "first",
     ``row_number() = 1`` is planned with a window group limit on both sides of the shuffle, so each task sends
     one row per key and a hot key costs no more than the number of tasks that saw it.
     """
-    if keep not in ("first", "last"):
-        raise ValueError("keep must be 'first' or 'last'")
-    order = list(sort_by or [])
-    order += [c for c, t in df.dtypes if c not in order and c not in keys and not t.startswith(("map", "variant"))]
+    order = _total_order(df, df.columns, keys, keep, sort_by)
     sort = [F.col(c).asc_nulls_first() if keep == "first" else F.col(c).desc_nulls_last() for c in order]
     if not sort:
         return df.dropDuplicates(list(keys))
@@ -154,6 +164,20 @@ def deduplicate(df: DataFrame, keys: Sequence[str], keep: str = "first",
     return df.withColumn("__rn", F.row_number().over(window)).filter("__rn = 1").drop("__rn")
 
 
+def _total_order(df: DataFrame, columns: Sequence[str], keys: Sequence[str], keep: str, sort_by: Sequence[str] | None) -> list[str]:
+    """``sort_by``, then all other ``columns`` that can be ordered."""
+    if keep not in ("first", "last"):
+        raise ValueError("keep must be 'first' or 'last'")
+    order = list(sort_by or [])
+    return order + [c for c in columns if c not in order and c not in keys and not df.schema[c].dataType.simpleString().startswith(("map", "variant"))]
+
+
+def deduplicate_in_ledger(df: DataFrame, keys: Sequence[str], keep: str, sort_by: Sequence[str] | None, step: int) -> DataFrame:
+    """:func:`deduplicate` on a frame with a ledger: the dropped rows stay as ghosts of ``step``."""
+    order = _total_order(df, ledger.data_columns(df), keys, keep, sort_by)
+    return ledger.deduplicated(df, keys, order, keep == "last", step)
+
+
 def deduplicate_by_hash(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Drop exact re-deliveries: rows whose hash over ``columns`` was seen before."""
     hashed = df.withColumn("_row_hash", text.row_hash(columns))
@@ -193,20 +217,25 @@ def deduplicate_fuzzy(df: DataFrame, id_column: str, name: str) -> DataFrame:
 
 def remove_outliers(df: DataFrame, column: str, method: str = "iqr", threshold: float = 1.5) -> DataFrame:
     """Keep rows inside the fence; NULL values go too. The bounds are literals, so the filter reaches the scan."""
+    return df.filter(inside_fence(df, column, method, threshold))
+
+
+def inside_fence(df: DataFrame, column: str, method: str = "iqr", threshold: float = 1.5) -> Column:
+    """What :func:`remove_outliers` keeps, as a condition with literal bounds."""
     c = F.col(column)
     stats = column_stats(df, {column: c})
     if method == "iqr":
         q = exact_quantiles(df, {column: c}, {column: [0.25, 0.75]}, stats)[column]
         if q[0.25] is None:
-            return df.filter(c.isNotNull())
+            return c.isNotNull()
         reach = threshold * (q[0.75] - q[0.25])
-        return df.filter((c >= q[0.25] - reach) & (c <= q[0.75] + reach))
+        return (c >= q[0.25] - reach) & (c <= q[0.75] + reach)
     if method != "zscore":
         raise ValueError("method must be 'iqr' or 'zscore'")
     mean, std = stats[column]["mean"], stats[column]["std"]
     if not std:
-        return df.filter(c.isNotNull())
-    return df.filter(F.abs((c - mean) / std) <= threshold)
+        return c.isNotNull()
+    return F.abs((c - mean) / std) <= threshold
 
 
 def flag_outliers(df: DataFrame, column: str, n_std: float = 3.0, output: str = "is_outlier") -> DataFrame:
@@ -226,72 +255,93 @@ class Cleaner:
 
     source: DataFrame
     steps: list[tuple[str, str, Callable[[DataFrame], DataFrame]]] = field(default_factory=list)
+    # How each step runs on a frame with a ledger: a function of frame and step number. NULL: it may do anything.
+    deferred: list[Callable[[DataFrame, int], DataFrame] | None] = field(default_factory=list)
 
-    def apply(self, name: str, detail: str, fn: Callable[[DataFrame], DataFrame]) -> "Cleaner":
+    def apply(self, name: str, detail: str, fn: Callable[[DataFrame], DataFrame],
+              deferred: Callable[[DataFrame, int], DataFrame] | None = None) -> "Cleaner":
+        """Add any step. Without ``deferred`` the report measures the frame before and after each step."""
         self.steps.append((name, detail, fn))
+        self.deferred.append(deferred)
         return self
 
+    def _project(self, name: str, detail: str, fn: Callable[[DataFrame], DataFrame]) -> "Cleaner":
+        """A step that only changes columns."""
+        return self.apply(name, detail, fn, lambda d, _: fn(d))
+
+    def _keep(self, name: str, detail: str, fn: Callable[[DataFrame], DataFrame], keep: Callable[[DataFrame], Column]) -> "Cleaner":
+        """A step that only drops rows, those that ``keep`` is not true for."""
+        return self.apply(name, detail, fn, lambda d, step: ledger.dropped(d, keep(ledger.silenced(d)), step))
+
     def standardize(self, columns: Sequence[str], **options: Any) -> "Cleaner":
-        return self.apply("strings_standardized", ",".join(columns),
+        return self._project("strings_standardized", ",".join(columns),
                           lambda d: on_columns(d, columns, lambda c: text.standardize(c, **options)))
 
     def clean_phones(self, column: str, country_code: str = text.COUNTRY_CODE, output: str | None = None) -> "Cleaner":
-        return self.apply("phones_cleaned", column,
+        return self._project("phones_cleaned", column,
                           lambda d: d.withColumn(output or column, text.clean_phone(F.col(column), country_code)))
 
     def clean_emails(self, column: str) -> "Cleaner":
-        return self.apply("emails_cleaned", column, lambda d: on_columns(d, [column], text.clean_email))
+        return self._project("emails_cleaned", column, lambda d: on_columns(d, [column], text.clean_email))
 
     def fill_nulls(self, rules: Mapping[str, Any], **options: Any) -> "Cleaner":
-        return self.apply("nulls_filled", ",".join(rules), lambda d: fill_nulls(d, rules, **options))
+        def deferred(d: DataFrame, step: int) -> DataFrame:
+            columns = _present(d, list(rules))
+            out = fill_nulls(ledger.with_null_marks(ledger.silenced(d), columns), rules, **options)
+            return ledger.filled(out, columns, step)
+
+        return self.apply("nulls_filled", ",".join(rules), lambda d: fill_nulls(d, rules, **options), deferred)
 
     def drop_nulls(self, columns: Sequence[str] | None = None, threshold: float | None = None) -> "Cleaner":
-        return self.apply("null_rows_dropped", ",".join(columns or []), lambda d: drop_nulls(d, columns, threshold))
+        return self._keep("null_rows_dropped", ",".join(columns or []), lambda d: drop_nulls(d, columns, threshold), lambda d: without_nulls(
+            d, ledger.data_columns(d) if threshold is not None or not columns else columns, threshold))
 
     def deduplicate(self, keys: Sequence[str], keep: str = "first", sort_by: Sequence[str] | None = None) -> "Cleaner":
-        return self.apply("duplicates_removed", ",".join(keys), lambda d: deduplicate(d, keys, keep, sort_by))
+        return self.apply("duplicates_removed", ",".join(keys), lambda d: deduplicate(d, keys, keep, sort_by),
+                          lambda d, step: deduplicate_in_ledger(d, keys, keep, sort_by, step))
 
     def rename(self, mapping: Mapping[str, str]) -> "Cleaner":
-        return self.apply("columns_renamed", ",".join(mapping), lambda d: rename_columns(d, mapping))
+        return self._project("columns_renamed", ",".join(mapping), lambda d: rename_columns(d, mapping))
 
     def drop_columns(self, columns: Sequence[str]) -> "Cleaner":
-        return self.apply("columns_dropped", ",".join(columns), lambda d: drop_columns(d, columns))
+        return self._project("columns_dropped", ",".join(columns), lambda d: drop_columns(d, columns))
 
     def reorder(self, columns: Sequence[str]) -> "Cleaner":
-        return self.apply("columns_reordered", ",".join(columns), lambda d: reorder_columns(d, columns))
+        return self._project("columns_reordered", ",".join(columns), lambda d: reorder_columns(d, columns))
 
     def add_column(self, name: str, value: Any) -> "Cleaner":
-        return self.apply("column_added", name, lambda d: add_column(d, name, value))
+        return self._project("column_added", name, lambda d: add_column(d, name, value))
 
     def filter(self, condition: Column | str) -> "Cleaner":
-        return self.apply("rows_filtered", "", lambda d: filter_rows(d, condition))
+        return self._keep("rows_filtered", "", lambda d: filter_rows(d, condition), lambda d: F.expr(condition) if isinstance(condition, str) else condition)
 
     def coalesce(self, output: str, sources: Sequence[str]) -> "Cleaner":
-        return self.apply("columns_coalesced", output, lambda d: coalesce_columns(d, output, sources))
+        return self._project("columns_coalesced", output, lambda d: coalesce_columns(d, output, sources))
 
     def map_values(self, column: str, mapping: Mapping[Any, Any], default: Any = None,
                    keep_unmapped: bool = False) -> "Cleaner":
-        return self.apply("values_mapped", column, lambda d: on_columns(
+        return self._project("values_mapped", column, lambda d: on_columns(
             d, [column], lambda c: values.map_values(c, mapping, default, keep_unmapped)))
 
     def clip(self, column: str, low: float | None = None, high: float | None = None) -> "Cleaner":
-        return self.apply("values_clipped", column,
+        return self._project("values_clipped", column,
                           lambda d: on_columns(d, [column], lambda c: values.clip(c, low, high)))
 
     def to_date(self, column: str, fmt: str = text.DATE_FORMAT, strict: bool = False) -> "Cleaner":
-        return self.apply("dates_parsed", column,
+        return self._project("dates_parsed", column,
                           lambda d: on_columns(d, [column], lambda c: text.parse_date(c, fmt, strict)))
 
     def to_datetime(self, column: str, fmt: str = text.DATETIME_FORMAT, strict: bool = False) -> "Cleaner":
-        return self.apply("datetimes_parsed", column,
+        return self._project("datetimes_parsed", column,
                           lambda d: on_columns(d, [column], lambda c: text.parse_datetime(c, fmt, strict)))
 
     def to_numeric(self, column: str, dtype: str = "double") -> "Cleaner":
-        return self.apply("numbers_parsed", column,
+        return self._project("numbers_parsed", column,
                           lambda d: on_columns(d, [column], lambda c: text.parse_number(c, dtype)))
 
     def remove_outliers(self, column: str, method: str = "iqr", threshold: float = 1.5) -> "Cleaner":
-        return self.apply("outliers_removed", column, lambda d: remove_outliers(d, column, method, threshold))
+        return self._keep("outliers_removed", column, lambda d: remove_outliers(d, column, method, threshold),
+                          lambda d: inside_fence(d, column, method, threshold))
 
     def clean(self) -> DataFrame:
         return reduce(lambda d, step: step[2](d), self.steps, self.source)
@@ -299,9 +349,31 @@ class Cleaner:
     def report(self) -> DataFrame:
         """One row per step: what it did, to which columns, and how many rows or values it changed.
 
-        Every frame before and after a counted step is measured once, by a plain aggregate. Accumulator metrics
-        would be cheaper, but count twice when a lost executor makes a stage run again.
+        One pass: rows that a step drops stay in the frame as ghosts with its number, and one aggregate counts them all.
+        Statistics that a step needs (means, fences) are worked out beforehand, as in :meth:`clean`. Accumulator
+        metrics would count twice when a lost executor makes a stage run again.
         """
+        if any(step is None for step in self.deferred):
+            return self._measured()
+        frame = ledger.opened(self.source)
+        affected: list[Column] = []
+        for i, ((name, detail, _), step) in enumerate(zip(self.steps, self.deferred)):
+            frame = step(frame, i)
+            if name in _ROW_STEPS:
+                affected.append(F.sum(F.when(F.col(ledger.STEP) == i, F.col(ledger.WEIGHT))))
+            elif name == "nulls_filled":
+                affected.append(F.sum(f"{ledger.FILLED}{i}"))
+            else:
+                affected.append(F.lit(len([c for c in detail.split(",") if c])))
+        cells = [F.struct(F.lit(i).alias("step"), F.lit(name).alias("action"), F.lit(detail).alias("columns"),
+                          F.coalesce(F.col(f"n{i}"), F.lit(0)).cast("long").alias("affected")) for i, (name, detail, _) in enumerate(self.steps)]
+        if not cells:
+            return self.source.sparkSession.createDataFrame([], "step int, action string, columns string, affected bigint")
+        one = frame.agg(F.count(F.lit(1)).alias("n"), *[n.alias(f"n{i}") for i, n in enumerate(affected)])
+        return one.select(F.inline(F.array(*cells)))
+
+    def _measured(self) -> DataFrame:
+        """The report for steps that may do anything: every frame before and after a counted step is measured once."""
         frames = [self.source]
         for _, _, fn in self.steps:
             frames.append(fn(frames[-1]))

@@ -12,12 +12,14 @@ from typing import Any, Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelake.operators.cleaning import deduplicate, drop_nulls, fill_nulls
+from tidelake.operators import ledger
+from tidelake.operators.cleaning import deduplicate, deduplicate_in_ledger, drop_nulls, fill_nulls, without_nulls
 from tidelake.operators.quantiles import grouped_quantile
 from tidelake.operators.split_window import null_safe_join
 from tidelake.quality.rules import RuleSet
 from tidelake.quality.schema import TableSpec, enforce, require_columns
 from tidelake.sinks.tables import bronze_append, bronze_replace_day, layer_path, write_table
+from tidelake.session import materialise
 from tidelake.sources.files import file_listing, incremental, with_lineage, with_row_hash
 
 
@@ -42,13 +44,18 @@ class BronzeExtract:
 
 @dataclass
 class SilverTransform:
-    """Schema → NULLs → business step → dedupe, as one lazy plan."""
+    """Schema → NULLs → business step → dedupe, as one lazy plan.
+
+    ``derive`` adds row-wise columns. ``step`` may be any function of the frame; with one, rows in are counted by a scan of
+    their own, as it may change what a row is.
+    """
 
     table: str
     required: Sequence[str] = ()
     spec: TableSpec | None = None
     drop_null: Sequence[str] = ()
     fill: Mapping[str, Any] = field(default_factory=dict)
+    derive: Mapping[str, Column | str] = field(default_factory=dict)
     step: Callable[[DataFrame], DataFrame] | None = None
     dedupe_on: Sequence[str] = ()
     dedupe_keep: str = "last"
@@ -63,6 +70,7 @@ class SilverTransform:
             df = drop_nulls(df, self.drop_null)
         if self.fill:
             df = fill_nulls(df, self.fill)
+        df = self._derived(df)
         if self.step:
             df = df.transform(self.step)
         if self.dedupe_on:
@@ -74,20 +82,44 @@ class SilverTransform:
         out = self.frame(df)
         return self.rules.split(out) if self.rules else (out, None)
 
+    def _derived(self, df: DataFrame) -> DataFrame:
+        return df.withColumns({n: F.expr(c) if isinstance(c, str) else c for n, c in self.derive.items()}) if self.derive else df
+
+    def _with_ledger(self, df: DataFrame) -> DataFrame:
+        """:meth:`frame` with the dropped rows as ghosts: 0 for NULLs, 1 for repeats."""
+        require_columns(df, self.required)
+        out = ledger.opened(enforce(df, self.spec) if self.spec else df)
+        if self.drop_null:
+            out = ledger.dropped(out, without_nulls(out, self.drop_null), 0)
+        if self.fill:
+            out = fill_nulls(out, self.fill)
+        out = self._derived(out)
+        return deduplicate_in_ledger(out, self.dedupe_on, self.dedupe_keep, self.dedupe_order, 1) if self.dedupe_on else out
+
     def run(self, df: DataFrame, root: str, partition_by: Sequence[str] = ()) -> DataFrame:
-        """Write Silver (and quarantine), then give the run metadata row."""
+        """Write Silver (and quarantine), then give the run metadata row.
+
+        The source is read once: good rows, quarantined rows and the counts of what was dropped come from one written
+        table in the shared folder.
+        """
         started = time.monotonic()
-        good, bad = self.split(df)
         path = layer_path(root, "silver", self.table)
+        if self.step:
+            marked, n_in = materialise(self.frame(df), "silver"), df.agg(F.count(F.lit(1))).scalar()
+        else:
+            every = materialise(self._with_ledger(df), "silver")
+            n_in = every.agg(F.coalesce(F.sum(ledger.WEIGHT), F.lit(0).cast("long"))).scalar()
+            marked = every.filter(ledger.alive()).select(*ledger.data_columns(every))
+        good, bad = self.rules.split(marked) if self.rules else (marked, None)
         write_table(good, path, partition_by)
         rejected = None
         if bad is not None:
             rejected = layer_path(root, "silver", f"_quarantine_{self.table}")
             write_table(bad, rejected)
         spark = df.sparkSession
-        return run_metadata(df, spark.read.parquet(path), "bronze", path, "silver",
+        return run_metadata(df, spark.read.schema(good.schema).parquet(path), "bronze", path, "silver",
                             spark.read.schema(bad.schema).parquet(rejected) if rejected else None,
-                            round(time.monotonic() - started, 3))
+                            round(time.monotonic() - started, 3), n_in)
 
 
 def completeness(df: DataFrame) -> Column:
@@ -97,10 +129,13 @@ def completeness(df: DataFrame) -> Column:
 
 
 def run_metadata(source: DataFrame, target: DataFrame, source_name: str, target_name: str, layer: str,
-                 rejected: DataFrame | None = None, seconds: float = 0.0) -> DataFrame:
-    """Counts in, out, filtered and rejected with the completeness score, from what was read and written."""
+                 rejected: DataFrame | None = None, seconds: float = 0.0, records_in: Column | None = None) -> DataFrame:
+    """Counts in, out, filtered and rejected with the completeness score, from what was read and written.
+
+    ``records_in`` saves the scan of ``source`` where the number of its rows is known.
+    """
     out = target.agg(F.count(F.lit(1)).alias("records_out"), completeness(target).alias("quality_score"))
-    n_in = source.agg(F.count(F.lit(1))).scalar()
+    n_in = records_in if records_in is not None else source.agg(F.count(F.lit(1))).scalar()
     n_bad = rejected.agg(F.count(F.lit(1))).scalar() if rejected is not None else F.lit(0).cast("long")
     counts = out.select(F.lit(source_name).alias("source"), F.lit(target_name).alias("target"),
                         F.lit(layer).alias("layer"), n_in.alias("records_in"), "records_out",

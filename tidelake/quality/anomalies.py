@@ -500,7 +500,7 @@ def velocity_check(current: DataFrame, history: DataFrame, key: str, ts: str, va
     key with very many readings is spread over tasks. Readings without a predecessor or at its very moment have no
     rate; keys without a past rate pass.
     """
-    columns = [key, ts, value, *tiebreak]
+    columns = list(dict.fromkeys([key, ts, value, *tiebreak]))
     stream = history.select(*columns, F.lit(0).alias("__now")).unionByName(current.select(*columns, F.lit(1).alias("__now")))
     stream = stream.filter(F.col(key).isNotNull() & F.col(value).isNotNull())
     seen = SplitWindow(stream, [key], ts, ["__now", *tiebreak]).previous("__before", F.struct(F.col(ts).alias("at"), F.col(value).alias("was"))).result()
