@@ -3,8 +3,8 @@
 1. Payloads that repeat (SHA-1 equal, at least ``REVISIT_BYTES``) keep one full record, that of the largest id; the others
    become revisit records that name it. This is worked out on ids and digests alone: digests are grouped map-side first,
    those that more than 1/``HOT`` of all rows share are broadcast (``HOT`` at most), the others joined.
-2. Records are dealt into shards by ranges of the id that hold about ``SHARD_BYTES`` each, from a running total over the sorted
-   ids, so the same rows always give the same shards, unlike sampled ranges. An id that fills more than four shards
+2. Records are dealt into shards by ranges of the id that hold about as many bytes each (1/``SHARD_PARTS`` of all, within
+   ``SHARD_BYTES``), from a running total over the sorted ids, so the same rows always give the same shards, unlike sampled ranges. An id that fills more than four shards
    with several rows, or rows without an id that do, are dealt over shards of their own by their place in the input. Borders are one
    number a shard; at most ``SHARDS`` shards are made, larger ones beyond, so the borders that tasks get are 8 MB at most.
    Payloads are shuffled once, to their shard; what they refer to arrives in the same exchange, sorted in front of them.
@@ -40,8 +40,9 @@ from tidelake.operators.split_window import SplitWindow
 from tidelake.session import materialise
 
 REVISIT_BYTES = 1000
-SHARD_BYTES = 256 << 20
-ROLL_BYTES = 16 << 20
+#: Shards hold an even part of all bytes, between these limits; files roll at this compressed size.
+SHARD_PARTS, SHARD_BYTES = 4096, (32 << 20, 1 << 30)
+ROLL_BYTES = 64 << 20
 SHARDS = 1 << 20
 HOT = 4096
 #: Tasks that read an archive at most.
@@ -135,11 +136,12 @@ class Layout(NamedTuple):
         return first, dealt
 
 
-def layout(ids: DataFrame, shard_bytes: int) -> Layout:
+def layout(ids: DataFrame, shard_bytes: int | None) -> Layout:
     """From ``id, size`` per row; whole numbers from exact sums."""
     many = lambda n, size: int(min(n, size // shard_bytes + 1)) if n > 1 and size > 4 * shard_bytes else 1
     total, nulls, null_size = ids.agg(F.sum("size"), F.count_if(F.col("id").isNull()), F.sum(F.when(F.col("id").isNull(), F.col("size")))).first()
-    shard_bytes = max(shard_bytes, -(-(total or 0) // SHARDS))
+    total = total or 0
+    shard_bytes = max(shard_bytes or min(max(total // SHARD_PARTS, SHARD_BYTES[0]), SHARD_BYTES[1]), -(-total // SHARDS))
     per_id = ids.filter("id IS NOT NULL").groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size"))
     start = F.floor((F.col("upto") - F.col("size")) / shard_bytes)
     ranges = (SplitWindow(per_id, [], "id").total("upto", F.col("size")).result().groupBy(start.alias("start"))
@@ -170,7 +172,7 @@ def _references(ids: DataFrame) -> DataFrame:
 
 
 def write(pages: DataFrame, path: str, id_column: str = "page_id", url_column: str = "url",
-          payload_column: str = "html", shard_bytes: int = SHARD_BYTES, roll_bytes: int = ROLL_BYTES) -> DataFrame:
+          payload_column: str = "html", shard_bytes: int | None = None, roll_bytes: int = ROLL_BYTES) -> DataFrame:
     """Write a record per row below ``path`` (a folder that all machines share) and return the manifest (``FILE``)."""
     spark = pages.sparkSession
     id_, payload = F.col(id_column).cast("bigint"), F.encode(F.coalesce(F.col(payload_column), F.lit("")), "UTF-8")
