@@ -130,6 +130,16 @@ def anom_min_samples_hourly(t):
     return _grouped(events, ["event_type", "hour"]).select("event_id", "event_type", "hour", "value")
 
 
+@query("anom_min_samples_daily", """
+WITH e AS (SELECT *, CAST(ts AS DATE) AS day FROM events),
+s AS (SELECT event_type, day, count(value) AS n, avg(value) AS m, stddev_samp(value) AS sd FROM e GROUP BY 1, 2)
+SELECT event_id, event_type, day, value FROM e JOIN s USING (event_type, day) WHERE n >= 30 AND abs(value - m) > 2 * sd""")
+def anom_min_samples_daily(t):
+    """All events by type and day; some days have too few samples of a type and flag nothing."""
+    events = t.events.withColumn("day", F.to_date("ts"))
+    return _grouped(events, ["event_type", "day"]).select("event_id", "event_type", "day", "value")
+
+
 def _grouped(events, keys):
     return AnomalyScan(min_samples=anomalies.MIN_SAMPLES).zscore("value", 2.0).grouped_outliers(events, keys)
 

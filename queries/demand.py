@@ -48,8 +48,11 @@ def _forecast(t, method):
     return out.select("l_suppkey", F.round(method, 6).alias("forecast"))
 
 
-@query("fc_ses", _fold_sql("SELECT l_suppkey, i, x AS l FROM n WHERE i = 1",
-                           "SELECT n.l_suppkey, n.i, 0.3 * n.x + 0.7 * r.l FROM r JOIN n ON n.l_suppkey = r.l_suppkey AND n.i = r.i + 1", "l"))
+SES_START = "SELECT l_suppkey, i, x AS l FROM n WHERE i = 1"
+SES_STEP = "SELECT n.l_suppkey, n.i, 0.3 * n.x + 0.7 * r.l FROM r JOIN n ON n.l_suppkey = r.l_suppkey AND n.i = r.i + 1"
+
+
+@query("fc_ses", _fold_sql(SES_START, SES_STEP, "l"))
 def fc_ses(t):
     return _forecast(t, "ses")
 
@@ -70,22 +73,25 @@ def fc_sba(t):
     return _forecast(t, "sba")
 
 
-@query("fc_tsb", _fold_sql(
-    "SELECT l_suppkey, i, CASE WHEN x > 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS p, CASE WHEN x > 0 THEN x END AS z FROM n WHERE i = 1",
-    """SELECT n.l_suppkey, n.i, r.p + 0.1 * (CASE WHEN n.x > 0 THEN 1.0 ELSE 0.0 END - r.p),
+TSB_START = "SELECT l_suppkey, i, CASE WHEN x > 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS p, CASE WHEN x > 0 THEN x END AS z FROM n WHERE i = 1"
+TSB_STEP = """SELECT n.l_suppkey, n.i, r.p + 0.1 * (CASE WHEN n.x > 0 THEN 1.0 ELSE 0.0 END - r.p),
   CASE WHEN n.x > 0 THEN CASE WHEN r.z IS NULL THEN n.x ELSE r.z + 0.1 * (n.x - r.z) END ELSE r.z END
-  FROM r JOIN n ON n.l_suppkey = r.l_suppkey AND n.i = r.i + 1""", "coalesce(p * z, 0)"))
+  FROM r JOIN n ON n.l_suppkey = r.l_suppkey AND n.i = r.i + 1"""
+
+
+@query("fc_tsb", _fold_sql(TSB_START, TSB_STEP, "coalesce(p * z, 0)"))
 def fc_tsb(t):
     return _forecast(t, "tsb")
 
 
-@query("fc_holt_winters", _fold_sql(
-    """SELECT m.l_suppkey, 7::BIGINT AS i, m.m1 AS l, (m.m2 - m.m1) / 7 AS b, m.xs[1] - m.m1 AS s1, m.xs[2] - m.m1 AS s2, m.xs[3] - m.m1 AS s3,
+HW_START = """SELECT m.l_suppkey, 7::BIGINT AS i, m.m1 AS l, (m.m2 - m.m1) / 7 AS b, m.xs[1] - m.m1 AS s1, m.xs[2] - m.m1 AS s2, m.xs[3] - m.m1 AS s3,
   m.xs[4] - m.m1 AS s4, m.xs[5] - m.m1 AS s5, m.xs[6] - m.m1 AS s6, m.xs[7] - m.m1 AS s7 FROM
-  (SELECT l_suppkey, avg(x) FILTER (i <= 7) AS m1, avg(x) FILTER (i BETWEEN 8 AND 14) AS m2, list(x ORDER BY i) FILTER (i <= 7) AS xs FROM n GROUP BY 1) m""",
-    """SELECT u.l_suppkey, u.i, u.nl, 0.05 * (u.nl - u.l) + 0.95 * u.b, u.s2, u.s3, u.s4, u.s5, u.s6, u.s7, 0.1 * (u.x - u.nl) + 0.9 * u.s1 FROM
-  (SELECT r.*, n.x, n.i AS ni, 0.2 * (n.x - r.s1) + 0.8 * (r.l + r.b) AS nl FROM r JOIN n ON n.l_suppkey = r.l_suppkey AND n.i = r.i + 1) u""".replace("u.i,", "u.ni,"),
-    "l + b + s1"))
+  (SELECT l_suppkey, avg(x) FILTER (i <= 7) AS m1, avg(x) FILTER (i BETWEEN 8 AND 14) AS m2, list(x ORDER BY i) FILTER (i <= 7) AS xs FROM n GROUP BY 1) m"""
+HW_STEP = """SELECT u.l_suppkey, u.ni, u.nl, 0.05 * (u.nl - u.l) + 0.95 * u.b, u.s2, u.s3, u.s4, u.s5, u.s6, u.s7, 0.1 * (u.x - u.nl) + 0.9 * u.s1 FROM
+  (SELECT r.*, n.x, n.i AS ni, 0.2 * (n.x - r.s1) + 0.8 * (r.l + r.b) AS nl FROM r JOIN n ON n.l_suppkey = r.l_suppkey AND n.i = r.i + 1) u"""
+
+
+@query("fc_holt_winters", _fold_sql(HW_START, HW_STEP, "l + b + s1"))
 def fc_holt_winters(t):
     return _forecast(t, "holt_winters")
 
@@ -115,23 +121,74 @@ def fc_lag_features(t):
     return M.lag_features(grid(t), KEYS, "demand").withColumn("mean_7", F.round("mean_7", 6))
 
 
-FAST = ("ses", "croston", "moving_average")
+# Every smoothing method at every day: the state a day leaves is the forecast of a cut-off behind it.
+STATES_SQL = GRID_SQL + f""", n AS (SELECT l_suppkey, CAST(demand AS DOUBLE) AS x, row_number() OVER (PARTITION BY l_suppkey ORDER BY day) AS i FROM grid),
+ses AS ({SES_START} UNION ALL {SES_STEP.replace('FROM r', 'FROM ses r')}),
+cro AS ({CROSTON_START} UNION ALL {CROSTON_STEP.replace('FROM r', 'FROM cro r')}),
+tsb AS ({TSB_START} UNION ALL {TSB_STEP.replace('FROM r', 'FROM tsb r')}),
+hw AS ({HW_START} UNION ALL {HW_STEP.replace('FROM r', 'FROM hw r')}),
+f AS (SELECT l_suppkey, i, 'ses' AS method, l AS forecast FROM ses
+  UNION ALL SELECT l_suppkey, i, 'croston', coalesce(z / p, 0) FROM cro UNION ALL SELECT l_suppkey, i, 'sba', coalesce(z / p, 0) * 0.95 FROM cro
+  UNION ALL SELECT l_suppkey, i, 'tsb', coalesce(p * z, 0) FROM tsb UNION ALL SELECT l_suppkey, i, 'holt_winters', l + b + s1 FROM hw
+  UNION ALL SELECT l_suppkey, i, 'moving_average', avg(x) OVER (PARTITION BY l_suppkey ORDER BY i ROWS BETWEEN 27 PRECEDING AND CURRENT ROW) FROM n),
+size AS (SELECT max(i) AS m FROM n)"""
 
 
-@query("backtest_scores", GRID_SQL + """, n AS (SELECT l_suppkey, demand AS x, row_number() OVER (PARTITION BY l_suppkey ORDER BY day) AS i FROM grid),
-size AS (SELECT max(i) AS m FROM n), f AS (SELECT unnest([1, 2, 3]) AS fold),
-a AS (SELECT l_suppkey, fold, avg(x) FILTER (i > m - fold * 30 AND i <= m - fold * 30 + 30) AS actual,
-  avg(x) FILTER (i > m - fold * 30 - 28 AND i <= m - fold * 30) AS forecast FROM n, size, f GROUP BY 1, 2)
-SELECT l_suppkey, 'moving_average' AS method, round(avg(abs(forecast - actual)), 6) AS mae, count(forecast) AS folds FROM a GROUP BY 1""")
+@query("backtest_scores", STATES_SQL + """, c AS (SELECT l_suppkey, fold, avg(x) AS actual FROM n, size, (SELECT unnest([1, 2, 3]) AS fold)
+  WHERE i > m - fold * 30 AND i <= m - fold * 30 + 30 GROUP BY 1, 2)
+SELECT f.l_suppkey, method, round(avg(abs(forecast - actual)), 6) AS mae, count(forecast) AS folds FROM f, size, c
+WHERE f.l_suppkey = c.l_suppkey AND f.i = m - fold * 30 GROUP BY 1, 2""")
 def backtest_scores(t):
-    out = M.backtest_scores(all_series(t), KEYS, 30, 3, ["moving_average"])
+    out = M.backtest_scores(all_series(t), KEYS, 30, 3, M.SMOOTHING)
     return out.withColumn("mae", F.round("mae", 6))
 
 
+@query("conformal_coverage", STATES_SQL + """, e AS (SELECT f.l_suppkey, method, fold, n.i - (m - fold * 30) AS step, abs(x - forecast) AS error
+  FROM f, size, (SELECT unnest(range(1, 21)) AS fold), n WHERE f.i = m - fold * 30 AND n.l_suppkey = f.l_suppkey AND n.i > m - fold * 30 AND n.i <= m - fold * 30 + 30),
+q AS (SELECT l_suppkey, method, step, quantile_cont(error, 17.0 / 18) AS radius FROM e WHERE fold > 1 GROUP BY ALL)
+SELECT method, count(*) AS days, count(*) FILTER (error <= radius + 1e-9) AS covered FROM e JOIN q USING (l_suppkey, method, step) WHERE fold = 1 GROUP BY 1""")
+def conformal_coverage(t):
+    """How many of the last 30 days lie inside the intervals of each method, learned from the 19 cut-offs before."""
+    return M.conformal_coverage(all_series(t), KEYS)
+
+
+@query("conformal_intervals", STATES_SQL + """, e AS (SELECT f.l_suppkey, method, fold, n.i - (m - fold * 30) AS step, abs(x - forecast) AS error
+  FROM f, size, (SELECT unnest(range(1, 20)) AS fold), n WHERE f.i = m - fold * 30 AND n.l_suppkey = f.l_suppkey AND n.i > m - fold * 30 AND n.i <= m - fold * 30 + 30),
+q AS (SELECT l_suppkey, method, step::INTEGER AS step, quantile_cont(error, 17.0 / 18) AS radius FROM e GROUP BY ALL)
+SELECT l_suppkey, method, step, round(forecast, 4) AS forecast, round(greatest(forecast - radius, 0), 4) AS lower, round(forecast + radius, 4) AS upper
+FROM f JOIN size ON i = m JOIN q USING (l_suppkey, method)""")
+def conformal_intervals(t):
+    """30 days ahead with six methods, each with intervals from its own past errors."""
+    out = M.conformal_intervals(all_series(t), KEYS)
+    return out.withColumns({c: F.round(c, 4) for c in ("forecast", "lower", "upper")})
+
+
+DRAW_SQL = "(((({z}) % 2147483647 * 48271 + 1) % 2147483647 * 16807 + 1) % 2147483647 * 69621 + 1) % 2147483647"
+DRAW_ON, DRAW_SIZE = (DRAW_SQL.format(z=f"l_suppkey * 7919 + rep * 104729 + (step + 1) * 1299709 + {salt}") for salt in (0, 1))
+
+
+@query("lead_time_demand", GRID_SQL + f""", n AS (SELECT l_suppkey, CAST(demand AS DOUBLE) AS x, row_number() OVER (PARTITION BY l_suppkey ORDER BY day) AS i FROM grid),
+w AS (SELECT l_suppkey, i, x > 0 AS now, lag(x > 0) OVER (PARTITION BY l_suppkey ORDER BY i) AS was, x FROM n),
+p AS (SELECT l_suppkey, coalesce(count(*) FILTER (NOT was AND now) / nullif(count(*) FILTER (NOT was), 0), 0) AS off,
+  coalesce(count(*) FILTER (was AND now) / nullif(count(*) FILTER (was), 0), 0) AS act, list(x ORDER BY i) FILTER (now) AS sizes, last(now ORDER BY i) AS at_end FROM w GROUP BY 1),
+b AS (SELECT l_suppkey, rep, 0::BIGINT AS step, at_end AS act_now, 0.0::DOUBLE AS total FROM p, (SELECT unnest(range(1, 101)) AS rep)
+  UNION ALL SELECT l_suppkey, rep, step + 1, hit, total + CASE WHEN hit THEN size ELSE 0 END FROM (
+    SELECT b.l_suppkey, rep, step, total, {DRAW_ON} / 2147483647.0 < CASE WHEN act_now THEN act ELSE off END AS hit, sizes[{DRAW_SIZE} % len(sizes) + 1] AS size
+    FROM b JOIN p ON b.l_suppkey = p.l_suppkey WHERE step < 14)),
+s AS (SELECT l_suppkey, list_sort(list(total)) AS t FROM b WHERE step = 14 GROUP BY 1)
+SELECT l_suppkey, round(list_sum(t) / 100, 6) AS mean_demand, t[90] AS cover_90, t[95] AS cover_95, t[99] AS cover_99 FROM s""".replace("l_suppkey * 7919", "b.l_suppkey * 7919"))
+def lead_time_demand(t):
+    """Demand over 14 days in 100 futures drawn from each supplier's own pattern, and what covers 90, 95 and 99 percent of them."""
+    out = M.lead_time_demand(all_series(t), KEYS, F.col("l_suppkey"), 14, (0.90, 0.95, 0.99))
+    return out.withColumn("mean_demand", F.round("mean_demand", 6))
+
+
 @query("model_selection")
 def model_selection(t):
-    scores = M.backtest_scores(all_series(t), KEYS, 30, 3)
-    return M.model_selection(scores, M.demand_pattern(grid(t), KEYS, "demand"), KEYS)
+    """The best method of each series among those that suit its pattern, bootstrap and forest included."""
+    days = grid(t)
+    scores = M.backtest_scores(all_series(t), KEYS, 30, 3).unionByName(M.tree_backtest(days, KEYS, "demand", 30, 3))
+    return M.model_selection(scores, M.demand_pattern(days, KEYS, "demand"), KEYS)
 
 
 @query("forecast_interval", _fold_sql(
@@ -166,3 +223,19 @@ def abc_xyz(t):
                                              (F.stddev_samp("q") / F.nullif(F.avg("q"), F.lit(0.0))).alias("cv"))
     out = M.abc_xyz(items, "l_partkey", "revenue", "cv")
     return out.withColumns({"revenue_share": F.round("revenue_share", 6), "cv": F.round("cv", 6)})
+
+
+# Published normal quantiles of the service levels 0.80, 0.81, ... 0.99.
+PUBLISHED_Z = [0.8416, 0.8779, 0.9154, 0.9542, 0.9945, 1.0364, 1.0803, 1.1264, 1.1750, 1.2265, 1.2816, 1.3408, 1.4051, 1.4758, 1.5548, 1.6449, 1.7507,
+               1.8808, 2.0537, 2.3263]
+
+
+@query("service_levels", GRID_SQL + f""", s AS (SELECT l_suppkey, avg(demand) AS d, stddev_samp(demand) AS sd FROM grid GROUP BY 1)
+SELECT l_suppkey, round(d, 6) AS daily_demand, CAST(({PUBLISHED_Z})[l_suppkey % 20 + 1] AS DOUBLE) AS z, round(sd * sqrt(14), 6) AS lead_deviation FROM s""")
+def service_levels(t):
+    """Safety stock with a service level of its own for every item, taken apart into its factor and the deviation over the lead time."""
+    level = (F.col("l_suppkey") % 20 + 80) / 100.0
+    out = M.replenishment(grid(t), KEYS, "demand", 14, level)
+    deviation = F.col("demand_std") * 14 ** 0.5
+    return out.select("l_suppkey", F.round("daily_demand", 6).alias("daily_demand"), F.round(F.col("safety_stock") / deviation, 4).alias("z"),
+                      F.round(deviation, 6).alias("lead_deviation"))

@@ -7,12 +7,16 @@ series are spread over the cluster by key.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
+from statistics import NormalDist
 from typing import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidelake.functions.distributions import bound, normal_quantile
+from tidelake.operators.quantiles import grouped_quantile
 from tidelake.operators.series import cumulative_share
 from tidelake.session import materialise
 
@@ -23,8 +27,13 @@ ABC_CUTS = (0.80, 0.95)
 XYZ_CUTS = (0.5, 1.0)
 SERVICE_Z = {0.90: 1.2816, 0.95: 1.6449, 0.98: 2.0537, 0.99: 2.3263}
 
-PATTERN_MODELS = {"smooth": ("moving_average", "ses", "holt_winters"), "erratic": ("ses", "moving_average"),
-                  "intermittent": ("croston", "sba", "tsb"), "lumpy": ("sba", "tsb")}
+PATTERN_MODELS = {"smooth": ("moving_average", "ses", "holt_winters"), "erratic": ("ses", "moving_average", "random_forest"),
+                  "intermittent": ("croston", "sba", "tsb"), "lumpy": ("sba", "tsb", "bootstrap")}
+
+# Draws of the bootstrap: a linear congruence modulo this prime, mixed by three multipliers.
+DRAW_PRIME = 2_147_483_647
+DRAW_STEPS = (7_919, 104_729, 1_299_709)
+DRAW_MIX = (48_271, 16_807, 69_621)
 
 
 def demand_pattern(grid: DataFrame, keys: Sequence[str], demand: str, adi_cut: float = ADI_CUT,
@@ -120,35 +129,166 @@ def moving_average(series: Column, window: int = 28) -> Column:
     return F.aggregate(tail, F.lit(0.0), lambda a, x: a + x) / F.nullif(F.size(tail), F.lit(0))
 
 
+def _draw(seed: Column, replicate: Column, step: Column, salt: int) -> Column:
+    """A whole number below ``DRAW_PRIME``, the same wherever it is worked out."""
+    z = (seed * DRAW_STEPS[0] + replicate * DRAW_STEPS[1] + step * DRAW_STEPS[2] + salt) % DRAW_PRIME
+    for factor in DRAW_MIX:
+        z = (z * factor + 1) % DRAW_PRIME
+    return z
+
+
+def bootstrap_totals(series: Column, seed: Column, lead: int, replicates: int = 100) -> Column:
+    """Demand over ``lead`` days in each of ``replicates`` futures of a series that is mostly zero.
+
+    Whether a day has demand is a chain of two states with the transition shares of the series, started at its last
+    day; sizes are drawn from its demands. Draws are hashed from ``seed`` (a whole number below 2^31), replicate and day, so a
+    task that runs again draws the same. Without any demand all totals are 0.
+    """
+    one, zero = F.lit(1).cast("long"), F.lit(0).cast("long")
+    pairs = F.aggregate(
+        F.slice(series, F.lit(2), F.size(series)),
+        F.struct((F.element_at(series, 1) > 0).alias("on"), zero.alias("off_n"), zero.alias("off_on"), zero.alias("on_n"), zero.alias("on_on")),
+        lambda s, x: F.struct((x > 0).alias("on"), F.when(s["on"], s["off_n"]).otherwise(s["off_n"] + 1).alias("off_n"),
+                              F.when(~s["on"] & (x > 0), s["off_on"] + 1).otherwise(s["off_on"]).alias("off_on"),
+                              F.when(s["on"], s["on_n"] + 1).otherwise(s["on_n"]).alias("on_n"),
+                              F.when(s["on"] & (x > 0), s["on_on"] + 1).otherwise(s["on_on"]).alias("on_on")))
+    shares = F.struct(F.coalesce(F.try_divide(pairs["off_on"], pairs["off_n"]), F.lit(0.0)).alias("off"),
+                      F.coalesce(F.try_divide(pairs["on_on"], pairs["on_n"]), F.lit(0.0)).alias("on"),
+                      F.filter(series, lambda x: x > 0).alias("sizes"), (F.element_at(series, -1) > 0).alias("last"))
+
+    def future(p: Column, replicate: Column) -> Column:
+        def day(s: Column, at: Column) -> Column:
+            chance = F.when(s["on"], p["on"]).otherwise(p["off"])
+            hit = _draw(seed, replicate, at, 0) / F.lit(float(DRAW_PRIME)) < chance
+            size = F.element_at(p["sizes"], (_draw(seed, replicate, at, 1) % F.size(p["sizes"]) + 1).cast("int"))
+            return F.struct(hit.alias("on"), (s["total"] + F.when(hit, size).otherwise(0.0)).alias("total"))
+
+        return F.aggregate(F.sequence(one, F.lit(lead).cast("long")), F.struct(p["last"].alias("on"), F.lit(0.0).alias("total")), day, lambda s: s["total"])
+
+    futures = bound(shares, lambda p: F.when(F.size(p["sizes"]) == 0, F.transform(F.sequence(F.lit(1), F.lit(replicates)), lambda _: F.lit(0.0)))
+                    .otherwise(F.transform(F.sequence(one, F.lit(replicates).cast("long")), lambda r: future(p, r))))
+    return futures
+
+
+def bootstrap(series: Column, lead: int = 30, replicates: int = 30) -> Column:
+    """Mean daily demand over the futures of :func:`bootstrap_totals`."""
+    seed = F.pmod(F.xxhash64(series), F.lit(DRAW_PRIME))
+    return bound(bootstrap_totals(series, seed, lead, replicates), lambda totals: F.aggregate(totals, F.lit(0.0), lambda a, x: a + x) / (replicates * lead))
+
+
+def lead_time_demand(series: DataFrame, keys: Sequence[str], seed: Column, lead: int, levels: Sequence[float], replicates: int = 100) -> DataFrame:
+    """Per series the mean and, for each service level, the smallest bootstrapped total that covers it (a reorder point)."""
+    totals = series.select(*keys, F.sort_array(bootstrap_totals(F.col("series"), seed, lead, replicates)).alias("t"))
+    cover = [F.element_at("t", F.lit(min(replicates, max(1, math.ceil(round(level * replicates, 9)))))).alias(f"cover_{round(level * 100)}") for level in levels]
+    return totals.select(*keys, (F.aggregate("t", F.lit(0.0), lambda a, x: a + x) / replicates).alias("mean_demand"), *cover)
+
+
 METHODS: dict[str, Callable[[Column], Column]] = {
     "ses": ses, "croston": croston, "sba": sba, "tsb": tsb, "holt_winters": holt_winters,
-    "moving_average": moving_average}
+    "moving_average": moving_average, "bootstrap": bootstrap}
+SMOOTHING = ("ses", "croston", "sba", "tsb", "holt_winters", "moving_average")
 
 
-def forecast(series: DataFrame, keys: Sequence[str], methods: Sequence[str] = tuple(METHODS)) -> DataFrame:
+def forecast(series: DataFrame, keys: Sequence[str], methods: Sequence[str] = SMOOTHING) -> DataFrame:
     """Next-period forecast of each method, one column per method."""
     return series.select(*keys, *[METHODS[m](F.col("series")).alias(m) for m in methods])
 
 
-def backtest_scores(series: DataFrame, keys: Sequence[str], horizon: int, folds: int,
-                    methods: Sequence[str] = tuple(METHODS)) -> DataFrame:
-    """Rolling-origin test: mean absolute error per key and method over ``folds`` cut-offs ``horizon`` days apart.
+def fold_forecasts(series: DataFrame, keys: Sequence[str], horizon: int, folds: int, methods: Sequence[str]) -> DataFrame:
+    """``keys, fold, method, forecast, test``: forecasts of ``folds`` cut-offs ``horizon`` days apart, and the days behind each.
 
-    Each cut-off forecasts a flat rate and is compared with the mean demand of the following ``horizon`` days. All
-    cut-offs of a series are slices of the one array, so nothing is shuffled again until the final average.
+    All cut-offs of a series are slices of the one array, so nothing is shuffled.
     """
     cut = series.select(*keys, "series", F.explode(F.sequence(F.lit(1), F.lit(folds))).alias("fold"))
     train_size = F.size("series") - F.col("fold") * horizon
     cut = cut.filter(train_size >= horizon)
     parts = cut.select(*keys, "fold", F.slice("series", F.lit(1), train_size).alias("train"),
                        F.slice("series", train_size + 1, F.lit(horizon)).alias("test"))
+    every = F.array(*[F.struct(F.lit(m).alias("method"), METHODS[m](F.col("train")).alias("forecast")) for m in methods])
+    return parts.select(*keys, "fold", "test", F.inline(every))
+
+
+def backtest_scores(series: DataFrame, keys: Sequence[str], horizon: int, folds: int,
+                    methods: Sequence[str] = tuple(METHODS)) -> DataFrame:
+    """Rolling-origin test: mean absolute error per key and method over ``folds`` cut-offs ``horizon`` days apart.
+
+    Each cut-off forecasts a flat rate and is compared with the mean demand of the following ``horizon`` days.
+    """
+    flat = fold_forecasts(series, keys, horizon, folds, methods)
     actual = F.aggregate("test", F.lit(0.0), lambda a, x: a + x) / F.size("test")
-    scored = parts.select(*keys, "fold", actual.alias("actual"),
-                          F.array(*[F.struct(F.lit(m).alias("method"), METHODS[m](F.col("train")).alias("forecast"))
-                                    for m in methods]).alias("all"))
-    flat = scored.select(*keys, "fold", "actual", F.inline("all"))
-    error = F.abs(F.col("forecast") - F.col("actual"))
-    return flat.groupBy(*keys, "method").agg(F.avg(error).alias("mae"), F.count("forecast").alias("folds"))
+    return flat.groupBy(*keys, "method").agg(F.avg(F.abs(F.col("forecast") - actual)).alias("mae"), F.count("forecast").alias("folds"))
+
+
+def tree_backtest(grid: DataFrame, keys: Sequence[str], demand: str, horizon: int, folds: int, trees: int = 10, depth: int = 5,
+                  seed: int = 7) -> DataFrame:
+    """The same test for one global random forest per cut-off: ``keys, method, mae, folds`` with method ``random_forest``.
+
+    A row is a series at a day: its mean demand over the last 7, 28 and 91 days, its share of days with demand, the month; the label is the mean
+    of the ``horizon`` days behind it. A cut-off learns from rows whose label lies before it and forecasts each series at
+    the cut-off. Features are written once; ``folds`` models are fitted.
+    """
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import RandomForestRegressor
+
+    order = Window.partitionBy(*keys).orderBy("day")
+    back = lambda n: order.rowsBetween(-(n - 1), 0)
+    value = F.col(demand).cast("double")
+    ahead = order.rowsBetween(1, horizon)
+    rows = grid.select(*keys, "day", *[F.avg(value).over(back(n)).alias(f"mean_{n}") for n in (7, 28, 91)],
+                       F.avg((value > 0).cast("double")).over(back(91)).alias("busy"), F.month("day").cast("double").alias("month"),
+                       F.count(value).over(back(91)).alias("__known"), F.count(value).over(ahead).alias("__ahead"), F.avg(value).over(ahead).alias("label"))
+    inputs = ["mean_7", "mean_28", "mean_91", "busy", "month"]
+    rows = materialise(rows.filter(f"__known = 91 AND __ahead = {horizon}"), "tree-features")
+    rows = VectorAssembler(inputCols=inputs, outputCol="features").transform(rows)
+    last = rows.agg(F.max("day")).first()[0]
+    parts = []
+    for fold in range(folds):
+        at = F.date_sub(F.lit(last), fold * horizon)
+        known = rows.filter(F.col("day") <= F.date_sub(at, horizon))
+        if last is None or known.isEmpty():
+            break
+        model = RandomForestRegressor(numTrees=trees, maxDepth=depth, seed=seed).fit(known)
+        parts.append(model.transform(rows.filter(F.col("day") == at)).select(*keys, F.abs(F.col("prediction") - F.col("label")).alias("error")))
+    if not parts:
+        parts = [rows.limit(0).select(*keys, F.col("label").alias("error"))]
+    return reduce(DataFrame.unionByName, parts).groupBy(*keys).agg(F.avg("error").alias("mae"), F.count("error").alias("folds")).select(
+        *keys, F.lit("random_forest").alias("method"), "mae", "folds")
+
+
+def _residuals(folds: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Absolute error of every day behind a cut-off: ``keys, method, fold, step, forecast, actual, error``."""
+    days = folds.filter("forecast IS NOT NULL").select(*keys, "method", "fold", "forecast", F.posexplode("test").alias("at", "actual"))
+    return days.withColumn("step", F.col("at") + 1).withColumn("error", F.abs(F.col("actual") - F.col("forecast"))).drop("at")
+
+
+def _radius(residuals: DataFrame, keys: Sequence[str], folds: int, level: float) -> DataFrame:
+    """Per key, method and step the conformal quantile of ``folds`` errors: the one of rank ``ceil((folds + 1) * level)``."""
+    rank = min(folds, math.ceil(round((folds + 1) * level, 9)))
+    full = residuals.withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy(*keys, "method", "step"))).filter(F.col("__n") == folds)
+    return grouped_quantile(full, [*keys, "method", "step"], F.col("error"), {"radius": (rank - 1) / max(folds - 1, 1)})
+
+
+def conformal_intervals(series: DataFrame, keys: Sequence[str], horizon: int = 30, folds: int = 19, level: float = 0.9,
+                        methods: Sequence[str] = SMOOTHING) -> DataFrame:
+    """``horizon`` days of each method's flat forecast, with split-conformal intervals.
+
+    The errors of ``folds`` past cut-offs at the same step say how far a forecast errs; no distribution is assumed. Series
+    too short for all cut-offs get no interval.
+    """
+    errors = materialise(_residuals(fold_forecasts(series, keys, horizon, folds, methods), keys), "residuals")
+    now = series.select(*keys, F.inline(F.array(*[F.struct(F.lit(m).alias("method"), METHODS[m](F.col("series")).alias("forecast")) for m in methods])))
+    out = now.filter("forecast IS NOT NULL").join(_radius(errors, keys, folds, level), [*keys, "method"])
+    return out.select(*keys, "method", "step", "forecast", F.greatest(F.col("forecast") - F.col("radius"), F.lit(0.0)).alias("lower"),
+                      (F.col("forecast") + F.col("radius")).alias("upper"))
+
+
+def conformal_coverage(series: DataFrame, keys: Sequence[str], horizon: int = 30, folds: int = 19, level: float = 0.9,
+                       methods: Sequence[str] = SMOOTHING) -> DataFrame:
+    """Per method how many of the last ``horizon`` days of all series lie inside the intervals that the ``folds`` cut-offs before give."""
+    errors = materialise(_residuals(fold_forecasts(series, keys, horizon, folds + 1, methods), keys), "residuals")
+    radius = _radius(errors.filter("fold > 1"), keys, folds, level)
+    held = errors.filter("fold = 1").join(radius, [*keys, "method", "step"])
+    return held.groupBy("method").agg(F.count(F.lit(1)).alias("days"), F.count_if(F.col("error") <= F.col("radius") + 1e-9).alias("covered"))
 
 
 def model_selection(scores: DataFrame, patterns: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -213,10 +353,20 @@ def tree_forecast(features: DataFrame, keys: Sequence[str], split: Column, kind:
 
 # -- stock parameters --------------------------------------------------------------------------------------
 
-def replenishment(grid: DataFrame, keys: Sequence[str], demand: str, lead_days: float, service_level: float = 0.95,
+def service_factor(level: float | Column) -> Column:
+    """Standard deviations that cover a share ``level`` of a normal demand: tabled values, any other level, or one per row."""
+    if isinstance(level, Column):
+        return normal_quantile(level)
+    return F.lit(SERVICE_Z.get(level) or NormalDist().inv_cdf(level))
+
+
+def replenishment(grid: DataFrame, keys: Sequence[str], demand: str, lead_days: float, service_level: float | Column = 0.95,
                   order_cost: float = 50.0, holding_cost: float = 2.0) -> DataFrame:
-    """Safety stock ``z·σ·√L``, reorder point ``d·L + SS`` and EOQ ``√(2·D·K/h)`` with yearly demand D."""
-    z = SERVICE_Z[service_level]
+    """Safety stock ``z·σ·√L``, reorder point ``d·L + SS`` and EOQ ``√(2·D·K/h)`` with yearly demand D.
+
+    ``service_level`` is any share below 1, or a column of ``keys`` for a level of each item.
+    """
+    z = service_factor(service_level)
     stats = grid.groupBy(*keys).agg(F.avg(demand).alias("daily_demand"), F.stddev_samp(demand).alias("demand_std"))
     safety = z * F.coalesce("demand_std", F.lit(0.0)) * lead_days ** 0.5
     return stats.select(*keys, "daily_demand", "demand_std", safety.alias("safety_stock"),
