@@ -11,7 +11,9 @@ from tidelake.plans.flows import BronzeExtract, SilverTransform
 from tidelake.quality import rules as R
 from tidelake.quality.rules import RuleSet
 from tidelake.session import scratch
+from tidelake.quality.schema import unreadable_files
 from tidelake.sinks.tables import write_table
+from tidelake.sources.files import filesystem, parquet_footers
 
 EXTRACTED = dt.datetime(2024, 3, 1, 6, 30)
 
@@ -121,3 +123,42 @@ def landed_file_checks(t):
         t.orders.filter(F.col("o_orderstatus") == status).write.mode("append").parquet(folder)
     out = flows.landed_file_checks(t.spark, folder, "*.parquet", ["o_orderkey", "o_orderdate"], (0, 1_000_000_000_000))
     return out.agg(F.sum("row_count").alias("row_count"), F.count_if(~F.col("row_count_ok") | ~F.col("has_content")).alias("rejected_files"))
+
+
+def _landed(t):
+    """Three deliveries of orders in folders of their own, one without a column, one all NULL in it, and a broken file."""
+    folder = scratch(t.spark, "landing")
+    for status, frame in (("F", t.orders), ("O", t.orders.drop("o_orderdate")), ("P", t.orders.withColumn("o_orderdate", F.lit(None).cast("timestamp_ntz")))):
+        frame.filter(F.col("o_orderstatus") == status).coalesce(1).write.parquet(f"{folder}/{status}")
+    t.orders.limit(5).select(F.col("o_orderpriority").alias("value")).coalesce(1).write.text(f"{folder}/X")
+    fs, path = filesystem(t.spark, f"{folder}/X")
+    for status in fs.listStatus(path):
+        if status.getPath().getName().endswith(".txt"):
+            fs.rename(status.getPath(), path.suffix("/orders.parquet"))
+    return folder
+
+
+@query("landed_file_rows", """
+SELECT o_orderstatus AS delivery, count(*) AS row_count, true AS has_content, count(*) >= 10 AS row_count_ok, o_orderstatus <> 'O' AS columns_ok,
+  count(*) >= 10 AND o_orderstatus <> 'O' AS accepted FROM orders GROUP BY 1
+UNION ALL SELECT 'X', 0, true, false, false, false""")
+def landed_file_rows(t):
+    """One row per landed file, with what each check found: a column that is all NULL is there, a broken file is rejected."""
+    out = flows.landed_file_checks(t.spark, _landed(t), "*.parquet", ["o_orderkey", "o_orderdate"], (10, 1_000_000_000))
+    return out.select(F.element_at(F.split("path", "/"), -2).alias("delivery"), "row_count", "has_content", "row_count_ok", "columns_ok", "accepted")
+
+
+@query("file_footers", """
+SELECT o_orderstatus AS delivery, true AS readable, count(*) AS row_count, CASE WHEN o_orderstatus = 'O' THEN 5 ELSE 6 END::INTEGER AS columns FROM orders GROUP BY 1
+UNION ALL SELECT 'X', false, NULL, NULL""")
+def file_footers(t):
+    """Rows and columns of each file by its own footer."""
+    out = parquet_footers(t.spark, _landed(t))
+    return out.select(F.element_at(F.split("path", "/"), -2).alias("delivery"), "readable", "row_count", F.size("columns").alias("columns"))
+
+
+@query("set_aside_files", "SELECT 'X' AS delivery, 'orders.parquet' AS file_name, count(*) > 0 AS set_aside FROM orders")
+def set_aside_files(t):
+    """Landed files that cannot be read, by their full path."""
+    out = unreadable_files(t.spark, _landed(t))
+    return out.select(F.element_at(F.split("path", "/"), -2).alias("delivery"), "file_name", F.col("error").isNotNull().alias("set_aside"))

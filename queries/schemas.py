@@ -91,6 +91,33 @@ def schema_drift(t):
     return affected(S.drift(t.part.schema, df), df)
 
 
+@query("schema_drift_rows", """
+WITH n AS (SELECT count(*) AS n FROM part)
+SELECT 'p_brand' AS column_name, 'renamed' AS change, 'string' AS old_type, NULL AS new_type, 'brand' AS renamed_to, n AS affected_rows, 0::BIGINT AS lost_values, NULL::DOUBLE AS null_share FROM n
+UNION ALL SELECT 'p_type', 'dropped', 'string', NULL, NULL, n, (SELECT count(p_type) FROM part), NULL FROM n
+UNION ALL SELECT 'p_size', 'retyped', 'int', 'string', NULL, n, (SELECT count(*) FROM part WHERE p_partkey % 20 = 0), NULL FROM n
+UNION ALL SELECT 'origin', 'added', NULL, 'string', NULL, n, 0, (SELECT round(count(*) FILTER (p_partkey % 7 <> 0) / count(*), 6) FROM part) FROM n""")
+def schema_drift_rows(t):
+    """A delivery with a renamed, a dropped, a retyped and an added column, and what that does to its rows."""
+    k = F.col("p_partkey")
+    new = t.part.withColumnRenamed("p_brand", "brand").drop("p_type").withColumns({
+        "p_size": F.when(k % 20 == 0, "many").otherwise(F.col("p_size").cast("string")), "origin": F.when(k % 7 == 0, F.concat(F.lit("o"), k.cast("string")))})
+    return S.drift_rows(t.part, new).withColumn("null_share", F.round("null_share", 6))
+
+
+@query("schema_registry", """
+SELECT 'stock' AS table_name, true AS same_spec, (SELECT count(*) FROM part) AS rows_enforced""")
+def schema_registry(t):
+    """A schema stored, loaded again and enforced."""
+    path = scratch(t.spark, "registry")
+    registry = S.SchemaRegistry()
+    registry.register(SPEC)
+    registry.save(t.spark, path)
+    loaded = S.SchemaRegistry.load(t.spark, path).get(SPEC.table)
+    rows = S.enforce(raw(t), loaded)
+    return rows.agg(F.count(F.lit(1)).alias("rows_enforced")).select(F.lit(SPEC.table).alias("table_name"), F.lit(loaded == SPEC).alias("same_spec"), "rows_enforced")
+
+
 @query("schema_adapt", "SELECT p_partkey, NULL::VARCHAR AS p_name, p_brand, p_type, CAST(p_size AS INTEGER) AS p_size, p_retailprice, 'new' AS origin FROM part")
 def schema_adapt(t):
     changed = t.part.drop("p_name").withColumns({"p_size": F.col("p_size").cast("string"), "origin": F.lit("new")})

@@ -377,7 +377,8 @@ def replenishment(grid: DataFrame, keys: Sequence[str], demand: str, lead_days:
 def abc_xyz(items: DataFrame, key: str, revenue: str, cv: str, abc: tuple[float, float] = ABC_CUTS,
             xyz: tuple[float, float] = XYZ_CUTS) -> DataFrame:
     """ABC by cumulative revenue share, XYZ by the coefficient of variation; one row per item in and out."""
-    shared = cumulative_share(items, revenue, [key], "revenue_share")
+    # Written once: the running share and the total would each work the items out again.
+    shared = cumulative_share(materialise(items.select(key, revenue, cv), "items"), revenue, [key], "revenue_share")
     s, v = F.col("revenue_share"), F.col(cv)
     return shared.select(key, revenue, "revenue_share", F.col(cv),
                          F.when(s <= abc[0], "A").when(s <= abc[1], "B").otherwise("C").alias("abc_class"),

@@ -20,7 +20,7 @@ from tidelake.quality.rules import RuleSet
 from tidelake.quality.schema import TableSpec, enforce, require_columns
 from tidelake.sinks.tables import bronze_append, bronze_replace_day, layer_path, write_table
 from tidelake.session import materialise
-from tidelake.sources.files import file_listing, incremental, with_lineage, with_row_hash
+from tidelake.sources.files import file_listing, incremental, parquet_footers, with_lineage, with_row_hash
 
 
 @dataclass
@@ -218,25 +218,31 @@ def stale_fallback(df: DataFrame, date_column: str, wanted: dt.date) -> DataFram
 
 def landed_file_checks(spark: SparkSession, folder: str, pattern: str, required: Sequence[str],
                        rows: tuple[int, int], fmt: str = "parquet") -> DataFrame:
-    """Per landed file, told apart by its path: non-empty, row count in range, required columns filled at least once.
+    """Per landed file, told apart by its path: non-empty, row count in range, required columns present.
 
-    A column that other files have counts as missing from a file that lacks it.
+    Parquet files are judged by their own footers, so no data is read, a column that only other files have is missing, one that is
+    all NULL is there, and a broken file is a row that fails. Of other formats rows are counted, and a column is
+    present in a file that fills it at least once.
     """
     def plain(path: Column) -> Column:  # one or three slashes after the scheme
         return F.regexp_replace(path, "^([a-z0-9]+):/+", "$1:/")
 
-    listed = file_listing(spark, folder, pattern).select(plain(F.col("path")).alias("path"), "size_bytes")
-    data = (spark.read.format(fmt).option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
-            .option("mergeSchema", "true").load(folder))
-    present = [c for c in required if c in data.columns]
-    missing = len(required) - len(present)
-    where = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    counted = data.groupBy(plain(where).alias("path")).agg(
-        F.count(F.lit(1)).alias("row_count"), *[F.count(c).alias(f"__n_{c}") for c in present])
-    empty = reduce(lambda a, b: a + b, [(F.coalesce(F.col(f"__n_{c}"), F.lit(0)) == 0).cast("int") for c in present],
-                   F.lit(missing))
-    n = F.coalesce(F.col("row_count"), F.lit(0).cast("long"))
-    return listed.join(counted, "path", "left").select(
-        "path", F.element_at(F.split("path", "/"), -1).alias("file_name"), n.alias("row_count"), (F.col("size_bytes") > 0).alias("has_content"),
-        n.between(*rows).alias("row_count_ok"), (empty == 0).alias("columns_ok"),
-        ((F.col("size_bytes") > 0) & n.between(*rows) & (empty == 0)).alias("accepted"))
+    if fmt == "parquet":
+        names = F.transform("columns", lambda c: c["name"])
+        present = F.coalesce(F.size(F.array_except(F.array(*[F.lit(c) for c in required]).cast("array<string>"), names)) == 0, F.lit(False))
+        found = parquet_footers(spark, folder, pattern).select(
+            plain(F.col("path")).alias("path"), "size_bytes", F.coalesce("row_count", F.lit(0).cast("long")).alias("row_count"), present.alias("columns_ok"))
+    else:
+        listed = file_listing(spark, folder, pattern).select(plain(F.col("path")).alias("path"), "size_bytes")
+        data = (spark.read.format(fmt).option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
+                .option("header", "true").load(folder))
+        known = [c for c in required if c in data.columns]
+        where = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+        counted = data.groupBy(plain(where).alias("path")).agg(F.count(F.lit(1)).alias("n"), *[F.count(c).alias(f"__n_{c}") for c in known])
+        filled = reduce(lambda a, b: a & b, [F.coalesce(F.col(f"__n_{c}"), F.lit(0)) > 0 for c in known], F.lit(len(known) == len(required)))
+        found = listed.join(counted, "path", "left").select("path", "size_bytes", F.coalesce("n", F.lit(0).cast("long")).alias("row_count"),
+                                                            filled.alias("columns_ok"))
+    n = F.col("row_count")
+    return found.select(
+        "path", F.element_at(F.split("path", "/"), -1).alias("file_name"), "row_count", (F.col("size_bytes") > 0).alias("has_content"),
+        n.between(*rows).alias("row_count_ok"), "columns_ok", ((F.col("size_bytes") > 0) & n.between(*rows) & F.col("columns_ok")).alias("accepted"))

@@ -250,10 +250,71 @@ def corrupt_records(spark: SparkSession, path: str, schema: T.StructType, fmt: s
 
 
 def unreadable_files(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
-    """Listed files from which no row could be read (empty files count as unreadable)."""
-    from tidelake.sources.files import file_listing
-    listed = file_listing(spark, path, pattern).select(F.element_at(F.split("path", "/"), -1).alias("file_name"))
-    read = (spark.read.option("ignoreCorruptFiles", "true").option("recursiveFileLookup", "true")
-            .option("pathGlobFilter", pattern).parquet(path)
-            .select(F.col("_metadata.file_name").alias("file_name")).distinct())
-    return listed.join(read, "file_name", "left_anti")
+    """Listed Parquet files that cannot be read, or hold no rows: ``path, file_name, size_bytes, error``.
+
+    Each file is judged by its own footer and told apart by its full path.
+    """
+    from tidelake.sources.files import parquet_footers
+    footers = parquet_footers(spark, path, pattern).filter(~F.col("readable") | (F.col("row_count") == 0))
+    return footers.select("path", F.element_at(F.split("path", "/"), -1).alias("file_name"), "size_bytes",
+                          F.coalesce("error", F.lit("no rows")).alias("error"))
+
+
+#: Share of common values from which a column counts as renamed.
+RENAMED = 0.8
+DRIFT = ("column_name string, change string, old_type string, new_type string, renamed_to string, affected_rows bigint, "
+         "lost_values bigint, null_share double")
+
+
+def drift_rows(old: DataFrame, new: DataFrame, renamed: float = RENAMED) -> DataFrame:
+    """What a changed schema does to the data: ``DRIFT`` per changed column.
+
+    A dropped and an added column of one type whose values overlap (distinct-value sketches: union against both) is a rename. A
+    dropped column loses its values; a retyped one those that cannot be cast back; an added one shows how much of it is
+    NULL. One aggregate reads the changed columns of each table, whatever their number.
+    """
+    before, after = dict(old.dtypes), dict(new.dtypes)
+    dropped, added = [c for c in before if c not in after], [c for c in after if c not in before]
+    retyped = [c for c in before if c in after and before[c] != after[c]]
+    col = lambda c: F.col(f"`{c}`")
+    sketch = lambda c: F.hll_sketch_agg(col(c).cast("string"), 14)
+    was = old.agg(F.count(F.lit(1)).alias("n_old"), *[F.count(col(c)).alias(f"held_{i}") for i, c in enumerate(dropped)],
+                  *[sketch(c).alias(f"old_{i}") for i, c in enumerate(dropped)])
+    lost = [F.count_if(col(c).isNotNull() & col(c).try_cast(old.schema[c].dataType).isNull()).alias(f"lost_{i}") for i, c in enumerate(retyped)]
+    now = new.agg(F.count(F.lit(1)).alias("n_new"), *lost, *[F.count(col(c)).alias(f"filled_{i}") for i, c in enumerate(added)],
+                  *[sketch(c).alias(f"new_{i}") for i, c in enumerate(added)])
+    cells, none = [], F.lit(None)
+
+    def row(name, change, old_type, new_type, to, rows, values, share):
+        cells.append(F.struct(*[F.lit(x).cast("string").alias(n) for n, x in zip(("column_name", "change", "old_type", "new_type"), (name, change, old_type, new_type))],
+                              to.cast("string").alias("renamed_to"), rows.alias("affected_rows"), values.cast("bigint").alias("lost_values"),
+                              share.cast("double").alias("null_share")))
+
+    taken: Column = F.array().cast("array<string>")
+    shares, one = [], was.crossJoin(now)  # one row each
+    for i, c in enumerate(dropped):
+        pairs = []
+        for j, a in enumerate(added):
+            if before[c] == after[a]:
+                size = [F.hll_sketch_estimate(F.coalesce(x, F.hll_union(x, x))) for x in (F.col(f"old_{i}"), F.col(f"new_{j}"))]
+                union = F.hll_sketch_estimate(F.hll_union(F.col(f"old_{i}"), F.col(f"new_{j}")))
+                pairs.append(F.struct(((size[0] + size[1] - union) / F.nullif(union, F.lit(0))).cast("double").alias("share"), F.lit(a).alias("name")))
+        best = F.array_max(F.array(*pairs)) if pairs else F.lit(None).cast("struct<share:double,name:string>")
+        shares.append(F.when(best["share"] >= renamed, best["name"]).alias(f"to_{i}"))
+    one = one.select("*", *shares)
+    for i, c in enumerate(dropped):
+        to = F.col(f"to_{i}")
+        taken = F.concat(taken, F.array_compact(F.array(to)))
+        row(c, "dropped", before[c], None, to, F.col("n_old"), F.when(to.isNotNull(), 0).otherwise(F.col(f"held_{i}")), none)
+    for i, c in enumerate(retyped):
+        row(c, "retyped", before[c], after[c], none, F.col("n_new"), F.col(f"lost_{i}"), none)
+    for i, c in enumerate(added):
+        share = F.try_divide(F.col("n_new") - F.col(f"filled_{i}"), F.col("n_new"))
+        row(c, "added", None, after[c], none, F.col("n_new"), F.lit(0), share)
+    if not cells:
+        return new.sparkSession.createDataFrame([], DRIFT)
+    flat = one.withColumn("__taken", taken).select("__taken", F.inline(F.array(*cells)))
+    # A rename is one row, under its old name.
+    shown = flat.filter(~((F.col("change") == "added") & F.array_contains("__taken", F.col("column_name"))))
+    return shown.select("column_name", F.when(F.col("renamed_to").isNotNull(), "renamed").otherwise(F.col("change")).alias("change"), "old_type", "new_type",
+                        "renamed_to", "affected_rows", "lost_values", "null_share")

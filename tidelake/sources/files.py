@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
+import re
+from fnmatch import fnmatch
 from typing import Any, Callable, Mapping, Sequence
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -83,12 +87,93 @@ def scan_by_suffix(spark: SparkSession, path: str, parsers: Mapping[str, Parser]
 def file_listing(spark: SparkSession, folder: str, pattern: str = "*", checksum: bool = False) -> DataFrame:
     """``path, size_bytes, modified_at`` (and ``md5``) of the files below a folder, listed by Spark.
 
-    Without the checksum the file contents are pruned from the scan and never read.
+    Spark lists files that hold something; contents are pruned from the scan. A checksum streams each file through its task in pieces, whatever its size.
     """
     files = (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
              .option("recursiveFileLookup", "true").load(folder))
     columns = [F.col("path"), F.col("length").alias("size_bytes"), F.col("modificationTime").alias("modified_at")]
-    return files.select(*columns, *([F.md5("content").alias("md5")] if checksum else []))
+    listing = files.select(*columns)
+    if not checksum:
+        return listing
+    digest = F.pandas_udf(lambda paths: paths.map(_md5), T.StringType())
+    return listing.withColumn("md5", digest("path"))
+
+
+PIECE_BYTES = 8 << 20
+
+
+def _located(path: str):
+    """File system and name of a path as listings write it, for use inside a task."""
+    import pyarrow.fs as pafs
+    local = re.sub("^file:/+", "/", path)
+    return pafs.FileSystem.from_uri(local if local.startswith("/") else quote(path, safe=":/@"))
+
+
+def _written(root: str, name: str) -> str:
+    """The full path of a file found below ``root``, as Spark's listings write it."""
+    scheme, _, rest = root.partition("://")
+    if not rest or scheme == "file":
+        return f"file:{name}"
+    return f"{scheme}://{rest.split('/')[0]}{name}" if name.startswith("/") else f"{scheme}://{name}"
+
+
+def _opened(path: str):
+    """A file of a listing, opened at random places from inside a task."""
+    fs, name = _located(path)
+    return fs.open_input_file(name)
+
+
+def _md5(path: str) -> str:
+    digest = hashlib.md5()
+    with _opened(path) as file:
+        while piece := file.read(PIECE_BYTES):
+            digest.update(piece)
+    return digest.hexdigest()
+
+
+FOOTER = "path string, size_bytes bigint, readable boolean, row_count bigint, row_groups int, columns array<struct<name:string,type:string>>, error string"
+
+
+def parquet_footers(spark: SparkSession, folder: str, pattern: str = "*.parquet") -> DataFrame:
+    """One row per Parquet file below a folder: rows, row groups and columns by its own footer, or why it cannot be read.
+
+    Tasks read each footer from the end of the file; no data page is touched, and a broken file fails for itself only. Empty files,
+    which Spark's own listings leave out, are listed too.
+    """
+    def listed(batches):
+        import pyarrow as pa
+        import pyarrow.fs as pafs
+        for batch in batches:
+            for root in batch.column(0).to_pylist():
+                fs, name = _located(root)
+                found = [f for f in fs.get_file_info(pafs.FileSelector(name, recursive=True, allow_not_found=True))
+                         if f.type == pafs.FileType.File and fnmatch(f.base_name, pattern) and not f.base_name.startswith((".", "_"))]
+                for i in range(0, len(found), 4096):
+                    part = found[i : i + 4096]
+                    yield pa.RecordBatch.from_arrays([pa.array([_written(root, f.path) for f in part]), pa.array([f.size for f in part], pa.int64())],
+                                                     names=["path", "size_bytes"])
+
+    def load(batches):
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+        for batch in batches:
+            rows = []
+            for path, size in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                try:
+                    with _opened(path) as file:
+                        meta = pq.read_metadata(file)
+                    fields = [{"name": f.name, "type": str(f.type)} for f in meta.schema.to_arrow_schema()]
+                    rows.append((path, size, True, meta.num_rows, meta.num_row_groups, fields, None))
+                except (pa.ArrowException, OSError) as broken:
+                    rows.append((path, size, False, None, None, None, str(broken).splitlines()[0]))
+            kinds = [pa.string(), pa.int64(), pa.bool_(), pa.int64(), pa.int32(),
+                     pa.list_(pa.struct([("name", pa.string()), ("type", pa.string())])), pa.string()]
+            names = ["path", "size_bytes", "readable", "row_count", "row_groups", "columns", "error"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names) if rows else \
+                pa.RecordBatch.from_arrays([pa.array([], k) for k in kinds], names=names)
+
+    names = spark.createDataFrame([(folder,)], "folder string").mapInArrow(listed, "path string, size_bytes bigint")
+    return names.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))).mapInArrow(load, FOOTER)
 
 
 def latest_landed_file(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
