@@ -197,6 +197,22 @@ def test_top_k(spark):
     assert [tuple(r) for r in few] == [(0, 1, 9, -3 * 2**20)]
 
 
+def test_products_beyond_double_precision_are_exact(spark):
+    """Neighbours whose products differ by less than a double can tell apart, near 2^62."""
+    big = 2.0**21  # times 1024: 2^31, which squares to 2^62
+    data = [(0, [big, 1.0 / 1024])] + [(i, [big - (i % 3) / 1024.0, (i * 7 % 11) / 1024.0]) for i in range(1, 400)]
+    frame = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    whole = {i: [int(1024 * x) for x in v] for i, v in data}
+    got = sorted(map(tuple, topk.top_k(frame, F.col("vec_id") % 100 == 0).collect()))
+    want = []
+    for q in (0, 100, 200, 300):
+        scores = sorted((-sum(a * b for a, b in zip(whole[q], v)), i) for i, v in whole.items() if i != q)[:10]
+        want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scores)]
+    assert got == want and len({s for *_, s in want}) > 3
+    with pytest.raises(Exception):
+        topk.top_k(spark.createDataFrame([(0, [2.0**40]), (1, [2.0**40])], "vec_id long, embedding array<double>"), F.col("vec_id") == 0).collect()
+
+
 def test_tree_search_equals_brute_force_and_prunes(monkeypatch):
     import pandas as pd
     rng = np.random.default_rng(1)
@@ -205,7 +221,7 @@ def test_tree_search_equals_brute_force_and_prunes(monkeypatch):
     vectors[:300] = vectors[0]
     ids, norm = np.arange(3000), float((vectors ** 2).sum(axis=1).max())
     pages = topk.build(ids, vectors, norm)
-    tree = topk.Tree(pd.DataFrame(pages))
+    tree = topk.Tree(pd.DataFrame(pages), norm)
     for q in range(0, 3000, 150):
         scores = (vectors @ vectors[q]).astype(np.int64)
         want = sorted(((-s, i) for i, s in enumerate(scores) if i != q))[:10]

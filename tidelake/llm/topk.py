@@ -8,7 +8,9 @@ them to the same length: the nearer to the query (which gets 0 there), the large
 2. Queries are cut into blocks of at most ``QUERY_ROWS``; a block meets the pages of one shard at a time. For each query,
    nodes wait in a heap by the least distance they may hold. Before a distance is computed, the triangle inequality on the
    stored distances to the parent is asked whether the entry can still matter. Ties go to the smaller id, so
-   only what is strictly farther than the k-th best is left out; products are compared as whole numbers.
+   only what is strictly farther than the k-th best is left out. Products are whole numbers and exact: in double precision while the
+   squared length of every vector stays below ``EXACT``, in Python integers beyond; distances, which only prune, allow for rounding. A
+   product beyond 64 bits is an error, components beyond are cut to the ends of that range.
 3. The best k of every shard meet, at most k rows per query and shard, cut to k again before they are shuffled.
 
 Vectors that are NULL, or hold NULL or non-finite components, take no part; nor do those without an id or with another
@@ -32,6 +34,8 @@ SHARD_ROWS = 1 << 15
 QUERY_ROWS = 1024
 FANOUT = 16
 LEAF_ROWS = 64
+#: Up to this squared length no sum on the way to a product can be rounded.
+EXACT = float(1 << 53)
 PAGE = "node bigint, leaf boolean, width bigint, entries binary, pivots binary, radii binary, to_parent binary, ids binary, vectors binary"
 FOUND = "query_id bigint, vec_id bigint, score bigint"
 
@@ -46,7 +50,8 @@ def _distances(points: np.ndarray, to: np.ndarray) -> np.ndarray:
 
 def build(ids: np.ndarray, vectors: np.ndarray, norm: float) -> list[dict]:
     """The pages of one tree. ``norm`` is at least the squared length of every vector."""
-    ids, vectors = ids[order := np.lexsort((*vectors.T[:4], ids))], vectors[order]
+    ids, whole = ids[order := np.lexsort((*vectors.T[:4], ids))], vectors[order].astype(np.int64)
+    vectors = whole.astype(np.float64)
     lifted = np.column_stack([vectors, np.sqrt(np.maximum(norm - np.einsum("ij,ij->i", vectors, vectors), 0))])
     pages: list[dict] = []
 
@@ -59,7 +64,7 @@ def build(ids: np.ndarray, vectors: np.ndarray, norm: float) -> list[dict]:
             far = _distances(lifted[members], parent) if parent is not None else np.zeros(len(members))
             near = np.argsort(far, kind="stable")
             parts = dict(entries=empty, pivots=empty, radii=empty, to_parent=far[near], ids=ids[members[near]],
-                         vectors=vectors[members[near]])
+                         vectors=whole[members[near]])
         else:
             # Pivots far from each other: each next one is the member farthest from those taken.
             pivot, far = [members[0]], _distances(lifted[members], lifted[members[0]])
@@ -92,23 +97,27 @@ def build(ids: np.ndarray, vectors: np.ndarray, norm: float) -> list[dict]:
 class Tree:
     """The pages of one shard, in memory while a block of queries is asked."""
 
-    def __init__(self, pages: pd.DataFrame):
-        self.nodes = {}
+    def __init__(self, pages: pd.DataFrame, norm: float):
+        self.nodes, self.exact = {}, np.float64 if norm <= EXACT else object
         for p in pages.itertuples(index=False):
             f = lambda x: np.frombuffer(x, dtype=np.float64)
+            vectors = np.frombuffer(p.vectors, dtype=np.int64).reshape(-1, p.width - 1).astype(self.exact)
             self.nodes[p.node] = (p.leaf, np.frombuffer(p.entries, dtype=np.int64), f(p.pivots).reshape(-1, p.width), f(p.radii),
-                                  f(p.to_parent), np.frombuffer(p.ids, dtype=np.int64), f(p.vectors).reshape(-1, p.width - 1))
+                                  f(p.to_parent), np.frombuffer(p.ids, dtype=np.int64), vectors)
 
     def search(self, own: int, query: np.ndarray, k: int, norm: float) -> list[tuple[int, int]]:
         """The best ``(score, vec_id)`` of this tree, without vectors of id ``own``."""
-        lifted, length = np.append(query, 0.0), query @ query
+        # Whole numbers in, either as doubles that hold them or as integers.
+        asked = query.astype(np.int64).astype(self.exact)
+        query = query.astype(np.float64)
+        lifted, length, slack = np.append(query, 0.0), query @ query, 1e-3 + 4e-8 * np.sqrt(norm)
         best: list[tuple[int, int]] = []  # a heap of (score, -id), the worst first
 
         def reach() -> float:
             """Beyond this distance no vector can be among the k best; a little more than exact, for rounding."""
             if len(best) < k:
                 return np.inf
-            return np.sqrt(max(length + norm - 2 * best[0][0], 0)) * (1 + 1e-9) + 1e-3
+            return np.sqrt(max(length + norm - 2 * best[0][0], 0)) * (1 + 1e-9) + slack
 
         waiting = [(0.0, 0, 0.0)] if self.nodes else []  # least distance, node, distance to its pivot
         while waiting:
@@ -123,7 +132,7 @@ class Tree:
                     a, b = np.searchsorted(to_parent, (to_pivot - limit, to_pivot + limit))
                 else:
                     a, b = 0, len(ids)
-                scores = (vectors[a:b] @ query).astype(np.int64)
+                scores = (vectors[a:b] @ asked).astype(np.int64)
                 near = ids[a:b]
                 if len(best) == k:
                     keep = scores >= best[0][0]
@@ -159,12 +168,13 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, id_column: str = "v
     widths = points.groupBy(F.size("v").alias("width")).agg(F.count(F.lit(1)).alias("n"))
     width = widths.orderBy(F.desc("n"), "width").first()
     points = points.filter(F.size("v") == (width["width"] if width else 0))
-    square = F.aggregate("v", F.lit(0).cast("bigint"), lambda a, x: a + x * x)
-    n, n_queries, norm = points.agg(F.count(F.lit(1)), F.count(F.when(is_query, 1)), F.coalesce(F.max(square), F.lit(0))).first()
+    square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
+    n, n_queries, norm = points.agg(F.count(F.lit(1)), F.count(F.when(is_query, 1)), F.coalesce(F.max(square), F.lit(0.0))).first()
+    norm *= 1 + 1e-12  # at least every squared length, whatever was rounded on the way
     n_shards, n_blocks = max(parallelism(vectors.sparkSession), -(-n // SHARD_ROWS)), max(1, -(-n_queries // QUERY_ROWS))
 
     def load(rows: pd.DataFrame) -> pd.DataFrame:
-        pages = build(rows["vec_id"].to_numpy(), np.array(rows["v"].tolist(), dtype=np.float64), float(norm))
+        pages = build(rows["vec_id"].to_numpy(), np.array(rows["v"].tolist(), dtype=np.int64), norm)
         return pd.DataFrame(pages).assign(shard=rows["shard"].iloc[0])[["shard", *(c.split()[0] for c in PAGE.split(", "))]]
 
     # Rows, not ids, are dealt: a vector or an id that repeats is spread over all shards.
@@ -174,9 +184,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, id_column: str = "v
     def ask(tree_rows: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         rows = []
         if len(tree_rows):
-            tree = Tree(tree_rows)
+            tree = Tree(tree_rows, norm)
             for q in queries.itertuples(index=False):
-                found = tree.search(q.query_id, np.array(q.v, dtype=np.float64), k, float(norm))
+                found = tree.search(q.query_id, np.array(q.v, dtype=np.int64), k, norm)
                 rows += [(q.query_id, vec_id, score) for score, vec_id in found]
         return pd.DataFrame(rows, columns=["query_id", "vec_id", "score"]).astype("int64")
 
