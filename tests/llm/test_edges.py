@@ -325,3 +325,35 @@ def test_quality_trusts_every_good_label(spark):
     labels = spark.range(60_000).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
     trusted = quality_rules.trusted_ids(labels)
     assert trusted.count() == 60_000 and trusted.filter("held").count() > 11_000
+
+
+def test_stragglers_are_linked_in_cells_of_any_size(spark, monkeypatch):
+    """Chains of near copies, in which many members are just too far from the one they are first aligned with."""
+    import random
+    draw = random.Random(12)
+    rows = []
+    for chain in range(3):
+        words = [f"c{chain}w{i}" for i in range(60)]
+        for step in range(25):
+            words[draw.randrange(60)] = f"n{chain}x{step}"
+            rows.append((len(rows), " ".join(words)))
+    rows += [(1000 + i, rows[5][1]) for i in range(20)]
+    sets = {i: frozenset(tuple(t.split()[k : k + 5]) for k in range(56)) for i, t in rows}
+    root = {i: i for i in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in sets:
+        for b in sets:
+            if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                root[max(find(a), find(b))] = min(find(a), find(b))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = {i: find(i) for i in sets}
+    assert 3 <= len(set(want.values())) < 40
+    monkeypatch.setattr(near_dup, "ROUNDS", 0)  # everything is left to the last round
+    for size in (4, 1500):
+        monkeypatch.setattr(near_dup, "CELL_NODES", size)
+        assert {r.doc_id: r.class_id for r in near_dup.near_duplicates(docs).collect()} == want

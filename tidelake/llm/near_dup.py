@@ -13,9 +13,10 @@ labels of both. It never exceeds the Jaccard similarity, and equals it where not
    nearest to what they were copied from; a node is aligned with the leader it shares most buckets with. One pair per node, however large a bucket is. Links found are joined to components.
 4. Further rounds: in a bucket that still holds several components, nodes outside the largest meet a member of that one,
    drawn by a hash that changes with bucket and round, ``PICKS`` per node and round, while this finds new links.
-5. Last round: of the buckets that then hold several components, every node outside the largest is aligned with all
-   nodes of other components in it whose length allows the similarity. Pairs inside a component are never made, so
-   a large group of near copies costs its last stragglers only, and no link between components is lost.
+5. Last round: what is left are stragglers, nodes outside the largest component of a bucket. Buckets with the same largest
+   component are taken together; its nodes and its stragglers are dealt into cells of bounded size that hold each text once. In a cell a
+   straggler is aligned with nodes of other components that share a bucket with it and whose length allows the similarity,
+   until a link to that component is found. Rows are nodes and cells, never pairs, and no link between components is lost.
 6. Alignment: labels common to both, in the order of one text, give a sequence of places in the other; the longest
    increasing run of it is the alignment. Places further apart than the band, which is as wide as the threshold
    allows, cannot be part of a good one and are left out.
@@ -29,6 +30,7 @@ classes apart. Other columns are not looked at.
 from __future__ import annotations
 
 from bisect import bisect_left
+from collections import defaultdict
 
 import numpy as np
 import pandas as pd
@@ -119,14 +121,14 @@ def node_of(column: pa.Array) -> pa.Array:
     return pa.array(np.concatenate(parts) if parts else np.zeros(0, dtype=np.int64))
 
 
-def placed(labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def placed_labels(labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Labels in order of value, and the place of each in the text."""
     order = np.argsort(labels, kind="stable")
     return labels[order], order
 
 
 def alignment(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], threshold: float = THRESHOLD) -> float:
-    """Similarity of two texts by the alignment of their ``placed`` labels inside the band; 0 where it is out of reach."""
+    """Similarity of two texts by the alignment of their ``placed_labels`` inside the band; 0 where it is out of reach."""
     (x, at), (y, to) = a, b
     n = len(x) + len(y)
     if not len(x) or not len(y) or min(len(x), len(y)) < threshold * max(len(x), len(y)):
@@ -149,7 +151,7 @@ def alignment(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]
 
 
 def aligned(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> float:
-    return alignment(placed(a), placed(b), threshold)
+    return alignment(placed_labels(a), placed_labels(b), threshold)
 
 
 def _verify(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
@@ -172,7 +174,7 @@ def _verify(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
         return pa.array(out, pa.float64())
 
     def cell(rows: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        labels = dict(zip(rows["node"], map(placed, labels_of_all(pa.array(rows["text"], pa.string())))))
+        labels = dict(zip(rows["node"], map(placed_labels, labels_of_all(pa.array(rows["text"], pa.string())))))
         hit = [alignment(labels[x], labels[y], threshold) >= threshold for x, y in zip(asked["a"], asked["b"])]
         return asked.loc[hit, ["a", "b"]]
 
@@ -233,9 +235,9 @@ def node_classes(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFra
             .groupBy("node").agg(F.max(F.struct("n", "leader")).alias("best")))
     pairs = materialise(best.select(F.col("node").alias("a"), F.col("best.leader").alias("b")), "pairs")
     needed = buckets.select("node").distinct()
-    texts = materialise(
-        docs.select(F.arrow_udf(node_of, "bigint")("text").alias("node"), "text").join(needed, "node").groupBy("node").agg(F.first("text").alias("text")),
-        "node-texts")
+    # Copies of a text melt together before they are shuffled.
+    one_each = docs.select(F.arrow_udf(node_of, "bigint")("text").alias("node"), "text").groupBy("node").agg(F.first("text").alias("text"))
+    texts = materialise(one_each.join(needed, "node"), "node-texts")
     roots = materialise(components(_verify(pairs, texts, threshold)), "roots")
 
     # Further rounds: stragglers meet members of the largest component of their buckets.
@@ -257,13 +259,48 @@ def node_classes(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFra
             break
 
     # Last round: whatever is left between components of one bucket.
-    inside = _mixed(buckets, roots)
-    few = inside.filter("root <> top").select("key", *[F.col(c).alias(f"{c}_a") for c in ("node", "root", "n")])
-    allowed = F.least("n", "n_a") >= threshold * F.greatest("n", "n_a")
-    once = (F.col("root") == F.col("top")) | (F.col("node_a") < F.col("node"))
-    left = (few.join(inside, "key").filter(allowed & once & (F.col("root_a") != F.col("root")))
-            .select(F.least("node_a", "node").alias("a"), F.greatest("node_a", "node").alias("b")).distinct())
-    return members, _joined(roots, materialise(_verify(left, texts, threshold), "links-found"))
+    return members, _joined(roots, materialise(_straggling(_mixed(buckets, roots), texts, threshold), "links-found"))
+
+
+def _straggling(inside: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Links ``(a, b)`` between components that share a bucket: at least one wherever there is one."""
+    nodes = materialise(inside.groupBy("top", "node").agg(F.first("n").alias("n"), F.first("root").alias("root"), F.collect_set("key").alias("keys"))
+                        .withColumn("straggler", F.col("root") != F.col("top")), "straggling")
+    parts = lambda n: F.ceil(n / CELL_NODES).cast("bigint")
+    sizes = nodes.groupBy("top").agg(parts(F.count(F.lit(1))).alias("parts"), parts(F.count_if("straggler")).alias("straggler_parts"))
+    placed = nodes.join(sizes, "top")
+    part = lambda salt, n: F.pmod(F.xxhash64("node", F.lit(salt)), F.col(n))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
+    columns = ["top", "node", "n", "root", "keys", "straggler"]
+    met = placed.select(*columns, F.lit(False).alias("asks"), every("straggler_parts").alias("i"), part("met", "parts").alias("j"))
+    asks = placed.filter("straggler").select(*columns, F.lit(True).alias("asks"), part("asks", "straggler_parts").alias("i"), every("parts").alias("j"))
+
+    def cell(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.assign(labels=list(map(placed_labels, labels_of_all(pa.array(rows["text"], pa.string())))))
+        asking = list(rows[rows["asks"]].itertuples(index=False))
+        at, by_key, joined, found = list(rows[~rows["asks"]].itertuples(index=False)), defaultdict(list), {}, []
+        for place, node in enumerate(at):
+            for key in node.keys:
+                by_key[key].append(place)
+
+        def find(root):
+            while joined.get(root, root) != root:
+                root = joined[root]
+            return root
+
+        for one in asking:
+            for place in sorted({p for key in one.keys for p in by_key[key]}):
+                other = at[place]
+                if other.straggler and other.node <= one.node or min(one.n, other.n) < threshold * max(one.n, other.n):
+                    continue
+                a, b = find(one.root), find(other.root)
+                if a != b and alignment(one.labels, other.labels, threshold) >= threshold:
+                    joined[max(a, b)] = min(a, b)
+                    found.append((min(one.node, other.node), max(one.node, other.node)))
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    rows = met.unionByName(asks).join(texts, "node")
+    return rows.groupBy("top", "i", "j").applyInPandas(cell, "a bigint, b bigint").distinct()
 
 
 def _mixed(buckets: DataFrame, roots: DataFrame) -> DataFrame:
