@@ -129,11 +129,14 @@ def with_dimension_key(fact: DataFrame, dimension: DataFrame, natural: str, fact
 
 def fact_sales(lines: DataFrame, orders: DataFrame, product: DataFrame, location: DataFrame,
                customer: DataFrame) -> DataFrame:
-    """Order lines with product, location, customer, order-date and ship-date keys."""
-    sales = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    """Order lines with product, location, customer, order-date and ship-date keys.
+
+    The customer is looked up per order, before lines multiply it.
+    """
+    heads = with_dimension_key(orders, customer, "customer_id", "o_custkey", "customer_key").select("o_orderkey", "o_orderdate", "customer_key")
+    sales = lines.join(heads, F.col("l_orderkey") == F.col("o_orderkey"))
     sales = with_dimension_key(sales, product, "sku_code", "l_partkey", "product_key")
     sales = with_dimension_key(sales, location, "location_id", "l_suppkey", "location_key")
-    sales = with_dimension_key(sales, customer, "customer_id", "o_custkey", "customer_key")
     return sales.select(
         F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line_number"), "product_key",
         "location_key", "customer_key", date_key(F.col("o_orderdate")).alias("date_key"),

@@ -157,8 +157,8 @@ class AnomalyScan:
         rows = [*self._tier_one(df, exprs), *self._tier_two(df, exprs), *self._tier_three(df, history, exprs)]
         rolling = [self._rolling(df, *r) for r in self.rolling]
         taken: dict[str, int] = {}
-        for finding in [*rows, *[f for _, f in rolling]]:
-            # Checks that repeat on a column are told apart by a number.
+        for finding in [f for f in [*rows, *[f for _, f in rolling]] if f.column != "_record_count"]:
+            # Checks that repeat on a column are told apart by a number; ranges of the record count keep their fixed ids.
             taken[finding.anomaly_id] = count = taken.get(finding.anomaly_id, 0) + 1
             finding.anomaly_id += f"_{count}" if count > 1 else ""
         one = None
