@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from queries.registry import query
-from tidelake.operators.series import daily_totals, zero_filled
+from tidelake.operators.series import daily_totals, filled_series, zero_filled
 from tidelake.plans import demand as M
 
 GRID_SQL = """
@@ -17,12 +17,16 @@ grid AS (SELECT k.l_suppkey, days.day, coalesce(d.demand, 0) AS demand FROM (SEL
 KEYS = ["l_suppkey"]
 
 
+def daily(t):
+    return daily_totals(t.lineitem, KEYS, "l_shipdate", "l_quantity", "demand")
+
+
 def grid(t):
-    return zero_filled(daily_totals(t.lineitem, KEYS, "l_shipdate", "l_quantity", "demand"), KEYS, "demand")
+    return zero_filled(daily(t), KEYS, "demand")
 
 
 def all_series(t):
-    return M.as_series(grid(t), KEYS, "demand")
+    return filled_series(daily(t), KEYS, "demand")
 
 
 @query("demand_pattern", GRID_SQL + """, s AS (SELECT l_suppkey, count(*) AS n, count(*) FILTER (demand > 0) AS nz,

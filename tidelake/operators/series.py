@@ -13,25 +13,38 @@ from pyspark.sql import functions as F
 
 from tidelake.operators.split_window import SplitWindow
 
+#: Days of a complete grid that one task gets.
+GRID_ROWS = 1_000_000
+
 
 def daily_totals(df: DataFrame, keys: Sequence[str], ts: str, value: str, output: str = "total") -> DataFrame:
     return df.groupBy(*keys, F.to_date(ts).alias("day")).agg(
         F.sum(value).alias(output), F.count(F.lit(1)).alias("records"))
 
 
+def calendar_span(daily: DataFrame, keys: Sequence[str], start: Column | None = None, end: Column | None = None) -> tuple[Column, Column, int]:
+    """First and last day of the whole table unless given, and the number of tasks that a complete grid needs.
+
+    A grid has far more rows than the table it comes from, so tasks are counted in days of the grid, not in bytes of the table.
+    """
+    seen = daily.agg(F.coalesce(start or F.min("day"), F.min("day")).alias("a"), F.coalesce(end or F.max("day"), F.max("day")).alias("b"),
+                     F.approx_count_distinct(F.xxhash64(*keys)).alias("n")).first()
+    days = (seen["b"] - seen["a"]).days + 1 if seen["a"] else 0
+    tasks = max(daily.sparkSession.sparkContext.defaultParallelism, -(-seen["n"] * days // GRID_ROWS))
+    return F.lit(seen["a"]).cast("date"), F.lit(seen["b"]).cast("date"), tasks
+
+
 def zero_filled(daily: DataFrame, keys: Sequence[str], value: str, start: Column | None = None,
                 end: Column | None = None) -> DataFrame:
     """A complete daily grid per series; days without rows get 0.
 
     Borders default to the first and last day of the whole table. Each row is exploded over the gap up to the
-    next row of its series, so the grid needs one window and no join.
+    next row of its series, so the grid needs one window and no join. A task gets about ``GRID_ROWS`` days of the grid.
     """
-    if start is None:
-        span = daily.agg(F.struct(F.min("day").alias("a"), F.max("day").alias("b")).alias("s")).scalar()
-        start, end = span["a"], span["b"]
+    start, end, tasks = calendar_span(daily, keys, start, end)
     order = Window.partitionBy(*keys).orderBy("day")
-    gaps = daily.select(*keys, value, F.col("day").alias("__at"),
-                        F.lag("day").over(order).alias("__last"), F.lead("day").over(order).alias("__next"))
+    gaps = daily.repartition(tasks, *keys).select(*keys, value, F.col("day").alias("__at"),
+                                                  F.lag("day").over(order).alias("__last"), F.lead("day").over(order).alias("__next"))
     first = F.when(F.col("__last").isNull(), start).otherwise(F.col("__at"))
     last = F.coalesce(F.date_sub(F.col("__next"), 1), end)
     grid = gaps.select(*keys, value, "__at", F.explode(F.sequence(first, last)).alias("day"))
@@ -40,6 +53,19 @@ def zero_filled(daily: DataFrame, keys: Sequence[str], value: str, start: Column
     return grid.select(*keys, "day", filled.alias(value))
 
 
+def filled_series(daily: DataFrame, keys: Sequence[str], value: str, output: str = "series") -> DataFrame:
+    """The grid of :func:`zero_filled` as one array of doubles per key, in day order.
+
+    Days with rows are gathered and the zeros between them put in as runs, so no row is made for a day without any.
+    """
+    start, end, tasks = calendar_span(daily, keys)
+    entries = F.sort_array(F.collect_list(F.struct("day", F.col(value).cast("double").alias("v"))))
+    known = daily.repartition(tasks, *keys).groupBy(*keys).agg(entries.alias("__known"))
+    zeros = lambda since, until: F.array_repeat(F.lit(0.0), F.datediff(until, since) - 1)
+    runs = F.transform("__known", lambda e, i: F.concat(F.array(e["v"]), zeros(e["day"], F.coalesce(F.get("__known", i + 1)["day"], F.date_add(end, 1)))))
+    return known.select(*keys, F.concat(zeros(F.date_sub(start, 1), F.get("__known", F.lit(0))["day"]), F.flatten(runs)).alias(output))
+
+
 def rolling_deviation(daily: DataFrame, keys: Sequence[str], value: str, window_size: int = 7,
                       n_std: float = 2.0) -> DataFrame:
     """Flag values outside mean ± ``n_std`` deviations of the previous ``window_size`` rows; short starts pass."""

@@ -10,15 +10,14 @@ from __future__ import annotations
 import math
 from functools import reduce
 from statistics import NormalDist
-from typing import Callable, Mapping, Sequence
+from typing import Callable, NamedTuple, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelake.functions.distributions import bound, normal_quantile
-from tidelake.operators.quantiles import grouped_quantile
 from tidelake.operators.series import cumulative_share
-from tidelake.session import materialise
+from tidelake.session import file_per_task, materialise
 
 # Cuts of the demand patterns, ABC/XYZ classes, and normal quantiles of service levels.
 ADI_CUT = 1.32
@@ -57,18 +56,46 @@ def as_series(grid: DataFrame, keys: Sequence[str], demand: str, output: str = "
     return grid.groupBy(*keys).agg(F.transform(entries, lambda e: e["v"]).alias(output))
 
 
-# -- folds: Column of array<double> to the forecast of the next period -----------------------------------------
+# -- recursions over Column of array<double>: what they leave behind a day is the forecast of the next period ----
 
-def ses(series: Column, alpha: float = 0.3) -> Column:
-    """Simple exponential smoothing, started at the first value."""
-    return F.aggregate(F.slice(series, F.lit(2), F.size(series)), F.element_at(series, 1),
-                       lambda level, x: alpha * x + (1 - alpha) * level)
+class Recursion(NamedTuple):
+    """State after the first ``skip`` values of a series, the step to the next value, and the forecast of a state.
+
+    ``forecast`` also gets the values that led to the state; ``least`` is the fewest values that give a forecast.
+    """
 
+    start: Callable[[Column], Column]
+    step: Callable[[Column, Column], Column]
+    forecast: Callable[[Column, Column], Column]
+    skip: int = 0
+    least: int = 0
 
-def croston(series: Column, alpha: float = 0.1) -> Column:
-    """Croston: smoothed demand size over smoothed interval, updated at demands only; 0 without any demand."""
+
+def _run(method: Recursion, series: Column) -> Column:
+    """The forecast behind the whole series."""
+    rest = F.slice(series, F.lit(method.skip + 1), F.size(series)) if method.skip else series
+    out = F.aggregate(rest, method.start(series), method.step, lambda s: method.forecast(s, series))
+    return F.when(F.size(series) >= method.least, out) if method.least else out
+
+
+def _run_at(method: Recursion, series: Column, cuts: Column) -> Column:
+    """The forecasts behind the first ``c`` values for every ``c`` of the ascending array ``cuts``, in one pass over the series."""
+    def part(s: Column, cut: Column) -> Column:
+        state = F.aggregate(F.slice(series, s["at"] + 1, F.greatest(cut - s["at"], F.lit(0))), s["state"], method.step)
+        return bound(state, lambda state: F.struct(
+            F.greatest(s["at"], cut).alias("at"), state.alias("state"),
+            F.concat(s["out"], F.array(F.when(cut >= method.least, method.forecast(state, F.slice(series, F.lit(1), cut))))).alias("out")))
+
+    start = F.struct(F.lit(method.skip).alias("at"), method.start(series).alias("state"), F.array().cast("array<double>").alias("out"))
+    return F.aggregate(cuts, start, part, lambda s: s["out"])
+
+
+def ses_recursion(alpha: float = 0.3) -> Recursion:
+    return Recursion(lambda series: F.element_at(series, 1), lambda level, x: alpha * x + (1 - alpha) * level, lambda level, _: level, skip=1)
+
+
+def croston_recursion(alpha: float = 0.1) -> Recursion:
     none = F.lit(None).cast("double")
-    start = F.struct(none.alias("z"), none.alias("p"), F.lit(1.0).alias("q"))
 
     def step(s: Column, x: Column) -> Column:
         first = s["z"].isNull()
@@ -77,17 +104,12 @@ def croston(series: Column, alpha: float = 0.1) -> Column:
         return F.when(x > 0, F.struct(z.alias("z"), p.alias("p"), F.lit(1.0).alias("q"))).otherwise(
             F.struct(s["z"].alias("z"), s["p"].alias("p"), (s["q"] + 1.0).alias("q")))
 
-    return F.aggregate(series, start, step, lambda s: F.coalesce(s["z"] / s["p"], F.lit(0.0)))
+    return Recursion(lambda series: F.struct(none.alias("z"), none.alias("p"), F.lit(1.0).alias("q")), step,
+                     lambda s, _: F.coalesce(s["z"] / s["p"], F.lit(0.0)))
 
 
-def sba(series: Column, alpha: float = 0.1) -> Column:
-    """Croston with the Syntetos-Boylan bias correction."""
-    return croston(series, alpha) * (1 - alpha / 2)
-
-
-def tsb(series: Column, alpha: float = 0.1, beta: float = 0.1) -> Column:
-    """Teunter-Syntetos-Babai: smoothed demand probability times smoothed size."""
-    start = F.struct(F.lit(None).cast("double").alias("p"), F.lit(None).cast("double").alias("z"))
+def tsb_recursion(alpha: float = 0.1, beta: float = 0.1) -> Recursion:
+    none = F.lit(None).cast("double")
 
     def step(s: Column, x: Column) -> Column:
         hit = F.when(x > 0, 1.0).otherwise(0.0)
@@ -95,22 +117,14 @@ def tsb(series: Column, alpha: float = 0.1, beta: float = 0.1) -> Column:
         z = F.when(x > 0, F.when(s["z"].isNull(), x).otherwise(s["z"] + alpha * (x - s["z"]))).otherwise(s["z"])
         return F.struct(p.alias("p"), z.alias("z"))
 
-    return F.aggregate(series, start, step, lambda s: F.coalesce(s["p"] * s["z"], F.lit(0.0)))
+    return Recursion(lambda series: F.struct(none.alias("p"), none.alias("z")), step, lambda s, _: F.coalesce(s["p"] * s["z"], F.lit(0.0)))
 
 
-def holt_winters(series: Column, alpha: float = 0.2, beta: float = 0.05, gamma: float = 0.1,
-                 season: int = 7) -> Column:
-    """Additive Holt-Winters; level, trend and season start from the first two seasons.
-
-    The state keeps the last ``season`` seasonal terms in a queue: the oldest one belongs to the current period.
-    NULL when there are fewer than two seasons.
-    """
-    def mean(start: int) -> Column:
-        return F.aggregate(F.slice(series, start, season), F.lit(0.0), lambda a, x: a + x) / season
-
-    first, second = mean(1), mean(season + 1)
-    seasonal = F.transform(F.slice(series, 1, season), lambda x: x - first)
-    start = F.struct(first.alias("l"), ((second - first) / season).alias("b"), seasonal.alias("s"))
+def holt_winters_recursion(alpha: float = 0.2, beta: float = 0.05, gamma: float = 0.1, season: int = 7) -> Recursion:
+    def begin(series: Column) -> Column:
+        mean = lambda start: F.aggregate(F.slice(series, start, season), F.lit(0.0), lambda a, x: a + x) / season
+        return bound(F.struct(mean(1).alias("a"), mean(season + 1).alias("b")), lambda m: F.struct(
+            m["a"].alias("l"), ((m["b"] - m["a"]) / season).alias("b"), F.transform(F.slice(series, 1, season), lambda x: x - m["a"]).alias("s")))
 
     def step(st: Column, x: Column) -> Column:
         level = alpha * (x - F.element_at(st["s"], 1)) + (1 - alpha) * (st["l"] + st["b"])
@@ -119,13 +133,46 @@ def holt_winters(series: Column, alpha: float = 0.2, beta: float = 0.05, gamma:
         queue = F.concat(F.slice(st["s"], 2, season - 1), F.array(term))
         return F.struct(level.alias("l"), trend.alias("b"), queue.alias("s"))
 
-    rest = F.slice(series, F.lit(season + 1), F.size(series))
-    forecast = F.aggregate(rest, start, step, lambda st: st["l"] + st["b"] + F.element_at(st["s"], 1))
-    return F.when(F.size(series) >= 2 * season, forecast)
+    return Recursion(begin, step, lambda st, _: st["l"] + st["b"] + F.element_at(st["s"], 1), season, 2 * season)
+
+
+def ses(series: Column, alpha: float = 0.3) -> Column:
+    """Simple exponential smoothing, started at the first value."""
+    return _run(ses_recursion(alpha), series)
+
+
+def croston(series: Column, alpha: float = 0.1) -> Column:
+    """Croston: smoothed demand size over smoothed interval, updated at demands only; 0 without any demand."""
+    return _run(croston_recursion(alpha), series)
+
+
+def sba(series: Column, alpha: float = 0.1) -> Column:
+    """Croston with the Syntetos-Boylan bias correction."""
+    return croston(series, alpha) * (1 - alpha / 2)
+
+
+def tsb(series: Column, alpha: float = 0.1, beta: float = 0.1) -> Column:
+    """Teunter-Syntetos-Babai: smoothed demand probability times smoothed size."""
+    return _run(tsb_recursion(alpha, beta), series)
+
+
+def holt_winters(series: Column, alpha: float = 0.2, beta: float = 0.05, gamma: float = 0.1,
+                 season: int = 7) -> Column:
+    """Additive Holt-Winters; level, trend and season start from the first two seasons.
+
+    The state keeps the last ``season`` seasonal terms in a queue: the oldest one belongs to the current period.
+    NULL when there are fewer than two seasons.
+    """
+    return _run(holt_winters_recursion(alpha, beta, gamma, season), series)
 
 
 def moving_average(series: Column, window: int = 28) -> Column:
-    tail = F.slice(series, F.greatest(F.size(series) - (window - 1), F.lit(1)), window)
+    return _trailing_mean(series, F.size(series), window)
+
+
+def _trailing_mean(series: Column, cut: Column, window: int) -> Column:
+    """Mean of the last ``window`` of the first ``cut`` values."""
+    tail = F.slice(series, F.greatest(cut - (window - 1), F.lit(1)), F.least(cut, F.lit(window)))
     return F.aggregate(tail, F.lit(0.0), lambda a, x: a + x) / F.nullif(F.size(tail), F.lit(0))
 
 
@@ -137,6 +184,41 @@ def _draw(seed: Column, replicate: Column, step: Column, salt: int) -> Column:
     return z
 
 
+def _transitions() -> Recursion:
+    """Days without and with demand, and how many of each were followed by a day with demand."""
+    zero = F.lit(0).cast("long")
+
+    def step(s: Column, x: Column) -> Column:
+        return F.struct((x > 0).alias("on"), F.when(s["on"], s["off_n"]).otherwise(s["off_n"] + 1).alias("off_n"),
+                        F.when(~s["on"] & (x > 0), s["off_on"] + 1).otherwise(s["off_on"]).alias("off_on"),
+                        F.when(s["on"], s["on_n"] + 1).otherwise(s["on_n"]).alias("on_n"),
+                        F.when(s["on"] & (x > 0), s["on_on"] + 1).otherwise(s["on_on"]).alias("on_on"))
+
+    return Recursion(lambda series: F.struct((F.element_at(series, 1) > 0).alias("on"), zero.alias("off_n"), zero.alias("off_on"),
+                                             zero.alias("on_n"), zero.alias("on_on")), step, lambda s, _: s, skip=1)
+
+
+def _futures(pairs: Column, series: Column, seed: Column, lead: int, replicates: int) -> Column:
+    """Total demand over ``lead`` days of each replicate; ``pairs`` is what :func:`_transitions` found in ``series``."""
+    one = F.lit(1).cast("long")
+    shares = bound(pairs, lambda pairs: F.struct(
+        F.coalesce(F.try_divide(pairs["off_on"], pairs["off_n"]), F.lit(0.0)).alias("off"),
+        F.coalesce(F.try_divide(pairs["on_on"], pairs["on_n"]), F.lit(0.0)).alias("on"),
+        F.filter(series, lambda x: x > 0).alias("sizes"), (F.element_at(series, -1) > 0).alias("last"), seed.alias("seed")))
+
+    def future(p: Column, replicate: Column) -> Column:
+        def day(s: Column, at: Column) -> Column:
+            chance = F.when(s["on"], p["on"]).otherwise(p["off"])
+            hit = _draw(p["seed"], replicate, at, 0) / F.lit(float(DRAW_PRIME)) < chance
+            size = F.element_at(p["sizes"], (_draw(p["seed"], replicate, at, 1) % F.size(p["sizes"]) + 1).cast("int"))
+            return bound(hit, lambda hit: F.struct(hit.alias("on"), (s["total"] + F.when(hit, size).otherwise(0.0)).alias("total")))
+
+        return F.aggregate(F.sequence(one, F.lit(lead).cast("long")), F.struct(p["last"].alias("on"), F.lit(0.0).alias("total")), day, lambda s: s["total"])
+
+    return bound(shares, lambda p: F.when(F.size(p["sizes"]) == 0, F.transform(F.sequence(F.lit(1), F.lit(replicates)), lambda _: F.lit(0.0)))
+                 .otherwise(F.transform(F.sequence(one, F.lit(replicates).cast("long")), lambda r: future(p, r))))
+
+
 def bootstrap_totals(series: Column, seed: Column, lead: int, replicates: int = 100) -> Column:
     """Demand over ``lead`` days in each of ``replicates`` futures of a series that is mostly zero.
 
@@ -144,36 +226,20 @@ def bootstrap_totals(series: Column, seed: Column, lead: int, replicates: int =
     day; sizes are drawn from its demands. Draws are hashed from ``seed`` (a whole number below 2^31), replicate and day, so a
     task that runs again draws the same. Without any demand all totals are 0.
     """
-    one, zero = F.lit(1).cast("long"), F.lit(0).cast("long")
-    pairs = F.aggregate(
-        F.slice(series, F.lit(2), F.size(series)),
-        F.struct((F.element_at(series, 1) > 0).alias("on"), zero.alias("off_n"), zero.alias("off_on"), zero.alias("on_n"), zero.alias("on_on")),
-        lambda s, x: F.struct((x > 0).alias("on"), F.when(s["on"], s["off_n"]).otherwise(s["off_n"] + 1).alias("off_n"),
-                              F.when(~s["on"] & (x > 0), s["off_on"] + 1).otherwise(s["off_on"]).alias("off_on"),
-                              F.when(s["on"], s["on_n"] + 1).otherwise(s["on_n"]).alias("on_n"),
-                              F.when(s["on"] & (x > 0), s["on_on"] + 1).otherwise(s["on_on"]).alias("on_on")))
-    shares = F.struct(F.coalesce(F.try_divide(pairs["off_on"], pairs["off_n"]), F.lit(0.0)).alias("off"),
-                      F.coalesce(F.try_divide(pairs["on_on"], pairs["on_n"]), F.lit(0.0)).alias("on"),
-                      F.filter(series, lambda x: x > 0).alias("sizes"), (F.element_at(series, -1) > 0).alias("last"))
+    return _futures(_run(_transitions(), series), series, seed, lead, replicates)
 
-    def future(p: Column, replicate: Column) -> Column:
-        def day(s: Column, at: Column) -> Column:
-            chance = F.when(s["on"], p["on"]).otherwise(p["off"])
-            hit = _draw(seed, replicate, at, 0) / F.lit(float(DRAW_PRIME)) < chance
-            size = F.element_at(p["sizes"], (_draw(seed, replicate, at, 1) % F.size(p["sizes"]) + 1).cast("int"))
-            return F.struct(hit.alias("on"), (s["total"] + F.when(hit, size).otherwise(0.0)).alias("total"))
 
-        return F.aggregate(F.sequence(one, F.lit(lead).cast("long")), F.struct(p["last"].alias("on"), F.lit(0.0).alias("total")), day, lambda s: s["total"])
+def bootstrap_recursion(lead: int = 30, replicates: int = 30) -> Recursion:
+    def mean(pairs: Column, series: Column) -> Column:
+        seed = F.pmod(F.xxhash64(series), F.lit(DRAW_PRIME))
+        return F.aggregate(_futures(pairs, series, seed, lead, replicates), F.lit(0.0), lambda a, x: a + x) / (replicates * lead)
 
-    futures = bound(shares, lambda p: F.when(F.size(p["sizes"]) == 0, F.transform(F.sequence(F.lit(1), F.lit(replicates)), lambda _: F.lit(0.0)))
-                    .otherwise(F.transform(F.sequence(one, F.lit(replicates).cast("long")), lambda r: future(p, r))))
-    return futures
+    return _transitions()._replace(forecast=mean)
 
 
 def bootstrap(series: Column, lead: int = 30, replicates: int = 30) -> Column:
     """Mean daily demand over the futures of :func:`bootstrap_totals`."""
-    seed = F.pmod(F.xxhash64(series), F.lit(DRAW_PRIME))
-    return bound(bootstrap_totals(series, seed, lead, replicates), lambda totals: F.aggregate(totals, F.lit(0.0), lambda a, x: a + x) / (replicates * lead))
+    return _run(bootstrap_recursion(lead, replicates), series)
 
 
 def lead_time_demand(series: DataFrame, keys: Sequence[str], seed: Column, lead: int, levels: Sequence[float], replicates: int = 100) -> DataFrame:
@@ -187,6 +253,10 @@ METHODS: dict[str, Callable[[Column], Column]] = {
     "ses": ses, "croston": croston, "sba": sba, "tsb": tsb, "holt_winters": holt_winters,
     "moving_average": moving_average, "bootstrap": bootstrap}
 SMOOTHING = ("ses", "croston", "sba", "tsb", "holt_winters", "moving_average")
+#: The recursion behind each method and a factor of its forecasts; a moving average looks at its last days only.
+RECURSIONS: dict[str, tuple[Callable[[], Recursion], float]] = {
+    "ses": (ses_recursion, 1.0), "croston": (croston_recursion, 1.0), "sba": (croston_recursion, 0.95), "tsb": (tsb_recursion, 1.0),
+    "holt_winters": (holt_winters_recursion, 1.0), "bootstrap": (bootstrap_recursion, 1.0)}
 
 
 def forecast(series: DataFrame, keys: Sequence[str], methods: Sequence[str] = SMOOTHING) -> DataFrame:
@@ -195,17 +265,27 @@ def forecast(series: DataFrame, keys: Sequence[str], methods: Sequence[str] = SM
 
 
 def fold_forecasts(series: DataFrame, keys: Sequence[str], horizon: int, folds: int, methods: Sequence[str]) -> DataFrame:
-    """``keys, fold, method, forecast, test``: forecasts of ``folds`` cut-offs ``horizon`` days apart, and the days behind each.
+    """``keys, folds, tail, method, at``: ``at[f]`` is the forecast behind the cut-off ``f * horizon`` days before the end, 0 being the end.
 
-    All cut-offs of a series are slices of the one array, so nothing is shuffled.
+    ``folds`` are the cut-offs that a series is long enough for, ``tail`` the days behind the earliest. One pass over a series
+    serves all its cut-offs, and nothing is shuffled.
     """
-    cut = series.select(*keys, "series", F.explode(F.sequence(F.lit(1), F.lit(folds))).alias("fold"))
-    train_size = F.size("series") - F.col("fold") * horizon
-    cut = cut.filter(train_size >= horizon)
-    parts = cut.select(*keys, "fold", F.slice("series", F.lit(1), train_size).alias("train"),
-                       F.slice("series", train_size + 1, F.lit(horizon)).alias("test"))
-    every = F.array(*[F.struct(F.lit(m).alias("method"), METHODS[m](F.col("train")).alias("forecast")) for m in methods])
-    return parts.select(*keys, "fold", "test", F.inline(every))
+    size = F.size("series")
+    cut = series.withColumn("folds", F.greatest(F.least((size / horizon).cast("int") - 1, F.lit(folds)), F.lit(0)))
+    cuts = F.transform(F.sequence(F.col("folds"), F.lit(0), F.lit(-1)), lambda f: size - f * horizon)
+    cut = cut.select(*keys, "series", "folds", cuts.alias("__cuts"))
+    runs = {RECURSIONS[m][0]: f"__run_{m}" for m in methods if m in RECURSIONS}
+    done = cut.select(*keys, "folds", F.slice("series", size - F.col("folds") * horizon + 1, F.col("folds") * horizon).alias("tail"),
+                      *[F.reverse(_run_at(run(), F.col("series"), F.col("__cuts"))).alias(name) for run, name in runs.items()],
+                      F.reverse(F.transform("__cuts", lambda c: _trailing_mean(F.col("series"), c, 28))).alias("__mean"))
+
+    def at(method: str) -> Column:
+        if method == "moving_average":
+            return F.col("__mean")
+        run, factor = RECURSIONS[method]
+        return F.col(runs[run]) if factor == 1.0 else F.transform(runs[run], lambda x: x * factor)
+
+    return done.select(*keys, "folds", "tail", F.inline(F.array(*[F.struct(F.lit(m).alias("method"), at(m).alias("at")) for m in methods])))
 
 
 def backtest_scores(series: DataFrame, keys: Sequence[str], horizon: int, folds: int,
@@ -214,9 +294,15 @@ def backtest_scores(series: DataFrame, keys: Sequence[str], horizon: int, folds:
 
     Each cut-off forecasts a flat rate and is compared with the mean demand of the following ``horizon`` days.
     """
-    flat = fold_forecasts(series, keys, horizon, folds, methods)
-    actual = F.aggregate("test", F.lit(0.0), lambda a, x: a + x) / F.size("test")
-    return flat.groupBy(*keys, "method").agg(F.avg(F.abs(F.col("forecast") - actual)).alias("mae"), F.count("forecast").alias("folds"))
+    tests = fold_forecasts(series, keys, horizon, folds, methods).filter("folds > 0")
+
+    def error(fold: Column) -> Column:
+        days = F.slice("tail", (F.col("folds") - fold) * horizon + 1, F.lit(horizon))
+        return F.abs(F.get("at", fold) - F.aggregate(days, F.lit(0.0), lambda a, x: a + x) / horizon)
+
+    errors = F.array_compact(F.transform(F.sequence(F.lit(1), F.col("folds")), error))
+    scored = tests.select(*keys, "method", errors.alias("__errors"), F.size(F.array_compact(F.slice("at", F.lit(2), F.col("folds")))).cast("long").alias("folds"))
+    return scored.select(*keys, "method", (F.aggregate("__errors", F.lit(0.0), lambda a, x: a + x) / F.nullif(F.size("__errors"), F.lit(0))).alias("mae"), "folds")
 
 
 def tree_backtest(grid: DataFrame, keys: Sequence[str], demand: str, horizon: int, folds: int, trees: int = 10, depth: int = 5,
@@ -225,18 +311,22 @@ def tree_backtest(grid: DataFrame, keys: Sequence[str], demand: str, horizon: in
 
     A row is a series at a day: its mean demand over the last 7, 28 and 91 days, its share of days with demand, the month; the label is the mean
     of the ``horizon`` days behind it. A cut-off learns from rows whose label lies before it and forecasts each series at
-    the cut-off. Features are written once; ``folds`` models are fitted.
+    the cut-off. Means are differences of running sums, so a row costs the same however long they reach back. Features are
+    written once; ``folds`` models are fitted.
     """
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import RandomForestRegressor
 
     order = Window.partitionBy(*keys).orderBy("day")
-    back = lambda n: order.rowsBetween(-(n - 1), 0)
+    upto = order.rowsBetween(Window.unboundedPreceding, 0)
     value = F.col(demand).cast("double")
-    ahead = order.rowsBetween(1, horizon)
-    rows = grid.select(*keys, "day", *[F.avg(value).over(back(n)).alias(f"mean_{n}") for n in (7, 28, 91)],
-                       F.avg((value > 0).cast("double")).over(back(91)).alias("busy"), F.month("day").cast("double").alias("month"),
-                       F.count(value).over(back(91)).alias("__known"), F.count(value).over(ahead).alias("__ahead"), F.avg(value).over(ahead).alias("label"))
+    sums = grid.select(*keys, "day", *[F.coalesce(F.sum(v).over(upto), F.lit(0.0)).alias(c) for c, v in (("__sum", value), ("__hits", (value > 0).cast("double")))],
+                       F.count(value).over(upto).alias("__count"))
+    back = lambda c, n: F.col(c) - F.coalesce(F.lag(c, n).over(order), F.lit(0))
+    rows = sums.select(*keys, "day", *[(back("__sum", n) / n).alias(f"mean_{n}") for n in (7, 28, 91)], (back("__hits", 91) / 91).alias("busy"),
+                       F.month("day").cast("double").alias("month"), back("__count", 91).alias("__known"),
+                       (F.lead("__count", horizon).over(order) - F.col("__count")).alias("__ahead"),
+                       ((F.lead("__sum", horizon).over(order) - F.col("__sum")) / horizon).alias("label"))
     inputs = ["mean_7", "mean_28", "mean_91", "busy", "month"]
     rows = materialise(rows.filter(f"__known = 91 AND __ahead = {horizon}"), "tree-features")
     rows = VectorAssembler(inputCols=inputs, outputCol="features").transform(rows)
@@ -247,7 +337,8 @@ def tree_backtest(grid: DataFrame, keys: Sequence[str], demand: str, horizon: in
         known = rows.filter(F.col("day") <= F.date_sub(at, horizon))
         if last is None or known.isEmpty():
             break
-        model = RandomForestRegressor(numTrees=trees, maxDepth=depth, seed=seed).fit(known)
+        with file_per_task(grid.sparkSession):
+            model = RandomForestRegressor(numTrees=trees, maxDepth=depth, seed=seed).fit(known)
         parts.append(model.transform(rows.filter(F.col("day") == at)).select(*keys, F.abs(F.col("prediction") - F.col("label")).alias("error")))
     if not parts:
         parts = [rows.limit(0).select(*keys, F.col("label").alias("error"))]
@@ -255,17 +346,32 @@ def tree_backtest(grid: DataFrame, keys: Sequence[str], demand: str, horizon: in
         *keys, F.lit("random_forest").alias("method"), "mae", "folds")
 
 
-def _residuals(folds: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Absolute error of every day behind a cut-off: ``keys, method, fold, step, forecast, actual, error``."""
-    days = folds.filter("forecast IS NOT NULL").select(*keys, "method", "fold", "forecast", F.posexplode("test").alias("at", "actual"))
-    return days.withColumn("step", F.col("at") + 1).withColumn("error", F.abs(F.col("actual") - F.col("forecast"))).drop("at")
+def _error(step: Column, fold: Column, horizon: int) -> Column:
+    """Absolute error of a flat forecast ``step`` days behind the cut-off ``fold``, on rows of :func:`fold_forecasts`."""
+    return F.abs(F.element_at("tail", (F.col("folds") - fold) * horizon + step) - F.get("at", fold))
+
 
+def _radii(horizon: int, first: int, folds: int, level: float) -> Column:
+    """Per step the conformal quantile of the errors of ``folds`` cut-offs from ``first``: the one of rank ``ceil((folds + 1) * level)``.
 
-def _radius(residuals: DataFrame, keys: Sequence[str], folds: int, level: float) -> DataFrame:
-    """Per key, method and step the conformal quantile of ``folds`` errors: the one of rank ``ceil((folds + 1) * level)``."""
+    Errors that are unknown, the day's demand being NULL, are left out.
+    """
     rank = min(folds, math.ceil(round((folds + 1) * level, 9)))
-    full = residuals.withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy(*keys, "method", "step"))).filter(F.col("__n") == folds)
-    return grouped_quantile(full, [*keys, "method", "step"], F.col("error"), {"radius": (rank - 1) / max(folds - 1, 1)})
+    cuts = F.sequence(F.lit(first), F.lit(first + folds - 1))
+
+    def quantile(errors: Column) -> Column:
+        at = F.lit((rank - 1) / max(folds - 1, 1)) * (F.size(errors) - 1)
+        low, high = F.get(errors, F.floor(at).cast("int")), F.get(errors, F.ceil(at).cast("int"))
+        return low + (high - low) * (at - F.floor(at))
+
+    return F.transform(F.sequence(F.lit(1), F.lit(horizon)), lambda step: bound(
+        F.sort_array(F.array_compact(F.transform(cuts, lambda fold: _error(step, fold, horizon)))), quantile))
+
+
+def _learned(tests: DataFrame, first: int, folds: int) -> DataFrame:
+    """Rows of :func:`fold_forecasts` with forecasts behind all of ``folds`` cut-offs from ``first``."""
+    enough = tests.filter(F.col("folds") >= first + folds - 1)
+    return enough.filter(~F.exists(F.slice("at", F.lit(first + 1), F.lit(folds)), lambda x: x.isNull()))
 
 
 def conformal_intervals(series: DataFrame, keys: Sequence[str], horizon: int = 30, folds: int = 19, level: float = 0.9,
@@ -273,21 +379,21 @@ def conformal_intervals(series: DataFrame, keys: Sequence[str], horizon: int = 3
     """``horizon`` days of each method's flat forecast, with split-conformal intervals.
 
     The errors of ``folds`` past cut-offs at the same step say how far a forecast errs; no distribution is assumed. Series
-    too short for all cut-offs get no interval.
+    too short for all cut-offs get no interval. All errors of a series and method are in one row, so none is shuffled.
     """
-    errors = materialise(_residuals(fold_forecasts(series, keys, horizon, folds, methods), keys), "residuals")
-    now = series.select(*keys, F.inline(F.array(*[F.struct(F.lit(m).alias("method"), METHODS[m](F.col("series")).alias("forecast")) for m in methods])))
-    out = now.filter("forecast IS NOT NULL").join(_radius(errors, keys, folds, level), [*keys, "method"])
-    return out.select(*keys, "method", "step", "forecast", F.greatest(F.col("forecast") - F.col("radius"), F.lit(0.0)).alias("lower"),
-                      (F.col("forecast") + F.col("radius")).alias("upper"))
+    tests = _learned(fold_forecasts(series, keys, horizon, folds, methods), 1, folds).filter(F.get("at", F.lit(0)).isNotNull())
+    out = tests.select(*keys, "method", F.get("at", F.lit(0)).alias("forecast"), F.posexplode(_radii(horizon, 1, folds, level)).alias("__at", "radius"))
+    return out.filter("radius IS NOT NULL").select(
+        *keys, "method", (F.col("__at") + 1).alias("step"), "forecast", F.greatest(F.col("forecast") - F.col("radius"), F.lit(0.0)).alias("lower"),
+        (F.col("forecast") + F.col("radius")).alias("upper"))
 
 
 def conformal_coverage(series: DataFrame, keys: Sequence[str], horizon: int = 30, folds: int = 19, level: float = 0.9,
                        methods: Sequence[str] = SMOOTHING) -> DataFrame:
     """Per method how many of the last ``horizon`` days of all series lie inside the intervals that the ``folds`` cut-offs before give."""
-    errors = materialise(_residuals(fold_forecasts(series, keys, horizon, folds + 1, methods), keys), "residuals")
-    radius = _radius(errors.filter("fold > 1"), keys, folds, level)
-    held = errors.filter("fold = 1").join(radius, [*keys, "method", "step"])
+    tests = _learned(fold_forecasts(series, keys, horizon, folds + 1, methods), 2, folds).filter(F.get("at", F.lit(1)).isNotNull())
+    errors = F.transform(F.sequence(F.lit(1), F.lit(horizon)), lambda step: _error(step, F.lit(1), horizon))
+    held = tests.select("method", F.inline(F.arrays_zip(errors.alias("error"), _radii(horizon, 2, folds, level).alias("radius")))).filter("radius IS NOT NULL")
     return held.groupBy("method").agg(F.count(F.lit(1)).alias("days"), F.count_if(F.col("error") <= F.col("radius") + 1e-9).alias("covered"))
 
 
@@ -334,21 +440,26 @@ def tree_forecast(features: DataFrame, keys: Sequence[str], split: Column, kind:
                   seed: int = 7) -> DataFrame:
     """One global tree model over all series, trained before ``split`` and scored on the rest.
 
-    Training passes over the features once per tree level, so they are written to the shared folder first.
+    Training passes over the features once per tree level, so they are written to the shared folder first, and a task holds
+    the rows of one written file. Boosting does not draw rows and sees squared errors through sums only, so rows that agree in all features
+    are one row with their mean label and their number as weight: the passes grow with different rows, not with days.
     """
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 
     inputs = [c for c in features.columns if c not in (*keys, "day", "label")]
-    rows = VectorAssembler(inputCols=inputs, outputCol="features").transform(materialise(features, "features"))
+    written = materialise(features, "features")
+    known, assembler = written.filter(F.col("day") < split), VectorAssembler(inputCols=inputs, outputCol="features")
     if kind == "random_forest":
         model = RandomForestRegressor(numTrees=20, maxDepth=5, seed=seed)
     elif kind == "gbt":
-        model = GBTRegressor(maxIter=20, maxDepth=4, seed=seed)
+        known = materialise(known.groupBy(*inputs).agg(F.avg("label").alias("label"), F.count("label").cast("double").alias("weight")), "weighted")
+        model = GBTRegressor(maxIter=20, maxDepth=4, seed=seed, weightCol="weight")
     else:
         raise ValueError(f"unknown model {kind}")
-    fitted = model.fit(rows.filter(F.col("day") < split))
-    return fitted.transform(rows.filter(F.col("day") >= split)).select(*keys, "day", "label", "prediction")
+    with file_per_task(features.sparkSession):
+        fitted = model.fit(assembler.transform(known))
+    return fitted.transform(assembler.transform(written.filter(F.col("day") >= split))).select(*keys, "day", "label", "prediction")
 
 
 # -- stock parameters --------------------------------------------------------------------------------------

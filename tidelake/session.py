@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import os
 import uuid
-from typing import Mapping
+from contextlib import contextmanager
+from typing import Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -80,5 +81,17 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def file_per_task(spark: SparkSession) -> Iterator[None]:
+    """Jobs started inside give every file a task of its own: files that compress well are not packed into tasks of very many rows."""
+    name = "spark.sql.files.openCostInBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
