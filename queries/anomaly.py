@@ -349,7 +349,8 @@ SELECT user_id, event_type, n, greatest(hi - m, m - lo) / sd > critical AS is_ou
 def grubbs_small_groups(t):
     """Verdicts for groups of 3 to 20 values against published critical values (but for values that those round away)."""
     out = anomalies.grubbs(spiked(t), ["user_id", "event_type"], "value", critical=True).filter("n BETWEEN 3 AND 20 AND std > 0")
-    return out.filter(F.abs(F.col("g") - F.round("critical", 4)) > 0.0001).select("user_id", "event_type", "n", "is_outlier")
+    published = F.element_at(F.array(*[F.lit(v) for v in GRUBBS_PUBLISHED]), F.col("n").cast("int") - 2)
+    return out.filter(F.abs(F.col("g") - published) > 0.0001).select("user_id", "event_type", "n", "is_outlier")
 
 
 @query("velocity_check", SPLIT_SQL + """, a AS (SELECT event_id, user_id, ts, value, 0 AS now FROM hist UNION ALL SELECT event_id, user_id, ts, value * 3, 1 FROM cur),

@@ -249,3 +249,15 @@ def test_season_ignores_masked_days(spark):
     out = anomalies.context_season(df, ["k"], "v", [event], 6.0).collect()
     assert {(r["day"], r["is_event"]) for r in out} == {(odd, False), (event, True)} and all(abs(r["expected"] + 80 - r["v"]) < 3 for r in out)
     assert anomalies.context_season(df.limit(0), ["k"], "v").count() == 0
+
+
+@pytest.mark.parametrize("g,kept", [(1.48105, 1), (1.48115, 0), (1.48125, 0), (1.48135, 1)])
+def test_small_groups_are_held_against_the_published_value(spark, g, kept):
+    """The critical value of four is 1.48125, published as 1.4812: half-way values do not round alike everywhere."""
+    from types import SimpleNamespace
+
+    from queries.anomaly import grubbs_small_groups
+    e = ((1.6875 / g**2 - 0.75) / 2) ** 0.5
+    events = spark.createDataFrame([(i + 1, None, 1, "a", v) for i, v in enumerate([0.0, e, -e, 1.0])],
+                                   "event_id long, ts timestamp, user_id long, event_type string, value double")
+    assert grubbs_small_groups(SimpleNamespace(events=events)).count() == kept
