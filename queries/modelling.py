@@ -329,6 +329,8 @@ def _snapshots_of_stock(t):
 def _inventory(t, *loads):
     star = _star(t, "dim_product", "dim_location", "dim_time")
     rows = S.inventory(star, _snapshots_of_stock(t))
+    if len(loads) > 1:
+        rows = materialise(rows, "inventory")
     for load in loads:
         out = star.load_fact("fact_inventory", rows.filter(load), "snapshot_month", ["sku_code", "location_id", "snapshot_date"], "inventory_key")
     return out
@@ -366,8 +368,8 @@ FROM held JOIN ends ON month_end >= d AND (nxt IS NULL OR month_end < nxt) GROUP
 def inventory_month_end(t):
     """Closing stock of every location at each month end: added up over items, not over time."""
     until = t.lineitem.agg(F.max(F.to_date("l_shipdate"))).scalar()
-    closed = S.period_close(_snapshots_of_stock(t), ["sku_code", "location_id"], "snapshot_date", MEASURES, until)
-    return closed.groupBy("location_id", "month_end").agg(F.count(F.lit(1)).alias("items"), *[F.sum(m).alias(m) for m in MEASURES])
+    out = S.period_totals(_movements(t), ["sku_code", "location_id"], ["location_id"], "snapshot_date", MEASURES, until)
+    return out.select("location_id", "month_end", "items", *MEASURES)
 
 
 def _daily_by_sku(t):

@@ -78,3 +78,28 @@ def test_trailing_windows_count_missing_days_as_zero(spark):
     weekly = {str(r["week"]): r for r in S.forecast_by_week(daily, ["k"], "q", 1.0, 4).collect()}
     assert weekly["2024-01-01"]["predicted"] == 0 and weekly["2024-04-15"]["actual"] is None
     assert weekly["2024-04-15"]["predicted"] == pytest.approx(7 / 4)
+
+
+def test_totals_of_a_group_equal_its_closed_keys_added_up(spark):
+    from tidelake.plans.star import period_close, period_totals, stock_snapshots
+    moves = spark.range(400).selectExpr("id % 23 AS sku", "id % 5 AS loc", "date_add(DATE '2020-01-05', CAST(id * id % 700 AS INT)) AS d", "id % 7 - 2 AS q")
+    until = F.lit("2021-11-20").cast("date")
+    got = period_totals(moves, ["sku", "loc"], ["loc"], "d", ["q"], until)
+    closed = period_close(stock_snapshots(moves, ["sku", "loc"], "d", ["q"]), ["sku", "loc"], "d", ["q"], until)
+    want = closed.groupBy("loc", "month_end").agg(F.count(F.lit(1)).alias("items"), F.sum("q").alias("q"))
+    assert sorted(got.select("loc", "month_end", "items", "q").collect()) == sorted(want.collect()) and got.count() > 50
+
+
+def test_numbers_follow_the_order_over_many_ranges_and_rows_move_once(spark, tmp_path):
+    from tidelake.plans.star import Numbers, numbered
+    rows = spark.range(5000).selectExpr("CASE WHEN id > 0 THEN id * 7919 % 5000 END AS a", "id AS b")
+    numbers = Numbers(spark, f"{tmp_path}/numbers")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        first, second = (numbered(rows, ["a", "b"], "n", numbers) for _ in range(2))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    for out, start in ((first, 0), (second, 5000)):
+        got = sorted((r["n"], r["a"] if r["a"] is not None else -1) for r in out.collect())
+        assert [n for n, _ in got] == list(range(start + 1, start + 5001)) and [a for _, a in got] == sorted(a for _, a in got)
+        assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()

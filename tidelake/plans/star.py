@@ -11,13 +11,14 @@ looked up in the stored calendar like any other dimension.
 
 from __future__ import annotations
 
+from itertools import accumulate
 from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidelake.functions.values import calendar
-from tidelake.operators.split_window import SplitWindow, null_safe_join
+from tidelake.operators.split_window import null_safe_join
 from tidelake.plans.dimensional import UNKNOWN_KEY
 from tidelake.session import materialise
 from tidelake.sinks.tables import LAYER_CODEC, require_unique, write_table
@@ -41,10 +42,18 @@ class Numbers:
 
 
 def numbered(rows: DataFrame, order: Sequence[str], output: str, numbers: Numbers) -> DataFrame:
-    """``rows`` with numbers behind all that were handed out, in the order of ``order``."""
-    first = numbers.take(rows.count())
-    placed = SplitWindow(rows, [], order[0], list(order[1:])).position("__n").result()
-    return placed.select(*rows.columns, (F.col("__n") + (first - 1)).alias(output))
+    """``rows`` with numbers behind all that were handed out, in the order of ``order`` (NULLs first).
+
+    Rows move once, into sorted ranges, and are written with their place; one count per range comes back to the driver.
+    """
+    by = [F.col(c).asc_nulls_first() for c in order]
+    ranges = rows.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("__at", F.monotonically_increasing_id())
+    placed = materialise(ranges, "numbered")
+    block, within = F.shiftright("__at", 33), F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = {r["b"]: r["n"] for r in placed.groupBy(block.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    starts = [0, *accumulate(sizes.get(b, 0) for b in range(max(sizes, default=0) + 1))]
+    first = numbers.take(starts[-1])
+    return placed.select(*rows.columns, (F.get(F.lit([first + n for n in starts]).cast("array<bigint>"), block.cast("int")) + within).alias(output))
 
 
 class KeyRegistry:
@@ -113,21 +122,24 @@ class StarSchema:
     def load_fact(self, name: str, rows: DataFrame, period: str, grain: Sequence[str] = (), key: str | None = None) -> DataFrame:
         """Replace the periods that ``rows`` brings. With ``key`` every row of ``grain`` gets a lasting number.
 
-        Only the replaced periods are read for the keys that rows have had; what is new is numbered behind all others.
+        Only the replaced periods are read for the keys that rows have had; what is new is numbered behind all others. Where none of
+        the periods is there yet, rows take their number in one move.
         """
         table = self.path("facts", name)
         if key is not None:
-            rows = materialise(rows, "fact-rows")
-            require_unique(rows, grain)
-            known = None
+            columns, known = rows.columns, None
             if path_exists(self.spark, table):
-                stored = self.spark.read.parquet(table)
+                rows = materialise(rows, "fact-rows")
                 periods = [r[0] for r in rows.select(period).distinct().collect()]
-                known = stored.filter(F.col(period).isin([p for p in periods if p is not None]) | F.col(period).isNull()).select(*grain, key)
-            new = rows if known is None else null_safe_join(rows, known, grain, "left_anti")
-            fresh = numbered(materialise(new.select(*grain), "fact-grain"), grain, key, Numbers(self.spark, self.path("keys", name)))
-            keys = materialise(fresh if known is None else known.unionByName(fresh), "fact-keys")
-            rows = null_safe_join(rows, keys, grain, "left").select(key, *[c for c in rows.columns])
+                stored = self.spark.read.parquet(table).filter(F.col(period).isin([p for p in periods if p is not None]) | F.col(period).isNull())
+                known = None if stored.isEmpty() else stored.select(*grain, key)
+            numbers, old = Numbers(self.spark, self.path("keys", name)), None
+            if known is not None:
+                rows = materialise(null_safe_join(rows, known, grain, "left"), "fact-known")
+                old, rows = rows.filter(F.col(key).isNotNull()).select(key, *columns), rows.filter(F.col(key).isNull()).select(*columns)
+            fresh = numbered(rows, grain, key, numbers).select(key, *columns)
+            rows = fresh if old is None else old.unionByName(fresh)
+            require_unique(rows, grain)
         write_table(rows, table, [period], codec=LAYER_CODEC["gold"], dynamic=True)
         return self.fact(name)
 
@@ -164,9 +176,10 @@ def order_lines(star: StarSchema, lines: DataFrame, orders: DataFrame) -> DataFr
 def stock_snapshots(movements: DataFrame, keys: Sequence[str], day: str, measures: Sequence[str], costs: Sequence[str] = ()) -> DataFrame:
     """State of every key at the end of each day on which it moved, from signed daily movements.
 
-    Movements are added up per key and day first, so a window holds a key's days at most. ``costs`` carry the day's largest.
+    Movements are added up per key and day first, so a window holds a key's days at most. They move once, by key: days are added up
+    and windows run where a key lies. ``costs`` carry the day's largest.
     """
-    daily = movements.groupBy(*keys, day).agg(*[F.sum(m).alias(m) for m in measures], *[F.max(c).alias(c) for c in costs])
+    daily = movements.repartition(*keys).groupBy(*keys, day).agg(*[F.sum(m).alias(m) for m in measures], *[F.max(c).alias(c) for c in costs])
     upto = Window.partitionBy(*keys).orderBy(day).rowsBetween(Window.unboundedPreceding, 0)
     return daily.select(*keys, day, *[F.sum(m).over(upto).alias(m) for m in measures], *costs)
 
@@ -197,6 +210,20 @@ def period_close(snapshots: DataFrame, keys: Sequence[str], day: str, measures:
     return held.select(*keys, F.explode(months).alias("__month"), *measures).select(*keys, F.last_day("__month").alias("month_end"), *measures)
 
 
+def period_totals(movements: DataFrame, keys: Sequence[str], groups: Sequence[str], day: str, measures: Sequence[str], until: Column) -> DataFrame:
+    """``groups, month_end, items`` and measures: :func:`period_close` of all ``keys``, added up over the keys of each group.
+
+    A sum of balances is the balance of sums, so only the movements of a group and month and the keys that begin in it are counted;
+    no key is spread over the month ends it is held at.
+    """
+    monthly = movements.repartition(*keys).groupBy(*keys, F.last_day(day).alias("month_end")).agg(*[F.sum(m).alias(m) for m in measures])
+    begins = F.col("month_end") == F.min("month_end").over(Window.partitionBy(*keys))
+    moved = monthly.withColumn("items", begins.cast("long")).groupBy(*groups, "month_end").agg(*[F.sum(c).alias(c) for c in ("items", *measures)])
+    upto = Window.partitionBy(*groups).orderBy("month_end").rowsBetween(Window.unboundedPreceding, 0)
+    balance = moved.select(*groups, F.col("month_end").alias("__end"), *[F.sum(c).over(upto).alias(c) for c in ("items", *measures)])
+    return period_close(balance, groups, "__end", ["items", *measures], until)
+
+
 def trailing(daily: DataFrame, keys: Sequence[str], value: str, position: Column, start: int, end: int) -> DataFrame:
     """Sum and sum of squares of ``value`` over the positions ``start..end`` around each row, missing ones being 0."""
     frame = Window.partitionBy(*keys).orderBy("__at").rangeBetween(start, end)
