@@ -1,5 +1,6 @@
 """Bootstrap, forest and conformal intervals against plain loops and naive forecasts."""
 
+import datetime as dt
 import math
 import random
 
@@ -94,3 +95,38 @@ def test_any_service_level(spark):
     one = lambda level: M.replenishment(grid, ["k"], "q", 4.0, level).first()["safety_stock"]
     assert one(0.876) / one(0.95) == pytest.approx(NormalDist().inv_cdf(0.876) / 1.6449)
     assert one(F.lit(0.876)) == pytest.approx(one(0.876))
+
+
+def test_a_grid_gets_tasks_by_its_days(spark, monkeypatch):
+    """Few rows that make a long grid are not left to the few tasks that their bytes ask for."""
+    from tidelake.operators import series as S
+    daily = spark.createDataFrame([(k, dt.date(2020, 1, 1 + k % 3) + dt.timedelta(days=300 * j), 1.5) for k in range(20) for j in range(2)], "k int, day date, v double")
+    monkeypatch.setattr(S, "GRID_ROWS", 300)
+    grid = S.zero_filled(daily, ["k"], "v")
+    assert grid.count() == 20 * 303
+    assert S.calendar_span(daily, ["k"])[2] >= 18
+    assert "REPARTITION_BY_NUM" in grid._jdf.queryExecution().executedPlan().toString()
+    dense = {r["k"]: list(r["series"]) for r in S.filled_series(daily, ["k"], "v").collect()}
+    assert dense == {r["k"]: list(r["series"]) for r in M.as_series(grid, ["k"], "v").collect()}
+
+
+def test_cut_offs_in_one_pass_equal_each_method_on_its_slice(series):
+    methods = list(M.METHODS)
+    got = {(r["k"], r["method"]): list(r["at"]) for r in M.fold_forecasts(series.filter("k IN (2, 3)"), ["k"], 10, 6, methods).collect()}
+    for fold in (0, 3, 6):
+        cut = series.filter("k IN (2, 3)").withColumn("series", F.slice("series", F.lit(1), F.size("series") - 10 * fold))
+        for r in M.forecast(cut, ["k"], methods).collect():
+            assert {m: got[r["k"], m][fold] for m in methods} == {m: r[m] for m in methods}
+
+
+def test_boosting_on_weighted_rows_equals_boosting_on_all(spark):
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import GBTRegressor
+    draw = random.Random(9)
+    rows = [(i, dt.date(2020, 1, 1) + dt.timedelta(days=i % 100), float(i % 5), float(i % 3), i % 5 * 2.0 - i % 3 + draw.random()) for i in range(1500)]
+    df = spark.createDataFrame(rows, "k int, day date, a double, b double, label double")
+    got = {r["k"]: r["prediction"] for r in M.tree_forecast(df, ["k"], F.lit(dt.date(2020, 3, 1)), "gbt").collect()}
+    wide = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(df)
+    model = GBTRegressor(maxIter=20, maxDepth=4, seed=7).fit(wide.filter("day < DATE '2020-03-01'"))
+    want = {r["k"]: r["prediction"] for r in model.transform(wide.filter("day >= DATE '2020-03-01'")).collect()}
+    assert got == pytest.approx(want, rel=1e-6) and len(got) == 600
