@@ -106,6 +106,8 @@ def test_a_grid_gets_tasks_by_its_days(spark, monkeypatch):
     assert grid.count() == 20 * 303
     assert S.calendar_span(daily, ["k"])[2] >= 18
     assert "REPARTITION_BY_NUM" in grid._jdf.queryExecution().executedPlan().toString()
+    wide = S.zero_filled(daily, ["k"], "v", F.lit("2019-12-30").cast("date"), F.lit("2020-12-31").cast("date"))
+    assert wide.count() == 20 * 368 and S.zero_filled(daily.limit(0), ["k"], "v").count() == 0
     dense = {r["k"]: list(r["series"]) for r in S.filled_series(daily, ["k"], "v").collect()}
     assert dense == {r["k"]: list(r["series"]) for r in M.as_series(grid, ["k"], "v").collect()}
 

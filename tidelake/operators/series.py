@@ -27,9 +27,9 @@ def calendar_span(daily: DataFrame, keys: Sequence[str], start: Column | None =
 
     A grid has far more rows than the table it comes from, so tasks are counted in days of the grid, not in bytes of the table.
     """
-    seen = daily.agg(F.coalesce(start or F.min("day"), F.min("day")).alias("a"), F.coalesce(end or F.max("day"), F.max("day")).alias("b"),
+    seen = daily.agg((F.min("day") if start is None else start).cast("date").alias("a"), (F.max("day") if end is None else end).cast("date").alias("b"),
                      F.approx_count_distinct(F.xxhash64(*keys)).alias("n")).first()
-    days = (seen["b"] - seen["a"]).days + 1 if seen["a"] else 0
+    days = (seen["b"] - seen["a"]).days + 1 if seen["a"] and seen["b"] else 0
     tasks = max(daily.sparkSession.sparkContext.defaultParallelism, -(-seen["n"] * days // GRID_ROWS))
     return F.lit(seen["a"]).cast("date"), F.lit(seen["b"]).cast("date"), tasks
 
