@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from queries.registry import query
 from tidelake.operators.series import daily_totals, filled_series, zero_filled
 from tidelake.plans import demand as M
+from tidelake.session import materialise
 
 GRID_SQL = """
 WITH RECURSIVE daily AS (SELECT l_suppkey, CAST(l_shipdate AS DATE) AS day, sum(l_quantity) AS demand FROM lineitem GROUP BY 1, 2),
@@ -21,12 +22,16 @@ def daily(t):
     return daily_totals(t.lineitem, KEYS, "l_shipdate", "l_quantity", "demand")
 
 
+def days_seen(t):
+    return t.lineitem.select(*KEYS, F.to_date("l_shipdate").alias("day"))
+
+
 def grid(t):
-    return zero_filled(daily(t), KEYS, "demand")
+    return zero_filled(daily(t), KEYS, "demand", rows=days_seen(t))
 
 
 def all_series(t):
-    return filled_series(daily(t), KEYS, "demand")
+    return filled_series(daily(t), KEYS, "demand", rows=days_seen(t))
 
 
 @query("demand_pattern", GRID_SQL + """, s AS (SELECT l_suppkey, count(*) AS n, count(*) FILTER (demand > 0) AS nz,
@@ -189,10 +194,12 @@ def lead_time_demand(t):
 
 @query("model_selection")
 def model_selection(t):
-    """The best method of each series among those that suit its pattern, bootstrap and forest included."""
+    """The best method of each series among those that suit its pattern, bootstrap and forest included. Only those are run on it."""
     days = grid(t)
-    scores = M.backtest_scores(all_series(t), KEYS, 30, 3).unionByName(M.tree_backtest(days, KEYS, "demand", 30, 3))
-    return M.model_selection(scores, M.demand_pattern(days, KEYS, "demand"), KEYS)
+    patterns = materialise(M.demand_pattern(days, KEYS, "demand"), "patterns")
+    series = all_series(t).join(patterns, KEYS)
+    scores = M.backtest_scores(series, KEYS, 30, 3, wanted=M.shortlist(F.col("pattern"))).unionByName(M.tree_backtest(days, KEYS, "demand", 30, 3))
+    return M.model_selection(scores, patterns, KEYS)
 
 
 @query("forecast_interval", _fold_sql(

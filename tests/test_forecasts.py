@@ -132,3 +132,34 @@ def test_boosting_on_weighted_rows_equals_boosting_on_all(spark):
     model = GBTRegressor(maxIter=20, maxDepth=4, seed=7).fit(wide.filter("day < DATE '2020-03-01'"))
     want = {r["k"]: r["prediction"] for r in model.transform(wide.filter("day >= DATE '2020-03-01'")).collect()}
     assert got == pytest.approx(want, rel=1e-6) and len(got) == 600
+
+
+def test_methods_that_are_not_wanted_are_not_run(series):
+    """A series that wants some methods gets the very scores that it gets among all."""
+    listed = series.withColumn("w", F.when(F.col("k") % 2 == 0, F.array(F.lit("sba"), F.lit("bootstrap"))).otherwise(F.array(F.lit("moving_average"), F.lit("random_forest"))))
+    got = {(r["k"], r["method"]): (r["mae"], r["folds"]) for r in M.backtest_scores(listed, ["k"], 30, 3, wanted=F.col("w")).collect()}
+    every = {(r["k"], r["method"]): (r["mae"], r["folds"]) for r in M.backtest_scores(series, ["k"], 30, 3).collect()}
+    assert got and got == {(k, m): v for (k, m), v in every.items() if m in (("sba", "bootstrap") if k % 2 == 0 else ("moving_average",))}
+
+
+def test_trees_draw_rows_and_learn_from_cells(spark, monkeypatch):
+    """No tree is fitted on rows: a forest's rows are drawn one by one and added up per cell, with the mean and spread of a Poisson draw."""
+    drawn = spark.range(40000).select(*[M._drawn(["id"], tree, 7).alias(f"n_{tree}") for tree in range(2)])
+    found = drawn.agg(F.avg("n_0").alias("mean"), F.var_samp("n_0").alias("var"), F.corr("n_0", "n_1").alias("corr"), F.max("n_0").alias("most")).first()
+    assert found["mean"] == pytest.approx(1, abs=0.02) and found["var"] == pytest.approx(1, abs=0.05) and abs(found["corr"]) < 0.02 and found["most"] >= 5
+    written = {}
+    keep = M.materialise
+    monkeypatch.setattr(M, "materialise", lambda df, label: written.setdefault(label, keep(df, label)))
+    grid = spark.createDataFrame([(k, dt.date(2020, 1, 1) + dt.timedelta(days=d), float((d + k) % 7 == 0) * 3) for k in range(7) for d in range(400)], "k int, day date, q double")
+    scores = M.tree_backtest(grid, ["k"], "q", 30, 2).collect()
+    assert len(scores) == 7 and all(r["mae"] < 0.1 and r["folds"] == 2 for r in scores)
+    cells = written["tree-cells"]
+    learned = written["tree-features"].filter(F.col("day") <= F.date_sub(F.lit(written["tree-features"].agg(F.max("day")).first()[0]), 30)).count()
+    rows = sum(cells.agg(*[F.sum(f"n_{t}") for t in range(10)]).first()) / 10
+    assert rows == pytest.approx(learned, rel=0.05) and cells.count() < learned / 3
+
+
+def test_borders_give_heavy_values_a_bin():
+    assert M._borders([0.0] * 10) == [] and M._borders([0.0] * 9 + [2.0]) == [1.0]
+    many = M._borders([0.0] * 780 + [float(i) for i in range(1, 222)])
+    assert len(many) <= M.BINS - 1 and many[0] == 0.5 and many[-1] > 150

@@ -35,13 +35,14 @@ def calendar_span(daily: DataFrame, keys: Sequence[str], start: Column | None =
 
 
 def zero_filled(daily: DataFrame, keys: Sequence[str], value: str, start: Column | None = None,
-                end: Column | None = None) -> DataFrame:
+                end: Column | None = None, rows: DataFrame | None = None) -> DataFrame:
     """A complete daily grid per series; days without rows get 0.
 
     Borders default to the first and last day of the whole table. Each row is exploded over the gap up to the
     next row of its series, so the grid needs one window and no join. A task gets about ``GRID_ROWS`` days of the grid.
+    ``rows`` may be the rows that ``daily`` adds up, with ``keys`` and ``day``: the calendar is then found without adding up.
     """
-    start, end, tasks = calendar_span(daily, keys, start, end)
+    start, end, tasks = calendar_span(daily if rows is None else rows, keys, start, end)
     order = Window.partitionBy(*keys).orderBy("day")
     gaps = daily.repartition(tasks, *keys).select(*keys, value, F.col("day").alias("__at"),
                                                   F.lag("day").over(order).alias("__last"), F.lead("day").over(order).alias("__next"))
@@ -53,12 +54,13 @@ def zero_filled(daily: DataFrame, keys: Sequence[str], value: str, start: Column
     return grid.select(*keys, "day", filled.alias(value))
 
 
-def filled_series(daily: DataFrame, keys: Sequence[str], value: str, output: str = "series") -> DataFrame:
+def filled_series(daily: DataFrame, keys: Sequence[str], value: str, output: str = "series", rows: DataFrame | None = None) -> DataFrame:
     """The grid of :func:`zero_filled` as one array of doubles per key, in day order.
 
     Days with rows are gathered and the zeros between them put in as runs, so no row is made for a day without any.
+    ``rows`` is that of :func:`zero_filled`.
     """
-    start, end, tasks = calendar_span(daily, keys)
+    start, end, tasks = calendar_span(daily if rows is None else rows, keys)
     entries = F.sort_array(F.collect_list(F.struct("day", F.col(value).cast("double").alias("v"))))
     known = daily.repartition(tasks, *keys).groupBy(*keys).agg(entries.alias("__known"))
     zeros = lambda since, until: F.array_repeat(F.lit(0.0), F.datediff(until, since) - 1)

@@ -8,10 +8,14 @@ series are spread over the cluster by key.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from functools import reduce
+from itertools import accumulate
+from multiprocessing.pool import ThreadPool
 from statistics import NormalDist
 from typing import Callable, NamedTuple, Sequence
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,6 +38,10 @@ DRAW_PRIME = 2_147_483_647
 DRAW_STEPS = (7_919, 104_729, 1_299_709)
 DRAW_MIX = (48_271, 16_807, 69_621)
 
+# Bins of a feature that trees see, and quantiles that part them.
+BINS = 32
+QUANTILES = 1_000
+
 
 def demand_pattern(grid: DataFrame, keys: Sequence[str], demand: str, adi_cut: float = ADI_CUT,
                    cv2_cut: float = CV2_CUT) -> DataFrame:
@@ -264,19 +272,21 @@ def forecast(series: DataFrame, keys: Sequence[str], methods: Sequence[str] = SM
     return series.select(*keys, *[METHODS[m](F.col("series")).alias(m) for m in methods])
 
 
-def fold_forecasts(series: DataFrame, keys: Sequence[str], horizon: int, folds: int, methods: Sequence[str]) -> DataFrame:
+def fold_forecasts(series: DataFrame, keys: Sequence[str], horizon: int, folds: int, methods: Sequence[str], wanted: Column | None = None) -> DataFrame:
     """``keys, folds, tail, method, at``: ``at[f]`` is the forecast behind the cut-off ``f * horizon`` days before the end, 0 being the end.
 
     ``folds`` are the cut-offs that a series is long enough for, ``tail`` the days behind the earliest. One pass over a series
-    serves all its cut-offs, and nothing is shuffled.
+    serves all its cut-offs, and nothing is shuffled. ``wanted`` is a series' list of the methods that are run on it (all unless given).
     """
     size = F.size("series")
+    listed = F.array(*[F.lit(m) for m in methods]) if wanted is None else F.array_intersect(wanted, F.array(*[F.lit(m) for m in methods]))
     cut = series.withColumn("folds", F.greatest(F.least((size / horizon).cast("int") - 1, F.lit(folds)), F.lit(0)))
     cuts = F.transform(F.sequence(F.col("folds"), F.lit(0), F.lit(-1)), lambda f: size - f * horizon)
-    cut = cut.select(*keys, "series", "folds", cuts.alias("__cuts"))
+    cut = cut.select(*keys, "series", "folds", cuts.alias("__cuts"), listed.alias("__wanted"))
     runs = {RECURSIONS[m][0]: f"__run_{m}" for m in methods if m in RECURSIONS}
-    done = cut.select(*keys, "folds", F.slice("series", size - F.col("folds") * horizon + 1, F.col("folds") * horizon).alias("tail"),
-                      *[F.reverse(_run_at(run(), F.col("series"), F.col("__cuts"))).alias(name) for run, name in runs.items()],
+    asked = lambda run: F.arrays_overlap("__wanted", F.array(*[F.lit(m) for m in methods if m in RECURSIONS and RECURSIONS[m][0] is run]))
+    done = cut.select(*keys, "folds", "__wanted", F.slice("series", size - F.col("folds") * horizon + 1, F.col("folds") * horizon).alias("tail"),
+                      *[F.when(asked(run), F.reverse(_run_at(run(), F.col("series"), F.col("__cuts")))).alias(name) for run, name in runs.items()],
                       F.reverse(F.transform("__cuts", lambda c: _trailing_mean(F.col("series"), c, 28))).alias("__mean"))
 
     def at(method: str) -> Column:
@@ -285,16 +295,18 @@ def fold_forecasts(series: DataFrame, keys: Sequence[str], horizon: int, folds:
         run, factor = RECURSIONS[method]
         return F.col(runs[run]) if factor == 1.0 else F.transform(runs[run], lambda x: x * factor)
 
-    return done.select(*keys, "folds", "tail", F.inline(F.array(*[F.struct(F.lit(m).alias("method"), at(m).alias("at")) for m in methods])))
+    found = F.filter(F.array(*[F.struct(F.lit(m).alias("method"), at(m).alias("at")) for m in methods]), lambda f: F.array_contains("__wanted", f["method"]))
+    return done.select(*keys, "folds", "tail", F.inline(found))
 
 
 def backtest_scores(series: DataFrame, keys: Sequence[str], horizon: int, folds: int,
-                    methods: Sequence[str] = tuple(METHODS)) -> DataFrame:
+                    methods: Sequence[str] = tuple(METHODS), wanted: Column | None = None) -> DataFrame:
     """Rolling-origin test: mean absolute error per key and method over ``folds`` cut-offs ``horizon`` days apart.
 
-    Each cut-off forecasts a flat rate and is compared with the mean demand of the following ``horizon`` days.
+    Each cut-off forecasts a flat rate and is compared with the mean demand of the following ``horizon`` days. ``wanted`` is that of
+    :func:`fold_forecasts`.
     """
-    tests = fold_forecasts(series, keys, horizon, folds, methods).filter("folds > 0")
+    tests = fold_forecasts(series, keys, horizon, folds, methods, wanted).filter("folds > 0")
 
     def error(fold: Column) -> Column:
         days = F.slice("tail", (F.col("folds") - fold) * horizon + 1, F.lit(horizon))
@@ -305,6 +317,40 @@ def backtest_scores(series: DataFrame, keys: Sequence[str], horizon: int, folds:
     return scored.select(*keys, "method", (F.aggregate("__errors", F.lit(0.0), lambda a, x: a + x) / F.nullif(F.size("__errors"), F.lit(0))).alias("mae"), "folds")
 
 
+def _borders(points: Sequence[float]) -> list[float]:
+    """At most ``BINS - 1`` borders between ascending quantiles of a feature: values with more than a share of their own get a bin."""
+    sizes = Counter(points)
+    values, share = sorted(sizes), len(points) / BINS
+    borders, upto = [], 0
+    for value, following in zip(values, values[1:]):
+        upto += sizes[value]
+        target = (len(borders) + 1) * share
+        if len(values) <= BINS or abs(upto - target) < abs(upto + sizes[following] - target):
+            borders.append((value + following) / 2)
+    return borders
+
+
+def _binned(rows: DataFrame, known: DataFrame, inputs: Sequence[str]) -> DataFrame:
+    """``rows`` with the number of the bin in place of each of ``inputs``; quantiles of all rows of ``known`` part the bins."""
+    from pyspark.ml.feature import Bucketizer
+
+    points = known.agg(*[F.percentile_approx(c, [i / QUANTILES for i in range(QUANTILES + 1)]).alias(c) for c in inputs]).first()
+    splits = [[-math.inf, *(_borders(points[c] or []) or [0.0]), math.inf] for c in inputs]
+    bins = Bucketizer(splitsArray=splits, inputCols=list(inputs), outputCols=[f"__bin_{c}" for c in inputs], handleInvalid="keep").transform(rows)
+    # Without the metadata of the Bucketizer, after which trees would take bins as categories without an order.
+    return bins.select(*[c for c in rows.columns if c not in inputs], *[F.col(f"__bin_{c}").alias(c, metadata={}) for c in inputs])
+
+
+def _drawn(identity: Sequence[str], tree: int, seed: int) -> Column:
+    """How often a tree draws a row: Poisson with mean 1, the same wherever it is worked out."""
+    share = F.shiftrightunsigned(F.xxhash64(*identity, F.lit(seed * 1000 + tree)), 11) * F.lit(2.0 ** -53)
+    cuts = list(accumulate(math.exp(-1) / math.factorial(k) for k in range(12)))
+    times = F.when(share < cuts[0], 0.0)
+    for k, cut in enumerate(cuts[1:], 1):
+        times = times.when(share < cut, float(k))
+    return times.otherwise(float(len(cuts)))
+
+
 def tree_backtest(grid: DataFrame, keys: Sequence[str], demand: str, horizon: int, folds: int, trees: int = 10, depth: int = 5,
                   seed: int = 7) -> DataFrame:
     """The same test for one global random forest per cut-off: ``keys, method, mae, folds`` with method ``random_forest``.
@@ -312,11 +358,12 @@ def tree_backtest(grid: DataFrame, keys: Sequence[str], demand: str, horizon: in
     A row is a series at a day: its mean demand over the last 7, 28 and 91 days, its share of days with demand, the month; the label is the mean
     of the ``horizon`` days behind it. A cut-off learns from rows whose label lies before it and forecasts each series at
     the cut-off. Means are differences of running sums, so a row costs the same however long they reach back. Features are
-    written once; ``folds`` models are fitted.
-    """
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import RandomForestRegressor
+    written once.
 
+    A tree sees a feature as one of ``BINS`` bins and labels as sums. Every tree of a forest draws every row by itself, and what it draws is added up
+    per cell of rows that agree in all bins; all cut-offs share the cells. So one pass over the rows serves all trees, which are then
+    fitted one by one on cells with the drawn rows as weight.
+    """
     order = Window.partitionBy(*keys).orderBy("day")
     upto = order.rowsBetween(Window.unboundedPreceding, 0)
     value = F.col(demand).cast("double")
@@ -329,23 +376,54 @@ def tree_backtest(grid: DataFrame, keys: Sequence[str], demand: str, horizon: in
                        ((F.lead("__sum", horizon).over(order) - F.col("__sum")) / horizon).alias("label"))
     inputs = ["mean_7", "mean_28", "mean_91", "busy", "month"]
     rows = materialise(rows.filter(f"__known = 91 AND __ahead = {horizon}"), "tree-features")
-    rows = VectorAssembler(inputCols=inputs, outputCol="features").transform(rows)
-    last = rows.agg(F.max("day")).first()[0]
-    parts = []
-    for fold in range(folds):
-        at = F.date_sub(F.lit(last), fold * horizon)
-        known = rows.filter(F.col("day") <= F.date_sub(at, horizon))
-        if last is None or known.isEmpty():
-            break
-        with file_per_task(grid.sparkSession):
-            model = RandomForestRegressor(numTrees=trees, maxDepth=depth, seed=seed).fit(known)
-        parts.append(model.transform(rows.filter(F.col("day") == at)).select(*keys, F.abs(F.col("prediction") - F.col("label")).alias("error")))
-    if not parts:
-        parts = [rows.limit(0).select(*keys, F.col("label").alias("error"))]
+    first, last = rows.agg(F.min("day"), F.max("day")).first()
+    folds = min(folds, (last - first).days // horizon) if last else 0
+    if not folds:
+        return rows.limit(0).select(*keys, F.lit("random_forest").alias("method"), F.col("label").alias("mae"), F.lit(0).cast("long").alias("folds"))
+    behind = (F.datediff(F.lit(last), "day") / horizon).cast("int")  # learned from by cut-offs below this number
+    with file_per_task(grid.sparkSession):
+        binned = _binned(rows, rows.filter(behind >= folds), inputs)
+        drawn = binned.filter(behind > 0).select(*inputs, F.least(behind, F.lit(folds)).alias("behind"), "label",
+                                                 *[_drawn([*keys, "day"], tree, seed).alias(f"n_{tree}") for tree in range(trees)])
+        cells = materialise(drawn.groupBy(*inputs, "behind").agg(
+            *[F.sum(f"n_{tree}").alias(f"n_{tree}") for tree in range(trees)],
+            *[(F.sum(F.col(f"n_{tree}") * F.col("label"))).alias(f"sum_{tree}") for tree in range(trees)]), "tree-cells")
+    tests = binned.filter((F.datediff(F.lit(last), "day") % horizon == 0) & (behind < folds)).select(*keys, "label", *inputs, behind.alias("fold"))
+    models = _bagged(cells, inputs, [(fold, tree) for fold in range(folds) for tree in range(trees)], depth, seed)
+    parts = [_averaged(tests.filter(F.col("fold") == fold), inputs, [models[fold, tree] for tree in range(trees)])
+             .select(*keys, F.abs(F.col("prediction") - F.col("label")).alias("error")) for fold in range(folds)]
     return reduce(DataFrame.unionByName, parts).groupBy(*keys).agg(F.avg("error").alias("mae"), F.count("error").alias("folds")).select(
         *keys, F.lit("random_forest").alias("method"), "mae", "folds")
 
 
+def _bagged(cells: DataFrame, inputs: Sequence[str], wanted: Sequence[tuple[int, int]], depth: int, seed: int) -> dict:
+    """The tree of each ``(fold, tree)``, a few at a time: it weighs a cell by the rows that it drew there and learns their mean label."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import RandomForestRegressor
+
+    assembled = VectorAssembler(inputCols=list(inputs), outputCol="features")
+
+    def fit(at: tuple[int, int]):
+        fold, tree = at
+        known = cells.filter((F.col("behind") > fold) & (F.col(f"n_{tree}") > 0)).select(
+            *inputs, F.col(f"n_{tree}").alias("weight"), (F.col(f"sum_{tree}") / F.col(f"n_{tree}")).alias("label"))
+        return RandomForestRegressor(numTrees=1, bootstrap=False, featureSubsetStrategy="onethird", maxDepth=depth, seed=seed * 1000 + tree,
+                                     weightCol="weight").fit(assembled.transform(known))
+
+    with ThreadPool(4) as pool:
+        return dict(zip(wanted, pool.map(inheritable_thread_target(cells.sparkSession)(fit), wanted)))
+
+
+def _averaged(rows: DataFrame, inputs: Sequence[str], models: Sequence) -> DataFrame:
+    """``rows`` with the mean ``prediction`` of ``models``."""
+    from pyspark.ml.feature import VectorAssembler
+
+    out = VectorAssembler(inputCols=list(inputs), outputCol="features").transform(rows)
+    for i, model in enumerate(models):
+        out = model.copy({model.predictionCol: f"__tree_{i}"}).transform(out)
+    return out.withColumn("prediction", reduce(lambda a, b: a + b, [F.col(f"__tree_{i}") for i in range(len(models))]) / len(models))
+
+
 def _error(step: Column, fold: Column, horizon: int) -> Column:
     """Absolute error of a flat forecast ``step`` days behind the cut-off ``fold``, on rows of :func:`fold_forecasts`."""
     return F.abs(F.element_at("tail", (F.col("folds") - fold) * horizon + step) - F.get("at", fold))
@@ -397,12 +475,15 @@ def conformal_coverage(series: DataFrame, keys: Sequence[str], horizon: int = 30
     return held.groupBy("method").agg(F.count(F.lit(1)).alias("days"), F.count_if(F.col("error") <= F.col("radius") + 1e-9).alias("covered"))
 
 
+def shortlist(pattern: Column) -> Column:
+    """The methods that suit a demand pattern."""
+    return F.create_map(*[x for p, ms in PATTERN_MODELS.items() for x in (F.lit(p), F.array(*[F.lit(m) for m in ms]))])[pattern]
+
+
 def model_selection(scores: DataFrame, patterns: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Best method of each key within the shortlist of its demand pattern; ties go to the first name."""
-    shortlist = F.create_map(*[x for p, ms in PATTERN_MODELS.items()
-                               for x in (F.lit(p), F.array(*[F.lit(m) for m in ms]))])
     fit = scores.join(patterns.select(*keys, "pattern"), list(keys)).filter(
-        F.array_contains(shortlist[F.col("pattern")], F.col("method")) & F.col("mae").isNotNull())
+        F.array_contains(shortlist(F.col("pattern")), F.col("method")) & F.col("mae").isNotNull())
     best = fit.groupBy(*keys, "pattern").agg(F.min(F.struct("mae", "method")).alias("b"))
     return best.select(*keys, "pattern", F.col("b.method").alias("method"), F.col("b.mae").alias("mae"))
 
