@@ -90,3 +90,16 @@ def test_grouped_quantile_has_one_way(spark):
     """The formula does not depend on the number of values: no group goes through percentile()."""
     plan = grouped_quantile(frame(spark), ["k"], F.col("o"), {"p": 0.95})._jdf.queryExecution().optimizedPlan().toString()
     assert "percentile" not in plan.lower()
+
+
+def test_plain_windows_are_cut_by_rows(spark, monkeypatch):
+    """Rows of few bytes are not packed into one task of very many rows: tasks follow from the count of rows."""
+    from tidelake.operators import split_window as S
+    rows = spark.range(3000).select((F.col("id") % 100).alias("k"), "id")
+    before = SplitWindow(rows, ["k"], "id").position("n").result()
+    monkeypatch.setattr(S, "TASK_ROWS", 50)
+    cut = SplitWindow(rows, ["k"], "id").position("n").result()
+    assert cut.rdd.getNumPartitions() >= 60 > before.rdd.getNumPartitions()
+    assert sorted(cut.collect()) == sorted(before.collect())
+    later = SplitWindow(cut, ["k"], "id", hot=(None, 0)).following("next", F.col("id")).result()
+    assert later._jdf.queryExecution().executedPlan().toString().count("hashpartitioning") == 1

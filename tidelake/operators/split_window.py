@@ -1,7 +1,7 @@
 """Ordered windows whose partitions may be arbitrarily large.
 
 A plain ``Window.partitionBy(key).orderBy(ts)`` puts a whole key into one task. Here the keys are counted first. Rows of
-keys with at most ``hot_rows`` rows take the plain window. Rows of larger keys are cut into *blocks* of about
+keys with at most ``hot_rows`` rows take the plain window, about ``TASK_ROWS`` in a task. Rows of larger keys are cut into *blocks* of about
 ``hot_rows`` rows by a range partitioning over keys, order and tie-break together, so equal order values, NULLs and
 texts that begin alike are cut as well; only rows that agree in all of these stay together. The cut rows are written once
 to the shared folder, which fixes their blocks whatever is computed again. The window then runs inside (key, block), and
@@ -19,10 +19,12 @@ from typing import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelake.session import materialise
+from tidelake.session import materialise, parallelism
 
 BLOCK = "__block"
 HOT_ROWS = 1_000_000
+#: Rows of plain windows that one task gets, however few bytes they make.
+TASK_ROWS = 1_000_000
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
@@ -59,7 +61,7 @@ class SplitWindow:
         self.tiebreak = [F.col(c) for c in tiebreak]
         if hot_rows is None:
             hot_rows = int(df.sparkSession.conf.get("tidelake.window.hotRows", str(HOT_ROWS)))
-        self.hot = hot or self._count(df, hot_rows)
+        self.hot, tasks = (hot, 0) if hot else self._count(df, hot_rows)
         large, blocks = self.hot
         self.cold = self.cut = None
         self.whole = self.keys
@@ -75,16 +77,19 @@ class SplitWindow:
             by = [*[F.col(k).asc_nulls_first() for k in self.keys], *self._sort]
             placed = rows.repartitionByRange(blocks, *by).withColumn(BLOCK, F.spark_partition_id())
             self.cut = materialise(placed, "blocks")
+        if self.keys and self.cold is not None and tasks > 1:
+            self.cold = self.cold.repartition(max(tasks, parallelism(df.sparkSession)), *self.keys)
         self.df = df
         self.parts: list[_Part] = []
 
-    def _count(self, df: DataFrame, hot_rows: int) -> tuple[DataFrame | None, int]:
-        """The keys with more than ``hot_rows`` rows, and how many blocks their rows make (0: none is)."""
+    def _count(self, df: DataFrame, hot_rows: int) -> tuple[tuple[DataFrame | None, int], int]:
+        """The keys with more than ``hot_rows`` rows, how many blocks their rows make (0: none is), and how many tasks the other rows ask for."""
         if not self.keys:
-            return None, max(1, -(-df.count() // hot_rows))
-        counts = df.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > hot_rows)
-        total = counts.agg(F.sum("__n")).first()[0] or 0
-        return counts.drop("__n"), -(-total // hot_rows)
+            return (None, max(1, -(-df.count() // hot_rows))), 0
+        counts = df.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("__n"))
+        is_hot = F.col("__n") > hot_rows
+        total, rest = counts.agg(F.sum(F.when(is_hot, F.col("__n"))), F.sum(F.when(~is_hot, F.col("__n")))).first()
+        return (counts.filter(is_hot).drop("__n"), -(-(total or 0) // hot_rows)), -(-(rest or 0) // TASK_ROWS)
 
     @property
     def _sort(self) -> list[Column]:
