@@ -111,15 +111,19 @@ def fc_moving_average(t):
     return _forecast(t, "moving_average")
 
 
+def dated_series(t):
+    return filled_series(daily(t), KEYS, "demand", rows=days_seen(t), first="start")
+
+
 @query("fc_tree_model")
 def fc_tree_model(t):
-    features = M.lag_features(grid(t), KEYS, "demand")
+    features = M.lag_features(materialise(dated_series(t), "series"), KEYS)
     return M.tree_forecast(features, KEYS, F.lit(dt.date(2001, 7, 1)))
 
 
 @query("fc_gbt_model")
 def fc_gbt_model(t):
-    return M.tree_forecast(M.lag_features(grid(t), KEYS, "demand"), KEYS, F.lit(dt.date(2001, 7, 1)), "gbt")
+    return M.tree_forecast(M.lag_features(materialise(dated_series(t), "series"), KEYS), KEYS, F.lit(dt.date(2001, 7, 1)), "gbt")
 
 
 @query("fc_lag_features", GRID_SQL + """, f AS (SELECT l_suppkey, day, CAST(demand AS DOUBLE) AS label, CAST(dayofweek(day) + 1 AS DOUBLE) AS weekday,
@@ -127,7 +131,7 @@ def fc_gbt_model(t):
   CAST(lag(demand, 1) OVER w AS DOUBLE) AS lag_1, CAST(lag(demand, 7) OVER w AS DOUBLE) AS lag_7, CAST(lag(demand, 14) OVER w AS DOUBLE) AS lag_14
   FROM grid WINDOW w AS (PARTITION BY l_suppkey ORDER BY day)) SELECT * FROM f WHERE lag_14 IS NOT NULL""")
 def fc_lag_features(t):
-    return M.lag_features(grid(t), KEYS, "demand").withColumn("mean_7", F.round("mean_7", 6))
+    return M.lag_features(dated_series(t), KEYS).withColumn("mean_7", F.round("mean_7", 6))
 
 
 # Every smoothing method at every day: the state a day leaves is the forecast of a cut-off behind it.

@@ -163,3 +163,69 @@ def test_borders_give_heavy_values_a_bin():
     assert M._borders([0.0] * 10) == [] and M._borders([0.0] * 9 + [2.0]) == [1.0]
     many = M._borders([0.0] * 780 + [float(i) for i in range(1, 222)])
     assert len(many) <= M.BINS - 1 and many[0] == 0.5 and many[-1] > 150
+
+
+def plain_features(xs):
+    for i in range(14, len(xs)):
+        week, past = [x for x in xs[i - 7:i] if x is not None], [xs[i], xs[i - 1], xs[i - 7], xs[i - 14]]
+        if None not in past and not any(math.isnan(x) for x in [*week, *past]):
+            yield i, (xs[i], sum(week) / len(week), *past[1:])
+
+
+def test_lag_features_equal_a_plain_loop(spark):
+    """From whole series, so that a day costs one look into an array: with unknown values, and series that are too short."""
+    draw = random.Random(3)
+    data = {k: [draw.choice([0.0, 0.0, draw.randint(1, 36) / 4]) for _ in range(60)] for k in range(4)} | {4: [1.0] * 14, 5: [1.0] * 15, 6: [2.0]}
+    data[1][20], data[2][30] = None, math.nan
+    first = dt.date(2020, 2, 1)
+    series = spark.createDataFrame([(k, first, xs) for k, xs in data.items()], "k int, start date, series array<double>")
+    got = {(r["k"], r["day"]): r for r in M.lag_features(series, ["k"]).collect()}
+    want = {(k, first + dt.timedelta(days=i)): v for k, xs in data.items() for i, v in plain_features(xs)}
+    assert got.keys() == want.keys() and {k for k, _ in got} == {0, 1, 2, 3, 5}
+    for (k, day), r in got.items():
+        assert (r["label"], r["mean_7"], r["lag_1"], r["lag_7"], r["lag_14"]) == want[k, day]
+        assert (r["weekday"], r["month"]) == (day.isoweekday() % 7 + 1, day.month)
+
+
+def test_rows_without_a_day_add_nothing_to_a_series(spark):
+    from tidelake.operators.series import filled_series
+    daily = spark.createDataFrame([(1, dt.date(2020, 1, 1), 2.0), (1, None, 9.0), (1, dt.date(2020, 1, 4), 3.0), (2, None, 5.0)], "k int, day date, v double")
+    got = {r["k"]: (r["start"], r["series"]) for r in filled_series(daily, ["k"], "v", first="start").collect()}
+    assert got == {1: (dt.date(2020, 1, 1), [2.0, 0.0, 0.0, 3.0]), 2: (dt.date(2020, 1, 1), [0.0] * 4)}
+
+
+@pytest.fixture(scope="module")
+def different(spark):
+    """Rows of which no two agree."""
+    draw = random.Random(8)
+    points = [(draw.lognormvariate(0, 2), draw.gauss(0, 1)) for _ in range(12000)]
+    rows = [(i, dt.date(2020, 1, 1) + dt.timedelta(days=i % 100), a, b, math.log(a) * 3 + abs(b) * 5 + draw.random()) for i, (a, b) in enumerate(points)]
+    return spark.createDataFrame(rows, "k int, day date, a double, b double, label double").cache()
+
+
+@pytest.mark.parametrize(("kind", "label"), [("gbt", "weighted")])
+def test_trees_learn_from_cells_however_many_rows_differ(spark, different, kind, label, monkeypatch):
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+    written, keep = {}, M.materialise
+    monkeypatch.setattr(M, "materialise", lambda df, label: written.setdefault(label, keep(df, label)))
+    error = F.avg((F.col("prediction") - F.col("label")) ** 2)
+    scored = M.tree_forecast(different, ["k"], F.lit(dt.date(2020, 3, 1)), kind)
+    got = scored.agg(error, F.count("prediction")).first()
+    assert list(written) == [label] and written[label].count() <= M.BINS ** 2 and got[1] == different.filter("day >= DATE '2020-03-01'").count()
+    wide = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(different)
+    model = GBTRegressor(maxIter=20, maxDepth=4, seed=7) if kind == "gbt" else RandomForestRegressor(numTrees=20, maxDepth=5, seed=7)
+    want = model.fit(wide.filter("day < DATE '2020-03-01'")).transform(wide.filter("day >= DATE '2020-03-01'")).agg(error).first()[0]
+    assert got[0] < 1.1 * want
+
+
+def test_value_groups_count_every_row(spark):
+    """Heavy values, signs, orders of magnitude and values without an order, which are left to the outer bins."""
+    values = [0.0] * 50 + [float(i) for i in range(-20, 300)] + [1e-9, 1e12, -1e12, math.inf, -math.inf, math.nan, None]
+    groups = M._value_groups(spark.createDataFrame([(v, float(i % 7)) for i, v in enumerate(values)], "a double, b double"), ["a", "b"])
+    assert sum(n for *_, n in groups["a"]) == len(values) - 4 and [n for lo, hi, n in groups["a"] if lo <= 0 <= hi] == [51]
+    assert all(hi < lo for (_, hi, _), (lo, _, _) in zip(groups["a"], groups["a"][1:])) and all(hi == lo for lo, hi, _ in groups["a"])
+    assert [lo for lo, _, _ in groups["b"]] == [float(i) for i in range(7)] and len(M._parted(groups["a"])) <= M.BINS - 1
+    rows = spark.createDataFrame([(-math.inf,), (0.0,), (math.inf,)], "a double")
+    low, mid, high = [r["a"] for r in M._binned(rows, rows, ["a"]).collect()]
+    assert low <= mid <= high and low < high

@@ -54,18 +54,19 @@ def zero_filled(daily: DataFrame, keys: Sequence[str], value: str, start: Column
     return grid.select(*keys, "day", filled.alias(value))
 
 
-def filled_series(daily: DataFrame, keys: Sequence[str], value: str, output: str = "series", rows: DataFrame | None = None) -> DataFrame:
+def filled_series(daily: DataFrame, keys: Sequence[str], value: str, output: str = "series", rows: DataFrame | None = None, first: str | None = None) -> DataFrame:
     """The grid of :func:`zero_filled` as one array of doubles per key, in day order.
 
-    Days with rows are gathered and the zeros between them put in as runs, so no row is made for a day without any.
-    ``rows`` is that of :func:`zero_filled`.
+    Days with rows are gathered and the zeros between them put in as runs, so no row is made for a day without any. Rows without a day
+    add nothing to their series.
+    ``rows`` is that of :func:`zero_filled`; ``first`` names a further column with the first day of the series.
     """
     start, end, tasks = calendar_span(daily if rows is None else rows, keys)
-    entries = F.sort_array(F.collect_list(F.struct("day", F.col(value).cast("double").alias("v"))))
+    entries = F.sort_array(F.collect_list(F.when(F.col("day").isNotNull(), F.struct("day", F.col(value).cast("double").alias("v")))))
     known = daily.repartition(tasks, *keys).groupBy(*keys).agg(entries.alias("__known"))
     zeros = lambda since, until: F.array_repeat(F.lit(0.0), F.datediff(until, since) - 1)
     runs = F.transform("__known", lambda e, i: F.concat(F.array(e["v"]), zeros(e["day"], F.coalesce(F.get("__known", i + 1)["day"], F.date_add(end, 1)))))
-    return known.select(*keys, F.concat(zeros(F.date_sub(start, 1), F.get("__known", F.lit(0))["day"]), F.flatten(runs)).alias(output))
+    return known.select(*keys, *([start.alias(first)] if first else []), F.concat(zeros(F.date_sub(start, 1), F.coalesce(F.get("__known", F.lit(0))["day"], F.date_add(end, 1))), F.flatten(runs)).alias(output))
 
 
 def rolling_deviation(daily: DataFrame, keys: Sequence[str], value: str, window_size: int = 7,

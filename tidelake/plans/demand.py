@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tidelake.functions.distributions import bound, normal_quantile
 from tidelake.operators.series import cumulative_share
-from tidelake.session import file_per_task, materialise
+from tidelake.session import file_per_task, materialise, small_methods
 
 # Cuts of the demand patterns, ABC/XYZ classes, and normal quantiles of service levels.
 ADI_CUT = 1.32
@@ -38,9 +38,9 @@ DRAW_PRIME = 2_147_483_647
 DRAW_STEPS = (7_919, 104_729, 1_299_709)
 DRAW_MIX = (48_271, 16_807, 69_621)
 
-# Bins of a feature that trees see, and quantiles that part them.
+# Bins of a feature that trees see, and parts of an octave whose values are counted together to part them.
 BINS = 32
-QUANTILES = 1_000
+FINE = 1_024
 
 
 def demand_pattern(grid: DataFrame, keys: Sequence[str], demand: str, adi_cut: float = ADI_CUT,
@@ -319,23 +319,40 @@ def backtest_scores(series: DataFrame, keys: Sequence[str], horizon: int, folds:
 
 def _borders(points: Sequence[float]) -> list[float]:
     """At most ``BINS - 1`` borders between ascending quantiles of a feature: values with more than a share of their own get a bin."""
-    sizes = Counter(points)
-    values, share = sorted(sizes), len(points) / BINS
+    return _parted([(v, v, n) for v, n in sorted(Counter(points).items())])
+
+
+def _parted(groups: Sequence[tuple[float, float, int]]) -> list[float]:
+    """:func:`_borders` between ascending groups of values: the least and the largest value of a group and how many it holds."""
+    share = sum(n for _, _, n in groups) / BINS
     borders, upto = [], 0
-    for value, following in zip(values, values[1:]):
-        upto += sizes[value]
+    for (_, value, n), (following, _, more) in zip(groups, groups[1:]):
+        upto += n
         target = (len(borders) + 1) * share
-        if len(values) <= BINS or abs(upto - target) < abs(upto + sizes[following] - target):
-            borders.append((value + following) / 2)
+        if len(groups) <= BINS or abs(upto - target) < abs(upto + more - target):
+            borders.append(value / 2 + following / 2)
     return borders
 
 
+def _value_groups(known: DataFrame, inputs: Sequence[str]) -> dict[str, list[tuple[float, float, int]]]:
+    """Per input the values of all rows in ascending groups, for :func:`_parted`: values that share sign and the first digits go together.
+
+    One aggregate counts every row. A group spans less than ``1 / FINE`` of its values, so there are as many as the orders of magnitude ask for.
+    Infinite values and NaN lie in the outer bins whatever the borders.
+    """
+    v = F.col("v")
+    rows = known.select(F.stack(F.lit(len(inputs)), *[x for i, c in enumerate(inputs) for x in (F.lit(i), F.col(c).cast("double"))]).alias("at", "v")).filter(F.abs(v) < math.inf)
+    digits = F.floor(F.log2(F.nullif(F.abs(v), F.lit(0.0))) * FINE)
+    found = rows.groupBy("at", F.signum(v), digits).agg(F.min(v).alias("lo"), F.max(v).alias("hi"), F.count(v).alias("n")).collect()
+    return {c: sorted((r["lo"], r["hi"], r["n"]) for r in found if r["at"] == i) for i, c in enumerate(inputs)}
+
+
 def _binned(rows: DataFrame, known: DataFrame, inputs: Sequence[str]) -> DataFrame:
     """``rows`` with the number of the bin in place of each of ``inputs``; quantiles of all rows of ``known`` part the bins."""
     from pyspark.ml.feature import Bucketizer
 
-    points = known.agg(*[F.percentile_approx(c, [i / QUANTILES for i in range(QUANTILES + 1)]).alias(c) for c in inputs]).first()
-    splits = [[-math.inf, *(_borders(points[c] or []) or [0.0]), math.inf] for c in inputs]
+    groups = _value_groups(known, inputs)
+    splits = [[-math.inf, *(_parted(groups[c]) or [0.0]), math.inf] for c in inputs]
     bins = Bucketizer(splitsArray=splits, inputCols=list(inputs), outputCols=[f"__bin_{c}" for c in inputs], handleInvalid="keep").transform(rows)
     # Without the metadata of the Bucketizer, after which trees would take bins as categories without an order.
     return bins.select(*[c for c in rows.columns if c not in inputs], *[F.col(f"__bin_{c}").alias(c, metadata={}) for c in inputs])
@@ -383,11 +400,7 @@ def tree_backtest(grid: DataFrame, keys: Sequence[str], demand: str, horizon: in
     behind = (F.datediff(F.lit(last), "day") / horizon).cast("int")  # learned from by cut-offs below this number
     with file_per_task(grid.sparkSession):
         binned = _binned(rows, rows.filter(behind >= folds), inputs)
-        drawn = binned.filter(behind > 0).select(*inputs, F.least(behind, F.lit(folds)).alias("behind"), "label",
-                                                 *[_drawn([*keys, "day"], tree, seed).alias(f"n_{tree}") for tree in range(trees)])
-        cells = materialise(drawn.groupBy(*inputs, "behind").agg(
-            *[F.sum(f"n_{tree}").alias(f"n_{tree}") for tree in range(trees)],
-            *[(F.sum(F.col(f"n_{tree}") * F.col("label"))).alias(f"sum_{tree}") for tree in range(trees)]), "tree-cells")
+        cells = _drawn_cells(binned.filter(behind > 0).withColumn("behind", F.least(behind, F.lit(folds))), keys, inputs, trees, seed)
     tests = binned.filter((F.datediff(F.lit(last), "day") % horizon == 0) & (behind < folds)).select(*keys, "label", *inputs, behind.alias("fold"))
     models = _bagged(cells, inputs, [(fold, tree) for fold in range(folds) for tree in range(trees)], depth, seed)
     parts = [_averaged(tests.filter(F.col("fold") == fold), inputs, [models[fold, tree] for tree in range(trees)])
@@ -396,6 +409,15 @@ def tree_backtest(grid: DataFrame, keys: Sequence[str], demand: str, horizon: in
         *keys, F.lit("random_forest").alias("method"), "mae", "folds")
 
 
+def _drawn_cells(known: DataFrame, keys: Sequence[str], inputs: Sequence[str], trees: int, seed: int) -> DataFrame:
+    """Per cell of rows that agree in all ``inputs`` and ``behind``, how many rows each tree drew and the sum of their labels; one row per key and day."""
+    drawn = known.select(*inputs, "behind", "label", *[_drawn([*keys, "day"], tree, seed).alias(f"n_{tree}") for tree in range(trees)])
+    with small_methods(known.sparkSession):
+        return materialise(drawn.groupBy(*inputs, "behind").agg(
+            *[F.sum(f"n_{tree}").alias(f"n_{tree}") for tree in range(trees)],
+            *[(F.sum(F.col(f"n_{tree}") * F.col("label"))).alias(f"sum_{tree}") for tree in range(trees)]), "tree-cells")
+
+
 def _bagged(cells: DataFrame, inputs: Sequence[str], wanted: Sequence[tuple[int, int]], depth: int, seed: int) -> dict:
     """The tree of each ``(fold, tree)``, a few at a time: it weighs a cell by the rows that it drew there and learns their mean label."""
     from pyspark.ml.feature import VectorAssembler
@@ -506,41 +528,52 @@ def forecast_interval(series: DataFrame, keys: Sequence[str], horizon: int = 30,
                        (F.col("forecast") + reach).alias("upper"))
 
 
-def lag_features(grid: DataFrame, keys: Sequence[str], demand: str, lags: Sequence[int] = (1, 7, 14)) -> DataFrame:
-    """Calendar and lag features of each day, for one global model over all series."""
-    order = Window.partitionBy(*keys).orderBy("day")
-    means = F.avg(demand).over(order.rowsBetween(-7, -1))
-    out = grid.select(*keys, "day", F.col(demand).cast("double").alias("label"),
-                      F.dayofweek("day").cast("double").alias("weekday"), F.month("day").cast("double").alias("month"),
-                      means.alias("mean_7"), *[F.lag(demand, n).over(order).cast("double").alias(f"lag_{n}")
-                                               for n in lags])
-    return out.dropna()
+def lag_features(series: DataFrame, keys: Sequence[str], start: str = "start", lags: Sequence[int] = (1, 7, 14)) -> DataFrame:
+    """Calendar and lag features of each day, for one global model over all series; ``start`` is the first day of a ``series``.
+
+    A day looks its past up in the array of its series, so days are made one by one, neither sorted nor held, and cost no more than reading
+    them would. Days with a NULL or NaN among their features are left out.
+    """
+    back = lambda n: F.get("series", F.col("__at") - n)
+    week, day = [back(n) for n in range(7, 0, -1)], F.col("day")
+    total = reduce(lambda a, b: a + b, [F.coalesce(x, F.lit(0.0)) for x in week])
+    size = reduce(lambda a, b: a + b, [F.when(x.isNull(), 0.0).otherwise(1.0) for x in week])
+    longest, past = F.lit(max(*lags, 7)), {n: f"lag_{n}" for n in lags}
+    days = series.select(*keys, "series", start, F.explode(F.when(F.size("series") > longest, F.sequence(longest, F.size("series") - 1))).alias("__at"))
+    # The greatest of a week is NULL when no value is known and NaN when one is.
+    out = days.filter(F.greatest(*week) <= math.inf).select(*keys, F.date_add(start, F.col("__at")).alias("day"), back(0).alias("label"),
+                                                            (total / size).alias("mean_7"), *[back(n).alias(c) for n, c in past.items()])
+    return out.select(*keys, "day", "label", F.dayofweek(day).cast("double").alias("weekday"), F.month(day).cast("double").alias("month"), "mean_7",
+                      *past.values()).dropna(subset=[*keys, "label", *past.values()])
 
 
 def tree_forecast(features: DataFrame, keys: Sequence[str], split: Column, kind: str = "random_forest",
                   seed: int = 7) -> DataFrame:
     """One global tree model over all series, trained before ``split`` and scored on the rest.
 
-    Training passes over the features once per tree level, so they are written to the shared folder first, and a task holds
-    the rows of one written file. Boosting does not draw rows and sees squared errors through sums only, so rows that agree in all features
-    are one row with their mean label and their number as weight: the passes grow with different rows, not with days.
+    Features are gone through three times, for bins, cells and forecasts, and not kept: give them as read from a table, or as :func:`lag_features`
+    of written series. A task goes through the rows of one file. A tree sees a feature as one of ``BINS`` bins, parted by quantiles of
+    all rows before ``split``, and squared errors through sums only, so rows that agree in all bins are one cell with their mean label and their number
+    as weight. Training passes over cells, and their number does not follow that of the rows. A forest draws rows, so it keeps them all.
     """
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 
-    inputs = [c for c in features.columns if c not in (*keys, "day", "label")]
-    written = materialise(features, "features")
-    known, assembler = written.filter(F.col("day") < split), VectorAssembler(inputCols=inputs, outputCol="features")
-    if kind == "random_forest":
-        model = RandomForestRegressor(numTrees=20, maxDepth=5, seed=seed)
-    elif kind == "gbt":
-        known = materialise(known.groupBy(*inputs).agg(F.avg("label").alias("label"), F.count("label").cast("double").alias("weight")), "weighted")
-        model = GBTRegressor(maxIter=20, maxDepth=4, seed=seed, weightCol="weight")
-    else:
+    if kind not in ("random_forest", "gbt"):
         raise ValueError(f"unknown model {kind}")
+    inputs = [c for c in features.columns if c not in (*keys, "day", "label")]
+    before = F.col("day") < split
+    assembler = VectorAssembler(inputCols=inputs, outputCol="features")
     with file_per_task(features.sparkSession):
-        fitted = model.fit(assembler.transform(known))
-    return fitted.transform(assembler.transform(written.filter(F.col("day") >= split))).select(*keys, "day", "label", "prediction")
+        if kind == "random_forest":
+            tests = features.filter(F.col("day") >= split)
+            model = RandomForestRegressor(numTrees=20, maxDepth=5, seed=seed).fit(assembler.transform(features.filter(before)))
+        else:
+            binned = _binned(features, features.filter(before), inputs)
+            known, tests = binned.filter(before), binned.filter(F.col("day") >= split)
+            cells = materialise(known.groupBy(*inputs).agg(F.avg("label").alias("label"), F.count("label").cast("double").alias("weight")), "weighted")
+            model = GBTRegressor(maxIter=20, maxDepth=4, seed=seed, weightCol="weight").fit(assembler.transform(cells))
+    return model.transform(assembler.transform(tests)).select(*keys, "day", "label", "prediction")
 
 
 # -- stock parameters --------------------------------------------------------------------------------------

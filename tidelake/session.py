@@ -82,15 +82,27 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
 
 
 @contextmanager
-def file_per_task(spark: SparkSession) -> Iterator[None]:
-    """Jobs started inside give every file a task of its own: files that compress well are not packed into tasks of very many rows."""
-    name = "spark.sql.files.openCostInBytes"
-    before = spark.conf.get(name)
-    spark.conf.set(name, spark.conf.get("spark.sql.files.maxPartitionBytes"))
+def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+@contextmanager
+def file_per_task(spark: SparkSession) -> Iterator[None]:
+    """Jobs started inside give every file a task of its own: files that compress well are not packed into tasks of very many rows."""
+    with _setting(spark, "spark.sql.files.openCostInBytes", spark.conf.get("spark.sql.files.maxPartitionBytes")):
+        yield
+
+
+@contextmanager
+def small_methods(spark: SparkSession) -> Iterator[None]:
+    """Plans of jobs started inside whose generated method is longer than the JVM compiles (8,000 bytes) are run operator by operator."""
+    with _setting(spark, "spark.sql.codegen.hugeMethodLimit", "8000"):
+        yield
 
 
 def parallelism(spark: SparkSession) -> int:
