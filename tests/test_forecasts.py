@@ -203,7 +203,7 @@ def different(spark):
     return spark.createDataFrame(rows, "k int, day date, a double, b double, label double").cache()
 
 
-@pytest.mark.parametrize(("kind", "label"), [("gbt", "weighted")])
+@pytest.mark.parametrize(("kind", "label"), [("gbt", "weighted"), ("random_forest", "tree-cells")])
 def test_trees_learn_from_cells_however_many_rows_differ(spark, different, kind, label, monkeypatch):
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GBTRegressor, RandomForestRegressor

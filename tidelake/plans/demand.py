@@ -41,6 +41,8 @@ DRAW_MIX = (48_271, 16_807, 69_621)
 # Bins of a feature that trees see, and parts of an octave whose values are counted together to part them.
 BINS = 32
 FINE = 1_024
+# Trees of a forest over all series.
+FOREST_TREES = 20
 
 
 def demand_pattern(grid: DataFrame, keys: Sequence[str], demand: str, adi_cut: float = ADI_CUT,
@@ -554,26 +556,30 @@ def tree_forecast(features: DataFrame, keys: Sequence[str], split: Column, kind:
     Features are gone through three times, for bins, cells and forecasts, and not kept: give them as read from a table, or as :func:`lag_features`
     of written series. A task goes through the rows of one file. A tree sees a feature as one of ``BINS`` bins, parted by quantiles of
     all rows before ``split``, and squared errors through sums only, so rows that agree in all bins are one cell with their mean label and their number
-    as weight. Training passes over cells, and their number does not follow that of the rows. A forest draws rows, so it keeps them all.
+    as weight. Training passes over cells, and their number does not follow that of the rows. Each tree of a forest draws
+    every row by itself, as in :func:`tree_backtest`.
     """
     from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+    from pyspark.ml.regression import GBTRegressor
 
     if kind not in ("random_forest", "gbt"):
         raise ValueError(f"unknown model {kind}")
     inputs = [c for c in features.columns if c not in (*keys, "day", "label")]
     before = F.col("day") < split
-    assembler = VectorAssembler(inputCols=inputs, outputCol="features")
     with file_per_task(features.sparkSession):
+        binned = _binned(features, features.filter(before), inputs)
+        known, tests = binned.filter(before), binned.filter(F.col("day") >= split)
         if kind == "random_forest":
-            tests = features.filter(F.col("day") >= split)
-            model = RandomForestRegressor(numTrees=20, maxDepth=5, seed=seed).fit(assembler.transform(features.filter(before)))
+            cells = _drawn_cells(known.withColumn("behind", F.lit(1)), keys, inputs, FOREST_TREES, seed)
         else:
-            binned = _binned(features, features.filter(before), inputs)
-            known, tests = binned.filter(before), binned.filter(F.col("day") >= split)
             cells = materialise(known.groupBy(*inputs).agg(F.avg("label").alias("label"), F.count("label").cast("double").alias("weight")), "weighted")
-            model = GBTRegressor(maxIter=20, maxDepth=4, seed=seed, weightCol="weight").fit(assembler.transform(cells))
-    return model.transform(assembler.transform(tests)).select(*keys, "day", "label", "prediction")
+    if kind == "random_forest":
+        models = _bagged(cells, inputs, [(0, tree) for tree in range(FOREST_TREES)], 5, seed)
+        scored = _averaged(tests, inputs, list(models.values()))
+    else:
+        assembler = VectorAssembler(inputCols=inputs, outputCol="features")
+        scored = GBTRegressor(maxIter=20, maxDepth=4, seed=seed, weightCol="weight").fit(assembler.transform(cells)).transform(assembler.transform(tests))
+    return scored.select(*keys, "day", "label", "prediction")
 
 
 # -- stock parameters --------------------------------------------------------------------------------------
