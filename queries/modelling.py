@@ -5,11 +5,14 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from queries.registry import query
+from tidelake.operators.split_window import TASK_ROWS
 from tidelake.plans import dimensional as D
 from tidelake.plans import star as S
 from tidelake.plans.demand import SERVICE_Z
+from tidelake.plans.dimensional import UNKNOWN_KEY
 from tidelake.plans.star import StarSchema
 from tidelake.session import materialise, scratch
+from tidelake.sinks.tables import require_unique
 
 DATE_KEY = "year({0}) * 10000 + month({0}) * 100 + day({0})"
 
@@ -306,33 +309,49 @@ snap AS (SELECT sku, loc, d, (sum(a) OVER w)::BIGINT AS on_hand, (sum(b) OVER w)
 """
 
 
-def _movements(t):
+def _stock_lines(t):
+    """Lines with the days they were ordered and shipped on; columns are made narrow before they move."""
+    heads = t.orders.select("o_orderkey", F.to_date("o_orderdate").alias("ordered"))
+    lines = t.lineitem.select("l_orderkey", F.col("l_partkey").alias("sku_code"), F.col("l_suppkey").alias("location_id"), F.to_date("l_shipdate").alias("shipped"),
+                              F.col("l_quantity").cast("long").alias("quantity"), (F.col("l_returnflag") == "R").alias("returned"))
+    return lines.join(heads, F.col("l_orderkey") == F.col("o_orderkey")).drop("l_orderkey", "o_orderkey")
+
+
+def _moves():
     """A line is under way from its order to its shipment, then on hand; returned ones are reserved."""
-    moved = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    quantity, none = F.col("l_quantity").cast("long"), F.lit(0).cast("long")
-    kinds = F.array(
-        F.struct(F.to_date("o_orderdate").alias("snapshot_date"), none.alias("on_hand"), none.alias("reserved"), quantity.alias("in_transit")),
-        F.struct(F.to_date("l_shipdate").alias("snapshot_date"), quantity.alias("on_hand"),
-                 F.when(F.col("l_returnflag") == "R", quantity).otherwise(none).alias("reserved"), (-quantity).alias("in_transit")))
-    return moved.select(F.col("l_partkey").alias("sku_code"), F.col("l_suppkey").alias("location_id"), F.inline(kinds))
+    quantity, none = F.col("quantity"), F.lit(0).cast("long")
+    return F.array(
+        F.struct(F.col("ordered").alias("snapshot_date"), none.alias("on_hand"), none.alias("reserved"), quantity.alias("in_transit")),
+        F.struct(F.col("shipped").alias("snapshot_date"), quantity.alias("on_hand"),
+                 F.when(F.col("returned"), quantity).otherwise(none).alias("reserved"), (-quantity).alias("in_transit")))
+
+
+def _movements(t):
+    return _stock_lines(t).select("sku_code", "location_id", F.inline(_moves()))
 
 
 MEASURES = ["on_hand", "reserved", "in_transit"]
+STOCK_GRAIN = ["sku_code", "location_id", "snapshot_date"]
 
 
-def _snapshots_of_stock(t):
-    out = S.stock_snapshots(_movements(t), ["sku_code", "location_id"], "snapshot_date", MEASURES)
-    cost = t.part.select(F.col("p_partkey").alias("sku_code"), F.col("p_retailprice").alias("unit_cost"))
-    return out.join(cost, "sku_code", "left").withColumn("last_updated", F.col("snapshot_date").cast("timestamp_ntz"))
+def _snapshots_of_stock(t, star):
+    """Snapshots in sorted ranges. Cost and keys are looked up on items and lines, before they become movements."""
+    items = t.part.filter("p_partkey IS NOT NULL").select(F.col("p_partkey").alias("sku_code"), F.col("p_retailprice").alias("unit_cost"))
+    require_unique(items, ["sku_code"])
+    items = star.with_keys(items, {"product_key": ("dim_product", F.col("sku_code"))})
+    lines = star.with_keys(_stock_lines(t).join(items, "sku_code", "left"), {"location_key": ("dim_location", F.col("location_id"))})
+    lines = lines.withColumns({"unit_cost": F.col("unit_cost").cast("decimal(10,2)"), "product_key": F.coalesce("product_key", F.lit(UNKNOWN_KEY).cast("long"))})
+    out = S.stock_snapshots(lines, ["sku_code", "location_id"], "snapshot_date", MEASURES, ["unit_cost", "product_key", "location_key"], _moves(),
+                            -(-4 * t.lineitem.count() // TASK_ROWS))
+    return out.withColumn("snapshot_month", S.month_of(F.col("snapshot_date")))
 
 
 def _inventory(t, *loads):
     star = _star(t, "dim_product", "dim_location", "dim_time")
-    rows = S.inventory(star, _snapshots_of_stock(t))
-    if len(loads) > 1:
-        rows = materialise(rows, "inventory")
-    for load in loads:
-        out = star.load_fact("fact_inventory", rows.filter(load), "snapshot_month", ["sku_code", "location_id", "snapshot_date"], "inventory_key")
+    rows = S.placed(_snapshots_of_stock(t, star), STOCK_GRAIN, unique=True, ranged=True)
+    for load in [rows.filter(held) for held in loads] or [rows]:
+        out = star.load_fact("fact_inventory", load, "snapshot_month", STOCK_GRAIN, "inventory_key",
+                             lambda df: S.inventory(star, df.withColumn("last_updated", F.col("snapshot_date").cast("timestamp_ntz"))))
     return out
 
 
@@ -349,7 +368,7 @@ FROM snap CROSS JOIN dates JOIN part ON sku = part.p_partkey LEFT JOIN p ON sku
 @query("fact_inventory_daily", INVENTORY_SQL.format(order="sku, loc, d"))
 def fact_inventory_daily(t):
     """SKU by location by day of movement: on hand, reserved, in transit, value, with a key of its own."""
-    return as_long(_inventory(t, "true"))
+    return as_long(_inventory(t))
 
 
 @query("fact_inventory_reload", INVENTORY_SQL.format(order="year(d) >= 1999, sku, loc, d"))

@@ -103,3 +103,48 @@ def test_numbers_follow_the_order_over_many_ranges_and_rows_move_once(spark, tmp
         got = sorted((r["n"], r["a"] if r["a"] is not None else -1) for r in out.collect())
         assert [n for n, _ in got] == list(range(start + 1, start + 5001)) and [a for _, a in got] == sorted(a for _, a in got)
         assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def placed_rows(spark, ranged=True):
+    """Two thousand rows of a few keys, dealt in ranges of the key, with NULLs."""
+    rows = spark.range(2000).selectExpr("CASE WHEN id % 37 > 0 THEN id % 37 END AS g", "id % 2000 AS d", "id % 5 AS m", "id % 11 AS v")
+    return rows.repartitionByRange(6, F.col("g").asc_nulls_first()) if ranged else rows.repartition(6, "d")
+
+
+def in_order(rows):
+    return sorted(rows, key=lambda r: (r["g"] is not None, r["g"] or 0, r["d"]))
+
+
+@pytest.mark.parametrize("ranged", [True, False])
+def test_placed_rows_are_numbered_where_they_lie(spark, tmp_path, ranged):
+    """Also a part of them; and rows that are wrongly said to lie in ranges move after all."""
+    numbers = S.Numbers(spark, f"{tmp_path}/n")
+    rows, start = S.placed(placed_rows(spark, ranged), ["g", "d"], unique=True, ranged=True), 1
+    for part, kept in ((rows, lambda r: True), (rows.filter("m < 3"), lambda r: r["m"] < 3), (rows.filter("m >= 3").filter("v = 1"), lambda r: r["m"] >= 3 and r["v"] == 1),
+                       (rows.filter("false"), lambda r: False)):
+        out = part.numbered("n", numbers)
+        got, want = sorted(out.collect(), key=lambda r: r["n"]), in_order(r for r in rows.rows.collect() if kept(r))
+        assert [r["n"] for r in got] == list(range(start, start + len(want))) and [tuple(r)[:4] for r in got] == [tuple(r) for r in want]
+        assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+        start += len(want)
+
+
+def test_placed_rows_that_repeat_are_refused(spark):
+    twice = placed_rows(spark).selectExpr("g", "d % 1999 AS d")
+    for ranged in (True, False):
+        with pytest.raises(ValueError):
+            S.placed(twice.withColumn("g", F.lit(None).cast("long")), ["g", "d"], unique=True, ranged=ranged)
+    assert S.placed(twice, ["d"]).rows.count() == 2000
+
+
+def test_stock_moves_once_before_lines_become_movements(spark):
+    """One range shuffle carries lines, not movements; days, windows and places need no other."""
+    lines = spark.range(600).selectExpr("id % 23 AS sku", "id % 5 AS loc", "id % 3 + 0.5 AS cost", "date_add(DATE '2020-01-05', CAST(id % 50 AS INT)) AS a",
+                                        "date_add(DATE '2020-01-09', CAST(id * 7 % 60 AS INT)) AS b", "id % 7 AS q")
+    moves = F.array(F.struct(F.col("a").alias("d"), F.col("q").alias("n")), F.struct(F.col("b").alias("d"), (-F.col("q")).alias("n")))
+    got = S.stock_snapshots(lines, ["sku", "loc"], "d", ["n"], ["cost"], moves, 20)
+    flat = lines.select("sku", "loc", "cost", F.inline(moves))
+    assert rows(got) == rows(S.stock_snapshots(flat, ["sku", "loc"], "d", ["n"], ["cost"]))
+    plan = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Exchange") == 1 and plan.index("Generate") < plan.index("Exchange rangepartitioning")
+    assert rows(S.placed(got, ["sku", "loc", "d"], unique=True, ranged=True).rows) == rows(got)

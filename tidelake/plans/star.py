@@ -11,8 +11,9 @@ looked up in the stored calendar like any other dimension.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from itertools import accumulate
-from typing import Mapping, Sequence
+from typing import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from tidelake.functions.values import calendar
 from tidelake.operators.split_window import null_safe_join
 from tidelake.plans.dimensional import UNKNOWN_KEY
-from tidelake.session import materialise
+from tidelake.session import file_per_task, materialise, parallelism
 from tidelake.sinks.tables import LAYER_CODEC, require_unique, write_table
 from tidelake.sources.files import path_exists
 
@@ -41,19 +42,85 @@ class Numbers:
         return top + 1
 
 
+AT, AGAIN = "__at", "__again"
+# Rows of a fact are written up to three times before they are in it.
+SCRATCH_CODEC = "zstd"
+
+
+@dataclass
+class Placed:
+    """Rows written once in sorted ranges of ``order`` (NULLs first); :data:`AT` is their place, block and position in it."""
+
+    table: DataFrame
+    order: list[str]
+    unique: bool = False
+    whole: bool = True
+
+    def filter(self, condition: Column | str) -> "Placed":
+        return Placed(self.table.filter(condition), self.order, self.unique, False)
+
+    @property
+    def rows(self) -> DataFrame:
+        return self.table.drop(AT)
+
+    def numbered(self, output: str, numbers: Numbers) -> DataFrame:
+        """Rows with numbers behind all that were handed out, in order.
+
+        What a filter left is written with new places, each range where it lies; no row moves.
+        """
+        table = self.table
+        if not self.whole:
+            with file_per_task(table.sparkSession):  # so a task goes through one range, in its order
+                table = materialise(table.withColumnRenamed(AT, "__was").withColumn(AT, F.monotonically_increasing_id()), "numbered", SCRATCH_CODEC)
+        block, within = _block(), F.col(AT).bitwiseAND(F.lit((1 << 33) - 1))
+        place = F.col(AT if self.whole else "__was")
+        found = table.groupBy(block.alias("b")).agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("low"), F.max(place).alias("high")).collect()
+        found.sort(key=lambda r: r["low"])
+        if any(a["high"] >= b["low"] for a, b in zip(found, found[1:])):
+            raise ValueError("ranges of placed rows overlap")
+        starts = list(accumulate((r["n"] for r in found), initial=0))
+        first = numbers.take(starts[-1])
+        at = [0] * (max((r["b"] for r in found), default=0) + 1)
+        for r, start in zip(found, starts):
+            at[r["b"]] = first + start
+        return table.select(*self.rows.columns, (F.get(F.lit(at).cast("array<bigint>"), block.cast("int")) + within).alias(output))
+
+
+def _block() -> Column:
+    return F.shiftright(AT, 33)
+
+
+def placed(rows: DataFrame, order: Sequence[str], unique: bool = False, ranged: bool = False) -> Placed:
+    """``rows`` written in sorted ranges. ``unique`` refuses rows that agree in ``order``.
+
+    Rows move once. ``ranged`` ones lie in ranges already and are sorted where they lie; if it turns out that ranges overlap, they move after all.
+    """
+    by = [F.col(c).asc_nulls_first() for c in order]
+    dealt = (rows if ranged else rows.repartitionByRange(*by)).sortWithinPartitions(*by)
+    if unique:  # rows that agree share a range, so they are counted where they lie
+        dealt = dealt.withColumn(AGAIN, F.row_number().over(Window.partitionBy(*order).orderBy(*by)) > 1)
+    table = materialise(dealt.withColumn(AT, F.monotonically_increasing_id()), "placed", SCRATCH_CODEC)
+    if ranged and _overlap(table, order):
+        return placed(table.drop(AT, AGAIN), order, unique)
+    if unique and not table.filter(AGAIN).isEmpty():
+        raise ValueError(f"keys {list(order)} repeat in the rows to number")
+    return Placed(table.drop(AGAIN), list(order), unique)
+
+
+def _overlap(table: DataFrame, order: Sequence[str]) -> bool:
+    """Whether a range begins before the one written ahead of it has ended; only the first and the last row of each are compared."""
+    tops = table.groupBy(_block().alias("b")).agg(F.max(AT).alias("top"))
+    ends = [at for r in tops.collect() for at in {r["b"] << 33, r["top"]}]
+    edges = table.filter(F.col(AT).isin(ends)).groupBy(_block().alias("b")).agg(*[f(F.struct(*order)).alias(n) for n, f in (("low", F.min), ("high", F.max))])
+    return not edges.select((F.lag("high").over(Window.orderBy("b")) >= F.col("low")).alias("mixed")).filter("mixed").isEmpty()
+
+
 def numbered(rows: DataFrame, order: Sequence[str], output: str, numbers: Numbers) -> DataFrame:
     """``rows`` with numbers behind all that were handed out, in the order of ``order`` (NULLs first).
 
     Rows move once, into sorted ranges, and are written with their place; one count per range comes back to the driver.
     """
-    by = [F.col(c).asc_nulls_first() for c in order]
-    ranges = rows.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("__at", F.monotonically_increasing_id())
-    placed = materialise(ranges, "numbered")
-    block, within = F.shiftright("__at", 33), F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
-    sizes = {r["b"]: r["n"] for r in placed.groupBy(block.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    starts = [0, *accumulate(sizes.get(b, 0) for b in range(max(sizes, default=0) + 1))]
-    first = numbers.take(starts[-1])
-    return placed.select(*rows.columns, (F.get(F.lit([first + n for n in starts]).cast("array<bigint>"), block.cast("int")) + within).alias(output))
+    return placed(rows, order).numbered(output, numbers)
 
 
 class KeyRegistry:
@@ -119,28 +186,33 @@ class StarSchema:
                     .withColumn(output, F.coalesce("__key", unknown)).drop("__value", "__natural", "__key"))
         return rows
 
-    def load_fact(self, name: str, rows: DataFrame, period: str, grain: Sequence[str] = (), key: str | None = None) -> DataFrame:
+    def load_fact(self, name: str, rows: DataFrame | Placed, period: str, grain: Sequence[str] = (), key: str | None = None,
+                  derive: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
         """Replace the periods that ``rows`` brings. With ``key`` every row of ``grain`` gets a lasting number.
 
         Only the replaced periods are read for the keys that rows have had; what is new is numbered behind all others. Where none of
-        the periods is there yet, rows take their number in one move.
+        the periods is there yet, rows take their number in one move, :class:`Placed` ones of the same ``grain`` in none.
+        ``derive`` adds what follows from a row alone, behind the move into periods.
         """
         table = self.path("facts", name)
         if key is not None:
-            columns, known = rows.columns, None
+            ready = isinstance(rows, Placed) and rows.unique and rows.order == list(grain)
+            source, rows, known = rows, rows.rows if isinstance(rows, Placed) else rows, None
+            columns = rows.columns
             if path_exists(self.spark, table):
-                rows = materialise(rows, "fact-rows")
+                rows = rows if isinstance(source, Placed) else materialise(rows, "fact-rows")
                 periods = [r[0] for r in rows.select(period).distinct().collect()]
                 stored = self.spark.read.parquet(table).filter(F.col(period).isin([p for p in periods if p is not None]) | F.col(period).isNull())
                 known = None if stored.isEmpty() else stored.select(*grain, key)
             numbers, old = Numbers(self.spark, self.path("keys", name)), None
             if known is not None:
-                rows = materialise(null_safe_join(rows, known, grain, "left"), "fact-known")
+                rows, ready = materialise(null_safe_join(rows, known, grain, "left"), "fact-known", SCRATCH_CODEC), False
                 old, rows = rows.filter(F.col(key).isNotNull()).select(key, *columns), rows.filter(F.col(key).isNull()).select(*columns)
-            fresh = numbered(rows, grain, key, numbers).select(key, *columns)
-            rows = fresh if old is None else old.unionByName(fresh)
-            require_unique(rows, grain)
-        write_table(rows, table, [period], codec=LAYER_CODEC["gold"], dynamic=True)
+                if not (isinstance(source, Placed) and source.unique and set(source.order) <= set(grain)):
+                    require_unique(old, [key])  # rows that agree found the same key
+            rows = (source if ready else placed(rows, grain, unique=True)).numbered(key, numbers).select(key, *columns)
+            rows = rows if old is None else old.unionByName(rows)
+        write_table(rows, table, [period], codec=LAYER_CODEC["gold"], dynamic=True, derive=derive)
         return self.fact(name)
 
     def fact(self, name: str) -> DataFrame:
@@ -173,24 +245,37 @@ def order_lines(star: StarSchema, lines: DataFrame, orders: DataFrame) -> DataFr
         F.datediff("l_shipdate", "ordered").alias("lead_days"), month_of(F.col("ordered")).alias("order_month"))
 
 
-def stock_snapshots(movements: DataFrame, keys: Sequence[str], day: str, measures: Sequence[str], costs: Sequence[str] = ()) -> DataFrame:
+def stock_snapshots(movements: DataFrame, keys: Sequence[str], day: str, measures: Sequence[str], costs: Sequence[str] = (),
+                    moves: Column | None = None, tasks: int | None = None) -> DataFrame:
     """State of every key at the end of each day on which it moved, from signed daily movements.
 
     Movements are added up per key and day first, so a window holds a key's days at most. They move once, by key: days are added up
-    and windows run where a key lies. ``costs`` carry the day's largest.
+    and windows run where a key lies. ``costs`` carry the day's largest. ``moves``, an array of structs of ``day`` and ``measures``, makes several
+    movements of a row behind the move. With ``tasks`` keys are dealt in sorted ranges, so many at least, and the result lies in them.
     """
-    daily = movements.repartition(*keys).groupBy(*keys, day).agg(*[F.sum(m).alias(m) for m in measures], *[F.max(c).alias(c) for c in costs])
+    if tasks is None:
+        dealt = movements.repartition(*keys)
+    else:
+        by = [F.col(k).asc_nulls_first() for k in keys]
+        dealt = movements.repartitionByRange(tasks, *by) if tasks > parallelism(movements.sparkSession) else movements.repartitionByRange(*by)
+    if moves is not None:
+        dealt = dealt.select(*keys, *costs, F.inline(moves))
+    daily = dealt.groupBy(*keys, day).agg(*[F.sum(m).alias(m) for m in measures], *[F.max(c).alias(c) for c in costs])
     upto = Window.partitionBy(*keys).orderBy(day).rowsBetween(Window.unboundedPreceding, 0)
     return daily.select(*keys, day, *[F.sum(m).over(upto).alias(m) for m in measures], *costs)
 
 
 def inventory(star: StarSchema, snapshots: DataFrame) -> DataFrame:
-    """Fact rows from ``sku_code, location_id, snapshot_date, on_hand, reserved, in_transit, unit_cost, last_updated``."""
-    keyed = star.with_keys(snapshots, {"product_key": ("dim_product", F.col("sku_code")), "location_key": ("dim_location", F.col("location_id")),
-                                       "date_key": ("dim_time", F.col("snapshot_date"))})
+    """Fact rows from ``sku_code, location_id, snapshot_date, on_hand, reserved, in_transit, unit_cost, last_updated``.
+
+    Keys that snapshots carry, having been looked up before movements multiplied them, are not looked up again; a key of the row stays.
+    """
+    lookups = {"product_key": ("dim_product", F.col("sku_code")), "location_key": ("dim_location", F.col("location_id")),
+               "date_key": ("dim_time", F.col("snapshot_date"))}
+    keyed = star.with_keys(snapshots, {k: v for k, v in lookups.items() if k not in snapshots.columns})
     on_hand, cost = F.col("on_hand"), F.col("unit_cost").cast("decimal(10,2)")
     return keyed.select(
-        "product_key", "location_key", "date_key", "sku_code", "location_id", "snapshot_date", on_hand.alias("quantity_on_hand"),
+        *[c for c in ("inventory_key",) if c in snapshots.columns], "product_key", "location_key", "date_key", "sku_code", "location_id", "snapshot_date", on_hand.alias("quantity_on_hand"),
         F.col("reserved").alias("quantity_reserved"), F.col("in_transit").alias("quantity_in_transit"),
         (on_hand - F.col("reserved")).alias("quantity_available"), cost.alias("unit_cost"),
         (on_hand.cast("decimal(12,0)") * cost).cast("decimal(15,2)").alias("total_value"), "last_updated",

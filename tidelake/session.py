@@ -74,10 +74,11 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/tidelake/{label}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
+def materialise(df: DataFrame, label: str, codec: str | None = None) -> DataFrame:
     """Cut the lineage by a table in the shared folder, so that lost executors cost no recomputation."""
     path = scratch(df.sparkSession, label)
-    df.write.mode("errorifexists").parquet(path)
+    writer = df.write.mode("errorifexists")
+    (writer.option("compression", codec) if codec else writer).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -6,7 +6,7 @@ import datetime as dt
 import json
 import time
 import uuid
-from typing import Any, Mapping, Sequence
+from typing import Any, Callable, Mapping, Sequence
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -46,13 +46,14 @@ def check_partitions(df: DataFrame, keys: Sequence[str], max_partitions: int = M
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite",
                 codec: str = "snappy", max_partitions: int | None = MAX_PARTITIONS, max_records_per_file: int = 0,
-                dynamic: bool = False) -> None:
+                dynamic: bool = False, derive: Callable[[DataFrame], DataFrame] | None = None) -> None:
     """Write Parquet, Hive-partitioned by ``partition_by``.
 
     Rows are rebalanced over the partition columns, so that each table partition gets few files, while AQE
     splits a partition that is too large for one task; a plain hash repartition would send a hot one to a
     single writer. ``dynamic`` overwrites only the partitions present in ``df``. The partition limit costs one pass
-    over the partition columns; ``max_partitions=None`` skips it where the caller has proven the bound.
+    over the partition columns; ``max_partitions=None`` skips it where the caller has proven the bound. ``derive`` is applied behind the
+    rebalancing, so that columns which follow from others are not moved.
     """
     if mode not in WRITE_MODES:
         raise ValueError(f"unknown write mode {mode}")
@@ -60,6 +61,8 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode
         if max_partitions is not None:
             check_partitions(df, partition_by, max_partitions)
         df = df.hint("rebalance", *partition_by)
+    if derive is not None:
+        df = derive(df)
     writer = df.write.mode(mode).option("compression", codec)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
