@@ -158,11 +158,19 @@ def scd2_apply(t):
 
 @query("scd2_late_changes", SNAP_SQL + "SELECT *, effective_to IS NULL AS is_current FROM hist")
 def scd2_late_changes(t):
-    """History of the first years, then everything later arriving late, must equal the history of all rows."""
-    snaps = _snapshots(t)
-    border = F.lit(dt.date(1999, 1, 1))
-    early = materialise(D.scd2_history(snaps.filter(F.col("day") < border), "sku", ["price_band", "pack"], "day"), "scd2")
-    return D.scd2_rebuild(early, snaps.filter(F.col("day") >= border), "sku", ["price_band", "pack"], "day")
+    """History of the first years, then everything later arriving late, must equal the history of all rows.
+
+    Of the first years what was shipped in the first three days of a month is late as well: it falls between days that are known, and items
+    without such days pass through.
+    """
+    key, attributes = "sku", ["price_band", "pack"]
+    snaps = materialise(_snapshots(t), "snapshots")
+    early = F.coalesce(F.col("day") < F.lit(dt.date(1999, 1, 1)), F.lit(False))
+    held_back = early & (F.dayofmonth("day") <= 3)
+    seen = snaps.filter(early & ~held_back)
+    dimension = materialise(D.scd2_history(seen, key, attributes, "day"), "scd2")
+    dimension = materialise(D.scd2_rebuild(dimension, snaps.filter(held_back), key, attributes, "day", seen), "scd2")
+    return D.scd2_rebuild(dimension, snaps.filter(~early), key, attributes, "day")
 
 
 @query("scd2_lookup", SNAP_SQL + """

@@ -209,6 +209,37 @@ def test_scd2_apply_twice_changes_nothing(spark):
     assert rows(once) == rows(twice) and once.filter("is_current").count() == 3 and once.count() == dim.count() + 2
 
 
+def test_late_changes_between_known_days_rebuild_history(spark):
+    day = lambda n: dt.date(2024, 1, n)
+    frame = lambda *r: spark.createDataFrame(list(r), "k string, v string, d date")
+    seen = frame(("a", "x", day(1)), ("a", "x", day(4)), ("a", "x", day(6)), ("a", "y", day(8)), ("b", "x", day(1)), (None, "x", day(2)), (None, "x", day(7)))
+    late = frame(("a", "z", day(2)), ("a", "z", day(5)), ("c", "x", day(3)), (None, "w", day(3)), ("a", "n", None))
+    dim = D.scd2_history(seen, "k", ["v"], "d")
+    got = D.scd2_rebuild(dim, late, "k", ["v"], "d", seen)
+    assert rows(got) == rows(D.scd2_history(seen.unionByName(late), "k", ["v"], "d")) and got.count() == 12
+    # Behind all known days versions are enough, also for the NULL key.
+    later = frame(("a", "y", day(9)), (None, "x", day(9)), (None, "q", day(10)))
+    assert rows(D.scd2_rebuild(dim, later, "k", ["v"], "d")) == rows(D.scd2_history(seen.unionByName(later), "k", ["v"], "d"))
+
+
+def test_late_changes_of_the_query_fall_between_known_days(spark, tmp_path, monkeypatch):
+    """Some keys are rebuilt from changes inside their history, others pass through, and no row is left out, with NULL keys and days as well."""
+    from queries import all_queries
+    lines = spark.range(6000).selectExpr("CASE WHEN id % 97 > 0 THEN id % 97 + 97 * (id % 7) END AS l_partkey", "id % 11 / 100 AS l_discount", "id * 7 % 50 + 1.0 AS l_quantity",
+                                         "CASE WHEN id % 53 > 0 THEN CAST(date_add(DATE '1995-01-02', CAST(id * 7919 % 2500 AS INT)) AS TIMESTAMP_NTZ) END AS l_shipdate")
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    calls, rebuild = [], D.scd2_rebuild
+    monkeypatch.setattr(D, "scd2_rebuild", lambda *a: calls.append(a) or rebuild(*a))
+    queries = all_queries()[0]
+    assert rows(queries["scd2_late_changes"](spark, str(tmp_path))) == rows(queries["scd2_history"](spark, str(tmp_path)))
+    (dimension, late, key, _, date, seen), (_, later, *_) = calls
+    spans = seen.groupBy(F.col(key).alias("k")).agg(F.min(date).alias("low"), F.max(date).alias("high"))
+    inside = late.join(spans, F.col(key).eqNullSafe(F.col("k"))).filter(F.col(date).between(F.col("low"), F.col("high"))).count()
+    passed = dimension.join(late, key, "left_anti").select(key).distinct().count()
+    assert inside > 100 and passed > 10 and later.count() > 2 * late.count()
+    assert seen.count() + late.count() + later.count() == lines.select("l_partkey", "l_shipdate").distinct().count()
+
+
 def test_unknown_dimension_key(spark):
     dim = D.surrogate_keys(spark.createDataFrame([("x",), ("y",)], "nk string"), "nk", "sk", start=10)
     out = D.with_dimension_key(spark.createDataFrame([("y",), ("q",), (None,)], "f string"), dim, "nk", "f", "sk")

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelake.functions.values import date_key
-from tidelake.operators.split_window import SplitWindow
+from tidelake.operators.split_window import SplitWindow, null_safe_join
 
 # Fixed value: key of the "unknown" member for rows without a dimension entry.
 UNKNOWN_KEY = -1
@@ -65,12 +65,19 @@ def scd2_apply(dimension: DataFrame, snapshot: DataFrame, key: str, attributes:
     return past.unionByName(live.select(*columns))
 
 
-def scd2_rebuild(dimension: DataFrame, late: DataFrame, key: str, attributes: Sequence[str], date: str) -> DataFrame:
-    """Apply late changes: the history of affected keys is rebuilt, the others pass through."""
+def scd2_rebuild(dimension: DataFrame, late: DataFrame, key: str, attributes: Sequence[str], date: str,
+                 seen: DataFrame | None = None) -> DataFrame:
+    """Apply late changes: the history of affected keys is rebuilt, the others pass through. A NULL key is a key like any other.
+
+    ``seen`` are the snapshots that the dimension was built from. A version keeps only the day it began on, so a change that falls between two
+    snapshots of one version needs them: the state comes back with the second. Without ``seen`` versions stand for their snapshots, which is
+    exact for changes that lie before or behind all snapshots of their key.
+    """
     affected = late.select(key).distinct()
     columns = [key, *attributes, "effective_from", "effective_to", "is_current"]
-    kept = dimension.join(affected, key, "left_anti").select(*columns)
-    known = dimension.join(affected, key, "left_semi").select(key, *attributes, F.col("effective_from").alias(date))
+    kept = null_safe_join(dimension, affected, [key], "left_anti").select(*columns)
+    before = dimension.withColumn(date, F.col("effective_from")) if seen is None else seen
+    known = null_safe_join(before, affected, [key], "left_semi").select(key, *attributes, date)
     return kept.unionByName(scd2_history(known.unionByName(late.select(*known.columns)), key, attributes, date))
 
 
